@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _struct(*fields: tuple) -> T.StructType:
+def struct(*fields: tuple) -> T.StructType:
+    """Nullable fields from (name, type) pairs."""
     return T.StructType([T.StructField(name, dtype, True) for name, dtype in fields])
 
 
 def _strings(*names: str) -> T.StructType:
-    return _struct(*[(n, T.StringType()) for n in names])
+    return struct(*[(n, T.StringType()) for n in names])
 
 
 _S, _I, _H, _D = T.StringType(), T.IntegerType(), T.ShortType(), T.DoubleType()
@@ -24,16 +25,16 @@ RAW_SALES = _strings(
     "surface_reelle_bati", "nombre_pieces_principales",
 )
 RAW_RESIDENCES = _strings("CODGEO", "P22_RP")
-RAW_HOUSING = _struct(
+RAW_HOUSING = struct(
     ("annee", _S), ("arrdt", T.LongType()), ("adresse_programme", _S), ("code_postal", _S),
     ("nb_logmt_total", T.LongType()), ("nb_plai", T.LongType()), ("nb_plus", T.LongType()),
     ("nb_pluscd", T.LongType()), ("nb_pls", T.LongType()), ("mode_real", _S), ("nature_programme", _S),
 )
 POLLUTANTS = ("no2", "o3", "pm10", "pm25", "so2")
 AIR_READING = _strings("date", *POLLUTANTS, "indice")
-RAW_AIR = _struct(
+RAW_AIR = struct(
     ("date", _S), ("nb_ok", _I), ("nb_erreurs", _I),
-    ("arrondissements", T.ArrayType(_struct(
+    ("arrondissements", T.ArrayType(struct(
         ("insee", _S), ("arrondissement", _I), ("fetched_at", _S),
         ("data", T.MapType(_S, T.ArrayType(AIR_READING))),
     ))),
@@ -49,28 +50,28 @@ INCOME_COLUMNS = (
 )
 
 # ---- silver ----------------------------------------------------------------------------
-SILVER_SALES = _struct(
+SILVER_SALES = struct(
     ("date_mutation", T.DateType()), ("annee", _I), ("arrondissement", _H), ("code_commune", _S),
     ("valeur_fonciere", _D), ("surface_reelle_bati", _D), ("nombre_pieces_principales", _I),
     ("type_local", _S), ("prix_m2", _D), ("nature_mutation", _S),
 )
-SILVER_CRIME = _struct(
+SILVER_CRIME = struct(
     ("annee", _H), ("arrondissement", _H), ("CODGEO_2025", _S), ("indicateur", _S),
     ("nombre", _D), ("taux_pour_mille", _D), ("unite_de_compte", _S), ("est_diffuse", _S),
 )
-SILVER_HOUSING = _struct(
+SILVER_HOUSING = struct(
     ("annee", _H), ("arrondissement", _H), ("adresse_programme", _S), ("code_postal", _S),
     ("nb_logmt_total", _I), ("nb_plai", _I), ("nb_plus", _I), ("nb_pls", _I),
     ("mode_real", _S), ("nature_programme", _S),
 )
-SILVER_DISTRICTS = _struct(
+SILVER_DISTRICTS = struct(
     ("arrondissement", _H), ("superficie_km2", _D), ("population_totale", _I), ("densite_population", _I),
 )
-SILVER_RESIDENCES = _struct(("CODGEO", _S), ("arrondissement", _H), ("nb_residences_principales", _I))
+SILVER_RESIDENCES = struct(("CODGEO", _S), ("arrondissement", _H), ("nb_residences_principales", _I))
 
 # ---- gold ------------------------------------------------------------------------------
 GOLD_KEY = ("arrondissement", "annee")
-GOLD = _struct(
+GOLD = struct(
     ("arrondissement", _H), ("annee", _H),
     ("nb_transactions", _I),
     ("prix_m2_median", T.DecimalType(10, 2)), ("prix_m2_moyen", T.DecimalType(10, 2)),
@@ -90,14 +91,14 @@ GOLD = _struct(
     ("computed_at", T.TimestampType()),
 )
 
-DIMENSION = _struct(
+DIMENSION = struct(
     ("arrondissement", _H), ("code_insee", _S), ("nom", _S), ("code_postal", _S),
     ("superficie_km2", _D), ("population_2020", _I), ("densite_population", _I),
     ("nb_residences_principales", _I),
 )
 
 RUN_STATUSES = ("running", "success", "failed", "skipped")
-RUNS = _struct(
+RUNS = struct(
     ("run_id", _S), ("pipeline_name", _S), ("source", _S), ("layer", _S), ("run_date", T.DateType()),
     ("started_at", T.TimestampType()), ("finished_at", T.TimestampType()), ("duration_s", _D),
     ("nb_lignes_in", T.LongType()), ("nb_lignes_out", T.LongType()), ("volume_mb", _D),

@@ -21,6 +21,10 @@ SETTINGS = {
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     # re-writing one ingestion date must leave the other dates in place
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # streaming state outside the heap, saved as changes; expiring state needs this provider
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # sketch aggregates over (district, year) hold a few hundred groups per task;
     # the default of 128 would send them to sorting
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
