@@ -18,7 +18,7 @@ from terrazzo.operators.contracts import evolved
 from terrazzo.operators.filters import matching, newest_ingestion, on_ingestion_date
 from terrazzo.plans import bronze, gold, silver
 from terrazzo.plans.runs import recorded
-from terrazzo.schemas import DIMENSION, GOLD, INGESTION_DATE
+from terrazzo.schemas import DIMENSION, GOLD, INGESTION_DATE, SILVER
 from terrazzo.session import build_session, staged
 from terrazzo.sources.files import read_ingestion, read_layer, required
 from terrazzo.sources.sinks import write_dated, write_jdbc
@@ -64,7 +64,7 @@ def run_silver(
 
 def silver_table(spark: SparkSession, root: str, table: str, date: str | None, year: int | None = None) -> DataFrame:
     """One ingestion date of a silver table, the newest by default, so that nothing is counted twice."""
-    rows = required(lambda: read_layer(spark, root, table))
+    rows = required(lambda: read_layer(spark, root, table, SILVER[table]))
     rows = on_ingestion_date(rows, date) if date else newest_ingestion(rows)
     rows = rows.drop(*INGESTION_DATE)
     return matching(rows, annee=year) if "annee" in rows.columns else rows

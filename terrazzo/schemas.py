@@ -69,6 +69,16 @@ SILVER_DISTRICTS = struct(
 )
 SILVER_RESIDENCES = struct(("CODGEO", _S), ("arrondissement", _H), ("nb_residences_principales", _I))
 
+SILVER_INCOMES = struct(("IRIS", _S), ("arrondissement", _H), *[(c, _D) for c in INCOME_COLUMNS])
+SILVER = {
+    "transactions": SILVER_SALES,
+    "delinquance": SILVER_CRIME,
+    "logements_sociaux": SILVER_HOUSING,
+    "revenus": SILVER_INCOMES,
+    "arrondissements": SILVER_DISTRICTS,
+    "residences_principales": SILVER_RESIDENCES,
+}
+
 # ---- gold ------------------------------------------------------------------------------
 GOLD_KEY = ("arrondissement", "annee")
 GOLD = struct(
