@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from terrazzo.catalog import tables as t
 from terrazzo.catalog.layers import AIR_LABEL_SQL
 from terrazzo.catalog.registry import query
-from terrazzo.catalog.sqltext import INCOMES, RAW_SALES, SALES, code, half_up
+from terrazzo.catalog.sqltext import INCOMES, RAW_SALES, code, half_up
 from terrazzo.functions import classes, codes, numbers, parsing
 from terrazzo.functions.air import document_label, severity, worst_pollutants
 from terrazzo.operators import filters

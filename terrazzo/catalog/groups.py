@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from terrazzo.catalog import tables as t
 from terrazzo.catalog.registry import query
 from terrazzo.catalog.sqltext import (
-    CRIME, DIM, G_HOUSING, HOUSING, PRICED, RAW_SALES, ROOM_SHARES, SALES, SURFACE_SHARES, change, exact_avg, exact_sum, gold, half_up,
+    CRIME, DIM, G_HOUSING, HOUSING, PRICED, RAW_SALES, ROOM_SHARES, SALES, SURFACE_SHARES, change, exact_avg, exact_sum, half_up,
 )
 from terrazzo.functions.classes import room_flags, surface_flags
 from terrazzo.functions.numbers import exact_avg as spark_exact_avg

@@ -6,13 +6,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from terrazzo.catalog import tables as t
-from terrazzo.catalog.layers import AIR_COUNTS, AIR_LABEL_SQL, AREAS, text_dates
+from terrazzo.catalog.layers import AIR_COUNTS, AIR_LABEL_SQL
 from terrazzo.catalog.registry import query
-from terrazzo.catalog.sqltext import CRIME, DIM, HOUSING, INCOMES, RAW_SALES, SALES, code, half_up
-from terrazzo.functions.codes import area_codes
-from terrazzo.operators.filters import with_ingestion_date
+from terrazzo.catalog.sqltext import DIM, HOUSING, INCOMES, RAW_SALES, code, half_up
+from terrazzo.functions.codes import area_codes, code_of_district
+from terrazzo.operators.filters import newest_ingestion, with_ingestion_date
 from terrazzo.operators.upserts import update_matched, upsert
-from terrazzo.plans import bronze, silver
+from terrazzo.plans import bronze
 from terrazzo.schemas import POLLUTANTS, RAW_AIR, RAW_HOUSING, RAW_RESIDENCES, RAW_SALES as RAW_SALES_SCHEMA
 from terrazzo.session import staging_path
 from terrazzo.sources import files, sinks
@@ -233,8 +233,6 @@ def source_silver_year(spark, sf):
 
 @query("source_newest_date", f"WITH {HOUSING} SELECT count(*) AS n_rows, min(annee) AS first_year FROM housing WHERE annee >= 1998")
 def source_newest_date(spark, sf):
-    from terrazzo.operators.filters import newest_ingestion
-
     newest = newest_ingestion(files.read_layer(spark, _two_dates(spark, sf), "logements_sociaux"))
     return newest.agg(F.count("*").alias("n_rows"), F.min("annee").alias("first_year"))
 
@@ -345,7 +343,7 @@ def sink_upsert_seed(spark, sf):
 )
 def sink_keyed_messages(spark, sf):
     rows = t.table(spark, sf, "events").select(
-        t.code_of_district(F.col("user_id") % 20 + 1).alias("insee"), "event_id", "event_type"
+        code_of_district(F.col("user_id") % 20 + 1).alias("insee"), "event_id", "event_type"
     )
     return sinks.as_messages(rows, "insee")
 

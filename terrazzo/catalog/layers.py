@@ -11,8 +11,10 @@ from terrazzo.catalog.sqltext import (
     CRIME, DIM, G_CRIME, G_HOUSING, G_INCOMES, HOUSING, INCOMES, SALES, change, code, exact_avg, exact_sum, gold,
     half_even, half_up,
 )
-from terrazzo.operators.aggregates import SALE_QUANTILES, sale_indicators
-from terrazzo.operators.filters import matching
+from terrazzo.operators.aggregates import (
+    SALE_QUANTILES, crime_rates, housing_totals, income_means, profile, sale_indicators,
+)
+from terrazzo.operators.upserts import latest_per_key
 from terrazzo.plans import bronze, reports, silver
 from terrazzo.plans import gold as gold_plan
 from terrazzo.session import staged
@@ -111,8 +113,6 @@ def silver_air(spark, sf):
     f"{half_up('avg(prix_m2)', 4)} AS prix_m2_avg, count(DISTINCT annee) AS annee_distinct FROM sales",
 )
 def sale_quality(spark, sf):
-    from terrazzo.operators.aggregates import profile
-
     return profile(t.sales(spark, sf), "prix_m2", distinct=["annee"]).withColumn("prix_m2_avg", F.round("prix_m2_avg", 4))
 
 
@@ -156,22 +156,16 @@ def gold_sales_sketched(spark, sf):
 
 @query("gold_housing", f"WITH {HOUSING}, {G_HOUSING} SELECT * REPLACE (CAST(annee AS SMALLINT) AS annee) FROM g_housing")
 def gold_housing(spark, sf):
-    from terrazzo.operators.aggregates import housing_totals
-
     return housing_totals(t.housing(spark, sf))
 
 
 @query("gold_crime", f"WITH {CRIME}, {G_CRIME} SELECT * REPLACE (CAST(annee AS SMALLINT) AS annee) FROM g_crime")
 def gold_crime(spark, sf):
-    from terrazzo.operators.aggregates import crime_rates
-
     return crime_rates(t.crime(spark, sf), burglary=t.BURGLARY, violence=t.VIOLENCE)
 
 
 @query("gold_incomes", f"WITH {INCOMES}, {G_INCOMES} SELECT * FROM g_incomes")
 def gold_incomes(spark, sf):
-    from terrazzo.operators.aggregates import income_means
-
     return income_means(t.incomes(spark, sf))
 
 
@@ -233,8 +227,6 @@ _LABELS = f"list_value({', '.join(repr(q) for q in _QUARTERS.split(','))})"
     f"{_LABELS}[arrondissement] AS label, {AIR_LABEL_SQL}[n + 1] AS air_quality_global FROM kpi LEFT JOIN last USING (arrondissement)",
 )
 def report_kpi_with_air(spark, sf):
-    from terrazzo.operators.upserts import latest_per_key
-
     rows = reports.kpi(t.gold(spark, sf, "housing", "crime", "incomes"), t.dimension(spark, sf), YEAR)
     readings = silver.air(t.air_envelopes(spark, sf)).select("insee", "date", "indice")
     documents = latest_per_key(readings, "insee", ["date"]).select(
@@ -396,8 +388,6 @@ def report_composite(spark, sf):
     f"{AIR_LABEL_SQL}[arg_max(n_no2, day) + 1] AS indice FROM air_counts WHERE arrondissement = {DISTRICT} GROUP BY arrondissement",
 )
 def report_live_air(spark, sf):
-    from terrazzo.operators.upserts import latest_per_key
-
     readings = silver.air(t.air_envelopes(spark, sf)).select("insee", "date", "indice")
     return text_dates(reports.live_air(latest_per_key(readings, "insee", ["date"]), DISTRICT))
 
@@ -408,8 +398,6 @@ def report_live_air(spark, sf):
     f"SELECT {code('arrondissement')} AS insee, {AIR_LABEL_SQL}[n + 1] AS air_label FROM last ORDER BY arrondissement LIMIT 1",
 )
 def report_city_air_label(spark, sf):
-    from terrazzo.operators.upserts import latest_per_key
-
     readings = silver.air(t.air_envelopes(spark, sf)).select("insee", "date", "indice")
     documents = latest_per_key(readings, "insee", ["date"]).select(
         "insee", F.to_json(F.struct(F.create_map("insee", F.array(F.struct("indice"))).alias("data"))).alias("document")

@@ -190,7 +190,7 @@ def air_envelopes(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def json_arrays(df: DataFrame, key: str, per_array: int = 10_000) -> DataFrame:
+def json_arrays(df: DataFrame, key: str, per_array: int = 100_000) -> DataFrame:
     """Records as JSON arrays of at most `per_array` records, grouped by ranges of a unique key."""
     chunk = F.floor(F.col(key).cast("long") / per_array)
     arrays = df.groupBy(chunk.alias("_chunk")).agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("value"))
@@ -227,8 +227,11 @@ def gold(spark: SparkSession, sf: str, *parts: str) -> DataFrame:
     quantiles read them more than once.
     """
     others = {"housing": housing, "crime": crime, "incomes": incomes}
+    needed = sales(spark, sf).select(
+        "arrondissement", "annee", "type_local", "nombre_pieces_principales", "surface_reelle_bati", "prix_m2"
+    )
     return gold_plan.gold(
-        staged(sales(spark, sf), "sales"),
+        staged(needed, "sales"),
         **{p: others[p](spark, sf) for p in parts},
         stage=staged,
         **({"burglary": BURGLARY, "violence": VIOLENCE} if "crime" in parts else {}),

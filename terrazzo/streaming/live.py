@@ -185,16 +185,27 @@ class LatestWithExpiry(StatefulProcessor):
         pass
 
 
+def newest_per_batch(key: str, order: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """For `mapInPandas`: the newest row of each key within each Arrow batch."""
+
+    def reduce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.loc[batch.groupby(key, sort=False)[order].idxmax()]
+
+    return reduce
+
+
 def latest_with_expiry(stream: DataFrame, schema: T.StructType, expiry: dt.timedelta = EXPIRY) -> DataFrame:
     """`latest` with expiry kept by the state store (RocksDB provider); write in update mode.
 
-    `schema` is (key, order, other columns); `order` must be unique per key. All rows of a key
-    in a batch pass one task, in Arrow batches, holding one row at a time; combine very hot
-    keys first, as `latest` does.
+    `schema` is (key, order, other columns), neither of the first two null; `order` must be unique
+    per key. Rows are reduced to one per key and Arrow batch before the shuffle, so a key that
+    holds most of a micro-batch sends few of them; the state holds one row per key.
     """
-    key = schema.fieldNames()[0]
+    key, order = schema.fieldNames()[:2]
     return (
         stream.select(*schema.fieldNames())
+        .mapInPandas(newest_per_batch(key, order), schema)
         .groupBy(key)
         .transformWithStateInPandas(LatestWithExpiry(schema, expiry), schema, "Update", "ProcessingTime")
     )

@@ -254,3 +254,29 @@ def test_gold_table_has_its_declared_types(spark, tmp_path):
     assert [f.dataType for f in fact.schema] == [f.dataType for f in GOLD] and fact.columns == GOLD.fieldNames()
     assert fact.first().taux_logements_sociaux is None and fact.count() == 1
     assert jobs.build_gold(spark, str(tmp_path), date="2026-06-24", year=2023).count() == 0
+
+
+def test_command_line(spark, tmp_path, monkeypatch):
+    header = "date_mutation,nature_mutation,valeur_fonciere,code_commune,type_local,surface_reelle_bati,nombre_pieces_principales,extra\n"
+    (tmp_path / "dvf_75_2024.csv").write_text(header + '2024-05-01,Vente,"100000,5",75101,Appartement,50,2,x\n')
+    bronze_root, silver_root = f"{tmp_path}/bronze", f"{tmp_path}/silver"
+    day = ["--source", "dvf", "--date", "2026-06-24"]
+    jobs.main(["bronze", *day, "--input-path", str(tmp_path), "--output-path", bronze_root])
+    jobs.main(["silver", *day, "--bronze-path", bronze_root, "--silver-path", silver_root])
+    got = jobs.silver_table(spark, silver_root, "transactions", None)
+    assert rows(got.select("arrondissement", "annee", "prix_m2")) == [(1, 2024, 2000.01)]
+    called = {}
+    monkeypatch.setattr(jobs, "run_gold", lambda *a, **k: called.update(args=a[1:], **k))
+    jobs.main(["gold", "--silver-path", silver_root, "--jdbc-url", "jdbc:x", "--jdbc-user", "u", "--jdbc-password", "p", "--annee", "2024"])
+    assert called["args"][:2] == (silver_root, "jdbc:x") and 2024 in called["args"] and called["user"] == "u"
+
+
+def test_contract_check_of_the_gold_table(spark):
+    from terrazzo.operators import contracts
+    from terrazzo.schemas import GOLD_KEY
+
+    sales = silver.sales(spark.createDataFrame([sale(), sale(code="75102")], RAW_SALES))
+    fact = gold.gold(sales)
+    assert contracts.duplicate_keys(fact, *GOLD_KEY).count() == 0
+    declared = type(GOLD)([f for f in GOLD if f.name in fact.columns])
+    assert contracts.require(fact, contracts.fits_schema(declared)) is fact

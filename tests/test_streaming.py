@@ -102,3 +102,9 @@ def test_stamps(spark):
     df = live.stamped_text(live.stamped(spark.range(1)))
     row = df.first()
     assert dt.datetime.fromisoformat(row["timestamp"]).replace(tzinfo=None) == row["inserted_at"]
+
+
+def test_hot_keys_are_reduced_before_the_shuffle(spark):
+    df = spark.range(10000).selectExpr("'a' as insee", "id as n", "cast(id as string) as label").coalesce(1)
+    got = df.mapInPandas(live.newest_per_batch("insee", "n"), df.schema)
+    assert got.count() == 1 and tuple(got.first()) == ("a", 9999, "9999")
