@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from terrazzo.catalog import tables as t
 from terrazzo.catalog.registry import query
 from terrazzo.catalog.sqltext import code
+from terrazzo.functions.codes import code_of_district
 from terrazzo.operators.upserts import latest_per_key
 from terrazzo.schemas import struct
 from terrazzo.session import staging_path
@@ -29,7 +30,7 @@ def events_stream(spark, sf) -> DataFrame:
 def messages(spark, sf) -> DataFrame:
     """One message per event: errors are cut-off JSON, sign-ups name no key."""
     kind = F.col("event_type")
-    key = F.when(kind != "signup", t.code_of_district(F.col("user_id") % 20 + 1))
+    key = F.when(kind != "signup", code_of_district(F.col("user_id") % 20 + 1))
     text = F.to_json(F.struct(key.alias("insee"), "event_id", F.col("event_type").alias("label")))
     value = F.when(kind == "error", F.substring(text, 1, 20)).otherwise(text)
     return t.table(spark, sf, "events").select("event_id", value.alias("value"))

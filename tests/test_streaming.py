@@ -108,3 +108,14 @@ def test_hot_keys_are_reduced_before_the_shuffle(spark):
     df = spark.range(10000).selectExpr("'a' as insee", "id as n", "cast(id as string) as label").coalesce(1)
     got = df.mapInPandas(live.newest_per_batch("insee", "n"), df.schema)
     assert got.count() == 1 and tuple(got.first()) == ("a", 9999, "9999")
+
+
+def test_arrival_order(spark):
+    """Ordered by a column beside the message, the last to arrive wins whatever it says."""
+    base = staging_path(spark, "test")
+    arrived = [(0, message("75101", 9, "first")), (1, message("75101", 1, "last")), (2, message("75102", 1, "only"))]
+    spark.createDataFrame(arrived, "offset long, value string").write.parquet(f"{base}/landed")
+    stream = live.read_landed(spark, f"{base}/landed", struct(("offset", T.LongType()), ("value", T.StringType())))
+    for q in live.consume(stream, MESSAGE, "insee", ["offset"], f"{base}/table", f"{base}/rejects", f"{base}/checkpoint", NOW):
+        q.awaitTermination()
+    assert table(spark, base) == [("75101", 1, "last"), ("75102", 1, "only")]
