@@ -208,12 +208,12 @@ def _weighted(value: str) -> str:
 
 @query("report_kpi", f"WITH {_KPI} SELECT * FROM kpi")
 def report_kpi(spark, sf):
-    return reports.kpi(t.gold(spark, sf, "housing", "crime", "incomes"), t.dimension(spark, sf), YEAR)
+    return reports.kpi(t.gold(spark, sf, "housing", "crime", "incomes", quantiles=t.MEDIAN), t.dimension(spark, sf), YEAR)
 
 
 @query("report_kpi_district", f"WITH {_KPI} SELECT * FROM kpi WHERE arrondissement = {DISTRICT}")
 def report_kpi_district(spark, sf):
-    fact = t.gold(spark, sf, "housing", "crime", "incomes")
+    fact = t.gold(spark, sf, "housing", "crime", "incomes", quantiles=t.MEDIAN)
     return reports.kpi(fact, t.dimension(spark, sf), YEAR, district=f"751{DISTRICT:02d}")
 
 
@@ -227,7 +227,7 @@ _LABELS = f"list_value({', '.join(repr(q) for q in _QUARTERS.split(','))})"
     f"{_LABELS}[arrondissement] AS label, {AIR_LABEL_SQL}[n + 1] AS air_quality_global FROM kpi LEFT JOIN last USING (arrondissement)",
 )
 def report_kpi_with_air(spark, sf):
-    rows = reports.kpi(t.gold(spark, sf, "housing", "crime", "incomes"), t.dimension(spark, sf), YEAR)
+    rows = reports.kpi(t.gold(spark, sf, "housing", "crime", "incomes", quantiles=t.MEDIAN), t.dimension(spark, sf), YEAR)
     readings = silver.air(t.air_envelopes(spark, sf)).select("insee", "date", "indice")
     documents = latest_per_key(readings, "insee", ["date"]).select(
         "insee", F.to_json(F.struct(F.array(F.struct("date", "indice")).alias("data"))).alias("document")
@@ -246,7 +246,7 @@ def report_kpi_with_air(spark, sf):
     0 AS arrondissement, 'Paris (tous arrondissements)' AS nom FROM kpi GROUP BY year""",
 )
 def report_kpi_city(spark, sf):
-    fact = t.gold(spark, sf, "housing", "crime", "incomes")
+    fact = t.gold(spark, sf, "housing", "crime", "incomes", quantiles=t.MEDIAN)
     return reports.kpi_city(reports.kpi(fact, t.dimension(spark, sf), YEAR))
 
 
@@ -268,17 +268,17 @@ _SURFACE_IDS = {
 
 @query("report_typology", _split_sql(_ROOM_IDS, f"annee = {YEAR}"))
 def report_typology(spark, sf):
-    return reports.typology(t.gold(spark, sf), YEAR)
+    return reports.typology(t.gold(spark, sf, quantiles=()), YEAR)
 
 
 @query("report_typology_district", _split_sql(_ROOM_IDS, f"annee = {YEAR} AND arrondissement = {DISTRICT}"))
 def report_typology_district(spark, sf):
-    return reports.typology(t.gold(spark, sf), YEAR, DISTRICT)
+    return reports.typology(t.gold(spark, sf, quantiles=()), YEAR, DISTRICT)
 
 
 @query("report_surfaces", _split_sql(_SURFACE_IDS, f"annee = {YEAR}"))
 def report_surfaces(spark, sf):
-    return reports.surfaces(t.gold(spark, sf), YEAR)
+    return reports.surfaces(t.gold(spark, sf, quantiles=()), YEAR)
 
 
 HISTORY = (
@@ -290,7 +290,7 @@ HISTORY = (
 
 @query("report_price_history", HISTORY)
 def report_price_history(spark, sf):
-    return reports.price_history(t.gold(spark, sf))
+    return reports.price_history(t.gold(spark, sf, quantiles=t.MEDIAN))
 
 
 @query(
@@ -298,7 +298,7 @@ def report_price_history(spark, sf):
     f"WITH {gold()} SELECT annee AS year, prix_m2_median AS median_price_per_sqm FROM gold WHERE arrondissement = {DISTRICT}",
 )
 def report_price_history_district(spark, sf):
-    return reports.price_history(t.gold(spark, sf), str(DISTRICT))
+    return reports.price_history(t.gold(spark, sf, quantiles=t.MEDIAN), str(DISTRICT))
 
 
 _STEP = "CAST(CASE WHEN prix_m2_median >= 13000 THEN 3 WHEN prix_m2_median >= 11000 THEN 2 WHEN prix_m2_median >= 9000 THEN 1 ELSE 0 END AS INTEGER)"
@@ -309,7 +309,7 @@ _STEP = "CAST(CASE WHEN prix_m2_median >= 13000 THEN 3 WHEN prix_m2_median >= 11
     f"WITH {gold()} SELECT {code('arrondissement')} AS code, prix_m2_median AS price, {_STEP} AS step FROM gold WHERE annee = {YEAR}",
 )
 def report_map_prices(spark, sf):
-    return reports.map_prices(t.gold(spark, sf), YEAR)
+    return reports.map_prices(t.gold(spark, sf, quantiles=t.MEDIAN), YEAR)
 
 
 @query(
@@ -325,7 +325,7 @@ def report_map_prices(spark, sf):
     WHERE g.annee = {YEAR}""",
 )
 def report_data_table(spark, sf):
-    return reports.data_table(t.gold(spark, sf, "housing", "incomes"), t.dimension(spark, sf), YEAR)
+    return reports.data_table(t.gold(spark, sf, "housing", "incomes", quantiles=t.MEDIAN), t.dimension(spark, sf), YEAR)
 
 
 @query(
@@ -354,7 +354,7 @@ def report_transactions(spark, sf):
     f"WHERE annee = {YEAR}",
 )
 def report_social_housing(spark, sf):
-    return reports.social_housing(t.gold(spark, sf, "housing"), year=YEAR)
+    return reports.social_housing(t.gold(spark, sf, "housing", quantiles=()), year=YEAR)
 
 
 @query(
@@ -362,7 +362,7 @@ def report_social_housing(spark, sf):
     f"WITH {gold('crime')} SELECT arrondissement, annee, taux_cambriolages_pmille, taux_violences_pmille, taux_delinquance_global FROM gold",
 )
 def report_crime(spark, sf):
-    return reports.crime(t.gold(spark, sf, "crime"))
+    return reports.crime(t.gold(spark, sf, "crime", quantiles=()))
 
 
 @query(
@@ -370,7 +370,7 @@ def report_crime(spark, sf):
     f"WITH {gold('incomes')} SELECT DISTINCT arrondissement, revenu_median_arr, indice_gini_arr, rapport_interdecile_arr FROM gold",
 )
 def report_incomes(spark, sf):
-    return reports.incomes(t.gold(spark, sf, "incomes"))
+    return reports.incomes(t.gold(spark, sf, "incomes", quantiles=()))
 
 
 @query(

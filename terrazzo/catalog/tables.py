@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from terrazzo.functions.air import AIR_LABELS
 from terrazzo.functions.codes import code_of_district, in_city
+from terrazzo.operators.aggregates import SALE_QUANTILES
 from terrazzo.plans import gold as gold_plan
 from terrazzo.plans import silver
 from terrazzo.schemas import POLLUTANTS
@@ -220,19 +221,23 @@ def incomes(spark: SparkSession, sf: str) -> DataFrame:
     return silver.incomes(raw_incomes(spark, sf))
 
 
-def gold(spark: SparkSession, sf: str, *parts: str) -> DataFrame:
-    """The gold table with the named parts besides sales.
+MEDIAN = ("prix_m2_median",)
 
-    The cleaned sales are written first, as the silver layer always is, since the exact
-    quantiles read them more than once.
+
+def gold(spark: SparkSession, sf: str, *parts: str, quantiles: tuple[str, ...] = tuple(SALE_QUANTILES)) -> DataFrame:
+    """The gold table with the named parts besides sales and the named quantiles.
+
+    The cleaned sales are written first, as the silver layer always is, where exact quantiles
+    read them more than once.
     """
     others = {"housing": housing, "crime": crime, "incomes": incomes}
     needed = sales(spark, sf).select(
         "arrondissement", "annee", "type_local", "nombre_pieces_principales", "surface_reelle_bati", "prix_m2"
     )
     return gold_plan.gold(
-        staged(needed, "sales"),
+        staged(needed, "sales") if quantiles else needed,
         **{p: others[p](spark, sf) for p in parts},
         stage=staged,
+        quantiles={name: SALE_QUANTILES[name] for name in quantiles},
         **({"burglary": BURGLARY, "violence": VIOLENCE} if "crime" in parts else {}),
     )

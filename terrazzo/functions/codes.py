@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 FIRST_DISTRICT, LAST_DISTRICT = 1, 20
 CODE_BASE = 75100
-CODE_PATTERN = "^7510[1-9]$|^7511[0-9]$|^75120$"
 ZONE_PREFIX = "75"
 
 
@@ -21,8 +20,11 @@ def in_city(district: Column | str) -> Column:
 
 
 def is_area_code(code: Column | str) -> Column:
-    """Text is one of the twenty area codes; 75100 (the whole city) is not."""
-    return (F.col(code) if isinstance(code, str) else code).rlike(CODE_PATTERN)
+    """Text is one of the twenty area codes; 75100 (the whole city) is not.
+
+    A membership test, which unlike a pattern is pushed into Parquet scans.
+    """
+    return (F.col(code) if isinstance(code, str) else code).isin(area_codes())
 
 
 def district_of_code(code: Column | str) -> Column:

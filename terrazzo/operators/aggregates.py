@@ -44,8 +44,9 @@ def sale_indicators(
     keys: tuple[str, ...] = GOLD_KEY,
     accuracy: int | None = None,
     stage: Callable[[DataFrame, str], DataFrame] | None = None,
+    quantiles: dict[str, tuple[str, float]] = SALE_QUANTILES,
 ) -> DataFrame:
-    """Counts, mean, quartiles and shares of sales.
+    """Counts, mean, quantiles and shares of sales; `quantiles` may name fewer, or none.
 
     With `accuracy` the quantiles are sketched in the same pass (`percentile_approx`, one sketch
     per column). Without it they are exact, at the price of two more passes over the two measured
@@ -54,16 +55,20 @@ def sale_indicators(
     measures = [column.alias(name) for name, column in sale_measures().items()]
     if accuracy is None:
         totals = sales.groupBy(*keys).agg(*measures)
-        quantiles = exact_quantiles(sales, keys, SALE_QUANTILES, stage=stage)
-        return totals.join(quantiles, list(keys), "left")
-    sketched = sales.groupBy(*keys).agg(
-        *measures,
-        F.percentile_approx("prix_m2", [0.25, 0.5, 0.75], accuracy).alias("_prix"),
-        F.percentile_approx("surface_reelle_bati", 0.5, accuracy).alias("surface_mediane"),
-    )
-    return sketched.withColumns(
-        {"prix_m2_q1": F.col("_prix")[0], "prix_m2_median": F.col("_prix")[1], "prix_m2_q3": F.col("_prix")[2]}
-    ).drop("_prix")
+        if not quantiles:
+            return totals
+        return totals.join(exact_quantiles(sales, keys, quantiles, stage=stage), list(keys), "left")
+
+    by_column: dict[str, list[str]] = {}
+    for name, (column, _) in quantiles.items():
+        by_column.setdefault(column, []).append(name)
+    sketches = {
+        column: F.percentile_approx(column, [quantiles[name][1] for name in names], accuracy)
+        for column, names in by_column.items()
+    }
+    sketched = sales.groupBy(*keys).agg(*measures, *[s.alias(f"_{column}") for column, s in sketches.items()])
+    picked = {name: F.col(f"_{column}")[i] for column, names in by_column.items() for i, name in enumerate(names)}
+    return sketched.withColumns(picked).drop(*[f"_{column}" for column in sketches]) if picked else sketched
 
 
 def category_share(df: DataFrame, keys: tuple[str, ...], is_wanted: Column, name: str) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from terrazzo.operators.aggregates import crime_rates, housing_totals, income_means, sale_indicators
+from terrazzo.operators.aggregates import SALE_QUANTILES, crime_rates, housing_totals, income_means, sale_indicators
 from terrazzo.operators.upserts import update_matched
 
 
@@ -17,14 +17,15 @@ def gold(
     incomes: DataFrame | None = None,
     accuracy: int | None = None,
     stage: Callable[[DataFrame, str], DataFrame] | None = None,
+    quantiles: dict[str, tuple[str, float]] = SALE_QUANTILES,
     **crime_options,
 ) -> DataFrame:
     """Indicators of the four silver sources, left-joined to the sales groups.
 
     Every source is aggregated before it is joined, so the joins see one row per group. Sources
-    that a report does not need can be left out.
+    and quantiles that a report does not need can be left out.
     """
-    fact = sale_indicators(sales, accuracy=accuracy, stage=stage)
+    fact = sale_indicators(sales, accuracy=accuracy, stage=stage, quantiles=quantiles)
     if housing is not None:
         fact = fact.join(housing_totals(housing), ["arrondissement", "annee"], "left")
     if crime is not None:

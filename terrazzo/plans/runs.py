@@ -19,18 +19,24 @@ class Run:
     """One run while it lasts. Rows are counted by the job that reads or writes them, not by a
     job of their own."""
 
-    def __init__(self) -> None:
+    def __init__(self, logged: bool) -> None:
+        self.logged = logged
         self.status: str | None = None
         self._in: Observation | None = None
         self._out: Observation | None = None
 
     def reads(self, df: DataFrame) -> DataFrame:
-        """Count the rows of an input. Call for inputs of a job that will run."""
+        """Count the rows of an input of a job that will run. Counting what is read keeps
+        filters out of the scan, so nothing is counted without a run log."""
+        if not self.logged:
+            return df
         self._in = Observation()
         return df.observe(self._in, F.count(F.lit(1)).alias("n"))
 
     def writes(self, df: DataFrame) -> DataFrame:
-        """Count the rows of an output. Call for outputs that will be written."""
+        """Count the rows of an output that will be written."""
+        if not self.logged:
+            return df
         self._out = Observation()
         return df.observe(self._out, F.count(F.lit(1)).alias("n"))
 
@@ -46,7 +52,7 @@ def recorded(
     spark: SparkSession, table: str | None, name: str, source: str, layer: str, **metadata: str
 ) -> Iterator[Run]:
     """Append a row to the run log when the block ends; an error is logged and raised again."""
-    run, started = Run(), dt.datetime.now(dt.UTC).replace(tzinfo=None)
+    run, started = Run(table is not None), dt.datetime.now(dt.UTC).replace(tzinfo=None)
     error, counts = None, (None, None)
     try:
         yield run

@@ -78,23 +78,34 @@ def latest(stream: DataFrame, key: str, order: list[str]) -> DataFrame:
 
 
 def write_changes(path: str) -> Callable[[DataFrame, int], None]:
-    """`foreachBatch` writer of changed rows, one folder per batch.
+    """`foreachBatch` writer of changed rows, one folder per day and batch.
 
     A batch that is run again replaces its own folder, so repeats change nothing.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        (
+            batch.withColumns({"day": F.current_date().cast("string"), "batch": F.lit(number).cast("long")})
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("day", "batch")
+            .parquet(path)
+        )
 
     return write
 
 
-def read_changes(spark: SparkSession, path: str, key: str, schema: T.StructType) -> DataFrame:
-    """The newest row of each key from a change table."""
-    columns = [f.name for f in schema.fields]
-    declared = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
-    changes = spark.read.schema(declared).option("basePath", path).parquet(path)
-    return latest_per_key(changes, key, ["batch"]).select(*columns)
+def read_changes(spark: SparkSession, path: str, key: str, schema: T.StructType, since: dt.date | None = None) -> DataFrame:
+    """The newest row of each key from a change table.
+
+    With `since`, folders of earlier days are not read: rows live for a day, so yesterday's and
+    today's changes hold every live row however long the stream has run.
+    """
+    parts = [T.StructField("day", T.StringType()), T.StructField("batch", T.LongType())]
+    changes = spark.read.schema(T.StructType([*schema.fields, *parts])).parquet(path)
+    if since is not None:
+        changes = changes.filter(F.col("day") >= since.isoformat())
+    return latest_per_key(changes, key, ["batch", "day"]).select(*schema.fieldNames())
 
 
 def consume(

@@ -119,3 +119,14 @@ def test_arrival_order(spark):
     for q in live.consume(stream, MESSAGE, "insee", ["offset"], f"{base}/table", f"{base}/rejects", f"{base}/checkpoint", NOW):
         q.awaitTermination()
     assert table(spark, base) == [("75101", 1, "last"), ("75102", 1, "only")]
+
+
+def test_live_table_reads_recent_days_only(spark):
+    base = staging_path(spark, "test")
+    live.write_changes(f"{base}/table")(spark.createDataFrame([("75101", 1, "a", dt.datetime(2024, 1, 1))], STORED), 0)
+    today = spark.sql("select current_date()").first()[0]
+    assert live.read_changes(spark, f"{base}/table", "insee", STORED, since=today - dt.timedelta(days=1)).count() == 1
+    later = live.read_changes(spark, f"{base}/table", "insee", STORED, since=today + dt.timedelta(days=2))
+    assert later.count() == 0
+    text = later._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in text
