@@ -30,6 +30,12 @@ SETTINGS = {
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
 }
 
+# settings that can only be given when a session is built
+STATIC_SETTINGS = {
+    # recording the call site of every column expression makes long plans slow to write down
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 _local_roots: dict[str, str] = {}
 
 
@@ -38,7 +44,7 @@ def build_session(app_name: str = "terrazzo", master: str | None = None, **conf:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **conf}.items():
+    for key, value in {**SETTINGS, **STATIC_SETTINGS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
