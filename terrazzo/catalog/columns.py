@@ -47,7 +47,7 @@ def filter_price_range(spark, sf):
     return rows.filter(F.col("price").between(*silver.PRICE_RANGE))
 
 
-@query("filter_members", f"SELECT event_id, {code('user_id % 25 + 1')} AS code FROM events WHERE user_id % 25 < 20")
+@query("filter_members", f"SELECT event_id, {code('user_id % 25 + 1')} AS code FROM events WHERE user_id % 25 + 1 BETWEEN 1 AND 20")
 def filter_members(spark, sf):
     rows = t.table(spark, sf, "events").select("event_id", codes.code_of_district(F.col("user_id") % 25 + 1).alias("code"))
     return rows.filter(F.col("code").isin(codes.area_codes()))

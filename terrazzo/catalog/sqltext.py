@@ -51,7 +51,7 @@ CRIME = f"""crime AS (
          {code('user_id % 25 + 1')} AS CODGEO_2025, event_type AS indicateur,
          CAST(event_id % 5 + 1 AS DOUBLE) AS nombre, value AS taux_pour_mille, 'fait' AS unite_de_compte,
          CASE WHEN value > 10 THEN 'diff' ELSE 'ndiff' END AS est_diffuse
-  FROM events WHERE user_id % 25 < 20)"""
+  FROM events WHERE user_id % 25 + 1 BETWEEN 1 AND 20)"""
 
 HOUSING = """housing AS (
   SELECT CAST(year(o_orderdate) AS SMALLINT) AS annee, CAST(c_nationkey + 1 AS SMALLINT) AS arrondissement,
