@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrazzo.catalog import tables as t
+from terrazzo.catalog.layers import AIR_COUNTS, AIR_LABEL_SQL
 from terrazzo.catalog.registry import query
 from terrazzo.catalog.sqltext import code
 from terrazzo.functions.codes import code_of_district
 from terrazzo.operators.upserts import latest_per_key
-from terrazzo.schemas import struct
+from terrazzo.plans.reports import air_labels
+from terrazzo.schemas import RAW_AIR, struct
 from terrazzo.session import staging_path
 from terrazzo.streaming import live
 
@@ -113,6 +115,34 @@ def stream_lookup(spark, sf):
     return live.lookup(table, "insee", "75107")
 
 
+@query(
+    "stream_air",
+    f"WITH {AIR_COUNTS} SELECT {code('arrondissement')} AS insee, CAST(max(day) AS VARCHAR) AS timestamp, "
+    f"{AIR_LABEL_SQL}[arg_max(n_no2, day) + 1] AS air_label FROM air_counts GROUP BY arrondissement",
+)
+def stream_air(spark, sf):
+    """Deliveries as they land, to keyed messages, to the live table, to labels."""
+    base = staging_path(spark, "stream")
+    t.air_envelopes(spark, sf).write.option("maxRecordsPerFile", 1).json(f"{base}/deliveries")
+    deliveries = live.read_landed(spark, f"{base}/deliveries", RAW_AIR, "json", multiLine="true")
+    (
+        live.air_messages(deliveries)
+        .writeStream.format("parquet")
+        .options(path=f"{base}/topic", checkpointLocation=f"{base}/published")
+        .trigger(**NOW)
+        .start()
+        .awaitTermination()
+    )
+    topic = live.read_landed(spark, f"{base}/topic", struct(("key", T.StringType()), ("value", T.StringType())))
+    started = live.consume(
+        topic, live.AIR_MESSAGE, "insee", ["timestamp"], f"{base}/table", f"{base}/rejects", f"{base}/checkpoint", NOW
+    )
+    for q in started:
+        q.awaitTermination()
+    table = live.read_changes(spark, f"{base}/table", "insee", live.AIR_MESSAGE)
+    return table.select("insee", "timestamp").join(air_labels(live.air_documents(table)), "insee")
+
+
 @query(
     "stream_latest_with_expiry",
     "SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type, arg_max(value, event_id) AS value FROM events GROUP BY 1",

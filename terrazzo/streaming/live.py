@@ -13,9 +13,13 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 
 from terrazzo.functions.parsing import iso_utc
 from terrazzo.operators.upserts import latest_per_key
+from terrazzo.schemas import struct
+from terrazzo.sources.sinks import as_messages
 
 EXPIRY = dt.timedelta(hours=24)
 POLL_INTERVAL = "1 hour"
+# `data` stays JSON text, whatever its shape
+AIR_MESSAGE = struct(("insee", T.StringType()), ("timestamp", T.StringType()), ("data", T.StringType()))
 
 
 def read_topic(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
@@ -77,6 +81,20 @@ def latest(stream: DataFrame, key: str, order: list[str]) -> DataFrame:
     return latest_per_key(stream, key, order)
 
 
+def air_messages(deliveries: DataFrame) -> DataFrame:
+    """Air deliveries to one keyed message per code, `{insee, timestamp, data}`.
+
+    Codes that could not be fetched are listed apart in a delivery and yield no message.
+    """
+    rows = deliveries.select(F.inline("arrondissements"))
+    return as_messages(rows.select("insee", F.col("fetched_at").alias("timestamp"), "data"), "insee")
+
+
+def air_documents(table: DataFrame) -> DataFrame:
+    """Live rows of air messages to `(insee, document)`, the document as JSON text."""
+    return table.select("insee", F.concat(F.lit('{"data":'), "data", F.lit("}")).alias("document"))
+
+
 def write_changes(path: str) -> Callable[[DataFrame, int], None]:
     """`foreachBatch` writer of changed rows, one folder per day and batch.
 
