@@ -220,36 +220,60 @@ def report_kpi_district(spark, sf):
 _LABELS = f"list_value({', '.join(repr(q) for q in _QUARTERS.split(','))})"
 
 
-@query(
-    "report_kpi_with_air",
-    f"WITH {_KPI}, {AIR_COUNTS}, last AS (SELECT arrondissement, arg_max(n_no2, day) AS n FROM air_counts GROUP BY 1) "
-    "SELECT * EXCLUDE (nom, n), CASE WHEN arrondissement = 1 THEN '1er' ELSE arrondissement || 'ème' END || ' arr. - ' || "
-    f"{_LABELS}[arrondissement] AS label, {AIR_LABEL_SQL}[n + 1] AS air_quality_global FROM kpi LEFT JOIN last USING (arrondissement)",
-)
-def report_kpi_with_air(spark, sf):
-    rows = reports.kpi(t.gold(spark, sf, "housing", "crime", "incomes", quantiles=t.MEDIAN), t.dimension(spark, sf), YEAR)
+def air_documents(spark, sf) -> DataFrame:
+    """The latest reading of each code as a live document."""
     readings = silver.air(t.air_envelopes(spark, sf)).select("insee", "date", "indice")
-    documents = latest_per_key(readings, "insee", ["date"]).select(
+    return latest_per_key(readings, "insee", ["date"]).select(
         "insee", F.to_json(F.struct(F.array(F.struct("date", "indice")).alias("data"))).alias("document")
     )
-    return reports.kpi_with_air(rows, district_labels(spark), reports.air_labels(documents))
+
+
+_LAST_AIR = "last AS (SELECT arrondissement, arg_max(n_no2, day) AS n FROM air_counts GROUP BY 1)"
 
 
 @query(
-    "report_kpi_city",
-    f"""WITH {_KPI} SELECT year, {_weighted('prix_m2_median')} AS prix_m2_median, {_weighted('variation')} AS variation,
+    "report_kpi_with_air",
+    f"WITH {_KPI}, {AIR_COUNTS}, {_LAST_AIR} "
+    "SELECT * EXCLUDE (nom, n), CASE WHEN arrondissement <= 10 THEN nom END AS nom, CASE WHEN arrondissement <= 10 THEN nom ELSE "
+    f"arrondissement || 'ème arr. - ' || {_LABELS}[arrondissement] END AS label, {AIR_LABEL_SQL}[n + 1] AS air_quality_global "
+    "FROM kpi LEFT JOIN last USING (arrondissement)",
+)
+def report_kpi_with_air(spark, sf):
+    """The later districts have no name and get the fixed label."""
+    fact = t.gold(spark, sf, "housing", "crime", "incomes", quantiles=t.MEDIAN)
+    dim = t.dimension(spark, sf).withColumn("nom", F.when(F.col("arrondissement") <= 10, F.col("nom")))
+    rows = reports.kpi(fact, dim, YEAR)
+    return reports.kpi_with_air(rows, district_labels(spark), reports.air_labels(air_documents(spark, sf)))
+
+
+_KPI_CITY = f"""{_KPI}, city AS (SELECT year, {_weighted('prix_m2_median')} AS prix_m2_median, {_weighted('variation')} AS variation,
     {half_up(exact_avg('densite_population'), 2)} AS densite_population,
     {half_up(exact_avg('tx_logement_sociaux'), 2)} AS tx_logement_sociaux, {_weighted('revenu_median')} AS revenu_median,
     coalesce(nullif(CAST(sum(transactions_total) AS BIGINT), 0), count(*)) AS transactions_total,
     {half_up(exact_avg('taux_delinquance_global'), 2)} AS taux_delinquance_global,
     {half_up(exact_avg('taux_delinquance_pmille'), 2)} AS taux_delinquance_pmille,
-    0 AS arrondissement, 'Paris (tous arrondissements)' AS nom FROM kpi GROUP BY year""",
-)
-def report_kpi_city(spark, sf):
+    0 AS arrondissement, 'Paris (tous arrondissements)' AS nom FROM kpi GROUP BY year)"""
+
+
+def _kpi_city(spark, sf) -> DataFrame:
     fact = t.gold(spark, sf, "housing", "crime", "incomes", quantiles=t.MEDIAN)
     return reports.kpi_city(reports.kpi(fact, t.dimension(spark, sf), YEAR))
 
 
+@query("report_kpi_city", f"WITH {_KPI_CITY} SELECT * FROM city")
+def report_kpi_city(spark, sf):
+    return _kpi_city(spark, sf)
+
+
+@query(
+    "report_kpi_city_with_air",
+    f"WITH {_KPI_CITY}, {AIR_COUNTS}, {_LAST_AIR} SELECT city.*, "
+    f"(SELECT {AIR_LABEL_SQL}[n + 1] FROM last ORDER BY arrondissement LIMIT 1) AS air_quality_global FROM city",
+)
+def report_kpi_city_with_air(spark, sf):
+    return reports.kpi_city_with_air(_kpi_city(spark, sf), reports.air_labels(air_documents(spark, sf)))
+
+
 def _split_sql(names: dict[str, str], where: str) -> str:
     parts = [
         f"SELECT '{name}' AS id, value, {half_even('value / 100 * total')} AS count FROM "

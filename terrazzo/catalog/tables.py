@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from terrazzo.functions.air import AIR_LABELS
 from terrazzo.functions.codes import code_of_district, in_city
@@ -22,8 +23,15 @@ BURGLARY = ["purchase"]
 VIOLENCE = ["error", "sign"]
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A test table; its schema is looked up once, the data are read each time."""
+    path = f"{sf}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def _text(value: Column) -> Column:

@@ -62,10 +62,11 @@ def kpi(gold: DataFrame, dimension: DataFrame, year: int, district: str | int |
 
 
 def kpi_with_air(rows: DataFrame, labels: DataFrame, air: DataFrame) -> DataFrame:
-    """Key figures with the district's label and its live air label."""
-    named = with_label(
-        rows.drop("nom"), labels.withColumnRenamed("nom", "label"), name="label"
-    ).withColumn("label", F.coalesce("label", F.lit(CITY)))
+    """Key figures with a label, the district's name or where it has none the label of `labels`,
+    and the live air label."""
+    named = with_label(rows, labels.withColumnRenamed("nom", "label"), name="label").withColumn(
+        "label", F.coalesce(F.nullif("nom", F.lit("")), "label")
+    )
     live = air.select(F.col("insee").alias("_code"), F.col("air_label").alias("air_quality_global"))
     return named.join(live, code_of_district("arrondissement") == F.col("_code"), "left").drop("_code")
 
@@ -90,6 +91,12 @@ def kpi_city(rows: DataFrame) -> DataFrame:
     )
 
 
+def kpi_city_with_air(city: DataFrame, air: DataFrame) -> DataFrame:
+    """The row of `kpi_city` with the air label found first."""
+    live = city_air_label(air).select(F.lit(0).alias("arrondissement"), F.col("air_label").alias("air_quality_global"))
+    return city.join(live, "arrondissement", "left")
+
+
 def _split(gold: DataFrame, classes: list[tuple[str, str]], year: int, district: str | int | None) -> DataFrame:
     means = matching(gold, annee=year, arrondissement=parse_district(district)).agg(
         F.avg("nb_transactions").alias("_total"), *[exact_avg(F.col(column)).alias(name) for name, column in classes]
