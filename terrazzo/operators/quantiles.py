@@ -34,6 +34,9 @@ def exact_quantiles(
        and a running total over the bands tells in which band each wanted rank lies.
     2. Count rows per value, in those bands only, and take the value at the rank left over.
 
+    A task of the second pass holds the distinct values of one band. Measures rounded to cents have
+    some thousands at most; for measures with many more digits raise `resolution`.
+
     The table of wanted bands (at most one row per group and probability) joins the second pass.
     With `stage` it is written first, so that its true size is known when Spark decides between
     a broadcast and a sort-merge join; without, that is left to adaptive execution.
