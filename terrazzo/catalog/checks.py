@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from terrazzo.catalog import ingest
 from terrazzo.catalog import tables as t
 from terrazzo.catalog.registry import query
-from terrazzo.catalog.sqltext import DIM, HOUSING, gold
+from terrazzo.catalog.sqltext import HOUSING, gold
 from terrazzo.errors import IngestionError
 from terrazzo.operators import contracts
 from terrazzo.plans import bronze, jobs, runs
@@ -67,14 +67,14 @@ def contract_status_values(spark, sf):
 
 @query(
     "contract_evolved",
-    f"WITH {DIM} SELECT CAST(arrondissement AS INTEGER) AS arrondissement, nom, CAST(NULL AS DOUBLE) AS superficie, CAST(2018 AS SMALLINT) AS annee_ref FROM dim",
+    "SELECT CAST(c_nationkey AS SMALLINT) AS c_nationkey, c_name, CAST(NULL AS DOUBLE) AS superficie, CAST(2018 AS SMALLINT) AS annee_ref FROM customer",
 )
 def contract_evolved(spark, sf):
     """Cast, reorder, add a missing column and one with a default."""
     declared = struct(
-        ("arrondissement", T.IntegerType()), ("nom", T.StringType()), ("superficie", T.DoubleType()), ("annee_ref", T.ShortType())
+        ("c_nationkey", T.ShortType()), ("c_name", T.StringType()), ("superficie", T.DoubleType()), ("annee_ref", T.ShortType())
     )
-    return contracts.evolved(t.dimension(spark, sf), declared, {"annee_ref": 2018})
+    return contracts.evolved(t.table(spark, sf, "customer"), declared, {"annee_ref": 2018})
 
 
 @query(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from terrazzo.catalog import tables as t
+from terrazzo.catalog.layers import AREAS
 from terrazzo.catalog.registry import query
 from terrazzo.catalog.sqltext import (
     CRIME, DIM, G_HOUSING, HOUSING, PRICED, RAW_SALES, ROOM_SHARES, SALES, SURFACE_SHARES, change, exact_avg, exact_sum, half_up,
@@ -173,8 +174,7 @@ def agg_total_or_rows(spark, sf):
 
 @query(
     "join_area_population",
-    f"""SELECT CAST(n_nationkey + 1 AS INTEGER) AS arrondissement, {half_up('((n_nationkey * 37 + 100) * 12345 + 0.5::DOUBLE) / 1000000', 3)} AS superficie_km2,
-    CAST(count(*) * 40 AS INTEGER) AS population_totale FROM nation JOIN customer ON c_nationkey = n_nationkey WHERE n_nationkey < 20 GROUP BY n_nationkey""",
+    f"WITH {AREAS} SELECT * FROM areas",
 )
 def join_area_population(spark, sf):
     return bronze.areas(t.raw_areas(spark, sf), t.people(spark, sf))

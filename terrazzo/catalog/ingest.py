@@ -6,9 +6,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from terrazzo.catalog import tables as t
-from terrazzo.catalog.layers import AIR_COUNTS, AIR_LABEL_SQL
+from terrazzo.catalog.layers import AIR_COUNTS, AIR_LABEL_SQL, AREAS
 from terrazzo.catalog.registry import query
-from terrazzo.catalog.sqltext import DIM, HOUSING, INCOMES, RAW_SALES, code, half_up
+from terrazzo.catalog.sqltext import DIM, HOUSING, INCOMES, RAW_SALES, code
 from terrazzo.functions.codes import area_codes, code_of_district
 from terrazzo.operators.filters import newest_ingestion, with_ingestion_date
 from terrazzo.operators.upserts import update_matched, upsert
@@ -128,10 +128,9 @@ def bronze_incomes(spark, sf):
 
 @query(
     "bronze_districts",
-    f"SELECT CAST(n_nationkey + 1 AS INTEGER) AS arrondissement, "
-    f"{half_up('((n_nationkey * 37 + 100) * 12345 + 0.5::DOUBLE) / 1000000', 3)} AS superficie_km2, "
+    f"WITH {AREAS} SELECT arrondissement, superficie_km2, "
     "list_value(16266, 21559, 34576, 28088, 58850, 41100, 51765, 36808, 59895, 90372, 147476, 142327, 181556, 135964, 233484, "
-    f"165820, 167476, 195233, 184389, 196004)[n_nationkey + 1] AS population_totale, {_YMD} FROM nation WHERE n_nationkey < 20",
+    f"165820, 167476, 195233, 184389, 196004)[arrondissement] AS population_totale, {_YMD} FROM areas",
 )
 def bronze_districts(spark, sf):
     folder = staging_path(spark, "landing")
@@ -199,7 +198,7 @@ def source_reference_rows(spark, sf):
 
 @query(
     "source_found_column",
-    "SELECT CAST(n_nationkey + 1 AS VARCHAR) AS number, 'Numéro d''arrondissement' AS found FROM nation",
+    "SELECT CAST(c_nationkey + 1 AS VARCHAR) AS number, 'Numéro d''arrondissement' AS found FROM customer GROUP BY c_nationkey",
 )
 def source_found_column(spark, sf):
     """The number column is found by its name, after trimming the header."""
@@ -299,23 +298,17 @@ def sink_update_matched(spark, sf):
 
 @query(
     "sink_upsert",
-    f"""WITH {DIM}, seed AS (SELECT CAST(n_nationkey + 1 AS SMALLINT) AS arrondissement, n_name AS nom,
-    CAST(n_nationkey * 10 AS INTEGER) AS population_2020 FROM nation)
-    SELECT arrondissement, coalesce(dim.nom, seed.nom || ' new') AS nom,
+    f"""WITH {DIM}, seed AS (SELECT CAST(c_nationkey + 1 AS SMALLINT) AS arrondissement, 'new' AS nom,
+    CAST(count(*) * 10 AS INTEGER) AS population_2020 FROM customer GROUP BY c_nationkey)
+    SELECT arrondissement, coalesce(dim.nom, seed.nom) AS nom,
     CASE WHEN seed.arrondissement IS NOT NULL THEN seed.population_2020 ELSE dim.population_2020 END AS population_2020
     FROM dim FULL JOIN seed USING (arrondissement)""",
 )
 def sink_upsert(spark, sf):
     """Known districts get the new population and keep their name, others are inserted."""
-    n = F.col("n_nationkey")
-    rows = (
-        t.table(spark, sf, "nation")
-        .select(
-            (n + 1).cast("smallint").alias("arrondissement"),
-            F.concat("n_name", F.lit(" new")).alias("nom"),
-            (n * 10).cast("int").alias("population_2020"),
-        )
-    )
+    district = (F.col("c_nationkey") + 1).cast("smallint")
+    counted = t.table(spark, sf, "customer").groupBy(district.alias("arrondissement")).agg(F.count("*").alias("n"))
+    rows = counted.select("arrondissement", F.lit("new").alias("nom"), (F.col("n") * 10).cast("int").alias("population_2020"))
     dim = t.dimension(spark, sf).select("arrondissement", "nom", "population_2020")
     return upsert(dim, rows, "arrondissement", overwrite=["population_2020"])
 

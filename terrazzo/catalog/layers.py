@@ -66,10 +66,10 @@ def silver_incomes(spark, sf):
 
 
 AREAS = f"""areas AS (
-  SELECT CAST(n_nationkey + 1 AS INTEGER) AS arrondissement,
-         {half_up("((n_nationkey * 37 + 100) * 12345 + 0.5::DOUBLE) / 1000000", 3)} AS superficie_km2,
+  SELECT CAST(c_nationkey + 1 AS INTEGER) AS arrondissement,
+         {half_up("((count(*) + 100) * 12345 + 0.5::DOUBLE) / 1000000", 3)} AS superficie_km2,
          CAST(count(*) * 40 AS INTEGER) AS population_totale
-  FROM nation JOIN customer ON c_nationkey = n_nationkey WHERE n_nationkey < 20 GROUP BY n_nationkey)"""
+  FROM customer WHERE c_nationkey < 20 GROUP BY c_nationkey)"""
 
 
 @query(

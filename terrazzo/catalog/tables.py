@@ -111,12 +111,13 @@ def raw_incomes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def raw_areas(spark: SparkSession, sf: str) -> DataFrame:
-    """District areas under the delivery's column names, as text."""
-    n = F.col("n_nationkey")
-    return table(spark, sf, "nation").select(
-        (n + 1).cast("string").alias("Numéro d'arrondissement"),
-        code_of_district(n + 1).alias("Numéro d'arrondissement INSEE"),
-        F.concat(((n * 37 + 100) * 12345).cast("string"), F.lit(".5")).alias("Surface"),
+    """District areas under the delivery's column names, as text; the more customers, the larger."""
+    n = F.col("c_nationkey") + 1
+    counted = table(spark, sf, "customer").groupBy(n.alias("n")).agg(F.count("*").alias("customers"))
+    return counted.select(
+        F.col("n").cast("string").alias("Numéro d'arrondissement"),
+        code_of_district("n").alias("Numéro d'arrondissement INSEE"),
+        F.concat(((F.col("customers") + 100) * 12345).cast("string"), F.lit(".5")).alias("Surface"),
     )
 
 

@@ -75,7 +75,8 @@ def exact_quantiles(
 
     # null keys form a group of their own, as in any grouping
     t = targets.select(*[F.col(c).alias(f"_t_{c}") for c in (*keys, "_m", "_band")], *ranks.values())
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in (*keys, "_m", "_band")])
+    own = [F.col(c) == F.col(f"_t_{c}") for c in ("_m", "_band")]
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in keys], own[0] & own[1])
     values = (
         long.join(t, same)
         .groupBy(*keys, "_m", "_band", "_v")
