@@ -18,10 +18,10 @@ from terrazzo.operators.contracts import evolved
 from terrazzo.operators.filters import matching, newest_ingestion, on_ingestion_date
 from terrazzo.plans import bronze, gold, silver
 from terrazzo.plans.runs import recorded
-from terrazzo.schemas import DIMENSION, GOLD, INGESTION_DATE, SILVER
+from terrazzo.schemas import GOLD, INGESTION_DATE, SILVER
 from terrazzo.session import build_session, staged
 from terrazzo.sources.files import read_ingestion, read_layer, required
-from terrazzo.sources.sinks import write_dated, write_jdbc
+from terrazzo.sources.sinks import update_jdbc, write_dated, write_jdbc
 
 
 def feed(spark: SparkSession, source: str, folder: str, root: str, date: str, runs: str | None = None) -> None:
@@ -83,10 +83,15 @@ def build_gold(
     return evolved(fact.withColumn("computed_at", F.current_timestamp()), GOLD)
 
 
-def refreshed_dimension(spark: SparkSession, dimension: DataFrame, root: str, date: str | None = None) -> DataFrame:
-    """The district dimension with the figures of two silver tables."""
-    with_areas = gold.dimension_with_areas(dimension, silver_table(spark, root, "arrondissements", date))
-    return gold.dimension_with_residences(with_areas, silver_table(spark, root, "residences_principales", date))
+def dimension_updates(spark: SparkSession, root: str, date: str | None = None) -> list[DataFrame]:
+    """New figures for the district dimension, under its column names."""
+    areas = silver_table(spark, root, "arrondissements", date)
+    return [
+        areas.select(
+            "arrondissement", "superficie_km2", F.col("population_totale").alias("population_2020"), "densite_population"
+        ),
+        silver_table(spark, root, "residences_principales", date).select("arrondissement", "nb_residences_principales"),
+    ]
 
 
 def run_gold(
@@ -102,11 +107,10 @@ def run_gold(
     runs: str | None = None,
     **properties: str,
 ) -> None:
-    """Refresh the dimension and write the gold table over JDBC."""
+    """Update the dimension and write the gold table over JDBC."""
     with recorded(spark, runs, "gold", "all", "gold") as run:
-        current = evolved(spark.read.format("jdbc").options(url=url, dbtable=dimension, **properties).load(), DIMENSION)
-        # written first: overwriting empties the table that this reads
-        write_jdbc(staged(refreshed_dimension(spark, current, root, date), "dimension"), url, dimension, **properties)
+        for updates in dimension_updates(spark, root, date):
+            update_jdbc(updates, url, dimension, "arrondissement", **properties)
         write_jdbc(run.writes(build_gold(spark, root, date, year, accuracy)), url, table, mode, **properties)
 
 
@@ -136,7 +140,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     builds.add_argument("--jdbc-table", default="indicateurs_gold")
     builds.add_argument("--jdbc-dimension", default="arrondissements")
     builds.add_argument("--date", default=None, help="ingestion date to read, the newest by default")
-    builds.add_argument("--annee", type=int, default=None)
+    builds.add_argument("--annee", type=int, default=None, help="one year; overwriting then leaves that year only")
     builds.add_argument("--accuracy", type=int, default=None, help="sketch quantiles instead of computing them exactly")
     builds.add_argument("--write-mode", choices=["overwrite", "append"], default="overwrite")
 

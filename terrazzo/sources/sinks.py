@@ -44,6 +44,28 @@ def write_jdbc(
     writer.save()
 
 
+def update_statement(table: str, updates: str, key: str, columns: list[str]) -> str:
+    """SQL that sets columns of matched rows from a table of updates; a null update keeps the old
+    value, and running it again changes nothing."""
+    match = f"FROM {updates} u WHERE u.{key} = {table}.{key}"
+    sets = ", ".join(f"{c} = COALESCE((SELECT u.{c} {match}), {c})" for c in columns)
+    return f"UPDATE {table} SET {sets} WHERE EXISTS (SELECT 1 {match})"
+
+
+def update_jdbc(updates: DataFrame, url: str, table: str, key: str, **properties: str) -> None:
+    """Update matched rows of a database table by key, without inserting.
+
+    The updates, with the key and the table's own column names, are written to `<table>_updates`;
+    the database then joins them itself, so tables that refer to this one stay as they are.
+    """
+    landed = f"{table}_updates"
+    write_jdbc(updates, url, landed, **properties)
+    statement = update_statement(table, landed, key, [c for c in updates.columns if c != key])
+    reader = updates.sparkSession.read.format("jdbc")
+    # the statement runs when the session of this small read is opened
+    reader.options(url=url, dbtable=landed, sessionInitStatement=statement, **properties).load().count()
+
+
 def as_messages(df: DataFrame, key: str, values: list[str] | None = None) -> DataFrame:
     """Rows to keyed JSON messages `(key, value)`."""
     fields: list[str | Column] = list(values or df.columns)

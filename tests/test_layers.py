@@ -280,3 +280,31 @@ def test_contract_check_of_the_gold_table(spark):
     assert contracts.duplicate_keys(fact, *GOLD_KEY).count() == 0
     declared = type(GOLD)([f for f in GOLD if f.name in fact.columns])
     assert contracts.require(fact, contracts.fits_schema(declared)) is fact
+
+
+def test_update_statement():
+    """The text is run by DuckDB in this process, standing in for the database."""
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("CREATE TABLE d (k INTEGER, a INTEGER, b VARCHAR)")
+    con.execute("INSERT INTO d VALUES (1, 10, 'x'), (2, 20, 'y'), (3, NULL, 'z')")
+    con.execute("CREATE TABLE d_updates (k INTEGER, a INTEGER)")
+    con.execute("INSERT INTO d_updates VALUES (1, 11), (2, NULL), (3, 33), (4, 44)")
+    for _ in range(2):
+        con.execute(sinks.update_statement("d", "d_updates", "k", ["a"]))
+        assert con.execute("SELECT * FROM d ORDER BY k").fetchall() == [(1, 11, "x"), (2, 20, "y"), (3, 33, "z")]
+
+
+def test_dimension_updates(spark, tmp_path):
+    areas = silver.districts(spark.createDataFrame([(7, 4.088, 51765), (25, 1.0, 1)], "arrondissement int, superficie_km2 double, population_totale int"))
+    homes = silver.residences(spark.createDataFrame([("75107", "27000.9"), ("75200", "1"), ("75108", "x")], "CODGEO string, P22_RP string"))
+    sinks.write_dated(areas, str(tmp_path), "arrondissements", "2026-06-24")
+    sinks.write_dated(homes, str(tmp_path), "residences_principales", "2026-06-24")
+    first, second = jobs.dimension_updates(spark, str(tmp_path))
+    assert rows(first) == [(7, 4.088, 51765, 12663)] and rows(second) == [(7, 27000), (8, None)]
+    seed = reference.seed_dimension(spark)
+    updated = gold.dimension_with_residences(gold.dimension_with_areas(seed, areas), homes)
+    assert updated.schema == seed.schema
+    assert updated.filter("arrondissement = 7").first()[4:] == (4.088, 51765, 12663, 27000)
+    assert rows(updated.filter("arrondissement > 8")) == rows(seed.filter("arrondissement > 8"))
