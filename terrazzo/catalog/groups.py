@@ -16,7 +16,6 @@ from terrazzo.functions.numbers import share_of
 from terrazzo.operators import aggregates, joins, windows
 from terrazzo.operators.quantiles import exact_quantiles
 from terrazzo.plans import bronze, silver
-from terrazzo.session import staged
 
 KEYS = ["arrondissement", "annee"]
 
@@ -38,7 +37,7 @@ def agg_quantiles(spark, sf):
     wanted = {
         "p10": ("l_extendedprice", 0.1), "p50": ("l_extendedprice", 0.5), "p90": ("l_extendedprice", 0.9), "q50": ("l_quantity", 0.5),
     }
-    return exact_quantiles(t.table(spark, sf, "lineitem"), ("l_returnflag", "l_linestatus"), wanted, stage=staged)
+    return exact_quantiles(t.table(spark, sf, "lineitem"), ("l_returnflag", "l_linestatus"), wanted)
 
 
 @query(

@@ -246,7 +246,6 @@ def gold(spark: SparkSession, sf: str, *parts: str, quantiles: tuple[str, ...] =
     return gold_plan.gold(
         staged(needed, "sales") if quantiles else needed,
         **{p: others[p](spark, sf) for p in parts},
-        stage=staged,
         quantiles={name: SALE_QUANTILES[name] for name in quantiles},
         **({"burglary": BURGLARY, "violence": VIOLENCE} if "crime" in parts else {}),
     )

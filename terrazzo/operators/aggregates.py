@@ -6,8 +6,6 @@ after map-side combining down to one row per group and task.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,7 +41,6 @@ def sale_indicators(
     sales: DataFrame,
     keys: tuple[str, ...] = GOLD_KEY,
     accuracy: int | None = None,
-    stage: Callable[[DataFrame, str], DataFrame] | None = None,
     quantiles: dict[str, tuple[str, float]] = SALE_QUANTILES,
 ) -> DataFrame:
     """Counts, mean, quantiles and shares of sales; `quantiles` may name fewer, or none.
@@ -57,7 +54,7 @@ def sale_indicators(
         totals = sales.groupBy(*keys).agg(*measures)
         if not quantiles:
             return totals
-        return totals.join(exact_quantiles(sales, keys, quantiles, stage=stage), list(keys), "left")
+        return totals.join(exact_quantiles(sales, keys, quantiles), list(keys), "left")
 
     by_column: dict[str, list[str]] = {}
     for name, (column, _) in quantiles.items():

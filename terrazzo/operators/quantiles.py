@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terrazzo.session import staged
+
 
 def value_band(value: Column, resolution: int = 256) -> Column:
     """Number of the value's band. Larger values never get a smaller number.
@@ -23,7 +24,6 @@ def exact_quantiles(
     keys: tuple[str, ...],
     wanted: dict[str, tuple[str, float]],
     resolution: int = 256,
-    stage: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
     """Exact discrete quantiles per group; `wanted` maps an output name to (column, probability).
 
@@ -37,9 +37,10 @@ def exact_quantiles(
     A task of the second pass holds the distinct values of one band. Measures rounded to cents have
     some thousands at most; for measures with many more digits raise `resolution`.
 
-    The table of wanted bands (at most one row per group and probability) joins the second pass.
-    With `stage` it is written first, so that its true size is known when Spark decides between
-    a broadcast and a sort-merge join; without, that is left to adaptive execution.
+    The table of wanted bands (at most one row per group and probability) is written below the
+    shared folder between the passes, which runs the first one here. So its true size is known when
+    Spark decides between a broadcast and a sort-merge join, and the rows are not shuffled for a
+    table that turns out small.
     """
     columns = list(dict.fromkeys(column for column, _ in wanted.values()))
     measure = {column: number for number, column in enumerate(columns)}
@@ -67,11 +68,12 @@ def exact_quantiles(
         hit = (F.col("_m") == measure[column]) & (rank > before) & (rank <= F.col("_upto"))
         return F.when(hit, rank - before)
 
-    targets = bands.select(*keys, "_m", "_band", *[rank_in_band(n).alias(r) for n, r in ranks.items()]).filter(
-        F.coalesce(*ranks.values()).isNotNull()
+    targets = staged(
+        bands.select(*keys, "_m", "_band", *[rank_in_band(n).alias(r) for n, r in ranks.items()]).filter(
+            F.coalesce(*ranks.values()).isNotNull()
+        ),
+        "quantile-bands",
     )
-    if stage is not None:
-        targets = stage(targets, "quantile-bands")
 
     # null keys form a group of their own, as in any grouping
     t = targets.select(*[F.col(c).alias(f"_t_{c}") for c in (*keys, "_m", "_band")], *ranks.values())

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 
 from terrazzo.operators.aggregates import SALE_QUANTILES, crime_rates, housing_totals, income_means, sale_indicators
@@ -16,7 +14,6 @@ def gold(
     crime: DataFrame | None = None,
     incomes: DataFrame | None = None,
     accuracy: int | None = None,
-    stage: Callable[[DataFrame, str], DataFrame] | None = None,
     quantiles: dict[str, tuple[str, float]] = SALE_QUANTILES,
     **crime_options,
 ) -> DataFrame:
@@ -25,7 +22,7 @@ def gold(
     Every source is aggregated before it is joined, so the joins see one row per group. Sources
     and quantiles that a report does not need can be left out.
     """
-    fact = sale_indicators(sales, accuracy=accuracy, stage=stage, quantiles=quantiles)
+    fact = sale_indicators(sales, accuracy=accuracy, quantiles=quantiles)
     if housing is not None:
         fact = fact.join(housing_totals(housing), ["arrondissement", "annee"], "left")
     if crime is not None:

@@ -19,7 +19,7 @@ from terrazzo.operators.filters import matching, newest_ingestion, on_ingestion_
 from terrazzo.plans import bronze, gold, silver
 from terrazzo.plans.runs import recorded
 from terrazzo.schemas import GOLD, INGESTION_DATE, SILVER
-from terrazzo.session import build_session, staged
+from terrazzo.session import build_session
 from terrazzo.sources.files import read_ingestion, read_layer, required
 from terrazzo.sources.sinks import update_jdbc, write_dated, write_jdbc
 
@@ -78,7 +78,6 @@ def build_gold(
         *[silver_table(spark, root, name, date, year) for name in ("transactions", "logements_sociaux", "delinquance")],
         silver_table(spark, root, "revenus", date),
         accuracy=accuracy,
-        stage=staged,
     )
     return evolved(fact.withColumn("computed_at", F.current_timestamp()), GOLD)
 

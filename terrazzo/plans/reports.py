@@ -93,8 +93,7 @@ def kpi_city(rows: DataFrame) -> DataFrame:
 
 def kpi_city_with_air(city: DataFrame, air: DataFrame) -> DataFrame:
     """The row of `kpi_city` with the air label found first."""
-    live = city_air_label(air).select(F.lit(0).alias("arrondissement"), F.col("air_label").alias("air_quality_global"))
-    return city.join(live, "arrondissement", "left")
+    return city.withColumn("air_quality_global", city_air_label(air).select("air_label").scalar())
 
 
 def _split(gold: DataFrame, classes: list[tuple[str, str]], year: int, district: str | int | None) -> DataFrame:

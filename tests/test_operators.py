@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 from terrazzo.errors import ContractError, IngestionError
 from terrazzo.operators import aggregates, contracts, upserts, windows
 from terrazzo.operators.quantiles import exact_quantiles, value_band
-from terrazzo.session import staged
 from terrazzo.sources import files
 
 
@@ -31,10 +30,10 @@ def quantile_disc(values, p):
 PROBABILITIES = {"q0": 0.0, "q1": 0.25, "q2": 0.5, "q3": 0.75, "q4": 1.0}
 
 
-def check_quantiles(spark, table, stage=None):
+def check_quantiles(spark, table):
     df = spark.createDataFrame(table, "k string, v double")
     wanted = {name: ("v", p) for name, p in PROBABILITIES.items()}
-    got = {r.k: tuple(r[n] for n in PROBABILITIES) for r in exact_quantiles(df, ("k",), wanted, stage=stage).collect()}
+    got = {r.k: tuple(r[n] for n in PROBABILITIES) for r in exact_quantiles(df, ("k",), wanted).collect()}
     groups = {}
     for k, v in table:
         if v is not None and not math.isnan(v):
@@ -47,7 +46,7 @@ def test_quantiles_with_a_group_that_holds_most_rows(spark):
     table = [("hot", round(rng.lognormvariate(8, 1), 2)) for _ in range(5000)]
     table += [("hot", 1234.5)] * 2500  # one value holds a third
     table += [("one", -3.0), (None, 1.0), (None, 2.0), ("none", None), ("none", float("nan"))]
-    check_quantiles(spark, table, stage=staged)
+    check_quantiles(spark, table)
 
 
 @settings(max_examples=5, deadline=None)

@@ -47,7 +47,7 @@ def test_sketched_sales_are_one_shuffle(spark, sf_dir):
 
 def test_exact_quantiles_do_not_shuffle_rows_of_a_group_to_one_task(spark, sf_dir):
     sales = staged(t.sales(spark, sf_dir), "sales")
-    text = plan(exact_quantiles(sales, ("arrondissement", "annee"), aggregates.SALE_QUANTILES, stage=staged))
+    text = plan(exact_quantiles(sales, ("arrondissement", "annee"), aggregates.SALE_QUANTILES))
     # the wanted bands are broadcast by their known size, and every shuffle carries partial counts
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
     assert all("hashpartitioning" in line for line in text.splitlines() if " Exchange " in line)
