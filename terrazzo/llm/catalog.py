@@ -1,9 +1,10 @@
 """The numbered queries of this subpackage and, where SQL can say them, their SQL twins."""
 
-from terrazzo.llm import chat, mixing, sharding, urls
+from terrazzo.llm import chat, mixing, neardup, sharding, urls
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
+    "op2_near_dedup": neardup.op2_near_dedup,
     "op3_chat": chat.op3_chat,
     "op9_sharding": sharding.op9_sharding,
     "op10_url_filters": urls.op10_url_filters,
