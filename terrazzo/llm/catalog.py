@@ -1,12 +1,13 @@
 """The numbered queries of this subpackage and, where SQL can say them, their SQL twins."""
 
-from terrazzo.llm import chat, decontam, langid, mixing, neardup, sharding, urls
+from terrazzo.llm import chat, decontam, grammar, langid, mixing, neardup, sharding, urls
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_near_dedup": neardup.op2_near_dedup,
     "op3_chat": chat.op3_chat,
     "op5_language_id": langid.op5_language_id,
+    "op6_token_ids": grammar.op6_token_ids,
     "op7_decontamination": decontam.op7_decontamination,
     "op9_sharding": sharding.op9_sharding,
     "op10_url_filters": urls.op10_url_filters,
