@@ -35,7 +35,7 @@ SHARE, LEAST = 4096, 16
 #: the rounds end when one shortens the sequence by less than this share
 GAIN = 0.02
 END = 1
-CACHE = 400_000
+CACHE = 600_000
 
 SHARDS = "part long, shard long, ids array<long>, counts array<long>, base int, width int, rules binary, lengths binary, symbols binary"
 
@@ -58,9 +58,9 @@ class Words(dict):
         self.ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
 
     def __missing__(self, run: bytes) -> bytes:
-        if _marked(run):
-            # a mark after a letter is a token of its own
-            ids = self[run[:-1]] + self[run[-1:]]
+        stem = _stem(run)
+        if stem != run:
+            ids = self[stem] + self[run[len(stem) :]]
         else:
             ids = np.array(self.tokenizer.encode(run.decode(), add_special_tokens=False).ids, "<u4").tobytes()
         if len(run) <= 64:
@@ -71,11 +71,11 @@ class Words(dict):
         """Encodes the runs of letters that are new, many at a time: each ends with the one token that ends a word."""
         if len(self) > CACHE:
             self.clear()
-        new = {run[:-1] if _marked(run) else run for run in runs - self.keys()} - self.keys()
-        new = [run for run in new if len(run) <= 64 and run.isascii() and run.isalpha()]
+        stems = {_stem(run) for run in runs - self.keys()} - self.keys()
+        new = [run for run in stems if len(run) <= 64 and run.decode().isalpha()]
         for at in range(0, len(new), 4096):
             part = new[at : at + 4096]
-            lines = [b" ".join(part[i : i + 64]).decode() for i in range(0, len(part), 64)]
+            lines = [b" ".join(part[i : i + 512]).decode() for i in range(0, len(part), 512)]
             got = self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
             ids = np.array([i for line in got for i in line.ids], "<u4")
             stops = np.flatnonzero(self.ends[ids]) + 1
@@ -91,8 +91,18 @@ class Words(dict):
         return [b"".join(map(self.__getitem__, r)) for r in runs]
 
 
-def _marked(run: bytes) -> bool:
-    return len(run) > 1 and run[-1] in b".," and 97 <= run[-2] <= 122
+MARKS = b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
+
+
+def _stem(run: bytes) -> bytes:
+    """What is before the marks a run ends with, if that ends with a letter: the tokenizer parts letters from marks."""
+    stem = run.rstrip(MARKS)
+    if len(stem) == len(run) or not stem:
+        return run
+    last = stem[-1]
+    if 97 <= last <= 122 or 65 <= last <= 90 or (last >= 128 and stem[-4:].decode(errors="ignore")[-1:].isalpha()):
+        return stem
+    return run
 
 
 _words: dict[str, Words] = {}
