@@ -1,11 +1,12 @@
 """The numbered queries of this subpackage and, where SQL can say them, their SQL twins."""
 
-from terrazzo.llm import chat, decontam, grammar, langid, mixing, neardup, sharding, urls
+from terrazzo.llm import chat, decontam, grammar, langid, mixing, neardup, sharding, topk, urls
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_near_dedup": neardup.op2_near_dedup,
     "op3_chat": chat.op3_chat,
+    "op4_exact_topk": topk.op4_exact_topk,
     "op5_language_id": langid.op5_language_id,
     "op6_token_ids": grammar.op6_token_ids,
     "op7_decontamination": decontam.op7_decontamination,
@@ -15,5 +16,6 @@ QUERIES = {
 
 SQL = {
     "op3_chat": chat.OP3_SQL,
+    "op4_exact_topk": topk.OP4_SQL,
     "op7_decontamination": decontam.OP7_SQL,
 }
