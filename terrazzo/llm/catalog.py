@@ -1,6 +1,6 @@
 """The numbered queries of this subpackage and, where SQL can say them, their SQL twins."""
 
-from terrazzo.llm import chat, decontam, grammar, langid, mixing, neardup, sharding, topk, urls
+from terrazzo.llm import chat, decontam, grammar, langid, mixing, neardup, sharding, substrings, topk, urls
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_language_id": langid.op5_language_id,
     "op6_token_ids": grammar.op6_token_ids,
     "op7_decontamination": decontam.op7_decontamination,
+    "op8_suffix_dedup": substrings.op8_suffix_dedup,
     "op9_sharding": sharding.op9_sharding,
     "op10_url_filters": urls.op10_url_filters,
 }
