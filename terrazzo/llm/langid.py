@@ -152,28 +152,34 @@ def training_rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str, pe
     return [r["text"].encode() for r in rows], [r["lang"] for r in rows]
 
 
+def told(net: Network, texts: list[bytes | None]) -> tuple[list[str], list[float]]:
+    """Language and score of every text; `und` and 0 for a null or empty one."""
+    names, scores = [], []
+    for _, held in batches(texts):
+        windows, owner = windows_of(held)
+        likely = net.probabilities(windows)
+        # 0 is padding; a text may hold it too, and its bytes then weigh nothing
+        weight = np.count_nonzero(windows, axis=1).astype(np.float64) + 1e-9
+        sums = np.zeros((len(held), likely.shape[1]))
+        np.add.at(sums, owner, likely * weight[:, None])
+        totals = np.bincount(owner, weights=weight, minlength=len(held))
+        for i, text in enumerate(held):
+            if not text or not net.names:
+                names.append(UNKNOWN)
+                scores.append(0.0)
+            else:
+                best = int(sums[i].argmax())
+                names.append(net.names[best])
+                scores.append(float(min(1.0, sums[i][best] / totals[i])))
+    return names, scores
+
+
 def _predicted(net: Network):
     """id, held_out, text (null where it has no letter) -> id, held_out, lang_pred, score."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            names, scores = [], []
-            for _, texts in batches(utf8(part.column(2))):
-                windows, owner = windows_of(texts)
-                likely = net.probabilities(windows)
-                # 0 is padding; a text may hold it too, and its bytes then weigh nothing
-                weight = np.count_nonzero(windows, axis=1).astype(np.float64) + 1e-9
-                sums = np.zeros((len(texts), likely.shape[1]))
-                np.add.at(sums, owner, likely * weight[:, None])
-                totals = np.bincount(owner, weights=weight, minlength=len(texts))
-                for i, text in enumerate(texts):
-                    if not text or not net.names:
-                        names.append(UNKNOWN)
-                        scores.append(0.0)
-                    else:
-                        best = int(sums[i].argmax())
-                        names.append(net.names[best])
-                        scores.append(float(min(1.0, sums[i][best] / totals[i])))
+            names, scores = told(net, utf8(part.column(2)))
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                 ["id", "held_out", "lang_pred", "score"],
@@ -182,6 +188,19 @@ def _predicted(net: Network):
     return run
 
 
+def _accepted(net: Network, least: float):
+    """Rows, their judged text last -> the rows that are accepted."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            last = part.num_columns - 1
+            names, scores = told(net, utf8(part.column(last)))
+            good = [name != UNKNOWN and score >= least for name, score in zip(names, scores, strict=True)]
+            yield pa.RecordBatch.from_arrays(part.columns[:last], part.schema.names[:last]).filter(pa.array(good, pa.bool_()))
+
+    return run
+
+
 def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
@@ -195,12 +214,30 @@ def identified(
     empty one or one without a letter is `und` with a score of 0, as is everything where nothing could be learned. Repeated
     rows are told alike.
     """
+    net = learned(docs, id_col, text_col, lang_col, per_language, languages)
+    rows = docs.select(F.col(id_col).alias("id"), held_out(F.col(id_col)).alias("held_out"), judged(F.col(text_col)).alias("text"))
+    found = rows.mapInArrow(_predicted(net), f"id {dict(docs.dtypes)[id_col]}, held_out boolean, lang_pred string, score double")
+    return found.withColumnRenamed("id", id_col)
+
+
+def learned(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int, languages: int) -> Network:
     learn = docs.where(F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
-    net = train(*training_rows(learn, id_col, text_col, lang_col, per_language, languages))
-    text = F.when(F.col(text_col).rlike(r"\p{L}"), F.col(text_col))
-    rows = docs.select(F.col(id_col).alias("id"), held_out(F.col(id_col)).alias("held_out"), text.alias("text"))
-    told = rows.mapInArrow(_predicted(net), f"id {dict(docs.dtypes)[id_col]}, held_out boolean, lang_pred string, score double")
-    return told.withColumnRenamed("id", id_col)
+    return train(*training_rows(learn, id_col, text_col, lang_col, per_language, languages))
+
+
+def judged(text: Column) -> Column:
+    """The text if it has a letter."""
+    return F.when(text.rlike(r"\p{L}"), text)
+
+
+def accepted(
+    docs: DataFrame, least: float = 0.3, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 400,
+    languages: int = 256,
+) -> DataFrame:
+    """The rows of `docs` that are not rejected: those without a letter are, and those whose best language scores below `least`."""
+    net = learned(docs, id_col, text_col, lang_col, per_language, languages)
+    rows = docs.withColumn("_judged", judged(F.col(text_col)))
+    return rows.mapInArrow(_accepted(net, least), docs.schema)
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

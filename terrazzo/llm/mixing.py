@@ -205,6 +205,18 @@ def taken(sizes: DataFrame, sources: DataFrame, pieces: DataFrame) -> DataFrame:
     )
 
 
+def mixed(docs: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
+    """`docs` as the mix holds them: each document as often as the mix takes its words, to the nearest whole number.
+
+    Rows of one id stand equally often. A document without words, which no slot holds, stands once.
+    """
+    words = taken(*mixture(docs, id_col=id_col, **how)).groupBy(F.col("id").alias("_id")).agg(F.sum("taken").alias("_taken"), F.sum("size").alias("_size"))
+    times = F.when(F.col("_size") > 0, F.floor(F.col("_taken") / F.col("_size") + 0.5)).otherwise(F.lit(1)).cast("int")
+    counted = words.select("_id", times.alias("_times")).where("_times > 0")
+    found = docs.join(counted, docs[id_col].eqNullSafe(counted["_id"]))
+    return found.withColumn("_again", F.explode(F.sequence(F.lit(1), "_times"))).select(*docs.columns)
+
+
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with the words that the mix takes from each."""
     parts = mixture(spark.read.parquet(f"{sf_dir}/documents.parquet"))

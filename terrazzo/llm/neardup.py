@@ -256,6 +256,14 @@ def _told(sketched: DataFrame, classes: DataFrame, found: DataFrame, id_col: str
     )
 
 
+def deduplicated(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """`docs` with one document of each group of near copies, see `near_duplicates`; of rows of one id one stays, of those without id all."""
+    told = near_duplicates(docs, shingle, percent, id_col, text_col)
+    kept = told.where(F.col("kept") & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_kept")).distinct()
+    named = docs.join(kept, docs[id_col] == kept["_kept"], "left_semi").dropDuplicates([id_col])
+    return named.unionByName(docs.where(F.col(id_col).isNull()))
+
+
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with their component of near copies: 3-word shingles, a similarity of 0.85 or more."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), shingle=3, percent=85)

@@ -33,9 +33,10 @@ def scaled(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> Data
     """
     x = F.col(vector_col).cast("array<double>")
     fine = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))))
-    rows = vectors.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull()).where(fine)
-    whole = F.transform(x, lambda c: F.floor(c * F.lit(float(scale))).cast("int"))
-    return rows.select(F.col(id_col).cast("long").alias("id"), whole.alias("v"))
+    # the choice stands inside the expression: filters may be reordered, and what is not finite must not be cast
+    whole = F.when(fine, F.transform(x, lambda c: F.floor(c * F.lit(float(scale))).cast("int")))
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), whole.alias("v"))
+    return rows.where(F.col("id").isNotNull() & F.col("v").isNotNull())
 
 
 def _least_ids(k: int):
