@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from terrazzo.catalog import ingest
 from terrazzo.catalog import tables as t
 from terrazzo.catalog.registry import query
-from terrazzo.catalog.sqltext import HOUSING, gold
+from terrazzo.catalog.sqltext import HOUSING, gold, half_up
 from terrazzo.errors import IngestionError
 from terrazzo.operators import contracts
 from terrazzo.plans import bronze, jobs, runs
@@ -77,6 +77,17 @@ def contract_evolved(spark, sf):
     return contracts.evolved(t.table(spark, sf, "customer"), declared, {"annee_ref": 2018})
 
 
+@query(
+    "contract_misfits",
+    """SELECT 'c_custkey too wide' AS rule, count(*) FILTER (c_custkey > 99) AS n_broken FROM customer
+    UNION ALL SELECT 'c_acctbal too wide', count(*) FILTER (abs(c_acctbal) >= 99.995) FROM customer""",
+)
+def contract_misfits(spark, sf):
+    """What would not fit, counted before a lenient cast."""
+    declared = struct(("c_custkey", T.DecimalType(2, 0)), ("c_acctbal", T.DecimalType(4, 2)), ("missing", T.DoubleType()))
+    return contracts.misfits(t.table(spark, sf, "customer"), declared)
+
+
 @query(
     "run_report",
     """SELECT o_orderpriority AS pipeline_name, count(*) AS n_runs,
@@ -118,17 +129,14 @@ def _built(spark, sf, log: str | None = None) -> str:
 
 @query(
     "layers_end_to_end",
-    f"WITH {gold('housing', 'incomes')} SELECT arrondissement, annee, CAST(nb_transactions AS INTEGER) AS nb_transactions, prix_m2_median, prix_m2_q1, "
-    "surface_mediane, CAST(nb_logements_sociaux AS INTEGER) AS nb_logements_sociaux, revenu_median_arr, indice_gini_arr, part_t2, part_surf_gt120 "
-    "FROM (SELECT * REPLACE (CAST(annee AS SMALLINT) AS annee) FROM gold)",
+    f"WITH {gold('housing', 'crime', 'incomes')} SELECT * REPLACE (CAST(annee AS SMALLINT) AS annee, "
+    f"{half_up('taux_cambriolages_pmille', 3)} AS taux_cambriolages_pmille, {half_up('taux_violences_pmille', 3)} AS taux_violences_pmille), "
+    "CAST(NULL AS DOUBLE) AS taux_logements_sociaux FROM gold",
 )
 def layers_end_to_end(spark, sf):
     """Raw files to the gold table by the jobs, in its declared types (decimals shown as doubles)."""
-    fact = jobs.build_gold(spark, _built(spark, sf))
-    wanted = [
-        "arrondissement", "annee", "nb_transactions", "prix_m2_median", "prix_m2_q1", "surface_mediane",
-        "nb_logements_sociaux", "revenu_median_arr", "indice_gini_arr", "part_t2", "part_surf_gt120",
-    ]
+    fact = jobs.build_gold(spark, _built(spark, sf), burglary=t.BURGLARY, violence=t.VIOLENCE)
+    wanted = [c for c in fact.columns if c != "computed_at"]
     return fact.select(*[F.col(c).cast("double") if fact.schema[c].dataType.typeName() == "decimal" else F.col(c) for c in wanted])
 
 

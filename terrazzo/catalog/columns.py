@@ -13,9 +13,11 @@ from terrazzo.functions.air import document_label, severity, worst_pollutants
 from terrazzo.operators import filters
 from terrazzo.operators.joins import with_label
 from terrazzo.plans import silver
-from terrazzo.schemas import INCOME_COLUMNS
+from terrazzo.schemas import DISTRICT_QUARTERS, INCOME_COLUMNS
 from terrazzo.sources.reference import district_labels
 
+QUARTERS = f"list_value({', '.join(repr(q) for q in DISTRICT_QUARTERS)})"
+
 # ---- filters -----------------------------------------------------------------------------
 
 
@@ -270,10 +272,9 @@ def price_steps(spark, sf):
 
 @query(
     "labels_with_default",
-    """SELECT c_custkey, CASE WHEN c_nationkey + 1 > 20 THEN 'Arr. ' || (c_nationkey + 1)
+    f"""SELECT c_custkey, CASE WHEN c_nationkey + 1 > 20 THEN 'Arr. ' || (c_nationkey + 1)
     ELSE CASE WHEN c_nationkey = 0 THEN '1er' ELSE (c_nationkey + 1) || 'ème' END || ' arr. - ' ||
-    list_value('Louvre', 'Bourse', 'Temple', 'Hôtel-de-Ville', 'Panthéon', 'Luxembourg', 'Palais-Bourbon', 'Élysée', 'Opéra', 'Entrepôt', 'Popincourt',
-    'Reuilly', 'Gobelins', 'Observatoire', 'Vaugirard', 'Passy', 'Batignolles', 'Butte-Montmartre', 'Buttes-Chaumont', 'Ménilmontant')[c_nationkey + 1] END AS nom
+    {QUARTERS}[c_nationkey + 1] END AS nom
     FROM customer""",
 )
 def labels_with_default(spark, sf):

@@ -12,6 +12,7 @@ from terrazzo.catalog.sqltext import (
 )
 from terrazzo.functions.classes import room_flags, surface_flags
 from terrazzo.functions.numbers import exact_avg as spark_exact_avg
+from terrazzo.functions.numbers import exact_sum as spark_exact_sum
 from terrazzo.functions.numbers import share_of
 from terrazzo.operators import aggregates, joins, windows
 from terrazzo.operators.quantiles import exact_quantiles
@@ -49,9 +50,34 @@ def agg_quantiles_signed(spark, sf):
     return exact_quantiles(rows, ("c_mktsegment",), {"q1": ("v", 0.25), "q3": ("v", 0.75)})
 
 
-@query("agg_mean", f"WITH {SALES} SELECT arrondissement, annee, {half_up(exact_avg('prix_m2', 2), 2)} AS prix_m2_moyen FROM sales GROUP BY 1, 2")
+@query(
+    "agg_quantiles_small",
+    "SELECT c_mktsegment, quantile_disc(abs(c_acctbal) / 1e8::DOUBLE, 0.25) AS q1, quantile_disc(abs(c_acctbal) / 1e8::DOUBLE, 0.75) AS q3 FROM customer GROUP BY ALL",
+)
+def agg_quantiles_small(spark, sf):
+    """Shares below a thousandth."""
+    rows = t.table(spark, sf, "customer").select("c_mktsegment", (F.abs("c_acctbal") / 1e8).alias("v"))
+    return exact_quantiles(rows, ("c_mktsegment",), {"q1": ("v", 0.25), "q3": ("v", 0.75)})
+
+
+@query(
+    "agg_sums_wide",
+    f"SELECT c_nationkey, {exact_avg('abs(c_acctbal) / 1e10::DOUBLE')} AS small_mean, {exact_sum('abs(c_acctbal) * (c_custkey + 1) * 1e6::DOUBLE')} AS large_sum, "
+    f"{half_up(exact_sum('abs(c_acctbal) * ((c_custkey + 1) * 1000000)') + ' / CAST(sum((c_custkey + 1) * 1000000) AS DOUBLE)', 2)} AS weighted FROM customer GROUP BY 1",
+)
+def agg_sums_wide(spark, sf):
+    """Means near 10^-7 and sums of prices with weights far above 10^13."""
+    balance, key = F.abs("c_acctbal"), F.col("c_custkey") + 1
+    return t.table(spark, sf, "customer").groupBy("c_nationkey").agg(
+        spark_exact_avg(balance / 1e10).alias("small_mean"),
+        spark_exact_sum(balance * key * 1e6).alias("large_sum"),
+        aggregates.weighted_mean(balance, key * 1000000).alias("weighted"),
+    )
+
+
+@query("agg_mean", f"WITH {SALES} SELECT arrondissement, annee, {half_up(exact_avg('prix_m2'), 2)} AS prix_m2_moyen FROM sales GROUP BY 1, 2")
 def agg_mean(spark, sf):
-    return t.sales(spark, sf).groupBy(*KEYS).agg(F.round(spark_exact_avg(F.col("prix_m2"), 2), 2).alias("prix_m2_moyen"))
+    return t.sales(spark, sf).groupBy(*KEYS).agg(F.round(spark_exact_avg(F.col("prix_m2")), 2).alias("prix_m2_moyen"))
 
 
 @query("agg_room_shares", f"WITH {SALES} SELECT arrondissement, annee, {ROOM_SHARES} FROM sales GROUP BY 1, 2")
@@ -89,7 +115,7 @@ def agg_multi_sum(spark, sf):
 
 @query(
     "agg_label_pivot",
-    f"WITH {CRIME} SELECT arrondissement, CAST(sum(nombre) AS INTEGER) AS taux_delinquance_global, {half_up(exact_sum('taux_pour_mille'), 1)} AS taux_delinquance_pmille, "
+    f"WITH {CRIME} SELECT arrondissement, CAST(sum(nombre) AS BIGINT) AS taux_delinquance_global, {half_up(exact_sum('taux_pour_mille'), 1)} AS taux_delinquance_pmille, "
     f"{exact_sum('CASE WHEN starts_with(indicateur, ' + chr(39) + 'CLICK' + chr(39) + ') THEN taux_pour_mille END')} AS taux_cambriolages_pmille, "
     f"{exact_sum('CASE WHEN indicateur IN (' + chr(39) + 'click' + chr(39) + ', ' + chr(39) + 'view' + chr(39) + ') THEN taux_pour_mille END')} AS taux_violences_pmille "
     "FROM crime GROUP BY 1",

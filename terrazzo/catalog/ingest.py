@@ -6,14 +6,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from terrazzo.catalog import tables as t
-from terrazzo.catalog.layers import AIR_COUNTS, AIR_LABEL_SQL, AREAS
+from terrazzo.catalog.layers import AIR_COUNTS, AIR_DELIVERED, AIR_LABEL_SQL, AREAS
 from terrazzo.catalog.registry import query
 from terrazzo.catalog.sqltext import DIM, HOUSING, INCOMES, RAW_SALES, code
 from terrazzo.functions.codes import area_codes, code_of_district
 from terrazzo.operators.filters import newest_ingestion, with_ingestion_date
 from terrazzo.operators.upserts import update_matched, upsert
 from terrazzo.plans import bronze
-from terrazzo.schemas import POLLUTANTS, RAW_AIR, RAW_HOUSING, RAW_RESIDENCES, RAW_SALES as RAW_SALES_SCHEMA
+from terrazzo.schemas import DISTRICT_FIGURES, POLLUTANTS, RAW_AIR, RAW_HOUSING, RAW_RESIDENCES, RAW_SALES as RAW_SALES_SCHEMA
 from terrazzo.session import staging_path
 from terrazzo.sources import files, sinks
 from terrazzo.sources.air import air_rows, read_air
@@ -129,8 +129,7 @@ def bronze_incomes(spark, sf):
 @query(
     "bronze_districts",
     f"WITH {AREAS} SELECT arrondissement, superficie_km2, "
-    "list_value(16266, 21559, 34576, 28088, 58850, 41100, 51765, 36808, 59895, 90372, 147476, 142327, 181556, 135964, 233484, "
-    f"165820, 167476, 195233, 184389, 196004)[arrondissement] AS population_totale, {_YMD} FROM areas",
+    f"list_value({', '.join(str(people) for _, _, people, _ in DISTRICT_FIGURES)})[arrondissement] AS population_totale, {_YMD} FROM areas",
 )
 def bronze_districts(spark, sf):
     folder = staging_path(spark, "landing")
@@ -150,8 +149,8 @@ def _air_folder(spark, sf) -> str:
 
 @query(
     "source_air_envelope",
-    f"WITH {AIR_COUNTS} SELECT {code('arrondissement')} AS insee, arrondissement, CAST(day AS VARCHAR) AS fetched_at, "
-    f"{code('arrondissement')} AS code, CAST(day AS VARCHAR) AS \"date\", {_AIR_COLUMNS} FROM air_counts",
+    f"WITH {AIR_DELIVERED} SELECT {code('arrondissement')} AS insee, arrondissement, CAST(fetched AS VARCHAR) AS fetched_at, "
+    f"{code('arrondissement')} AS code, CAST(day AS VARCHAR) AS \"date\", {_AIR_COLUMNS} FROM air_delivered",
 )
 def source_air_envelope(spark, sf):
     return air_rows(read_air(spark, f"{_air_folder(spark, sf)}/{bronze.AIR_FILE.format(date=DATE)}"))

@@ -17,15 +17,12 @@ from terrazzo.operators.aggregates import (
 from terrazzo.operators.upserts import latest_per_key
 from terrazzo.plans import bronze, reports, silver
 from terrazzo.plans import gold as gold_plan
-from terrazzo.session import staged
+from terrazzo.schemas import DISTRICT_QUARTERS
 from terrazzo.sources.reference import district_labels
 
+_LABELS = f"list_value({', '.join(repr(q) for q in DISTRICT_QUARTERS)})"
 YEAR = 1998
 DISTRICT = 7
-_QUARTERS = (
-    "Louvre,Bourse,Temple,Hôtel-de-Ville,Panthéon,Luxembourg,Palais-Bourbon,Élysée,Opéra,Entrepôt,Popincourt,"
-    "Reuilly,Gobelins,Observatoire,Vaugirard,Passy,Batignolles,Butte-Montmartre,Buttes-Chaumont,Ménilmontant"
-)
 AIR_LABEL_SQL = "list_value('Bon', 'Moyen', 'Dégradé', 'Mauvais', 'Très mauvais', 'Extrêmement mauvais')"
 _EVENTS = {"no2": "click", "o3": "error", "pm10": "purchase", "pm25": "signup", "so2": "view"}
 AIR_COUNTS = "air_counts AS (SELECT CAST(user_id % 20 + 1 AS INTEGER) AS arrondissement, CAST(ts AS DATE) AS day, " + ", ".join(
@@ -33,6 +30,12 @@ AIR_COUNTS = "air_counts AS (SELECT CAST(user_id % 20 + 1 AS INTEGER) AS arrondi
 ) + " FROM events GROUP BY ALL)"
 
 
+# a delivery holds the reading of its day and, where there is one, of the next
+AIR_DELIVERED = f"""{AIR_COUNTS}, air_delivered AS (
+  SELECT *, day AS fetched FROM air_counts
+  UNION ALL SELECT b.*, a.day FROM air_counts a JOIN air_counts b ON a.arrondissement = b.arrondissement AND b.day = a.day + 1)"""
+
+
 def text_dates(df: DataFrame) -> DataFrame:
     """Dates as text, so that both engines hand them over alike."""
     return df.withColumns({n: F.col(n).cast("string") for n, d in df.dtypes if d in ("date", "timestamp")})
@@ -98,10 +101,10 @@ _NAMES = " || ".join(f"CASE WHEN n_{p} = {_WORST} THEN ',{p}' ELSE '' END" for p
 
 @query(
     "silver_air",
-    f"WITH {AIR_COUNTS} SELECT {code('arrondissement')} AS insee, CAST(arrondissement AS SMALLINT) AS arrondissement, "
-    'CAST(day AS VARCHAR) AS "date", CAST(day AS VARCHAR) AS fetched_at, '
+    f"WITH {AIR_DELIVERED} SELECT {code('arrondissement')} AS insee, CAST(arrondissement AS SMALLINT) AS arrondissement, "
+    'CAST(day AS VARCHAR) AS "date", CAST(fetched AS VARCHAR) AS fetched_at, '
     + ", ".join(f"{AIR_LABEL_SQL}[n_{p} + 1] AS {p}" for p in _EVENTS)
-    + f", {AIR_LABEL_SQL}[n_no2 + 1] AS indice, substr({_NAMES}, 2) AS polluants_max FROM air_counts",
+    + f", {AIR_LABEL_SQL}[n_no2 + 1] AS indice, substr({_NAMES}, 2) AS polluants_max FROM air_delivered",
 )
 def silver_air(spark, sf):
     return text_dates(silver.air(t.air_envelopes(spark, sf)))
@@ -136,15 +139,19 @@ def gold_sales(spark, sf):
 )
 def gold_sales_sketched(spark, sf):
     """Sketched quantiles, each with a check that its rank is off by at most n / accuracy."""
-    accuracy = 1000
-    sales = staged(t.sales(spark, sf), "sales")
-    sketch = sale_indicators(sales, accuracy=accuracy)
-    rows = sales.join(sketch.select("arrondissement", "annee", *SALE_QUANTILES), ["arrondissement", "annee"])
-    measures = {"n": F.count("*")}
+    accuracy, keys = 1000, ["arrondissement", "annee"]
+    sales = t.sales(spark, sf)
+    sketch = sale_indicators(sales, accuracy=accuracy).select(*keys, *SALE_QUANTILES)
+    # counts of each value meet the sketches, not the sales
+    columns = list(dict.fromkeys(column for column, _ in SALE_QUANTILES.values()))
+    values = sales.unpivot(keys, [F.col(c).cast("double").alias(c) for c in columns], "measure", "value")
+    counted = values.groupBy(*keys, "measure", "value").agg(F.count("*").alias("k")).join(sketch, keys)
+    measures = {"n": F.sum(F.when(F.col("measure") == columns[0], F.col("k")))}
     for name, (column, _) in SALE_QUANTILES.items():
-        measures[f"{name}_below"] = F.count_if(F.col(column) < F.col(name))
-        measures[f"{name}_upto"] = F.count_if(F.col(column) <= F.col(name))
-    ranks = rows.groupBy("arrondissement", "annee").agg(*[m.alias(k) for k, m in measures.items()])
+        own = F.col("measure") == column
+        measures[f"{name}_below"] = F.sum(F.when(own & (F.col("value") < F.col(name)), F.col("k")).otherwise(0))
+        measures[f"{name}_upto"] = F.sum(F.when(own & (F.col("value") <= F.col(name)), F.col("k")).otherwise(0))
+    ranks = counted.groupBy(*keys).agg(*[m.alias(k) for k, m in measures.items()])
 
     def ok(name: str):
         wanted, slack = F.col("n") * SALE_QUANTILES[name][1], F.ceil(F.col("n") / accuracy)
@@ -208,16 +215,15 @@ def _weighted(value: str) -> str:
 
 @query("report_kpi", f"WITH {_KPI} SELECT * FROM kpi")
 def report_kpi(spark, sf):
-    return reports.kpi(t.gold(spark, sf, "housing", "crime", "incomes", quantiles=t.MEDIAN), t.dimension(spark, sf), YEAR)
+    return reports.kpi(t.stored_gold(spark, sf), t.dimension(spark, sf), YEAR)
 
 
 @query("report_kpi_district", f"WITH {_KPI} SELECT * FROM kpi WHERE arrondissement = {DISTRICT}")
 def report_kpi_district(spark, sf):
-    fact = t.gold(spark, sf, "housing", "crime", "incomes", quantiles=t.MEDIAN)
+    fact = t.stored_gold(spark, sf)
     return reports.kpi(fact, t.dimension(spark, sf), YEAR, district=f"751{DISTRICT:02d}")
 
 
-_LABELS = f"list_value({', '.join(repr(q) for q in _QUARTERS.split(','))})"
 
 
 def air_documents(spark, sf) -> DataFrame:
@@ -240,7 +246,7 @@ _LAST_AIR = "last AS (SELECT arrondissement, arg_max(n_no2, day) AS n FROM air_c
 )
 def report_kpi_with_air(spark, sf):
     """The later districts have no name and get the fixed label."""
-    fact = t.gold(spark, sf, "housing", "crime", "incomes", quantiles=t.MEDIAN)
+    fact = t.stored_gold(spark, sf)
     dim = t.dimension(spark, sf).withColumn("nom", F.when(F.col("arrondissement") <= 10, F.col("nom")))
     rows = reports.kpi(fact, dim, YEAR)
     return reports.kpi_with_air(rows, district_labels(spark), reports.air_labels(air_documents(spark, sf)))
@@ -252,11 +258,11 @@ _KPI_CITY = f"""{_KPI}, city AS (SELECT year, {_weighted('prix_m2_median')} AS p
     coalesce(nullif(CAST(sum(transactions_total) AS BIGINT), 0), count(*)) AS transactions_total,
     {half_up(exact_avg('taux_delinquance_global'), 2)} AS taux_delinquance_global,
     {half_up(exact_avg('taux_delinquance_pmille'), 2)} AS taux_delinquance_pmille,
-    0 AS arrondissement, 'Paris (tous arrondissements)' AS nom FROM kpi GROUP BY year)"""
+    0 AS arrondissement, 'Paris (tous arrondissements)' AS nom, 'Paris (tous arrondissements)' AS label FROM kpi GROUP BY year)"""
 
 
 def _kpi_city(spark, sf) -> DataFrame:
-    fact = t.gold(spark, sf, "housing", "crime", "incomes", quantiles=t.MEDIAN)
+    fact = t.stored_gold(spark, sf)
     return reports.kpi_city(reports.kpi(fact, t.dimension(spark, sf), YEAR))
 
 
@@ -268,15 +274,20 @@ def report_kpi_city(spark, sf):
 @query(
     "report_kpi_city_with_air",
     f"WITH {_KPI_CITY}, {AIR_COUNTS}, {_LAST_AIR} SELECT city.*, "
-    f"(SELECT {AIR_LABEL_SQL}[n + 1] FROM last ORDER BY arrondissement LIMIT 1) AS air_quality_global FROM city",
+    f"(SELECT {AIR_LABEL_SQL}[n + 1] FROM last WHERE arrondissement > 6 ORDER BY arrondissement LIMIT 1) AS air_quality_global FROM city",
 )
 def report_kpi_city_with_air(spark, sf):
-    return reports.kpi_city_with_air(_kpi_city(spark, sf), reports.air_labels(air_documents(spark, sf)))
+    """The first six codes have no label."""
+    return reports.kpi_city_with_air(_kpi_city(spark, sf), _late_labels(reports.air_labels(air_documents(spark, sf))))
+
+
+def _late_labels(labels: DataFrame) -> DataFrame:
+    return labels.withColumn("air_label", F.when(F.col("insee") > "75106", F.col("air_label")))
 
 
 def _split_sql(names: dict[str, str], where: str) -> str:
     parts = [
-        f"SELECT '{name}' AS id, value, {half_even('value / 100 * total')} AS count FROM "
+        f"SELECT '{name}' AS id, value, {half_even('value / 100 * total')} AS count, CAST(trunc(total) AS BIGINT) AS total FROM "
         f"(SELECT {exact_avg(column)} AS value, avg(nb_transactions) AS total FROM gold WHERE {where}) WHERE value IS NOT NULL"
         for name, column in names.items()
     ]
@@ -292,17 +303,17 @@ _SURFACE_IDS = {
 
 @query("report_typology", _split_sql(_ROOM_IDS, f"annee = {YEAR}"))
 def report_typology(spark, sf):
-    return reports.typology(t.gold(spark, sf, quantiles=()), YEAR)
+    return reports.typology(t.stored_gold(spark, sf), YEAR)
 
 
 @query("report_typology_district", _split_sql(_ROOM_IDS, f"annee = {YEAR} AND arrondissement = {DISTRICT}"))
 def report_typology_district(spark, sf):
-    return reports.typology(t.gold(spark, sf, quantiles=()), YEAR, DISTRICT)
+    return reports.typology(t.stored_gold(spark, sf), YEAR, DISTRICT)
 
 
 @query("report_surfaces", _split_sql(_SURFACE_IDS, f"annee = {YEAR}"))
 def report_surfaces(spark, sf):
-    return reports.surfaces(t.gold(spark, sf, quantiles=()), YEAR)
+    return reports.surfaces(t.stored_gold(spark, sf), YEAR)
 
 
 HISTORY = (
@@ -314,7 +325,7 @@ HISTORY = (
 
 @query("report_price_history", HISTORY)
 def report_price_history(spark, sf):
-    return reports.price_history(t.gold(spark, sf, quantiles=t.MEDIAN))
+    return reports.price_history(t.stored_gold(spark, sf))
 
 
 @query(
@@ -322,7 +333,7 @@ def report_price_history(spark, sf):
     f"WITH {gold()} SELECT annee AS year, prix_m2_median AS median_price_per_sqm FROM gold WHERE arrondissement = {DISTRICT}",
 )
 def report_price_history_district(spark, sf):
-    return reports.price_history(t.gold(spark, sf, quantiles=t.MEDIAN), str(DISTRICT))
+    return reports.price_history(t.stored_gold(spark, sf), str(DISTRICT))
 
 
 _STEP = "CAST(CASE WHEN prix_m2_median >= 13000 THEN 3 WHEN prix_m2_median >= 11000 THEN 2 WHEN prix_m2_median >= 9000 THEN 1 ELSE 0 END AS INTEGER)"
@@ -333,7 +344,7 @@ _STEP = "CAST(CASE WHEN prix_m2_median >= 13000 THEN 3 WHEN prix_m2_median >= 11
     f"WITH {gold()} SELECT {code('arrondissement')} AS code, prix_m2_median AS price, {_STEP} AS step FROM gold WHERE annee = {YEAR}",
 )
 def report_map_prices(spark, sf):
-    return reports.map_prices(t.gold(spark, sf, quantiles=t.MEDIAN), YEAR)
+    return reports.map_prices(t.stored_gold(spark, sf), YEAR)
 
 
 @query(
@@ -341,7 +352,8 @@ def report_map_prices(spark, sf):
     f"""WITH {gold('housing', 'incomes')}, {DIM},
     cumul AS (SELECT arrondissement, sum(coalesce(nb_logements_sociaux, 0)) AS social FROM gold GROUP BY 1),
     prev AS (SELECT arrondissement, prix_m2_median AS prev FROM gold WHERE annee = {YEAR - 1})
-    SELECT g.arrondissement, nom, prix_m2_median, {change('prix_m2_median', 'prev')} AS variation, nb_transactions,
+    SELECT g.arrondissement, CASE WHEN g.arrondissement <= 10 THEN nom ELSE g.arrondissement || 'ème arr. - ' || {_LABELS}[g.arrondissement] END AS nom,
+    prix_m2_median, {change('prix_m2_median', 'prev')} AS variation, nb_transactions,
     CASE WHEN population_2020 > 0
          THEN {half_up('coalesce(social, 0) * 100.0::DOUBLE / (population_2020 / 2.2::DOUBLE)', 1)} ELSE 0.0::DOUBLE END AS tx_logement_sociaux,
     revenu_median_arr, densite_population
@@ -349,7 +361,9 @@ def report_map_prices(spark, sf):
     WHERE g.annee = {YEAR}""",
 )
 def report_data_table(spark, sf):
-    return reports.data_table(t.gold(spark, sf, "housing", "incomes", quantiles=t.MEDIAN), t.dimension(spark, sf), YEAR)
+    """The later districts have no name and get the default label."""
+    dim = t.dimension(spark, sf).withColumn("nom", F.when(F.col("arrondissement") <= 10, F.col("nom")))
+    return reports.data_table(t.stored_gold(spark, sf), dim, YEAR)
 
 
 @query(
@@ -369,7 +383,7 @@ def report_district_list(spark, sf):
     f"surface_mediane, part_appartements FROM gold WHERE arrondissement = {DISTRICT} AND annee = {YEAR}",
 )
 def report_transactions(spark, sf):
-    return reports.transactions(t.gold(spark, sf), DISTRICT, YEAR)
+    return reports.transactions(t.stored_gold(spark, sf), DISTRICT, YEAR)
 
 
 @query(
@@ -378,7 +392,7 @@ def report_transactions(spark, sf):
     f"WHERE annee = {YEAR}",
 )
 def report_social_housing(spark, sf):
-    return reports.social_housing(t.gold(spark, sf, "housing", quantiles=()), year=YEAR)
+    return reports.social_housing(t.stored_gold(spark, sf), year=YEAR)
 
 
 @query(
@@ -386,7 +400,7 @@ def report_social_housing(spark, sf):
     f"WITH {gold('crime')} SELECT arrondissement, annee, taux_cambriolages_pmille, taux_violences_pmille, taux_delinquance_global FROM gold",
 )
 def report_crime(spark, sf):
-    return reports.crime(t.gold(spark, sf, "crime", quantiles=()))
+    return reports.crime(t.stored_gold(spark, sf))
 
 
 @query(
@@ -394,7 +408,7 @@ def report_crime(spark, sf):
     f"WITH {gold('incomes')} SELECT DISTINCT arrondissement, revenu_median_arr, indice_gini_arr, rapport_interdecile_arr FROM gold",
 )
 def report_incomes(spark, sf):
-    return reports.incomes(t.gold(spark, sf, "incomes", quantiles=()))
+    return reports.incomes(t.stored_gold(spark, sf))
 
 
 @query(
@@ -403,7 +417,7 @@ def report_incomes(spark, sf):
     "FROM gold JOIN dim USING (arrondissement)",
 )
 def report_composite(spark, sf):
-    return reports.composite(t.gold(spark, sf, "housing", "crime", "incomes"), t.dimension(spark, sf))
+    return reports.composite(t.stored_gold(spark, sf), t.dimension(spark, sf))
 
 
 @query(
@@ -419,11 +433,12 @@ def report_live_air(spark, sf):
 @query(
     "report_city_air_label",
     f"WITH {AIR_COUNTS}, last AS (SELECT arrondissement, arg_max(n_no2, day) AS n FROM air_counts GROUP BY 1) "
-    f"SELECT {code('arrondissement')} AS insee, {AIR_LABEL_SQL}[n + 1] AS air_label FROM last ORDER BY arrondissement LIMIT 1",
+    f"SELECT {code('arrondissement')} AS insee, {AIR_LABEL_SQL}[n + 1] AS air_label FROM last WHERE arrondissement > 6 ORDER BY arrondissement LIMIT 1",
 )
 def report_city_air_label(spark, sf):
+    """The first six codes have no label."""
     readings = silver.air(t.air_envelopes(spark, sf)).select("insee", "date", "indice")
     documents = latest_per_key(readings, "insee", ["date"]).select(
         "insee", F.to_json(F.struct(F.create_map("insee", F.array(F.struct("indice"))).alias("data"))).alias("document")
     )
-    return reports.city_air_label(reports.air_labels(documents))
+    return reports.city_air_label(_late_labels(reports.air_labels(documents)))

@@ -8,14 +8,13 @@ def half_up(expression: str, digits: int) -> str:
     return f"CAST(round(CAST(CAST(({expression}) AS VARCHAR) AS DECIMAL(38,20)), {digits}) AS DOUBLE)"
 
 
-def exact_sum(expression: str, digits: int = 6) -> str:
-    """Sum of whole numbers of 10^-digits."""
-    return f"(CAST(sum(CAST(round_even(CAST(({expression}) AS DOUBLE) * {10**digits}, 0) AS BIGINT)) AS DOUBLE) / {float(10**digits)}::DOUBLE)"
+def exact_sum(expression: str) -> str:
+    """Sum of decimals of twelve places; a double goes through its text, so that both engines round the same digits."""
+    return f"CAST(sum(CAST(CAST(({expression}) AS VARCHAR) AS DECIMAL(38,12))) AS DOUBLE)"
 
 
-def exact_avg(expression: str, digits: int = 6) -> str:
-    total = f"CAST(sum(CAST(round_even(CAST(({expression}) AS DOUBLE) * {10**digits}, 0) AS BIGINT)) AS DOUBLE)"
-    return f"({total} / nullif(count({expression}) * {float(10**digits)}::DOUBLE, 0))"
+def exact_avg(expression: str) -> str:
+    return f"({exact_sum(expression)} / nullif(CAST(count({expression}) AS DOUBLE), 0))"
 
 
 def half_even(expression: str) -> str:
@@ -98,7 +97,7 @@ SURFACE_SHARES = ", ".join(f"{share(c)} AS {n}" for n, c in SURFACES.items())
 
 G_SALES = f"""g_sales AS (
   SELECT arrondissement, annee, count(*) AS nb_transactions,
-         quantile_disc(prix_m2, 0.5) AS prix_m2_median, {half_up(exact_avg('prix_m2', 2), 2)} AS prix_m2_moyen,
+         quantile_disc(prix_m2, 0.5) AS prix_m2_median, {half_up(exact_avg('prix_m2'), 2)} AS prix_m2_moyen,
          quantile_disc(prix_m2, 0.25) AS prix_m2_q1, quantile_disc(prix_m2, 0.75) AS prix_m2_q3,
          quantile_disc(surface_reelle_bati, 0.5) AS surface_mediane, {ROOM_SHARES}, {SURFACE_SHARES},
          {half_up("nullif(count(*) FILTER (type_local = 'Appartement'), 0) / count(*) * 100", 2)} AS part_appartements
@@ -113,7 +112,7 @@ G_HOUSING = """g_housing AS (
 _BURGLARY = "CASE WHEN contains(indicateur, 'purchase') THEN taux_pour_mille END"
 _VIOLENT = "CASE WHEN contains(indicateur, 'error') OR contains(indicateur, 'sign') THEN taux_pour_mille END"
 G_CRIME = f"""g_crime AS (
-  SELECT arrondissement, CAST(annee AS INTEGER) AS annee, CAST(sum(nombre) AS INTEGER) AS taux_delinquance_global,
+  SELECT arrondissement, CAST(annee AS INTEGER) AS annee, CAST(sum(nombre) AS BIGINT) AS taux_delinquance_global,
          {half_up(exact_sum('taux_pour_mille'), 1)} AS taux_delinquance_pmille,
          {exact_sum(_BURGLARY)} AS taux_cambriolages_pmille,
          {exact_sum(_VIOLENT)} AS taux_violences_pmille

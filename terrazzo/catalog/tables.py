@@ -179,7 +179,11 @@ def air_envelopes(spark: SparkSession, sf: str) -> DataFrame:
             label("no2").alias("indice"),
         ).alias("reading"),
     )
-    per_code = readings.groupBy("arrondissement", "day").agg(F.collect_list("reading").alias("readings"))
+    # the reading of the day and, where there is one, of the next
+    following = readings.select("arrondissement", F.date_sub("day", 1).alias("day"), F.col("reading").alias("following"))
+    per_code = readings.join(following, ["arrondissement", "day"], "left").select(
+        "arrondissement", "day", F.array_compact(F.array("reading", "following")).alias("readings")
+    )
     code = code_of_district("arrondissement")
     return per_code.groupBy("day").agg(
         F.count("*").cast("int").alias("nb_ok"),
@@ -230,22 +234,26 @@ def incomes(spark: SparkSession, sf: str) -> DataFrame:
     return silver.incomes(raw_incomes(spark, sf))
 
 
-MEDIAN = ("prix_m2_median",)
-
-
 def gold(spark: SparkSession, sf: str, *parts: str, quantiles: tuple[str, ...] = tuple(SALE_QUANTILES)) -> DataFrame:
-    """The gold table with the named parts besides sales and the named quantiles.
-
-    The cleaned sales are written first, as the silver layer always is, where exact quantiles
-    read them more than once.
-    """
+    """The gold table with the named parts besides sales and the named quantiles."""
     others = {"housing": housing, "crime": crime, "incomes": incomes}
     needed = sales(spark, sf).select(
         "arrondissement", "annee", "type_local", "nombre_pieces_principales", "surface_reelle_bati", "prix_m2"
     )
     return gold_plan.gold(
-        staged(needed, "sales") if quantiles else needed,
+        needed,
         **{p: others[p](spark, sf) for p in parts},
         quantiles={name: SALE_QUANTILES[name] for name in quantiles},
         **({"burglary": BURGLARY, "violence": VIOLENCE} if "crime" in parts else {}),
     )
+
+
+_stored: dict[tuple[str, str], DataFrame] = {}
+
+
+def stored_gold(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole gold table, built once for an application and read by all reports, as the gold layer is."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _stored:
+        _stored[key] = staged(gold(spark, sf, "housing", "crime", "incomes"), "gold")
+    return _stored[key]

@@ -57,7 +57,8 @@ def district_of_request(text: Column | str) -> Column:
 def parse_district(request: str | int | None) -> int | None:
     """The same rule for one argument of a report."""
     text = "" if request is None else str(request).strip()
-    if not text.lstrip("+").isdigit():
+    digits = text.lstrip("+")
+    if not (digits.isascii() and digits.isdigit()):
         return None
     number = int(text)
     if CODE_BASE + FIRST_DISTRICT <= number <= CODE_BASE + LAST_DISTRICT:

@@ -34,20 +34,19 @@ def share_of(flag: Column) -> Column:
     return F.round(F.avg(F.when(flag, 1).otherwise(0)) * 100, 2)
 
 
-def scaled(value: Column, digits: int) -> Column:
-    """The value as a whole number of 10^-digits."""
-    return F.rint(value.cast("double") * 10**digits).cast("long")
+#: holds a total of 10^26 and parts of 10^-12
+WIDE = "decimal(38,12)"
 
 
-def exact_sum(value: Column, digits: int = 6) -> Column:
+def exact_sum(value: Column) -> Column:
     """Aggregate: sum that does not depend on the order of rows.
 
-    Adds whole numbers of 10^-digits, so a total that ends in a half always rounds the same way.
-    Totals may reach 9.2e18 * 10^-digits; beyond, ANSI mode raises instead of wrapping.
+    Adds decimals of twelve places, so a total that ends in a half always rounds the same way and values near 10^-7 count.
+    Beyond 10^26, ANSI mode raises instead of wrapping.
     """
-    return F.sum(scaled(value, digits)) / F.lit(float(10**digits))
+    return F.sum(value.cast(WIDE)).cast("double")
 
 
-def exact_avg(value: Column, digits: int = 6) -> Column:
+def exact_avg(value: Column) -> Column:
     """Aggregate: mean that does not depend on the order of rows."""
-    return F.try_divide(F.sum(scaled(value, digits)).cast("double"), F.count(value) * F.lit(float(10**digits)))
+    return F.try_divide(exact_sum(value), F.count(value).cast("double"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from terrazzo.functions.classes import room_flags, surface_flags
 from terrazzo.functions.codes import in_city
-from terrazzo.functions.numbers import exact_avg, exact_sum, share_of
+from terrazzo.functions.numbers import WIDE, exact_avg, exact_sum, share_of
 from terrazzo.operators.filters import contains_any
 from terrazzo.operators.quantiles import exact_quantiles
 from terrazzo.schemas import GOLD_KEY
@@ -29,7 +29,7 @@ def sale_measures() -> dict[str, Column]:
     kept = F.count_if(F.col("type_local") == "Appartement")
     return {
         "nb_transactions": F.count("*"),
-        "prix_m2_moyen": F.round(exact_avg(F.col("prix_m2"), 2), 2),
+        "prix_m2_moyen": F.round(exact_avg(F.col("prix_m2")), 2),
         **{name: share_of(flag) for name, flag in room_flags(F.col("nombre_pieces_principales")).items()},
         **{name: share_of(flag) for name, flag in surface_flags(F.col("surface_reelle_bati")).items()},
         # null, not zero, where the category is absent
@@ -46,8 +46,7 @@ def sale_indicators(
     """Counts, mean, quantiles and shares of sales; `quantiles` may name fewer, or none.
 
     With `accuracy` the quantiles are sketched in the same pass (`percentile_approx`, one sketch
-    per column). Without it they are exact, at the price of two more passes over the two measured
-    columns; see `exact_quantiles`.
+    per column). Without it they are exact, from counts of each distinct value; see `exact_quantiles`.
     """
     measures = [column.alias(name) for name, column in sale_measures().items()]
     if accuracy is None:
@@ -102,7 +101,7 @@ def crime_rates(
     """
     label, rate = F.col("indicateur"), F.col("taux_pour_mille")
     return crime.groupBy(*keys).agg(
-        exact_sum(F.col("nombre")).try_cast("int").alias("taux_delinquance_global"),
+        F.sum(F.col("nombre").cast(WIDE)).cast("bigint").alias("taux_delinquance_global"),
         F.round(exact_sum(rate), 1).alias("taux_delinquance_pmille"),
         exact_sum(F.when(contains_any(label, burglary, ignore_case), rate)).alias("taux_cambriolages_pmille"),
         exact_sum(F.when(contains_any(label, violence, ignore_case), rate)).alias("taux_violences_pmille"),

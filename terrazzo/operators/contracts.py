@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,7 +16,7 @@ def duplicate_keys(df: DataFrame, *key: str) -> DataFrame:
 
 def orphans(df: DataFrame, parent: DataFrame, column: str, parent_key: str) -> DataFrame:
     """Rows whose foreign key has no parent. A null key is not an orphan."""
-    keys = parent.select(F.col(parent_key).alias("_parent")).distinct()
+    keys = parent.select(F.col(parent_key).alias("_parent"))
     return df.filter(F.col(column).isNotNull()).join(keys, F.col(column) == F.col("_parent"), "left_anti")
 
 
@@ -58,15 +58,38 @@ def require(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     return df
 
 
-def evolved(df: DataFrame, schema: T.StructType, defaults: dict[str, object] = {}) -> DataFrame:
+def evolved(df: DataFrame, schema: T.StructType, defaults: dict[str, object] = {}, strict: bool = True) -> DataFrame:
     """Cast to the schema in its column order, adding missing columns with their default or null.
 
-    A value that does not fit becomes null; check with `fits_schema` first.
+    A value that does not fit raises in the pass that reads it, naming its column. With `strict=False` it becomes
+    null; count such values with `misfits` first.
     """
     have = set(df.columns)
-    return df.select(
-        *[
-            (F.col(f.name).try_cast(f.dataType) if f.name in have else F.lit(defaults.get(f.name)).cast(f.dataType)).alias(f.name)
-            for f in schema
-        ]
-    )
+
+    def cast(f: T.StructField) -> Column:
+        if f.name not in have:
+            return F.lit(defaults.get(f.name)).cast(f.dataType)
+        value = F.col(f.name)
+        if not strict:
+            return value.try_cast(f.dataType)
+        says = F.concat(F.lit(f"{f.name} does not fit {f.dataType.simpleString()}: "), value.cast("string"))
+        return F.when(fits(value, f.dataType), value.try_cast(f.dataType)).otherwise(F.raise_error(says).cast(f.dataType))
+
+    return df.select(*[cast(f).alias(f.name) for f in schema])
+
+
+def misfits(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Number of values of each column that do not fit its declared type."""
+    have = set(df.columns)
+    return violations(df, fits_schema(T.StructType([f for f in schema if f.name in have])))
+
+
+def unique(df: DataFrame, *key: str) -> DataFrame:
+    """The table, raising in the pass that reads it where a key stands more than once.
+
+    For tables of one row per key, such as gold: their rows are counted in a window over the key.
+    """
+    times = F.count("*").over(Window.partitionBy(*key))
+    says = F.concat(F.lit(f"more than one row for {', '.join(key)}: "), F.to_json(F.struct(*key)))
+    checked = F.when(F.col("_times") == 1, F.lit(True)).otherwise(F.raise_error(says).cast("boolean"))
+    return df.withColumn("_times", times).filter(checked).drop("_times")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -46,15 +47,16 @@ def on_ingestion_date(df: DataFrame, date: str) -> DataFrame:
     return matching(df, **dict(zip(INGESTION_DATE, date.split("-"))))
 
 
+_DATE = re.compile("/".join(f"{c}=([^/]*)" for c in INGESTION_DATE) + "/")
+
+
 def newest_ingestion(df: DataFrame) -> DataFrame:
-    """Keep the newest ingestion date of a partitioned table.
+    """Keep the newest ingestion date of a table read from partitioned files.
 
-    The newest date comes from a one-row aggregate over partition columns only and is
-    joined back, which Spark turns into dynamic partition pruning.
+    The dates are those of the table's file listing, which Spark holds already: no data are read to find the
+    newest, and the scan that follows reads its files only.
     """
-    date = F.concat_ws("-", *INGESTION_DATE)
-    newest = df.agg(F.max(date).alias("_newest")).select(
-        *[F.split("_newest", "-")[i].alias(f"_{c}") for i, c in enumerate(INGESTION_DATE)]
-    )
-    same = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_{c}") for c in INGESTION_DATE])
-    return df.join(newest, same, "left_semi")
+    dates = {m.groups() for m in map(_DATE.search, df.inputFiles()) if m}
+    if not dates:
+        return df.limit(0)
+    return matching(df, **dict(zip(INGESTION_DATE, max(dates))))

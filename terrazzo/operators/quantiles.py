@@ -7,89 +7,89 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrazzo.session import staged
 
+RESOLUTION = 256
+#: bands of zero to the largest double, on each side
+_SIDE = 2200 * RESOLUTION
+#: distinct values of a band from which it is split again
+SPLIT = 100_000
 
-def value_band(value: Column, resolution: int = 256) -> Column:
+
+def value_band(value: Column) -> Column:
     """Number of the value's band. Larger values never get a smaller number.
 
-    Bands are logarithmic (relative width about 1/resolution), so every double falls in one of
-    a bounded number of them whatever the data.
+    Bands are logarithmic at every magnitude (relative width about 1/370), zero has its own, and infinities are
+    the outermost ones, so every double falls in one of a bounded number of them.
     """
-    return F.floor(F.signum(value) * F.log1p(F.abs(value)) * resolution).cast("int")
+    size = F.floor(F.log2(F.abs(value)) * RESOLUTION).cast("int") + F.lit(1100 * RESOLUTION)
+    band = F.when(value == 0, 0).when(F.abs(value) == float("inf"), _SIDE).otherwise(size)
+    return F.when(value < 0, -band).otherwise(band)
 
 
-def exact_quantiles(
-    df: DataFrame,
-    keys: tuple[str, ...],
-    wanted: dict[str, tuple[str, float]],
-    resolution: int = 256,
-) -> DataFrame:
+def exact_quantiles(df: DataFrame, keys: tuple[str, ...], wanted: dict[str, tuple[str, float]], split: int = SPLIT) -> DataFrame:
     """Exact discrete quantiles per group; `wanted` maps an output name to (column, probability).
 
-    The quantile is the smallest value with at least `probability` of the group's values at or
-    below it. No task ever holds a group:
-
-    1. Count rows per (group, band). Map-side combining leaves one small row per band and task,
-       and a running total over the bands tells in which band each wanted rank lies.
-    2. Count rows per value, in those bands only, and take the value at the rank left over.
+    The quantile is the smallest value with at least `probability` of the group's values at or below it. No task
+    ever holds a group:
 
-    A task of the second pass holds the distinct values of one band. Measures rounded to cents have
-    some thousands at most; for measures with many more digits raise `resolution`.
+    1. Count rows per (group, value). Map-side combining leaves one small row per distinct value and task.
+    2. Add the counts up per band of values; a band of more than `split` distinct values is cut again, evenly between its least
+       and largest value. Running totals over the bands tell in which one each wanted rank lies.
+    3. Take the value at the rank left over, among the values of those bands only.
 
-    The table of wanted bands (at most one row per group and probability) is written below the
-    shared folder between the passes, which runs the first one here. So its true size is known when
-    Spark decides between a broadcast and a sort-merge join, and the rows are not shuffled for a
-    table that turns out small.
-    """
+    Null and NaN are no values. Everything is one lazy plan: its source is scanned once, as both later steps read
+    the exchange of the first.
+    """  # noqa: E501
     columns = list(dict.fromkeys(column for column, _ in wanted.values()))
     measure = {column: number for number, column in enumerate(columns)}
     ranks = {name: f"_rank{i}" for i, name in enumerate(wanted)}
+    group = [*keys, "_m"]
+
+    def joined(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+        """Inner join in which null keys form a group of their own, as in any grouping."""
+        renamed = right.select(*[F.col(c).alias(f"_r_{c}") for c in on], *[c for c in right.columns if c not in on])
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in on])
+        return left.join(renamed, same).drop(*[f"_r_{c}" for c in on])
 
     doubles = [F.col(c).cast("double").alias(str(measure[c])) for c in columns]
-    long = (
+    counts = (
         df.unpivot(list(keys), doubles, "_m", "_v")
         .filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-        .select(*keys, F.col("_m").cast("int").alias("_m"), "_v", value_band(F.col("_v"), resolution).alias("_band"))
-    )
-
-    group = Window.partitionBy(*keys, "_m")
-    running = group.orderBy("_band").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    bands = (
-        long.groupBy(*keys, "_m", "_band")
+        # one zero: the negative one is equal but not the same
+        .select(*keys, F.col("_m").cast("int").alias("_m"), F.when(F.col("_v") == 0, 0.0).otherwise(F.col("_v")).alias("_v"))
+        .groupBy(*group, "_v")
         .agg(F.count("*").alias("_n"))
-        .withColumns({"_upto": F.sum("_n").over(running), "_all": F.sum("_n").over(group)})
+        .withColumn("_band", value_band(F.col("_v")))
+    )
+    bands = counts.groupBy(*group, "_band").agg(
+        F.ceil(F.count("_n") / split).alias("_cuts"), F.min("_v").alias("_low"), F.max("_v").alias("_high")
+    )
+    place = (F.col("_v") - F.col("_low")) / (F.col("_high") - F.col("_low"))
+    cut = F.when(F.col("_cuts") > 1, F.least(F.floor(place * F.col("_cuts")), F.col("_cuts") - 1)).otherwise(F.lit(0)).cast("long")
+    fine = joined(counts, bands, [*group, "_band"]).withColumn("_cut", cut).drop("_cuts", "_low", "_high")
+
+    whole = Window.partitionBy(*group)
+    running = whole.orderBy("_band", "_cut").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    steps = (
+        fine.groupBy(*group, "_band", "_cut")
+        .agg(F.sum("_n").alias("_n"))
+        .withColumns({"_upto": F.sum("_n").over(running), "_all": F.sum("_n").over(whole)})
     )
 
-    def rank_in_band(name: str) -> Column:
+    def rank_in_step(name: str) -> Column:
         column, probability = wanted[name]
         rank = F.greatest(F.lit(1), F.ceil(F.lit(float(probability)) * F.col("_all")))
         before = F.col("_upto") - F.col("_n")
         hit = (F.col("_m") == measure[column]) & (rank > before) & (rank <= F.col("_upto"))
         return F.when(hit, rank - before)
 
-    targets = staged(
-        bands.select(*keys, "_m", "_band", *[rank_in_band(n).alias(r) for n, r in ranks.items()]).filter(
-            F.coalesce(*ranks.values()).isNotNull()
-        ),
-        "quantile-bands",
-    )
-
-    # null keys form a group of their own, as in any grouping
-    t = targets.select(*[F.col(c).alias(f"_t_{c}") for c in (*keys, "_m", "_band")], *ranks.values())
-    own = [F.col(c) == F.col(f"_t_{c}") for c in ("_m", "_band")]
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in keys], own[0] & own[1])
-    values = (
-        long.join(t, same)
-        .groupBy(*keys, "_m", "_band", "_v")
-        .agg(F.count("*").alias("_n"), *[F.first(r).alias(r) for r in ranks.values()])
+    targets = steps.select(*group, "_band", "_cut", *[rank_in_step(n).alias(r) for n, r in ranks.items()]).filter(
+        F.coalesce(*ranks.values()).isNotNull()
     )
     within = (
-        Window.partitionBy(*keys, "_m", "_band")
-        .orderBy("_v")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        Window.partitionBy(*group, "_band", "_cut").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    placed = values.withColumn("_upto", F.sum("_n").over(within))
+    placed = joined(fine, targets, [*group, "_band", "_cut"]).withColumn("_upto", F.sum("_n").over(within))
 
     def at_rank(name: str) -> Column:
         rank = F.col(ranks[name])

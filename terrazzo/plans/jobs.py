@@ -13,12 +13,13 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrazzo.errors import IngestionError
-from terrazzo.operators.contracts import evolved
+from terrazzo.errors import ConfigurationError, IngestionError
+from terrazzo.operators.aggregates import BURGLARY_TERMS, VIOLENCE_TERMS
+from terrazzo.operators.contracts import evolved, unique
 from terrazzo.operators.filters import matching, newest_ingestion, on_ingestion_date
 from terrazzo.plans import bronze, gold, silver
 from terrazzo.plans.runs import recorded
-from terrazzo.schemas import GOLD, INGESTION_DATE, SILVER
+from terrazzo.schemas import GOLD, GOLD_KEY, INGESTION_DATE, SILVER
 from terrazzo.session import build_session
 from terrazzo.sources.files import read_ingestion, read_layer, required
 from terrazzo.sources.sinks import update_jdbc, write_dated, write_jdbc
@@ -71,15 +72,25 @@ def silver_table(spark: SparkSession, root: str, table: str, date: str | None, y
 
 
 def build_gold(
-    spark: SparkSession, root: str, date: str | None = None, year: int | None = None, accuracy: int | None = None
+    spark: SparkSession,
+    root: str,
+    date: str | None = None,
+    year: int | None = None,
+    accuracy: int | None = None,
+    **crime_options,
 ) -> DataFrame:
-    """The gold table from the silver tables, in its declared types."""
+    """The gold table from the silver tables, in its declared types.
+
+    The pass that writes it raises where a value does not fit its type or a district and year stand twice.
+    `crime_options`: burglary, violence (terms looked for in the labels), ignore_case.
+    """
     fact = gold.gold(
         *[silver_table(spark, root, name, date, year) for name in ("transactions", "logements_sociaux", "delinquance")],
         silver_table(spark, root, "revenus", date),
         accuracy=accuracy,
+        **crime_options,
     )
-    return evolved(fact.withColumn("computed_at", F.current_timestamp()), GOLD)
+    return unique(evolved(fact.withColumn("computed_at", F.current_timestamp()), GOLD), *GOLD_KEY)
 
 
 def dimension_updates(spark: SparkSession, root: str, date: str | None = None) -> list[DataFrame]:
@@ -104,13 +115,19 @@ def run_gold(
     accuracy: int | None = None,
     mode: str = "overwrite",
     runs: str | None = None,
+    crime_options: dict | None = None,
     **properties: str,
 ) -> None:
-    """Update the dimension and write the gold table over JDBC."""
+    """Update the dimension and write the gold table over JDBC.
+
+    Overwriting with one year would leave no other year in the table, so the two together are refused.
+    """
+    if year is not None and mode == "overwrite":
+        raise ConfigurationError("one year cannot overwrite the whole table: give the write mode append")
     with recorded(spark, runs, "gold", "all", "gold") as run:
         for updates in dimension_updates(spark, root, date):
             update_jdbc(updates, url, dimension, "arrondissement", **properties)
-        write_jdbc(run.writes(build_gold(spark, root, date, year, accuracy)), url, table, mode, **properties)
+        write_jdbc(run.writes(build_gold(spark, root, date, year, accuracy, **(crime_options or {}))), url, table, mode, **properties)
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -139,10 +156,14 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     builds.add_argument("--jdbc-table", default="indicateurs_gold")
     builds.add_argument("--jdbc-dimension", default="arrondissements")
     builds.add_argument("--date", default=None, help="ingestion date to read, the newest by default")
-    builds.add_argument("--annee", type=int, default=None, help="one year; overwriting then leaves that year only")
+    builds.add_argument("--annee", type=int, default=None, help="one year, to be appended")
     builds.add_argument("--accuracy", type=int, default=None, help="sketch quantiles instead of computing them exactly")
     builds.add_argument("--write-mode", choices=["overwrite", "append"], default="overwrite")
 
+    builds.add_argument("--burglary-terms", nargs="+", default=BURGLARY_TERMS, help="terms of burglary labels")
+    builds.add_argument("--violence-terms", nargs="+", default=VIOLENCE_TERMS, help="terms of violence labels")
+    builds.add_argument("--ignore-case", action="store_true", help="find the terms in either letter case")
+
     for job in (feeds, refines, builds):
         job.add_argument("--runs-path", default=None, help="folder of the run log")
     return parser.parse_args(argv)
@@ -162,6 +183,7 @@ def main(argv: list[str] | None = None) -> None:
         run_gold(
             spark, args.silver_path, args.jdbc_url, args.jdbc_table, args.jdbc_dimension, args.date, args.annee,
             args.accuracy, args.write_mode, args.runs_path,
+            {"burglary": args.burglary_terms, "violence": args.violence_terms, "ignore_case": args.ignore_case},
             user=args.jdbc_user, password=args.jdbc_password, driver=args.jdbc_driver,
         )
 

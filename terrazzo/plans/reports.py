@@ -15,6 +15,7 @@ from terrazzo.operators.filters import matching
 from terrazzo.operators.joins import with_dimension, with_label
 from terrazzo.operators.windows import all_years_total, running_total, yearly_change
 from terrazzo.schemas import ROOM_CLASSES, SURFACE_CLASSES
+from terrazzo.sources.reference import district_labels
 
 CITY = "Paris (tous arrondissements)"
 PERSONS_PER_DWELLING = 2.2
@@ -87,7 +88,7 @@ def kpi_city(rows: DataFrame) -> DataFrame:
             simple_mean(F.col("taux_delinquance_global")).alias("taux_delinquance_global"),
             simple_mean(F.col("taux_delinquance_pmille")).alias("taux_delinquance_pmille"),
         )
-        .withColumns({"arrondissement": F.lit(0), "nom": F.lit(CITY)})
+        .withColumns({"arrondissement": F.lit(0), "nom": F.lit(CITY), "label": F.lit(CITY)})
     )
 
 
@@ -104,16 +105,18 @@ def _split(gold: DataFrame, classes: list[tuple[str, str]], year: int, district:
     long = means.filter(F.col(first).isNotNull()).unpivot(["_total"], [name for name, _ in classes], "id", "value")
     value, total = F.coalesce("value", F.lit(0.0)), F.coalesce("_total", F.lit(0.0))
     # ties go to the even count
-    return long.select("id", value.alias("value"), F.bround(value / 100 * total, 0).cast("long").alias("count"))
+    return long.select(
+        "id", value.alias("value"), F.bround(value / 100 * total, 0).cast("long").alias("count"), total.cast("long").alias("total")
+    )
 
 
 def typology(gold: DataFrame, year: int, district: str | int | None = None) -> DataFrame:
-    """Mean share per room class and the number of sales it stands for."""
+    """Mean share per room class, the number of sales it stands for, and the mean number of all sales."""
     return _split(gold, list(ROOM_CLASSES), year, district)
 
 
 def surfaces(gold: DataFrame, year: int, district: str | int | None = None) -> DataFrame:
-    """Mean share per surface class and the number of sales it stands for."""
+    """Mean share per surface class, the number of sales it stands for, and the mean number of all sales."""
     return _split(gold, [(name, column) for name, column, _, _ in SURFACE_CLASSES], year, district)
 
 
@@ -150,7 +153,7 @@ def map_prices(gold: DataFrame, year: int) -> DataFrame:
 
 
 def data_table(gold: DataFrame, dimension: DataFrame, year: int) -> DataFrame:
-    """Summary table of a year. Its social rate differs from `kpi`: dwellings of all years over
+    """Summary table of a year; a district without a name gets its default label. The social rate differs from `kpi`: dwellings of all years over
     dwellings estimated from the population."""
     rows = gold.select(
         "arrondissement",
@@ -162,11 +165,12 @@ def data_table(gold: DataFrame, dimension: DataFrame, year: int) -> DataFrame:
         all_years_total("nb_logements_sociaux").alias("_social"),
     ).filter(F.col("annee") == year)
     dwellings = F.col("population_2020") / F.lit(PERSONS_PER_DWELLING)
+    named = district_labels(gold.sparkSession).withColumnRenamed("nom", "_default")
     return (
-        with_dimension(rows, dimension, ["nom", "population_2020", "densite_population"])
+        with_label(with_dimension(rows, dimension, ["nom", "population_2020", "densite_population"]), named, name="_default")
         .select(
             "arrondissement",
-            "nom",
+            F.coalesce(F.nullif("nom", F.lit("")), "_default").alias("nom"),
             "prix_m2_median",
             "variation",
             "nb_transactions",
@@ -240,7 +244,6 @@ def air_labels(documents: DataFrame) -> DataFrame:
     return documents.select("insee", document_label(F.col("document")).alias("air_label"))
 
 
-def city_air_label(labels: DataFrame, looked_at: int = 5) -> DataFrame:
-    """The first label found among the first few codes."""
-    first = labels.orderBy("insee").limit(looked_at)
-    return first.filter(F.col("air_label").isNotNull()).orderBy("insee").limit(1)
+def city_air_label(labels: DataFrame) -> DataFrame:
+    """The first label found, in the order of codes."""
+    return labels.filter(F.col("air_label").isNotNull()).orderBy("insee").limit(1)

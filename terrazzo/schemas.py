@@ -14,7 +14,7 @@ def _strings(*names: str) -> T.StructType:
     return struct(*[(n, T.StringType()) for n in names])
 
 
-_S, _I, _H, _D = T.StringType(), T.IntegerType(), T.ShortType(), T.DoubleType()
+_S, _I, _H, _D, _L = T.StringType(), T.IntegerType(), T.ShortType(), T.DoubleType(), T.LongType()
 
 INGESTION_DATE = ("ingestion_year", "ingestion_month", "ingestion_day")
 INGESTION_FIELDS = [T.StructField(c, T.StringType(), True) for c in INGESTION_DATE]
@@ -41,7 +41,7 @@ RAW_AIR = struct(
     ("erreurs", T.ArrayType(_strings("insee", "error"))),
 )
 
-# numeric columns of the income files, in their source order; a file may lack some
+# fixed values: numeric columns of the income files, in their source order; a file may lack some
 INCOME_COLUMNS = (
     "DEC_MED18", "DEC_Q118", "DEC_Q318", "DEC_GI18", "DEC_RD18",
     "DEC_D118", "DEC_D218", "DEC_D318", "DEC_D418", "DEC_D518",
@@ -79,19 +79,19 @@ SILVER = {
     "residences_principales": SILVER_RESIDENCES,
 }
 
-# ---- gold ------------------------------------------------------------------------------
+# ---- gold: fixed column names; counts and totals are wide enough for any number of rows ------------------------------------------------------------------------------
 GOLD_KEY = ("arrondissement", "annee")
 GOLD = struct(
     ("arrondissement", _H), ("annee", _H),
-    ("nb_transactions", _I),
-    ("prix_m2_median", T.DecimalType(10, 2)), ("prix_m2_moyen", T.DecimalType(10, 2)),
-    ("prix_m2_q1", T.DecimalType(10, 2)), ("prix_m2_q3", T.DecimalType(10, 2)),
-    ("surface_mediane", T.DecimalType(8, 2)), ("part_appartements", T.DecimalType(5, 2)),
-    ("nb_logements_sociaux", _I), ("nb_plai", _I), ("nb_plus_pluscd", _I), ("nb_pls", _I),
-    ("taux_logements_sociaux", T.DecimalType(6, 2)),
-    ("taux_cambriolages_pmille", T.DecimalType(8, 3)), ("taux_violences_pmille", T.DecimalType(8, 3)),
-    ("taux_delinquance_global", _I), ("taux_delinquance_pmille", T.DecimalType(8, 1)),
-    ("revenu_median_arr", T.DecimalType(10, 2)), ("indice_gini_arr", T.DecimalType(6, 4)),
+    ("nb_transactions", _L),
+    ("prix_m2_median", T.DecimalType(18, 2)), ("prix_m2_moyen", T.DecimalType(18, 2)),
+    ("prix_m2_q1", T.DecimalType(18, 2)), ("prix_m2_q3", T.DecimalType(18, 2)),
+    ("surface_mediane", T.DecimalType(18, 2)), ("part_appartements", T.DecimalType(5, 2)),
+    ("nb_logements_sociaux", _L), ("nb_plai", _L), ("nb_plus_pluscd", _L), ("nb_pls", _L),
+    ("taux_logements_sociaux", T.DecimalType(18, 2)),
+    ("taux_cambriolages_pmille", T.DecimalType(18, 3)), ("taux_violences_pmille", T.DecimalType(18, 3)),
+    ("taux_delinquance_global", _L), ("taux_delinquance_pmille", T.DecimalType(18, 1)),
+    ("revenu_median_arr", T.DecimalType(18, 2)), ("indice_gini_arr", T.DecimalType(6, 4)),
     ("rapport_interdecile_arr", T.DecimalType(6, 2)),
     ("part_studio_t1", T.DecimalType(5, 2)), ("part_t2", T.DecimalType(5, 2)),
     ("part_t3", T.DecimalType(5, 2)), ("part_t4", T.DecimalType(5, 2)), ("part_t5_plus", T.DecimalType(5, 2)),
@@ -116,12 +116,12 @@ RUNS = struct(
 )
 
 # ---- class boundaries ------------------------------------------------------------------
-# room classes in their reporting order, with the gold column that holds the share
+# fixed values: room classes in their reporting order, with the gold column that holds the share
 ROOM_CLASSES = (
     ("studio_t1", "part_studio_t1"), ("t2", "part_t2"), ("t3", "part_t3"),
     ("t4", "part_t4"), ("t5_plus", "part_t5_plus"),
 )
-# surface classes [low, high) in m2, with the gold column that holds the share
+# fixed values: surface classes [low, high) in m2, with the gold column that holds the share
 SURFACE_CLASSES = (
     ("lt_20", "part_surf_lt20", None, 20), ("bt_20_40", "part_surf_20_40", 20, 40),
     ("bt_40_60", "part_surf_40_60", 40, 60), ("bt_60_80", "part_surf_60_80", 60, 80),

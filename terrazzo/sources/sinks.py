@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terrazzo.operators.upserts import one_per_key
 from terrazzo.operators.filters import with_ingestion_date
 from terrazzo.schemas import INGESTION_DATE
 
@@ -59,7 +60,7 @@ def update_jdbc(updates: DataFrame, url: str, table: str, key: str, **properties
     the database then joins them itself, so tables that refer to this one stay as they are.
     """
     landed = f"{table}_updates"
-    write_jdbc(updates, url, landed, **properties)
+    write_jdbc(one_per_key(updates, key, None), url, landed, **properties)
     statement = update_statement(table, landed, key, [c for c in updates.columns if c != key])
     reader = updates.sparkSession.read.format("jdbc")
     # the statement runs when the session of this small read is opened
