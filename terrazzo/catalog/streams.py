@@ -19,7 +19,6 @@ from terrazzo.session import staging_path
 from terrazzo.streaming import live
 
 MESSAGE = struct(("insee", T.StringType()), ("event_id", T.LongType()), ("label", T.StringType()))
-STORED = T.StructType([*MESSAGE.fields, T.StructField("inserted_at", T.TimestampType())])
 NOW = {"availableNow": True}
 
 
@@ -44,11 +43,9 @@ def _land(df: DataFrame, path: str) -> None:
 
 def _consumed(spark, landed: str, base: str) -> None:
     stream = live.read_landed(spark, landed, struct(("event_id", T.LongType()), ("value", T.StringType())))
-    started = live.consume(
+    live.consume(
         stream.select("value"), MESSAGE, "insee", ["event_id"], f"{base}/table", f"{base}/rejects", f"{base}/checkpoint", NOW
-    )
-    for q in started:
-        q.awaitTermination()
+    ).awaitTermination()
 
 
 _GOOD = "event_type NOT IN ('error', 'signup')"
@@ -79,7 +76,7 @@ def stream_latest(spark, sf):
     base = staging_path(spark, "stream")
     _land(messages(spark, sf), f"{base}/landed")
     _consumed(spark, f"{base}/landed", base)
-    return live.read_changes(spark, f"{base}/table", "insee", STORED).drop("inserted_at")
+    return live.read_changes(spark, f"{base}/table", "insee", MESSAGE, ["event_id"]).drop("inserted_at")
 
 
 @query("stream_rejects", "SELECT count(*) AS n, count(*) FILTER (event_type = 'signup') AS n_without_key FROM events WHERE event_type IN ('error', 'signup')")
@@ -103,7 +100,7 @@ def stream_resumed(spark, sf):
     _consumed(spark, f"{base}/landed", base)
     _land(rows.filter(F.col("event_id") <= middle), f"{base}/landed")
     _consumed(spark, f"{base}/landed", base)
-    return live.read_changes(spark, f"{base}/table", "insee", STORED).drop("inserted_at")
+    return live.read_changes(spark, f"{base}/table", "insee", MESSAGE, ["event_id"]).drop("inserted_at")
 
 
 @query("stream_lookup", f"SELECT * FROM ({_LATEST}) WHERE insee = '75107'")
@@ -111,8 +108,24 @@ def stream_lookup(spark, sf):
     base = staging_path(spark, "stream")
     _land(messages(spark, sf), f"{base}/landed")
     _consumed(spark, f"{base}/landed", base)
-    table = live.read_changes(spark, f"{base}/table", "insee", STORED).drop("inserted_at")
-    return live.lookup(table, "insee", "75107")
+    table = live.read_changes(spark, f"{base}/table", "insee", MESSAGE, ["event_id"])
+    return live.lookup(table, "insee", "75107").drop("inserted_at")
+
+
+@query(
+    "stream_lookup_expired",
+    f"SELECT {code('user_id % 20 + 1')} AS insee, max(event_id) AS event_id, arg_max(event_type, event_id) AS label "
+    "FROM events WHERE user_id % 20 <> 6 GROUP BY 1",
+)
+def stream_lookup_expired(spark, sf):
+    """The readings of one code arrived thirty hours ago: a moment without them is all that is left of it."""
+    base = staging_path(spark, "stream")
+    key = F.col("user_id") % 20 + 1
+    rows = t.table(spark, sf, "events").select(code_of_district(key).alias("insee"), "event_id", F.col("event_type").alias("label"))
+    arrived = F.when(F.col("insee") == "75107", F.current_timestamp() - F.expr("INTERVAL 30 HOUR")).otherwise(F.current_timestamp())
+    live.write_changes(f"{base}/table")(rows.withColumn("inserted_at", arrived), 0)
+    table = live.read_changes(spark, f"{base}/table", "insee", MESSAGE, ["event_id"])
+    return live.lookup(table, "insee").drop("inserted_at")
 
 
 @query(
@@ -134,12 +147,10 @@ def stream_air(spark, sf):
         .awaitTermination()
     )
     topic = live.read_landed(spark, f"{base}/topic", struct(("key", T.StringType()), ("value", T.StringType())))
-    started = live.consume(
+    live.consume(
         topic, live.AIR_MESSAGE, "insee", ["timestamp"], f"{base}/table", f"{base}/rejects", f"{base}/checkpoint", NOW
-    )
-    for q in started:
-        q.awaitTermination()
-    table = live.read_changes(spark, f"{base}/table", "insee", live.AIR_MESSAGE)
+    ).awaitTermination()
+    table = live.read_changes(spark, f"{base}/table", "insee", live.AIR_MESSAGE, ["timestamp"])
     return table.select("insee", "timestamp").join(air_labels(live.air_documents(table)), "insee")
 
 
@@ -163,7 +174,7 @@ def stream_latest_with_expiry(spark, sf):
         .start()
     )
     kept.awaitTermination()
-    return live.read_changes(spark, f"{base}/table", "user_id", schema)
+    return live.read_changes(spark, f"{base}/table", "user_id", schema, ["inserted_at"]).drop("inserted_at")
 
 
 @query("parsed_messages", f"SELECT event_id, {code('user_id % 20 + 1')} AS insee, event_type AS label FROM events WHERE {_GOOD}")

@@ -9,10 +9,6 @@ class IngestionError(LayerError):
     """A source is missing or not what it should be."""
 
 
-class TransformationError(LayerError):
-    """A silver or gold step cannot be computed."""
-
-
 class ContractError(LayerError):
     """A table breaks one of its declared rules."""
 

@@ -121,13 +121,16 @@ def income_means(incomes: DataFrame, key: str = "arrondissement") -> DataFrame:
     )
 
 
+def range_figures(measure: str) -> dict[str, Column]:
+    """Aggregates: least, greatest and mean value of a column."""
+    return {f"{measure}_min": F.min(measure), f"{measure}_max": F.max(measure), f"{measure}_avg": F.avg(measure)}
+
+
 def profile(df: DataFrame, measure: str, distinct: list[str] = (), total: list[str] = ()) -> DataFrame:
     """Quality figures of a table in one pass: rows, range, mean, distinct counts, totals."""
     return df.agg(
         F.count("*").alias("n_rows"),
-        F.min(measure).alias(f"{measure}_min"),
-        F.max(measure).alias(f"{measure}_max"),
-        F.avg(measure).alias(f"{measure}_avg"),
+        *[figure.alias(name) for name, figure in range_figures(measure).items()],
         *[F.count_distinct(c).alias(f"{c}_distinct") for c in distinct],
         *[F.sum(c).alias(f"{c}_total") for c in total],
     )

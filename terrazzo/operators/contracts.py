@@ -58,6 +58,14 @@ def require(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     return df
 
 
+def enforced(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """The table, raising in the pass that reads it where a rule is broken; null breaks none. `require` says how many rows do."""
+    for name, rule in rules.items():
+        holds = F.when(F.coalesce(rule, F.lit(True)), F.lit(True)).otherwise(F.raise_error(F.lit(name)).cast("boolean"))
+        df = df.filter(holds)
+    return df
+
+
 def evolved(df: DataFrame, schema: T.StructType, defaults: dict[str, object] = {}, strict: bool = True) -> DataFrame:
     """Cast to the schema in its column order, adding missing columns with their default or null.
 

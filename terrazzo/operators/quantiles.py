@@ -37,12 +37,12 @@ def exact_quantiles(df: DataFrame, keys: tuple[str, ...], wanted: dict[str, tupl
        and largest value. Running totals over the bands tell in which one each wanted rank lies.
     3. Take the value at the rank left over, among the values of those bands only.
 
-    Null and NaN are no values. Everything is one lazy plan: its source is scanned once, as both later steps read
-    the exchange of the first.
+    Null and NaN are no values. Everything is one lazy plan, in which later steps read the exchanges of earlier
+    ones: the source is scanned twice, for the values and for their bands.
     """  # noqa: E501
     columns = list(dict.fromkeys(column for column, _ in wanted.values()))
     measure = {column: number for number, column in enumerate(columns)}
-    ranks = {name: f"_rank{i}" for i, name in enumerate(wanted)}
+    number = {name: i for i, name in enumerate(wanted)}
     group = [*keys, "_m"]
 
     def joined(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
@@ -62,7 +62,8 @@ def exact_quantiles(df: DataFrame, keys: tuple[str, ...], wanted: dict[str, tupl
         .withColumn("_band", value_band(F.col("_v")))
     )
     bands = counts.groupBy(*group, "_band").agg(
-        F.ceil(F.count("_n") / split).alias("_cuts"), F.min("_v").alias("_low"), F.max("_v").alias("_high")
+        # the sum keeps the counts in this branch too: with the same columns, Spark reads exchanges again
+        F.when(F.sum("_n") > 0, F.ceil(F.count("*") / split)).alias("_cuts"), F.min("_v").alias("_low"), F.max("_v").alias("_high")
     )
     place = (F.col("_v") - F.col("_low")) / (F.col("_high") - F.col("_low"))
     cut = F.when(F.col("_cuts") > 1, F.least(F.floor(place * F.col("_cuts")), F.col("_cuts") - 1)).otherwise(F.lit(0)).cast("long")
@@ -83,8 +84,9 @@ def exact_quantiles(df: DataFrame, keys: tuple[str, ...], wanted: dict[str, tupl
         hit = (F.col("_m") == measure[column]) & (rank > before) & (rank <= F.col("_upto"))
         return F.when(hit, rank - before)
 
-    targets = steps.select(*group, "_band", "_cut", *[rank_in_step(n).alias(r) for n, r in ranks.items()]).filter(
-        F.coalesce(*ranks.values()).isNotNull()
+    # one array, not a column for each: many nullable columns make the optimizer slow
+    targets = steps.select(*group, "_band", "_cut", F.array(*[rank_in_step(n) for n in wanted]).alias("_ranks")).filter(
+        F.exists("_ranks", lambda rank: rank.isNotNull())
     )
     within = (
         Window.partitionBy(*group, "_band", "_cut").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -92,7 +94,7 @@ def exact_quantiles(df: DataFrame, keys: tuple[str, ...], wanted: dict[str, tupl
     placed = joined(fine, targets, [*group, "_band", "_cut"]).withColumn("_upto", F.sum("_n").over(within))
 
     def at_rank(name: str) -> Column:
-        rank = F.col(ranks[name])
+        rank = F.get("_ranks", F.lit(number[name]))
         return F.max(F.when((rank > F.col("_upto") - F.col("_n")) & (rank <= F.col("_upto")), F.col("_v")))
 
     return placed.groupBy(*keys).agg(*[at_rank(name).alias(name) for name in wanted])

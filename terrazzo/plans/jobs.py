@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrazzo.errors import ConfigurationError, IngestionError
-from terrazzo.operators.aggregates import BURGLARY_TERMS, VIOLENCE_TERMS
-from terrazzo.operators.contracts import evolved, unique
+from terrazzo.operators.aggregates import BURGLARY_TERMS, VIOLENCE_TERMS, range_figures
+from terrazzo.operators.contracts import enforced, evolved, not_null, one_of, unique
 from terrazzo.operators.filters import matching, newest_ingestion, on_ingestion_date
 from terrazzo.plans import bronze, gold, silver
 from terrazzo.plans.runs import recorded
@@ -48,11 +48,19 @@ def run_bronze(spark: SparkSession, sources: list[str], folder: str, root: str,
 
 
 def refine(spark: SparkSession, source: str, bronze_root: str, silver_root: str, date: str, runs: str | None = None) -> None:
-    """One bronze source to its silver table."""
+    """One bronze source to its silver table.
+
+    The run log gets the malformed values of the sales and the range of the table's measure, counted by the pass that
+    writes; that pass fails where a row is of no district.
+    """
     table, step = silver.STEPS[source]
     with recorded(spark, runs, f"silver_{source}", source, "silver") as run:
         raw = required(lambda: read_ingestion(spark, bronze_root, source, date))
-        write_dated(run.writes(step(run.reads(raw))), silver_root, table, date)
+        counted = run.reads(raw, **(silver.sale_reject_counts(raw) if source == "dvf" else {}))
+        refined = enforced(step(counted), not_null("arrondissement") | one_of("arrondissement", list(range(1, 21))))
+        measure = silver.MEASURES.get(table)
+        figures = range_figures(measure) if measure in refined.columns else {}
+        write_dated(run.writes(refined, **figures), silver_root, table, date)
 
 
 def run_silver(

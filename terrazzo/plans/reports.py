@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from terrazzo.operators.joins import with_dimension, with_label
 from terrazzo.operators.windows import all_years_total, running_total, yearly_change
 from terrazzo.schemas import ROOM_CLASSES, SURFACE_CLASSES
 from terrazzo.sources.reference import district_labels
+from terrazzo.streaming.live import lookup
 
 CITY = "Paris (tous arrondissements)"
 PERSONS_PER_DWELLING = 2.2
@@ -225,11 +228,9 @@ def composite(gold: DataFrame, dimension: DataFrame, year: int | None = None) ->
     return rows.orderBy("arrondissement", "annee")
 
 
-def live_air(readings: DataFrame, district: int | None = None) -> DataFrame:
-    """Live air documents by code, of one district or all."""
-    if district is not None:
-        readings = readings.filter(F.col("insee") == str(75100 + district))
-    return readings.orderBy("insee")
+def live_air(readings: DataFrame, district: int | None = None, as_of: dt.datetime | None = None) -> DataFrame:
+    """Live air documents by code, of one district or all; expired ones are left out as in `lookup`."""
+    return lookup(readings, "insee", None if district is None else str(75100 + district), as_of)
 
 
 def require_rows(df: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from terrazzo.functions.numbers import share_of
@@ -25,20 +25,20 @@ class Run:
         self._in: Observation | None = None
         self._out: Observation | None = None
 
-    def reads(self, df: DataFrame) -> DataFrame:
-        """Count the rows of an input of a job that will run. Counting what is read keeps
-        filters out of the scan, so nothing is counted without a run log."""
+    def reads(self, df: DataFrame, **figures: Column) -> DataFrame:
+        """Count the rows of an input of a job that will run, and further aggregates by name. Counting what
+        is read keeps filters out of the scan, so nothing is counted without a run log."""
         if not self.logged:
             return df
         self._in = Observation()
-        return df.observe(self._in, F.count(F.lit(1)).alias("n"))
+        return df.observe(self._in, F.count(F.lit(1)).alias("n"), *[f.alias(name) for name, f in figures.items()])
 
-    def writes(self, df: DataFrame) -> DataFrame:
-        """Count the rows of an output that will be written."""
+    def writes(self, df: DataFrame, **figures: Column) -> DataFrame:
+        """Count the rows of an output that will be written, and further aggregates by name."""
         if not self.logged:
             return df
         self._out = Observation()
-        return df.observe(self._out, F.count(F.lit(1)).alias("n"))
+        return df.observe(self._out, F.count(F.lit(1)).alias("n"), *[f.alias(name) for name, f in figures.items()])
 
     def skip(self) -> None:
         self.status = "skipped"
@@ -46,6 +46,11 @@ class Run:
     def counts(self) -> tuple[int | None, int | None]:
         return tuple(o.get["n"] if o is not None else None for o in (self._in, self._out))
 
+    def figures(self) -> dict[str, str]:
+        """The further aggregates as text; those without a value are left out."""
+        found = {k: v for o in (self._in, self._out) if o is not None for k, v in o.get.items() if k != "n"}
+        return {k: str(v) for k, v in found.items() if v is not None}
+
 
 @contextmanager
 def recorded(
@@ -59,6 +64,7 @@ def recorded(
         run.status = run.status or "success"
         if run.status == "success":
             counts = run.counts()
+            metadata = metadata | run.figures()
     except Exception as e:
         run.status, error = "failed", str(e)
         raise

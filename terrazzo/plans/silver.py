@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrazzo.functions.air import worst_pollutants
@@ -60,15 +60,19 @@ def sales(raw: DataFrame, kind: str | None = "Appartement") -> DataFrame:
     )
 
 
+def sale_reject_counts(raw: DataFrame) -> dict[str, Column]:
+    """Aggregates: malformed values per column of raw sales."""
+    return {
+        "bad_valeur_fonciere": rejected("valeur_fonciere", to_double(raw, "valeur_fonciere")),
+        "bad_surface_reelle_bati": rejected("surface_reelle_bati", to_double(raw, "surface_reelle_bati")),
+        "bad_nombre_pieces_principales": rejected("nombre_pieces_principales", whole("nombre_pieces_principales")),
+        "bad_date_mutation": rejected("date_mutation", iso_date(raw, "date_mutation")),
+    }
+
+
 def sale_rejects(raw: DataFrame) -> DataFrame:
     """Malformed values per column of raw sales, in one pass."""
-    return raw.agg(
-        F.count("*").alias("n_rows"),
-        rejected("valeur_fonciere", to_double(raw, "valeur_fonciere")).alias("bad_valeur_fonciere"),
-        rejected("surface_reelle_bati", to_double(raw, "surface_reelle_bati")).alias("bad_surface_reelle_bati"),
-        rejected("nombre_pieces_principales", whole("nombre_pieces_principales")).alias("bad_nombre_pieces_principales"),
-        rejected("date_mutation", iso_date(raw, "date_mutation")).alias("bad_date_mutation"),
-    )
+    return raw.agg(F.count("*").alias("n_rows"), *[count.alias(name) for name, count in sale_reject_counts(raw).items()])
 
 
 def crime(raw: DataFrame) -> DataFrame:
@@ -153,3 +157,13 @@ STEPS: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
     "residences_principales": ("residences_principales", residences),
     "airparif": ("airparif", air),
 }
+
+# the column of each silver table whose range its run logs
+MEASURES = {
+    "transactions": "prix_m2",
+    "delinquance": "taux_pour_mille",
+    "logements_sociaux": "nb_logmt_total",
+    "revenus": "DEC_MED18",
+    "arrondissements": "superficie_km2",
+    "residences_principales": "nb_residences_principales",
+}

@@ -25,9 +25,6 @@ SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-    # sketch aggregates over (district, year) hold a few hundred groups per task;
-    # the default of 128 would send them to sorting
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
 }
 
 # settings that can only be given when a session is built
@@ -37,6 +34,7 @@ STATIC_SETTINGS = {
 }
 
 _local_roots: dict[str, str] = {}
+_registered: set[str] = set()
 
 
 def build_session(app_name: str = "terrazzo", master: str | None = None, **conf: str) -> SparkSession:
@@ -76,8 +74,17 @@ def staging_root(spark: SparkSession) -> str:
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{staging_root(spark)}/terrazzo/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder. All such paths of an application go when it ends."""
+    app = spark.sparkContext.applicationId
+    folder = f"{staging_root(spark)}/terrazzo/{app}"
+    if folder not in _registered:
+        _registered.add(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        # only what exists can be marked
+        store.mkdirs(path)
+        store.deleteOnExit(path)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

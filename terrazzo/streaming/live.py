@@ -95,35 +95,67 @@ def air_documents(table: DataFrame) -> DataFrame:
     return table.select("insee", F.concat(F.lit('{"data":'), "data", F.lit("}")).alias("document"))
 
 
-def write_changes(path: str) -> Callable[[DataFrame, int], None]:
-    """`foreachBatch` writer of changed rows, one folder per day and batch.
+def write_changes(path: str, after: dt.timedelta = EXPIRY) -> Callable[[DataFrame, int], None]:
+    """`foreachBatch` writer of changed rows, one folder per day of arrival and batch.
 
-    A batch that is run again replaces its own folder, so repeats change nothing.
-    """
+    A batch that is run again replaces its own folder, so repeats change nothing. Folders of days that hold only expired rows are
+    removed, so the table does not grow with the age of the stream. Rows without `inserted_at` are stamped.
+    """  # noqa: E501
 
     def write(batch: DataFrame, number: int) -> None:
+        rows = batch if "inserted_at" in batch.columns else stamped(batch)
         (
-            batch.withColumns({"day": F.current_date().cast("string"), "batch": F.lit(number).cast("long")})
+            rows.withColumns({"day": F.to_date("inserted_at").cast("string"), "batch": F.lit(number).cast("long")})
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("day", "batch")
             .parquet(path)
         )
+        remove_days(batch.sparkSession, path, _oldest_day(None, after))
 
     return write
 
 
-def read_changes(spark: SparkSession, path: str, key: str, schema: T.StructType, since: dt.date | None = None) -> DataFrame:
-    """The newest row of each key from a change table.
+def _oldest_day(as_of: dt.datetime | None, after: dt.timedelta) -> dt.date:
+    """The day of the oldest row that has not expired, in UTC as the sessions of this library are."""
+    now = as_of or dt.datetime.now(dt.timezone.utc)
+    return (now - after).date()
+
+
+def remove_days(spark: SparkSession, path: str, before: dt.date) -> None:
+    """Remove the folders of days before a date from a change table, whatever store holds it."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(root):
+        return
+    for status in store.listStatus(root):
+        name = status.getPath().getName()
+        if name.startswith("day=") and name.removeprefix("day=") < before.isoformat():
+            store.delete(status.getPath(), True)
 
-    With `since`, folders of earlier days are not read: rows live for a day, so yesterday's and
-    today's changes hold every live row however long the stream has run.
+
+def read_changes(
+    spark: SparkSession,
+    path: str,
+    key: str,
+    schema: T.StructType,
+    order: list[str],
+    as_of: dt.datetime | None = None,
+    after: dt.timedelta = EXPIRY,
+) -> DataFrame:
+    """The newest live row of each key from a change table, by `order`, with its `inserted_at`.
+
+    Rows expire `after` their arrival; `as_of` is the moment that counts, now by default. Folders of days on which nothing live
+    can have arrived are not read.
     """
+    stamp = [] if "inserted_at" in schema.fieldNames() else [T.StructField("inserted_at", T.TimestampType())]
+    stored = T.StructType([*schema.fields, *stamp])
     parts = [T.StructField("day", T.StringType()), T.StructField("batch", T.LongType())]
-    changes = spark.read.schema(T.StructType([*schema.fields, *parts])).parquet(path)
-    if since is not None:
-        changes = changes.filter(F.col("day") >= since.isoformat())
-    return latest_per_key(changes, key, ["batch", "day"]).select(*schema.fieldNames())
+    changes = spark.read.schema(T.StructType([*stored.fields, *parts])).parquet(path)
+    recent = changes.filter(F.col("day") >= _oldest_day(as_of, after).isoformat())
+    moment = F.current_timestamp() if as_of is None else F.lit(as_of)
+    live = unexpired(recent, moment, after=after)
+    return latest_per_key(live, key, [*order, "batch"]).select(*stored.fieldNames())
 
 
 def consume(
@@ -135,32 +167,39 @@ def consume(
     rejects: str,
     checkpoint: str,
     trigger: dict | None = None,
-) -> list[StreamingQuery]:
-    """Start the consumer: valid messages to the latest-per-key table, bad ones to a side table.
+    after: dt.timedelta = EXPIRY,
+) -> StreamingQuery:
+    """Start the consumer: valid messages to the change table, bad ones to a side table.
 
-    `order` names message fields or columns that tell which message is newer. Each of the two
-    queries keeps its progress in its own folder below `checkpoint`.
-    """
-    trigger = trigger or {"processingTime": POLL_INTERVAL}
-    both = parsed(messages, schema)
-    rows = stamped(valid(both, key).select("message.*", *[c for c in order if c in messages.columns]))
-    upserts = (
-        latest(rows, key, order)
-        .writeStream.outputMode("update")
-        .foreachBatch(write_changes(table))
-        .option("checkpointLocation", f"{checkpoint}/latest")
-        .trigger(**trigger)
-        .start()
-    )
-    bad = (
-        invalid(both, key)
-        .writeStream.format("parquet")
-        .option("path", rejects)
-        .option("checkpointLocation", f"{checkpoint}/rejects")
-        .trigger(**trigger)
+    `order` names message fields or columns that tell which message is newer. One query reads and parses each message once; a
+    micro-batch is held while its two parts are written. It is reduced to the newest row of each key, and no state is kept
+    beyond the change table, whose rows expire: `read_changes` picks the newest live row of a key whatever batch it came in.
+    """  # noqa: E501
+
+    changes = write_changes(table, after)
+
+    def write(batch: DataFrame, number: int) -> None:
+        both = parsed(batch, schema).persist()
+        try:
+            rows = valid(both, key).select("message.*", *[c for c in order if c in batch.columns])
+            changes(stamped(latest_per_key(rows, key, order)), number)
+            (
+                invalid(both, key)
+                .withColumn("batch", F.lit(number).cast("long"))
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("batch")
+                .parquet(rejects)
+            )
+        finally:
+            both.unpersist()
+
+    return (
+        messages.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": POLL_INTERVAL}))
         .start()
     )
-    return [upserts, bad]
 
 
 def publish(messages: DataFrame, servers: str, topic: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
@@ -178,8 +217,10 @@ def unexpired(df: DataFrame, as_of: Column, inserted: str = "inserted_at", after
     return df.filter(F.col(inserted) > as_of - F.lit(after))
 
 
-def lookup(table: DataFrame, key: str, value: str | None = None) -> DataFrame:
-    """Live rows by key, of one key or all."""
+def lookup(table: DataFrame, key: str, value: str | None = None, as_of: dt.datetime | None = None) -> DataFrame:
+    """Live rows by key, of one key or all; rows that know when they arrived are left out once they have expired."""
+    if "inserted_at" in table.columns:
+        table = unexpired(table, F.current_timestamp() if as_of is None else F.lit(as_of))
     return (table if value is None else table.filter(F.col(key) == value)).orderBy(key)
 
 

@@ -10,9 +10,12 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrazzo.errors import ContractError, IngestionError
-from terrazzo.operators import aggregates, contracts, upserts, windows
+from terrazzo.errors import ConfigurationError, ContractError, IngestionError
+from terrazzo.functions import codes, numbers
+from terrazzo.operators import aggregates, contracts, quantiles, upserts, windows
 from terrazzo.operators.quantiles import exact_quantiles, value_band
+from terrazzo.plans import jobs
+from terrazzo.schemas import struct
 from terrazzo.sources import files
 
 
@@ -215,3 +218,78 @@ def test_short_delivery_of_pages(spark):
     pages = spark.createDataFrame([(3, [("a",)]), (3, [("b",)])], "total_count int, results array<struct<x:string>>")
     assert rows(files.page_totals(pages)) == [(2, 3, False)]
     assert rows(files.records_of_pages(pages)) == [("a",), ("b",)]
+
+
+def _raises(df, text):
+    with pytest.raises(Exception, match=text):
+        df.collect()
+
+
+def test_values_that_do_not_fit_raise(spark):
+    declared = struct(("k", T.IntegerType()), ("v", T.DecimalType(5, 2)))
+    good = spark.createDataFrame([(1, 999.994), (2, None)], "k long, v double")
+    assert [float(r.v) if r.v is not None else None for r in contracts.evolved(good, declared).orderBy("k").collect()] == [999.99, None]
+    wide = spark.createDataFrame([(3_000_000_000, 1.0)], "k long, v double")
+    _raises(contracts.evolved(wide, declared), "k does not fit")
+    _raises(contracts.evolved(spark.createDataFrame([(1, 1e5)], "k long, v double"), declared), "v does not fit")
+    assert contracts.evolved(wide, declared, strict=False).first().k is None
+    assert {r.rule: r.n_broken for r in contracts.misfits(wide, declared).collect()} == {"k too wide": 1, "v too wide": 0}
+
+
+def test_keys_are_unique_and_rules_hold_where_asked(spark):
+    df = spark.createDataFrame([(1, 1), (1, 2)], "k int, v int")
+    assert contracts.unique(df, "k", "v").count() == 2
+    _raises(contracts.unique(df, "k"), "more than one row")
+    assert contracts.enforced(df, contracts.one_of("v", [1, 2])).count() == 2
+    _raises(contracts.enforced(df, contracts.one_of("v", [1])), "v unknown")
+
+
+def test_repeated_updates(spark):
+    table = spark.createDataFrame([(1, 10)], "k int, v int")
+    twice = spark.createDataFrame([(1, 11, 1), (1, 12, 2)], "k int, v int, at int")
+    assert upserts.update_matched(table, twice, "k", {"v": "v"}, order=["at"]).collect() == [(1, 12)]
+    assert upserts.upsert(table, twice, "k", ["v"], order=["at"]).collect() == [(1, 12)]
+    _raises(upserts.update_matched(table, twice, "k", {"v": "v"}), "several rows")
+    _raises(upserts.upsert(table, twice, "k", ["v"]), "several rows")
+
+
+@pytest.mark.parametrize("split", [3, 100_000])
+def test_quantiles_at_every_magnitude(spark, split):
+    rng = random.Random(split)
+    values = [0.0, -0.0, float("inf"), float("-inf"), float("inf"), 5e-324, -5e-324, 1.7e308, -1.7e308]
+    values += [rng.uniform(-1, 1) * 10 ** rng.randint(-320, 300) for _ in range(300)] + [1 + i * 1e-12 for i in range(200)]
+    df = spark.createDataFrame([("a", v) for v in values] + [("a", None), ("a", float("nan"))], "k string, v double")
+    wanted = {f"p{i}": ("v", i / 20) for i in range(21)}
+    got = quantiles.exact_quantiles(df, ("k",), wanted, split=split).first()
+    ordered = sorted(values)
+    for i in range(21):
+        assert got[f"p{i}"] == ordered[max(1, math.ceil(i / 20 * len(values) - 1e-9)) - 1]
+
+
+def test_bands_follow_the_order_and_stay_small(spark):
+    small = [i * 1e-8 for i in range(1, 100_000)]
+    df = spark.createDataFrame([(v,) for v in small], "v double").select("v", quantiles.value_band(F.col("v")).alias("b"))
+    assert df.groupBy("b").count().agg(F.max("count")).first()[0] < 600
+    ordered = [float("-inf"), -1e300, -1.0, -1e-300, 0.0, 1e-320, 1e-7, 1.0, 1.5, 1e300, float("inf")]
+    bands = [r.b for r in spark.createDataFrame([(i, v) for i, v in enumerate(ordered)], "i int, v double").orderBy("i").select(quantiles.value_band(F.col("v")).alias("b")).collect()]
+    assert bands == sorted(set(bands))
+
+
+def test_sums_of_any_size(spark):
+    df = spark.createDataFrame([(4e-07, 1.0, 10_000.0, 10**9)] * 10, "s double, w double, p double, n long")
+    row = df.agg(numbers.exact_avg(F.col("s")), aggregates.weighted_mean(F.col("p"), F.col("n")), numbers.exact_sum(F.col("p") * F.col("n"))).first()
+    assert tuple(row) == (4e-07, 10_000.0, 1e14)
+
+
+def test_crime_totals_beyond_an_int(spark):
+    df = spark.createDataFrame([(1, 2020, "vol", 3e9, 1.0)], "arrondissement int, annee int, indicateur string, nombre double, taux_pour_mille double")
+    assert aggregates.crime_rates(df).first().taux_delinquance_global == 3_000_000_000
+
+
+def test_a_request_of_odd_digits_is_no_district():
+    assert codes.parse_district("²") is None and codes.parse_district("٣") is None and codes.parse_district("75107") == 7
+
+
+def test_one_year_does_not_overwrite_all(spark):
+    with pytest.raises(ConfigurationError):
+        jobs.run_gold(spark, "nowhere", "jdbc:none", year=2020)

@@ -3,10 +3,12 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from terrazzo.catalog import tables as t
 from terrazzo.operators import aggregates
+from terrazzo.operators.filters import newest_ingestion
 from terrazzo.operators.quantiles import exact_quantiles
 from terrazzo.session import staged, staging_path
 from terrazzo.sources import files, sinks
@@ -45,12 +47,35 @@ def test_sketched_sales_are_one_shuffle(spark, sf_dir):
     assert plan(aggregates.sale_indicators(sales, accuracy=1000)).count("Exchange hashpartitioning") == 1
 
 
-def test_exact_quantiles_do_not_shuffle_rows_of_a_group_to_one_task(spark, sf_dir):
+def test_exact_quantiles_shuffle_counts_only(spark, sf_dir):
     sales = staged(t.sales(spark, sf_dir), "sales")
-    text = plan(exact_quantiles(sales, ("arrondissement", "annee"), aggregates.SALE_QUANTILES))
-    # the wanted bands are broadcast by their known size, and every shuffle carries partial counts
-    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
-    assert all("hashpartitioning" in line for line in text.splitlines() if " Exchange " in line)
+    df = exact_quantiles(sales, ("arrondissement", "annee"), aggregates.SALE_QUANTILES)
+    df.collect()
+    final = plan(df).split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 2 and "ReusedExchange" in final
+    assert all("hashpartitioning" in line for line in final.splitlines() if " Exchange " in line)
+
+
+def test_the_newest_date_is_found_without_reading(spark, tmp_path):
+    for date in ("2026-06-24", "2026-06-25", "2025-12-31"):
+        sinks.write_dated(spark.range(3), str(tmp_path), "t", date)
+    df = newest_ingestion(files.read_layer(spark, str(tmp_path), "t"))
+    assert re.search(r"PartitionFilters: \[[^\]]*ingestion_day", plan(df)) and df.count() == 3
+    scanned = df.select(F.input_file_name().alias("f")).distinct().collect()
+    assert all("ingestion_day=25" in r.f for r in scanned)
+
+
+def test_reports_over_stored_gold_start_no_job(spark, sf_dir):
+    reports = [run for name, run in entry.queries().items() if name.startswith("report_")]
+    for run in reports:  # gold is built, and the schemas of the test tables are looked up
+        run(spark, sf_dir)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "building")
+    for run in reports:
+        run(spark, sf_dir)
+    jobs = tracker.getJobIdsForGroup("building")
+    spark.sparkContext.setJobGroup("", "")
+    assert list(jobs) == []
 
 
 def test_no_cross_joins_and_no_row_python(spark, sf_dir):

@@ -27,12 +27,11 @@ def land(spark, path, values):
 
 def consume(spark, base):
     stream = live.read_landed(spark, f"{base}/landed", struct(("value", T.StringType())))
-    for q in live.consume(stream, MESSAGE, "insee", ["n"], f"{base}/table", f"{base}/rejects", f"{base}/checkpoint", NOW):
-        q.awaitTermination()
+    live.consume(stream, MESSAGE, "insee", ["n"], f"{base}/table", f"{base}/rejects", f"{base}/checkpoint", NOW).awaitTermination()
 
 
-def table(spark, base):
-    got = live.read_changes(spark, f"{base}/table", "insee", STORED)
+def table(spark, base, schema=MESSAGE, order=("n",)):
+    got = live.read_changes(spark, f"{base}/table", "insee", schema, list(order))
     return sorted((r.insee, r.n, r.label) for r in got.collect())
 
 
@@ -51,7 +50,7 @@ def test_bad_messages_go_aside_and_late_ones_do_not_win(spark):
 def test_a_repeated_batch_changes_nothing(spark):
     base = staging_path(spark, "test")
     write = live.write_changes(f"{base}/table")
-    rows = spark.createDataFrame([("75101", 1, "a", dt.datetime(2024, 1, 1))], STORED)
+    rows = spark.createDataFrame([("75101", 1, "a", dt.datetime.now(dt.timezone.utc))], STORED)
     write(rows, 0)
     write(rows, 0)
     assert table(spark, base) == [("75101", 1, "a")]
@@ -62,8 +61,8 @@ def test_expiry_at_read_time(spark):
     ages = {"a": dt.timedelta(0), "b": dt.timedelta(hours=23, minutes=59), "c": dt.timedelta(hours=24), "d": dt.timedelta(days=3)}
     df = spark.createDataFrame([(k, now - age) for k, age in ages.items()], "insee string, inserted_at timestamp")
     kept = live.unexpired(df, F.lit(now))
-    assert [r.insee for r in live.lookup(kept, "insee").collect()] == ["a", "b"]
-    assert live.lookup(kept, "insee", "d").count() == 0
+    assert [r.insee for r in live.lookup(kept, "insee", as_of=now).collect()] == ["a", "b"]
+    assert live.lookup(df, "insee", "d", as_of=now).count() == 0 and live.lookup(df, "insee", as_of=now).count() == 2
 
 
 def test_state_expires(spark):
@@ -83,7 +82,7 @@ def test_state_expires(spark):
             .start()
             .awaitTermination()
         )
-        return sorted(tuple(r) for r in live.read_changes(spark, f"{base}/table", "insee", schema).collect())
+        return sorted(tuple(r)[:3] for r in live.read_changes(spark, f"{base}/table", "insee", schema, ["inserted_at"]).collect())
 
     assert run([("a", 2, "new"), ("a", 1, "old"), ("b", 1, "x")]) == [("a", 2, "new"), ("b", 1, "x")]
     time.sleep(5)
@@ -116,17 +115,31 @@ def test_arrival_order(spark):
     arrived = [(0, message("75101", 9, "first")), (1, message("75101", 1, "last")), (2, message("75102", 1, "only"))]
     spark.createDataFrame(arrived, "offset long, value string").write.parquet(f"{base}/landed")
     stream = live.read_landed(spark, f"{base}/landed", struct(("offset", T.LongType()), ("value", T.StringType())))
-    for q in live.consume(stream, MESSAGE, "insee", ["offset"], f"{base}/table", f"{base}/rejects", f"{base}/checkpoint", NOW):
-        q.awaitTermination()
-    assert table(spark, base) == [("75101", 1, "last"), ("75102", 1, "only")]
+    live.consume(stream, MESSAGE, "insee", ["offset"], f"{base}/table", f"{base}/rejects", f"{base}/checkpoint", NOW).awaitTermination()
+    stored = T.StructType([*MESSAGE.fields, T.StructField("offset", T.LongType())])
+    assert table(spark, base, stored, ["offset"]) == [("75101", 1, "last"), ("75102", 1, "only")]
 
 
-def test_live_table_reads_recent_days_only(spark):
+def test_the_live_table_holds_and_reads_recent_days_only(spark):
     base = staging_path(spark, "test")
-    live.write_changes(f"{base}/table")(spark.createDataFrame([("75101", 1, "a", dt.datetime(2024, 1, 1))], STORED), 0)
-    today = spark.sql("select current_date()").first()[0]
-    assert live.read_changes(spark, f"{base}/table", "insee", STORED, since=today - dt.timedelta(days=1)).count() == 1
-    later = live.read_changes(spark, f"{base}/table", "insee", STORED, since=today + dt.timedelta(days=2))
+    now = dt.datetime.now(dt.timezone.utc)
+    for batch, days in enumerate((40, 3, 0)):
+        rows = spark.createDataFrame([("75101", batch, "a", now - dt.timedelta(days=days))], STORED)
+        live.write_changes(f"{base}/table")(rows, batch)
+    files = spark.read.parquet(f"{base}/table").inputFiles()
+    assert len(files) == 1 and f"day={now.date().isoformat()}" in files[0]
+    assert table(spark, base) == [("75101", 2, "a")]
+    later = live.read_changes(spark, f"{base}/table", "insee", MESSAGE, ["n"], as_of=now + dt.timedelta(days=2))
     assert later.count() == 0
     text = later._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(day" in text
+
+
+def test_expired_rows_are_not_looked_up(spark):
+    base = staging_path(spark, "test")
+    now = dt.datetime.now(dt.timezone.utc)
+    rows = [("75101", 9, "old", now - dt.timedelta(hours=25)), ("75101", 1, "new", now - dt.timedelta(hours=1)), ("75102", 5, "old", now - dt.timedelta(hours=25))]
+    live.write_changes(f"{base}/table")(spark.createDataFrame(rows, STORED), 0)
+    got = live.read_changes(spark, f"{base}/table", "insee", MESSAGE, ["n"])
+    assert [tuple(r)[:3] for r in live.lookup(got, "insee").collect()] == [("75101", 1, "new")]
+    assert live.lookup(got, "insee", "75101", as_of=now.replace(tzinfo=None) + dt.timedelta(days=2)).count() == 0
