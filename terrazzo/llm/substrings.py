@@ -63,14 +63,14 @@ def _compressed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _cut(length: int):
-    """k, h, cuts (array of lo, hi, anchor, digest, n, own, pieces), text -> one row for each window with its bytes."""
+    """k, h, cuts (array of lo, hi, anchor, digest, n, pieces, slices), text -> one row for each window with its bytes."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
         for part in parts:
             for k, h, cuts, packed in zip(*(part.column(i).to_pylist() for i in range(4)), strict=True):
                 text = unpack.decompress(packed) if cuts else b""
-                names = ("lo", "hi", "anchor", "digest", "n", "pieces")
+                names = ("lo", "hi", "anchor", "digest", "n", "pieces", "slices")
                 columns = {c: [cut[c] for cut in cuts] for c in names}
                 yield pa.RecordBatch.from_pydict(
                     {"k": [k] * len(cuts), "h": [h] * len(cuts), **columns, "data": [text[c["lo"] : c["hi"] + length] for c in cuts]},
@@ -82,9 +82,9 @@ def _cut(length: int):
 
 _CUT = pa.schema(
     [("k", pa.int64()), ("h", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()), ("anchor", pa.int64()), ("digest", pa.int64()),
-     ("n", pa.int64()), ("pieces", pa.int64()), ("data", pa.binary())]
+     ("n", pa.int64()), ("pieces", pa.int64()), ("slices", pa.int64()), ("data", pa.binary())]
 )
-CUT = "k long, h long, lo int, hi int, anchor long, digest long, n long, pieces long, data binary"
+CUT = "k long, h long, lo int, hi int, anchor long, digest long, n long, pieces long, slices long, data binary"
 
 
 def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -94,42 +94,55 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _shard(length: int):
-    """The windows of one shard -> runs of repeated starts (digests empty); of a divided anchor also the digests of the starts left."""
+    """The windows of one shard -> one row for each window and slice of digests.
+
+    `runs`: pairs of first and last repeated start, in the row of the first slice. `starts` and `digests`, of a divided anchor only:
+    the window's strings whose digests fall into the slice.
+    """  # noqa: E501
 
     def run(table: pa.Table) -> pa.Table:
         texts = table.column("data").to_pylist()
         hit = repeated_starts(texts, length)
         ends = np.cumsum([len(t) for t in texts])
-        rows: dict[str, list] = {c: [] for c in ("row", "first", "last", "d1", "d2")}
         divided = table.column("pieces")[0].as_py() > 1
+        slices = table.column("slices")[0].as_py()
         alone = table.column("n").to_pylist()
+        rows, runs, part, starts, digests = [], [], [], [], []
         for i, text in enumerate(texts):
-            starts = len(text) - length + 1
-            flags = hit[ends[i] - len(text) : ends[i] - len(text) + starts]
-            if alone[i] == 1:
-                for a, b in zip(*_runs(flags), strict=True):
-                    rows["row"].append(i)
-                    rows["first"].append(int(a))
-                    rows["last"].append(int(b))
-                    rows["d1"].append(None)
-                    rows["d2"].append(None)
-            if divided:
-                # strings repeated here may repeat elsewhere too, and others must see them
-                one, two = string_digests(text, length)
-                rows["row"].extend([i] * starts)
-                rows["first"].extend(range(starts))
-                rows["last"].extend(range(starts))
-                rows["d1"].extend(one.tolist())
-                rows["d2"].extend(two.tolist())
-        which = pa.array(rows.pop("row"), pa.int64())
-        out = table.select(["k", "h", "lo", "anchor", "digest", "n", "piece"]).take(which)
-        out = out.append_column("first", pa.array(rows["first"], pa.int32())).append_column("last", pa.array(rows["last"], pa.int32()))
-        return out.append_column("d1", pa.array(rows["d1"], pa.int64())).append_column("d2", pa.array(rows["d2"], pa.int64()))
+            count = len(text) - length + 1
+            flags = hit[ends[i] - len(text) : ends[i] - len(text) + count]
+            # a window that stands more than once repeats as a whole anyhow
+            own = np.stack(_runs(flags), axis=1).reshape(-1).tolist() if alone[i] == 1 else []
+            if not divided:
+                if own:
+                    rows.append(i)
+                    runs.append(own)
+                    part.append(0)
+                    starts.append(b"")
+                    digests.append(b"")
+                continue
+            # strings repeated here may repeat elsewhere too, and others must see them
+            pairs = np.stack(string_digests(text, length), axis=1)
+            where = pairs[:, 0].view(np.uint64) % np.uint64(slices)
+            for number in np.unique(where).tolist():
+                chosen = np.flatnonzero(where == number)
+                rows.append(i)
+                runs.append(own)
+                own = []
+                part.append(number)
+                starts.append(chosen.astype("<i4").tobytes())
+                digests.append(pairs[chosen].astype("<i8").tobytes())
+        out = table.select(["k", "h", "lo", "anchor", "n", "piece"]).take(pa.array(rows, pa.int64()))
+        for name, values, kind in (
+            ("runs", runs, pa.list_(pa.int32())), ("slice", part, pa.int64()), ("starts", starts, pa.binary()), ("digests", digests, pa.binary()),
+        ):
+            out = out.append_column(name, pa.array(values, kind))
+        return out
 
     return lambda key, table: run(table)
 
 
-SHARDED = "k long, h long, lo int, anchor long, digest long, n long, piece long, first int, last int, d1 long, d2 long"
+SHARDED = "k long, h long, lo int, anchor long, n long, piece long, runs array<int>, slice long, starts binary, digests binary"
 
 _rng = np.random.default_rng(31337)
 _TABLES = _rng.integers(1, 1 << 63, (2, 256), dtype=np.uint64) | np.uint64(1)
@@ -148,14 +161,20 @@ def string_digests(text: bytes, length: int) -> list[np.ndarray]:
 
 
 def _merged(key: tuple, table: pa.Table) -> pa.Table:
-    """Digests of one slice of a divided anchor -> the windows' starts that another piece has too."""
-    # one byte of 1 after the 15 that count: numpy's strings drop zeros at the end
-    whole = np.stack([table.column(c).to_numpy().astype(np.int64) for c in ("d1", "d2")], axis=1).view(np.uint8).copy()
+    """One slice of the digests of a divided anchor -> the windows' starts that another piece has too."""
+    starts = [np.frombuffer(x, "<i4") for x in table.column("starts").to_pylist()]
+    sizes = np.array([len(x) for x in starts])
+    whole = np.frombuffer(b"".join(table.column("digests").to_pylist()), np.uint8).reshape(-1, 16).copy()
+    # one bit that is always set: numpy's strings drop zeros at the end
     whole[:, 15] |= 1
-    pair = whole.reshape(-1).view("S16")
-    found = in_other_runs(pair, table.column("piece").to_numpy())
-    found &= table.column("n").to_numpy() == 1
-    return table.filter(pa.array(found)).select(["k", "h", "lo", "first", "last"])
+    found = in_other_runs(whole.reshape(-1).view("S16"), np.repeat(table.column("piece").to_numpy(), sizes))
+    found &= np.repeat(table.column("n").to_numpy() == 1, sizes)
+    rows, runs = [], []
+    for i, (flags, own) in enumerate(zip(np.split(found, np.cumsum(sizes)[:-1]), starts, strict=True)):
+        if flags.any():
+            rows.append(i)
+            runs.append(np.repeat(own[flags], 2).tolist())
+    return table.select(["k", "h", "lo"]).take(pa.array(rows, pa.int64())).append_column("runs", pa.array(runs, pa.list_(pa.int32())))
 
 
 def _kept(length: int):
@@ -205,13 +224,15 @@ def repeated_ranges(rows: DataFrame, length: int) -> DataFrame:
         "k", "h", F.col("lo").alias("first"), F.col("hi").alias("last")
     )
     size = F.col("one.hi") - F.col("one.lo") + length
-    several = distinct.groupBy("anchor").agg(F.count("*").alias("d"), F.sum(size).alias("bytes")).where("d > 1")
+    several = distinct.groupBy("anchor").agg(
+        F.count("*").alias("d"), F.sum(size).alias("bytes"), F.ceil(F.sum(size - length + 1) / MERGE).alias("slices")
+    ).where("d > 1")
     pieces = F.when(F.col("bytes") > LARGE, F.ceil(F.col("bytes") / LARGE)).otherwise(F.lit(0))
-    several = staged(several.select("anchor", "bytes", pieces.alias("pieces")), "several")
+    several = staged(several.select("anchor", "bytes", "slices", pieces.alias("pieces")), "several")
     total = several.where("pieces = 0").agg(F.sum("bytes")).first()[0] or 0
     shards = max(1, -(-total // SHARD))
-    cuts = distinct.join(several, "anchor").select("anchor", "digest", "n", "pieces", "one.*")
-    cuts = cuts.groupBy("k", "h").agg(F.collect_list(F.struct("lo", "hi", "anchor", "digest", "n", "pieces")).alias("cuts"))
+    cuts = distinct.join(several, "anchor").select("anchor", "digest", "n", "pieces", "slices", "one.*")
+    cuts = cuts.groupBy("k", "h").agg(F.collect_list(F.struct("lo", "hi", "anchor", "digest", "n", "pieces", "slices")).alias("cuts"))
     packed = rows.select("k", "h", "text").mapInArrow(_compressed, "k long, h long, packed binary")
     # texts of one key are equal: any of them will do, and a window cut twice is put right below
     cut = cuts.join(packed, ["k", "h"]).select("k", "h", "cuts", "packed").mapInArrow(_cut(length), CUT)
@@ -226,17 +247,12 @@ def repeated_ranges(rows: DataFrame, length: int) -> DataFrame:
         .applyInArrow(_shard(length), SHARDED),
         "shards",
     )
-    found = sharded.where("d1 IS NULL").select("k", "h", (F.col("lo") + F.col("first")).alias("first"), (F.col("lo") + F.col("last")).alias("last"))
-    digests = sharded.where("d1 IS NOT NULL")
-    slices = digests.groupBy("anchor").agg(F.ceil(F.count("*") / MERGE).alias("slices"))
-    merged = (
-        digests.join(slices, "anchor")
-        .withColumn("slice", F.pmod("d1", "slices"))
-        .groupBy("anchor", "slice")
-        .applyInArrow(_merged, "k long, h long, lo int, first int, last int")
-        .select("k", "h", (F.col("lo") + F.col("first")).alias("first"), (F.col("lo") + F.col("last")).alias("last"))
+    merged = sharded.where("length(digests) > 0").groupBy("anchor", "slice").applyInArrow(_merged, "k long, h long, lo int, runs array<int>")
+    found = sharded.select("k", "h", "lo", "runs").unionByName(merged).where("size(runs) > 0").select(
+        "k", "h", "lo", F.explode(F.expr("transform(sequence(0, size(runs) div 2 - 1), i -> struct(runs[2 * i] as first, runs[2 * i + 1] as last))")).alias("run")
     )
-    return whole.unionByName(found).unionByName(merged)
+    found = found.select("k", "h", (F.col("lo") + F.col("run.first")).alias("first"), (F.col("lo") + F.col("run.last")).alias("last"))
+    return whole.unionByName(found)
 
 
 def without_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
