@@ -188,13 +188,14 @@ def _predicted(net: Network):
     return run
 
 
-def _accepted(net: Network, least: float):
+def _accepted(net: Network, chance: float):
     """Rows, their judged text last -> the rows that are accepted."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             last = part.num_columns - 1
             names, scores = told(net, utf8(part.column(last)))
+            least = chance / max(1, len(net.names))
             good = [name != UNKNOWN and score >= least for name, score in zip(names, scores, strict=True)]
             yield pa.RecordBatch.from_arrays(part.columns[:last], part.schema.names[:last]).filter(pa.array(good, pa.bool_()))
 
@@ -231,13 +232,14 @@ def judged(text: Column) -> Column:
 
 
 def accepted(
-    docs: DataFrame, least: float = 0.3, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 400,
+    docs: DataFrame, chance: float = 1.02, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 400,
     languages: int = 256,
 ) -> DataFrame:
-    """The rows of `docs` that are not rejected: those without a letter are, and those whose best language scores below `least`."""
+    """The rows of `docs` that are not rejected: those without a letter are, and those whose best language scores
+    less than `chance` times what a guess among all languages would."""
     net = learned(docs, id_col, text_col, lang_col, per_language, languages)
     rows = docs.withColumn("_judged", judged(F.col(text_col)))
-    return rows.mapInArrow(_accepted(net, least), docs.schema)
+    return rows.mapInArrow(_accepted(net, chance), docs.schema)
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
