@@ -23,10 +23,11 @@ def worst_pollutants(reading: dict[str, Column]) -> Column:
     return F.when(worst.isNotNull(), F.array_join(hits, ","))
 
 
-def document_label(document: Column) -> Column:
+def document_label(document: Column, code: Column | None = None) -> Column:
     """The label of an air document held as JSON text.
 
-    Its `data` may be a list of readings or a map from code to such a list; the first reading
+    Its `data` may be a list of readings or a map from code to such a list, of which that of the document's own `code` is
+    taken, or the first one where it is not given or not there; the first reading
     gives `label`, `qualif` or `indice`. Otherwise top-level `label`, `today`, `indice`,
     `qualif` are tried, each either text or an object with `label` or `qualif`.
     """
@@ -40,7 +41,10 @@ def document_label(document: Column) -> Column:
 
     listed = F.try_variant_get(doc, "$.data[0]", "map<string,string>")
     by_code = F.try_variant_get(doc, "$.data", "map<string,array<map<string,string>>>")
-    mapped = F.get(F.get(F.map_values(by_code), F.lit(0)), F.lit(0))
+    readings = F.get(F.map_values(by_code), F.lit(0))
+    if code is not None:
+        readings = F.coalesce(F.try_element_at(by_code, code), readings)
+    mapped = F.get(readings, F.lit(0))
     candidates = [
         F.nullif(F.try_element_at(reading, F.lit(key)), F.lit(""))
         for reading in (listed, mapped)

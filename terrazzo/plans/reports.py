@@ -242,7 +242,7 @@ def require_rows(df: DataFrame) -> DataFrame:
 
 def air_labels(documents: DataFrame) -> DataFrame:
     """Code and air label of live documents `(insee, document)` held as JSON text."""
-    return documents.select("insee", document_label(F.col("document")).alias("air_label"))
+    return documents.select("insee", document_label(F.col("document"), F.col("insee")).alias("air_label"))
 
 
 def city_air_label(labels: DataFrame) -> DataFrame:

@@ -306,3 +306,9 @@ def test_dimension_updates(spark, tmp_path):
     assert updated.schema == seed.schema
     assert updated.filter("arrondissement = 7").first()[4:] == (4.088, 51765, 12663, 27000)
     assert rows(updated.filter("arrondissement > 8")) == rows(seed.filter("arrondissement > 8"))
+
+
+def test_a_document_of_several_codes_gives_its_own_label(spark):
+    document = '{"data": {"75101": [{"indice": "Bon"}], "75102": [{"indice": "Moyen"}]}}'
+    df = spark.createDataFrame([("75102", document), ("75103", document), ("75101", document)], "insee string, document string")
+    assert {r.insee: r.air_label for r in reports.air_labels(df).collect()} == {"75101": "Bon", "75102": "Moyen", "75103": "Bon"}
