@@ -173,7 +173,9 @@ def _merged(key: tuple, table: pa.Table) -> pa.Table:
     for i, (flags, own) in enumerate(zip(np.split(found, np.cumsum(sizes)[:-1]), starts, strict=True)):
         if flags.any():
             rows.append(i)
-            runs.append(np.repeat(own[flags], 2).tolist())
+            hit = own[flags]
+            cut = np.flatnonzero(np.diff(hit) > 1)
+            runs.append(np.stack([np.append(hit[:1], hit[cut + 1]), np.append(hit[cut], hit[-1:])], axis=1).reshape(-1).tolist())
     return table.select(["k", "h", "lo"]).take(pa.array(rows, pa.int64())).append_column("runs", pa.array(runs, pa.list_(pa.int32())))
 
 
@@ -214,14 +216,14 @@ def removed(text: bytes, spans: list[tuple[int, int]]) -> tuple[int, int, str]:
 
 
 def repeated_ranges(rows: DataFrame, length: int) -> DataFrame:
-    """k, h, first, last: the repeated starts of each text. `rows`: k, h (together the key of a text), text."""
+    """k, h, ranges (array of first, last): the repeated starts of each text, in any number of rows. `rows`: k, h (together the key of a text), text."""
     windows = staged(rows.mapInArrow(_windows(length), WINDOWS), "windows")
     repeated = windows.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select("anchor")
     shared = staged(windows.join(repeated, "anchor"), "shared")
     one = F.min(F.struct("k", "h", "lo", "hi")).alias("one")
     distinct = staged(shared.groupBy("anchor", "digest").agg(F.count("*").alias("n"), one), "distinct")
     whole = shared.join(distinct.where("n > 1").select("anchor", "digest"), ["anchor", "digest"]).select(
-        "k", "h", F.col("lo").alias("first"), F.col("hi").alias("last")
+        "k", "h", F.array(F.struct(F.col("lo").alias("first"), F.col("hi").alias("last"))).alias("ranges")
     )
     size = F.col("one.hi") - F.col("one.lo") + length
     several = distinct.groupBy("anchor").agg(
@@ -248,10 +250,8 @@ def repeated_ranges(rows: DataFrame, length: int) -> DataFrame:
         "shards",
     )
     merged = sharded.where("length(digests) > 0").groupBy("anchor", "slice").applyInArrow(_merged, "k long, h long, lo int, runs array<int>")
-    found = sharded.select("k", "h", "lo", "runs").unionByName(merged).where("size(runs) > 0").select(
-        "k", "h", "lo", F.explode(F.expr("transform(sequence(0, size(runs) div 2 - 1), i -> struct(runs[2 * i] as first, runs[2 * i + 1] as last))")).alias("run")
-    )
-    found = found.select("k", "h", (F.col("lo") + F.col("run.first")).alias("first"), (F.col("lo") + F.col("run.last")).alias("last"))
+    paired = "transform(sequence(0, size(runs) div 2 - 1), i -> struct(lo + runs[2 * i] as first, lo + runs[2 * i + 1] as last))"
+    found = sharded.select("k", "h", "lo", "runs").unionByName(merged).where("size(runs) > 0").select("k", "h", F.expr(paired).alias("ranges"))
     return whole.unionByName(found)
 
 
@@ -269,7 +269,7 @@ def without_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id",
         F.coalesce(text_col, F.lit("")).alias("text"),
     )
     ranges = staged(repeated_ranges(rows.select("k", "h", "text"), length), "ranges")
-    ranges = ranges.groupBy("k", "h").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
+    ranges = ranges.groupBy("k", "h").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
     packed = rows.select("id", "k", "h", "text").mapInArrow(_compressed, "id long, k long, h long, packed binary")
     kept = packed.join(ranges, ["k", "h"], "left").select("id", "ranges", "packed")
     told = kept.mapInArrow(_kept(length), "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
