@@ -187,9 +187,10 @@ def test_tokens(spark, docs, empty, rows, tmp_path):
 def test_grammar_rules():
     rng = np.random.default_rng(0)
     for ids in (np.zeros(1001, np.uint32), rng.integers(0, 3, 5000).astype(np.uint32), np.tile(np.arange(7, dtype=np.uint32), 500), np.zeros(1, np.uint32)):
-        rules, symbols = grammar.repaired(ids, 10)
-        assert grammar.expanded(symbols, rules, 10).tolist() == ids.tolist()
-        assert all(a < 10 + i and b < 10 + i for i, (a, b) in enumerate(rules.tolist()))
+        for base in (10, (1 << 16) - 1, 70_000):
+            rules, symbols = grammar.repaired(ids, base)
+            assert grammar.expanded(symbols, rules, base).tolist() == ids.tolist()
+            assert all(a < base + i and b < base + i for i, (a, b) in enumerate(rules.tolist()))
 
 
 def test_repeated_substrings(docs, empty, rows, monkeypatch):
