@@ -236,8 +236,11 @@ def accepted(
     languages: int = 256,
 ) -> DataFrame:
     """The rows of `docs` that are not rejected: those without a letter are, and those whose best language scores
-    less than `chance` times what a guess among all languages would."""
+    less than `chance` times what a guess among all languages would. Where fewer than two languages are learned (one label only, or
+    none at all) there is nothing to tell apart, and every text with a letter stays."""
     net = learned(docs, id_col, text_col, lang_col, per_language, languages)
+    if len(net.names) < 2:
+        return docs.where(judged(F.col(text_col)).isNotNull())
     rows = docs.withColumn("_judged", judged(F.col(text_col)))
     return rows.mapInArrow(_accepted(net, chance), docs.schema)
 

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from collections import Counter
 
+import pytest
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from terrazzo.llm import langid
 from terrazzo.session import staged
@@ -45,3 +48,14 @@ def test_empty(spark, sf_dir):
         docs = stage(spark, docs, sf_dir)
     assert docs.collect() == []
     assert langid.accepted(spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("label", ["en", None])
+def test_languages_without_a_choice(spark, sf_dir, label):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumn("lang", F.lit(label).cast("string"))
+    text = F.when(F.col("doc_id") % 10 == 0, "12 34 ...").when(F.col("doc_id") % 10 != 1, F.col("text"))
+    docs = docs.withColumn("text", text)
+    kept = corpus_pipeline.language(spark, docs, sf_dir)
+    assert kept.columns == docs.columns
+    want = {r["doc_id"] for r in docs.collect() if r["text"] is not None and any(c.isalpha() for c in r["text"])}
+    assert len(want) > 100 and {r["doc_id"] for r in kept.collect()} == want
