@@ -4,11 +4,14 @@ A text is cut into windows of `WINDOW` bytes, the whole text, the last one padde
 widths slide over a window, each keeps its maximum, and a softmax over those tells the language. The network is trained in numpy on the driver on a
 bounded sample (`per_language` documents of each of at most `languages` languages, a piece of `PIECE` characters of each), and
 applied to Arrow batches. A text's probabilities are the mean over its windows, weighted by their bytes.
+
+Where texts are to be rejected the network learns one class more, from texts in no language that are made of the sample
+(`disguised`), and what it leaves to the languages is held against the same of held-out labelled documents (`bars`).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,13 +33,14 @@ AT_ONCE = 32
 
 @dataclass
 class Network:
-    """Names of the languages and the weights. Filters of all widths are as wide as the widest, with zeros behind."""
+    """Names of the languages and the weights. Filters of all widths are as wide as the widest, with zeros behind.
+    An output behind those of the languages stands for texts in none of them."""
 
     names: list[str]
     embedding: np.ndarray  # 256 x DIM; byte 0 pads and stays zero
     filters: np.ndarray  # max(WIDTHS) * DIM x filters
     filter_bias: np.ndarray
-    out: np.ndarray  # filters x languages
+    out: np.ndarray  # filters x languages, and one for none of them where it is learned
     out_bias: np.ndarray
 
     def patches(self, windows: np.ndarray) -> np.ndarray:
@@ -57,7 +61,7 @@ class Network:
         return np.maximum(top + self.filter_bias, 0), where
 
     def probabilities(self, windows: np.ndarray) -> np.ndarray:
-        out = np.empty((len(windows), len(self.names)), np.float32)
+        out = np.empty((len(windows), len(self.out_bias)), np.float32)
         for at in range(0, len(windows), AT_ONCE):
             patches = self.patches(windows[at : at + AT_ONCE])
             active = (patches.reshape(-1, patches.shape[2]) @ self.filters).reshape(len(patches), WINDOW, -1)
@@ -78,9 +82,12 @@ def windows_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8).reshape(-1, WINDOW), np.repeat(np.arange(len(texts)), counts)
 
 
-def train(texts: list[bytes], labels: list[str], epochs: int = 12, batch: int = 64, rate: float = 0.01, seed: int = 0) -> Network:
-    """A network trained by Adam on all windows of the texts. Without labelled texts it knows no language."""
+def train(
+    texts: list[bytes], labels: list[str], epochs: int = 12, batch: int = 64, rate: float = 0.01, seed: int = 0, none: Sequence[bytes] = ()
+) -> Network:
+    """A network trained by Adam on all windows of the texts, and of `none` as texts in no language. Without labelled texts it knows no language."""
     names = sorted(set(labels))
+    classes = max(len(names) + bool(none), 1)
     rng = np.random.default_rng(seed)
     wide, total = max(WIDTHS), FILTERS * len(WIDTHS)
     mask = np.zeros((wide * DIM, total), np.float32)
@@ -92,14 +99,14 @@ def train(texts: list[bytes], labels: list[str], epochs: int = 12, batch: int =
         rng.normal(0, 1, (256, DIM)).astype(np.float32),
         (rng.normal(0, 1, mask.shape) * mask * scale).astype(np.float32),
         np.zeros(total, np.float32),
-        rng.normal(0, 0.1, (total, max(len(names), 1))).astype(np.float32),
-        np.zeros(max(len(names), 1), np.float32),
+        rng.normal(0, 0.1, (total, classes)).astype(np.float32),
+        np.zeros(classes, np.float32),
     )
     net.embedding[0] = 0
     if len(names) < 2:
         return net
-    windows, owner = windows_of(texts)
-    wanted = np.array([names.index(x) for x in labels])[owner]
+    windows, owner = windows_of([*texts, *none])
+    wanted = np.array([names.index(x) for x in labels] + [len(names)] * len(none))[owner]
     params = [net.embedding, net.filters, net.filter_bias, net.out, net.out_bias]
     first, second, step = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], 0
     for epoch in range(epochs):
@@ -152,17 +159,81 @@ def training_rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str, pe
     return [r["text"].encode() for r in rows], [r["lang"] for r in rows]
 
 
+def disguised(texts: list[bytes], seed: int = 0) -> list[bytes]:
+    """For every text one in no language, of the same length in characters and with the same signs between its letters.
+
+    By turns its letters are exchanged for each other by a random table, for those of another script, each by itself for any of a few
+    or many letters, or shuffled over the text.
+    """
+    rng = np.random.default_rng(seed)
+    held = [t.decode() for t in texts]
+    letters = sorted({c for t in held for c in t.lower() if c.isalpha()})
+    out = []
+    for i, text in enumerate(held):
+        at = np.array([c.isalpha() for c in text], bool)
+        if i % 4 == 0:
+            table = dict(zip(letters, rng.permutation(letters).tolist(), strict=True))
+            new = [table.get(c.lower(), c) for c in text]
+        elif i % 4 == 1:
+            first = rng.integers(0x370, 0xD000)
+            table = dict(zip(letters, (chr(first + x) for x in rng.permutation(len(letters)) % 64), strict=True))
+            new = [table.get(c.lower(), c) for c in text]
+        elif i % 4 == 2:
+            some = rng.permutation(letters)[: int(np.exp(rng.uniform(0, np.log(len(letters) + 1))))]
+            new = np.where(at, rng.choice(some, len(text)), list(text)).tolist()
+        else:
+            moved = np.array(list(text.lower()))
+            moved[at] = rng.permutation(moved[at])
+            new = moved.tolist()
+        out.append("".join(n.upper() if c.isupper() else n for n, c in zip(new, text, strict=True)).encode())
+    return out
+
+
+def summed(net: Network, held: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The probabilities of every text summed over its windows, weighted by their bytes, and the sum of the weights."""
+    windows, owner = windows_of(held)
+    likely = net.probabilities(windows)
+    # 0 is padding; a text may hold it too, and its bytes then weigh nothing
+    weight = np.count_nonzero(windows, axis=1).astype(np.float64) + 1e-9
+    sums = np.zeros((len(held), likely.shape[1]))
+    np.add.at(sums, owner, likely * weight[:, None])
+    return sums, np.bincount(owner, weights=weight, minlength=len(held))
+
+
+def placed(net: Network, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """The likeliest language of every text by number, and the share of the text that is in any language; -1 and 0 for a null or empty one."""
+    best, share = [], []
+    for _, held in batches(texts):
+        sums, totals = summed(net, held)
+        there = np.array([bool(t) for t in held], bool)
+        best.append(np.where(there, sums[:, : len(net.names)].argmax(axis=1), -1))
+        share.append(np.where(there, 1 - sums[:, -1] / np.maximum(totals, 1e-9), 0))
+    return np.concatenate([*best, np.zeros(0, np.int64)]), np.concatenate([*share, np.zeros(0)])
+
+
+def bars(net: Network, texts: list[bytes], lost: float) -> np.ndarray:
+    """For each language the share in any language that a text told as that language has to have: one half, or less where more than
+    the part `lost` of the held-out documents told so are below it. Where they are too few to say so the bar is that of all
+    languages, and where all are too few the least share among them.
+    """
+    best, share = placed(net, texts)
+
+    def rank(scores: np.ndarray) -> int:
+        # the next text would be below the score of this rank with a probability of `lost` at most
+        return int(lost * (len(scores) + 1))
+
+    def bar(scores: np.ndarray) -> float:
+        return min([0.5, *np.sort(scores)[max(rank(scores), 1) - 1 :][:1]])
+
+    groups = [share[best == i] for i in range(len(net.names))]
+    return np.array([bar(g if rank(g) else share) for g in groups])
+
+
 def told(net: Network, texts: list[bytes | None]) -> tuple[list[str], list[float]]:
     """Language and score of every text; `und` and 0 for a null or empty one."""
     names, scores = [], []
     for _, held in batches(texts):
-        windows, owner = windows_of(held)
-        likely = net.probabilities(windows)
-        # 0 is padding; a text may hold it too, and its bytes then weigh nothing
-        weight = np.count_nonzero(windows, axis=1).astype(np.float64) + 1e-9
-        sums = np.zeros((len(held), likely.shape[1]))
-        np.add.at(sums, owner, likely * weight[:, None])
-        totals = np.bincount(owner, weights=weight, minlength=len(held))
+        sums, totals = summed(net, held)
         for i, text in enumerate(held):
             if not text or not net.names:
                 names.append(UNKNOWN)
@@ -188,15 +259,14 @@ def _predicted(net: Network):
     return run
 
 
-def _accepted(net: Network, chance: float):
+def _accepted(net: Network, least: np.ndarray):
     """Rows, their judged text last -> the rows that are accepted."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             last = part.num_columns - 1
-            names, scores = told(net, utf8(part.column(last)))
-            least = chance / max(1, len(net.names))
-            good = [name != UNKNOWN and score >= least for name, score in zip(names, scores, strict=True)]
+            best, share = placed(net, utf8(part.column(last)))
+            good = (best >= 0) & (share >= least[best])
             yield pa.RecordBatch.from_arrays(part.columns[:last], part.schema.names[:last]).filter(pa.array(good, pa.bool_()))
 
     return run
@@ -232,17 +302,21 @@ def judged(text: Column) -> Column:
 
 
 def accepted(
-    docs: DataFrame, chance: float = 1.02, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 400,
+    docs: DataFrame, lost: float = 0.01, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 400,
     languages: int = 256,
 ) -> DataFrame:
-    """The rows of `docs` that are not rejected: those without a letter are, and those whose best language scores
-    less than `chance` times what a guess among all languages would. Where fewer than two languages are learned (one label only, or
-    none at all) there is nothing to tell apart, and every text with a letter stays."""
-    net = learned(docs, id_col, text_col, lang_col, per_language, languages)
-    if len(net.names) < 2:
+    """The rows of `docs` that are not rejected: those without a letter are, and those that the network takes for none of its
+    languages, by a bar for each language that at most the part `lost` of its held-out labelled documents misses. Where fewer than two
+    languages are learned (one label only, or none at all) there is nothing to tell apart, and every text with a letter stays."""
+    clean = docs.where(judged(F.col(text_col)).isNotNull() & F.col(id_col).isNotNull())
+    held = held_out(F.col(id_col))
+    texts, labels = training_rows(clean.where(~held), id_col, text_col, lang_col, per_language, languages)
+    if len(set(labels)) < 2:
         return docs.where(judged(F.col(text_col)).isNotNull())
+    net = train(texts, labels, none=disguised(texts))
+    least = bars(net, training_rows(clean.where(held), id_col, text_col, lang_col, per_language, languages)[0], lost)
     rows = docs.withColumn("_judged", judged(F.col(text_col)))
-    return rows.mapInArrow(_accepted(net, chance), docs.schema)
+    return rows.mapInArrow(_accepted(net, least), docs.schema)
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -59,3 +61,44 @@ def test_languages_without_a_choice(spark, sf_dir, label):
     assert kept.columns == docs.columns
     want = {r["doc_id"] for r in docs.collect() if r["text"] is not None and any(c.isalpha() for c in r["text"])}
     assert len(want) > 100 and {r["doc_id"] for r in kept.collect()} == want
+
+
+def test_network_rejects(spark, sf_dir):
+    """Unlearned languages and letter junk go and clean texts stay, with four learned languages as with two."""
+    strange = [
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem.",
+        "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler.",
+        "Все люди рождаются свободными и равными в своем достоинстве и правах.",
+        "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα.",
+        "人人生而自由,在尊严和权利上一律平等。他们赋有理性和良心。",
+    ]
+    rng = random.Random(8)
+    for letters in ("abcdefghijklmnopqrstuvwxyz", "bcdfghjklmnpqrstvwxz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "xqzjk"):
+        strange += [" ".join("".join(rng.choices(letters, k=rng.randint(2, 9))) for _ in range(60)) for _ in range(5)]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    texts = {x: [r["text"] for r in docs.where((F.col("lang") == x) & (F.length("text") > 200)).limit(8).collect()] for x in ("en", "fr")}
+    both = [f"{a[:200]} {b[:200]}" for a, b in zip(texts["en"], texts["fr"], strict=True)]
+    planted = [(10**9 + i, t) for i, t in enumerate(strange)] + [(2 * 10**9 + i, t) for i, t in enumerate(both)]
+    planted = spark.createDataFrame(planted, "doc_id long, text string")
+    for names in (["en", "fr", "de", "es"], ["en", "fr"]):
+        clean = docs.where(F.col("lang").isin(names))
+        kept = corpus_pipeline.language(spark, clean.unionByName(planted, allowMissingColumns=True), sf_dir)
+        kept = {r["doc_id"] for r in kept.select("doc_id").collect()}
+        assert not kept & {10**9 + i for i in range(len(strange))}
+        assert kept >= {2 * 10**9 + i for i in range(len(both))}
+        assert kept >= {r["doc_id"] for r in clean.select("doc_id").collect()}
+
+
+def test_bars():
+    net, texts = langid.Network(["a", "b"], *[None] * 5), [b"x"] * 600
+    best = np.repeat([0, 1], 300)
+    shares = np.concatenate([np.linspace(0.2, 1, 300), np.full(300, 0.9)])
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(langid, "placed", lambda *_: (best, shares))
+        least = langid.bars(net, texts, 0.01)
+        assert (shares[:300] < least[0]).sum() == 2 and least[1] == 0.5
+        best, shares = best[:3], np.array([0.3, 0.9, 0.8])
+        assert langid.bars(net, texts[:3], 0.01).tolist() == [0.3, 0.3]
+        best, shares = best[:0], shares[:0]
+        assert langid.bars(net, [], 0.01).tolist() == [0.5, 0.5]
