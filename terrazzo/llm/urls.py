@@ -23,6 +23,9 @@ RULES = [
     ("block", "net", "/fr/"),
 ]
 
+#: The tree of the query: the significance test alone merges branches, and none without labels with labelled ones.
+WHOLE = {"min_share": 0, "min_rows": 0, "apart": True}
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -52,13 +55,14 @@ def shape_of(path: Column) -> Column:
 
 
 def template_tree(
-    shapes: DataFrame, depth: int = 4, min_share: float = 0.02, min_rows: int = 20, z: float = 1.96
+    shapes: DataFrame, depth: int = 4, min_share: float = 0.02, min_rows: int = 20, z: float = 1.96, apart: bool = False
 ) -> DataFrame:
     """host, shape and `template` of each row of `shapes` (host, shape, pages, labelled, blocked; one row for each host and shape).
 
     Level by level, a segment below the same template so far stays a branch of its own only if it is a lasting part of the
     tree (at least `min_share` of the parent's pages and `min_rows` of them) and its blocked share
-    differs from that of its siblings together by more than `z` standard errors. All others become `*`.
+    differs from that of its siblings together by more than `z` standard errors. All others become `*`. With `apart` a branch
+    without labels beside labelled ones stays as well, so that it is judged by the same template of other hosts.
     Segments below `depth` become one `**`.
     """
     rows = shapes.withColumns({"_segments": F.split("shape", "/"), "template": F.lit("")})
@@ -81,6 +85,8 @@ def template_tree(
         lasting = (F.col("pages") >= min_rows) & (F.col("pages") >= min_share * F.col("_all_pages"))
         alone = F.col("pages") == F.col("_all_pages")
         stays = alone | (lasting & (gap > z * error))
+        if apart:
+            stays = stays | ((F.col("labelled") == 0) & (F.col("_all_labelled") > 0))
         branches = branches.select(
             F.col("host").alias("_host"), F.col("template").alias("_template"), F.col("_segment").alias("_branch"), stays.alias("_stays")
         )
@@ -154,4 +160,4 @@ def filtered_urls(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: s
 
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's host, path, rule and verdict."""
-    return filtered_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"), RULES)
+    return filtered_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"), RULES, **WHOLE)

@@ -312,6 +312,18 @@ def test_urls(spark, sf_dir):
     assert urls.filtered_urls(table.limit(0), urls.RULES).collect() == []
 
 
+@pytest.mark.parametrize("times", [1, 10])
+def test_urls_small_branches(spark, tmp_path, times):
+    """Small branches without labels do not take the verdict of labelled ones, whatever the size of the table."""
+    paths = [("big.net", "es", 30), ("tiny.net", "es", 3), ("tiny.net", "de", 2), ("x.com", "de", 5)]
+    paths += [(host, f"sec{c}", n) for c in "abcdefghijklmnopqrstuvwxyz" for host, n in (("big.net", 70), ("x.com", 3))]
+    rows = [f"http://{host}/{name}/{i}" for host, name, n in paths for i in range(n * times)]
+    spark.createDataFrame(list(enumerate(rows)), "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = urls.op10_url_filters(spark, str(tmp_path)).select("host", "path", "verdict").collect()
+    assert len(got) == len(rows)
+    assert all(r["verdict"] == ("block" if r["path"].startswith("/es/") else "allow") for r in got)
+
+
 def test_chat(spark):
     rng = random.Random(6)
     bits = ["<|im_end|>\n", "<|im_sep|>", "<|", "\\", "<\\|", "\n", "x", "é𝄞", "<", "|", "", "<\\~"]
