@@ -23,8 +23,10 @@ RULES = [
     ("block", "net", "/fr/"),
 ]
 
-#: The tree of the query: the significance test alone merges branches, and none without labels with labelled ones.
-WHOLE = {"min_share": 0, "min_rows": 0, "apart": True}
+#: The tree of the query: down to the last segment, the significance test alone merges branches, and none without labels with labelled ones.
+WHOLE = {"depth": None, "min_share": 0, "min_rows": 0, "apart": True}
+#: levels of the tree in one plan
+LEVELS = 4
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -55,7 +57,7 @@ def shape_of(path: Column) -> Column:
 
 
 def template_tree(
-    shapes: DataFrame, depth: int = 4, min_share: float = 0.02, min_rows: int = 20, z: float = 1.96, apart: bool = False
+    shapes: DataFrame, depth: int | None = 4, min_share: float = 0.02, min_rows: int = 20, z: float = 1.96, apart: bool = False
 ) -> DataFrame:
     """host, shape and `template` of each row of `shapes` (host, shape, pages, labelled, blocked; one row for each host and shape).
 
@@ -63,10 +65,18 @@ def template_tree(
     tree (at least `min_share` of the parent's pages and `min_rows` of them) and its blocked share
     differs from that of its siblings together by more than `z` standard errors. All others become `*`. With `apart` a branch
     without labels beside labelled ones stays as well, so that it is judged by the same template of other hosts.
-    Segments below `depth` become one `**`.
+    Segments below `depth` become one `**`; without a depth the tree goes on to the end of the longest path.
     """
     rows = shapes.withColumns({"_segments": F.split("shape", "/"), "template": F.lit("")})
-    for level in range(1, depth + 1):
+    ended = []
+    # one number
+    levels = depth if depth is not None else rows.agg(F.max(F.size("_segments"))).first()[0] or 0
+    for level in range(1, levels + 1):
+        if level > 1 and level % LEVELS == 1:
+            # only paths that go on are carried further
+            rows = staged(rows.drop("_segment"), "levels")
+            ended.append(rows.where(F.size("_segments") < level))
+            rows = rows.where(F.size("_segments") >= level)
         # the first element of the split is what stands before the first slash
         rows = rows.withColumn("_segment", F.get("_segments", F.lit(level - 1)))
         branches = (
@@ -104,8 +114,11 @@ def template_tree(
             )
             .drop("_host", "_template", "_branch", "_stays")
         )
-    deeper = F.when(F.size("_segments") > depth, F.concat("template", F.lit("/**"))).otherwise(F.col("template"))
-    return rows.withColumn("template", deeper).drop("_segments", "_segment")
+    rows = rows.drop("_segment")
+    for part in ended:
+        rows = rows.unionByName(part)
+    deeper = F.when(F.size("_segments") > levels, F.concat("template", F.lit("/**"))).otherwise(F.col("template"))
+    return rows.withColumn("template", deeper).drop("_segments")
 
 
 def template_verdicts(tree: DataFrame, weight: float = 4.0, threshold: float = 0.5) -> DataFrame:
@@ -131,7 +144,7 @@ def template_verdicts(tree: DataFrame, weight: float = 4.0, threshold: float = 0
     return tree.select("host", "shape", "template").join(judged, ["host", "template"]).withColumn("verdict", verdict)
 
 
-def filtered_urls(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "page_id", url_col: str = "url", **tree: float) -> DataFrame:
+def filtered_urls(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "page_id", url_col: str = "url", **tree: float | None) -> DataFrame:
     """id, host, path, rule, verdict, template, blocked_share of every page.
 
     The verdict is that of the longest rule that fits; the pages a rule judges are the labelled ones from which templates

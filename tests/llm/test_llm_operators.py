@@ -324,6 +324,21 @@ def test_urls_small_branches(spark, tmp_path, times):
     assert all(r["verdict"] == ("block" if r["path"].startswith("/es/") else "allow") for r in got)
 
 
+def test_urls_deep_paths(spark):
+    """Paths that differ only from a deep segment on have templates and verdicts of their own."""
+    top = "/" + "/".join("abcdefghijk")
+    rules = [("block", "h.org", f"{top}/bad/"), ("allow", "h.org", f"{top}/good/")]
+    hosts = [("h.org", "bad", 40), ("h.org", "good", 40), ("k.org", "bad", 2), ("l.org", "good", 2)]
+    rows = [f"http://{host}{top}/{name}/{i}" for host, name, n in hosts for i in range(n)] + ["http://s.org/short/1", None]
+    table = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+    got = urls.filtered_urls(table, rules, **urls.WHOLE).collect()
+    assert sorted(r["page_id"] for r in got) == list(range(len(rows)))
+    deep = [r for r in got if r["path"].startswith(top)]
+    assert len(deep) == 84 and all(r["verdict"] == ("block" if "/bad/" in r["path"] else "allow") for r in deep)
+    assert {r["template"] for r in deep if r["host"] in ("k.org", "l.org")} == {f"{top}/bad/#", f"{top}/good/#"}
+    assert urls.filtered_urls(table.limit(0), rules, **urls.WHOLE).collect() == []
+
+
 def test_chat(spark):
     rng = random.Random(6)
     bits = ["<|im_end|>\n", "<|im_sep|>", "<|", "\\", "<\\|", "\n", "x", "é𝄞", "<", "|", "", "<\\~"]
