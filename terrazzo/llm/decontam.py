@@ -1,8 +1,8 @@
 """Benchmark decontamination: which documents hold at least a share of an item's word shingles.
 
 Items are short and documents long, so similarity says nothing and containment is searched instead. Items are partitioned by size; in a partition every
-item has a MinHash sketch of its least shingles (rare ones first), as many as a document that holds the wanted share cannot all
-miss. Documents stream past a bit filter of all item shingles, which leaves a few hashes of each; those that meet a sketch make
+item has a prefix of its shingles, the rarest among items first and a hash only for ties, as many as a document that holds the wanted
+share cannot all miss. Documents stream past a bit filter of all item shingles, which leaves a few hashes of each; those that meet a prefix make
 candidates, and a candidate is confirmed by counting the item's whole shingle set in the document's.
 
 No text is shuffled. The filter has a fixed greatest size (`FILTER_BITS`): a larger benchmark makes it denser, which costs rows and loses nothing.
