@@ -131,6 +131,7 @@ def manifest(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", te
     size = languages.agg(F.count("*").alias("n"), F.coalesce(F.max("height"), F.lit(0)).alias("top")).withColumn("over", height(F.col("n"))).first()
     own = languages.withColumnRenamed("lang", "_lang")
     leaves = leaves.join(own, F.col("lang").eqNullSafe(F.col("_lang"))).select("id", "tree", "height", "place", "leaf", "tampered")
+    leaves = staged(leaves, "placed")
     lower = grown(leaves.select("tree", "height", "place", F.col("leaf").alias("digest")), size["top"], "runs")
     tops = lower.subroots.select(F.lit(0).alias("tree"), F.lit(size["over"]).alias("height"), F.col("tree").alias("place"), "digest")
     upper = grown(tops, size["over"], "languages")
@@ -154,28 +155,38 @@ def _descended(frontier: DataFrame, records: DataFrame, asked: DataFrame) -> Dat
         "digest",
         F.concat("path", F.array(segment(F.col("children"), F.col("digit")))).alias("path"),
     )
-    return down.join(asked, ["tree", "place"], "left_semi")
+    # a level is written before the next one is opened: it is small beside the leaves, and plans stay short
+    return staged(down.join(asked, ["tree", "place"], "left_semi"), "frontier")
+
+
+def _asked(requests: DataFrame, levels: int) -> list[DataFrame]:
+    """tree, place of the nodes above `requests` (tree, height, place), from level 1 upwards; each level comes from the one below it."""
+    out, now = [], requests.select("tree", "height", "place")
+    for level in range(1, levels + 1):
+        up = now.where(F.col("height") >= level).select("tree", "height", F.expr(f"place div {FAN}").alias("place")).distinct()
+        now = staged(up, "asked")
+        out.append(now)
+    return out
 
 
 def proven(of: Manifest, requests: DataFrame) -> DataFrame:
     """The rows of `requests` (some of the manifest's leaves) with subroot and path, the segments from the root down to the leaf."""
     spark = requests.sparkSession
     levels = len(of.lower.levels)
-    trees = requests.select("tree").distinct()
+    trees = requests.select(F.lit(0).alias("tree"), F.lit(len(of.upper.levels)).alias("height"), F.col("tree").alias("place")).distinct()
+    top = [trees, *_asked(trees, len(of.upper.levels))]
     path = "array<struct<left:string,right:string>>"
     frontier = spark.createDataFrame([(0, 0, of.root, [])] if of.root else [], f"tree long, place long, digest string, path {path}")
     for level in range(len(of.upper.levels), 0, -1):
-        shift = 3 * (level - 1)
-        asked = trees.select(F.lit(0).alias("tree"), F.shiftright("tree", shift).alias("place")).distinct()
-        frontier = _descended(frontier, of.upper.records(level), asked)
+        frontier = _descended(frontier, of.upper.records(level), top[level - 1])
     # every tree asked for, at its subroot
     own = of.languages.select("tree", "height")
     entering = frontier.select(F.col("place").alias("tree"), F.lit(0).cast("long").alias("place"), "digest", "path")
     entering = staged(entering.join(own, "tree").withColumn("subroot", F.col("digest")), "entering")
     below = entering.where(F.col("height") >= levels) if levels else entering.limit(0)
+    asked = _asked(requests, levels)
     for level in range(levels, 1, -1):
-        asked = requests.where(F.col("height") >= level).select("tree", F.shiftright("place", 3 * (level - 1)).alias("place")).distinct()
-        down = _descended(below.select("tree", "place", "digest", "path"), of.lower.records(level), asked)
+        down = _descended(below.select("tree", "place", "digest", "path"), of.lower.records(level), asked[level - 2])
         below = down.unionByName(entering.where(F.col("height") == level - 1).select("tree", "place", "digest", "path"))
     last = [entering.where("height = 0").select("tree", "place", "path", F.lit(None).cast("array<string>").alias("children"))]
     if levels:
