@@ -3,6 +3,8 @@ streaming queries that stop when everything landed has been read."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -103,6 +105,47 @@ def stream_resumed(spark, sf):
     return live.read_changes(spark, f"{base}/table", "insee", MESSAGE, ["event_id"]).drop("inserted_at")
 
 
+@query("stream_compacted", _LATEST)
+def stream_compacted(spark, sf):
+    """Twelve small batches and a snapshot after every fourth: readers see one snapshot and what came since."""
+    base = staging_path(spark, "stream")
+    for part in range(12):
+        _land(messages(spark, sf).filter(F.pmod(F.xxhash64("event_id"), F.lit(12)) == part).coalesce(1), f"{base}/landed")
+    schema = struct(("event_id", T.LongType()), ("value", T.StringType()))
+    stream = live.read_landed(spark, f"{base}/landed", schema, maxFilesPerTrigger="1")
+    paths = (f"{base}/table", f"{base}/rejects", f"{base}/checkpoint")
+    live.consume(stream.select("value"), MESSAGE, "insee", ["event_id"], *paths, NOW, compact_every=4).awaitTermination()
+    return live.read_changes(spark, f"{base}/table", "insee", MESSAGE, ["event_id"]).drop("inserted_at")
+
+
+_ON_TIME = "event_id > (SELECT max(event_id) / 2 FROM events) OR ts >= (SELECT max(ts) FROM events WHERE event_id > (SELECT max(event_id) / 2 FROM events)) - INTERVAL 1 DAY"
+
+
+@query(
+    "stream_late",
+    f"WITH good AS (SELECT *, {_ON_TIME} AS on_time FROM events WHERE user_id IS NOT NULL) "
+    f"SELECT {code('user_id % 20 + 1')} AS insee, event_id, epoch_us(ts) AS moment, true AS late FROM good WHERE NOT on_time "
+    f"UNION ALL SELECT {code('user_id % 20 + 1')}, max(event_id), arg_max(epoch_us(ts), event_id), false FROM good WHERE on_time GROUP BY 1",
+)
+def stream_late(spark, sf):
+    """The newer half of the events arrives first: of the other half, what lies over a day behind goes to the side table."""
+    base = staging_path(spark, "stream")
+    schema = struct(("insee", T.StringType()), ("event_id", T.LongType()), ("moment", T.LongType()))
+    rows = t.table(spark, sf, "events").filter(F.col("user_id").isNotNull())
+    said = F.struct(code_of_district(F.col("user_id") % 20 + 1).alias("insee"), "event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("moment"))
+    middle = t.table(spark, sf, "events").agg((F.max("event_id") / 2).alias("middle")).scalar()
+    for half in (F.col("event_id") > middle, F.col("event_id") <= middle):
+        _land(rows.filter(half).select(F.to_json(said).alias("value")), f"{base}/landed")
+        stream = live.read_landed(spark, f"{base}/landed", struct(("value", T.StringType())))
+        live.consume(
+            stream, schema, "insee", ["event_id"], f"{base}/table", f"{base}/rejects", f"{base}/checkpoint", NOW,
+            event_time=F.timestamp_micros("moment"), delay=dt.timedelta(days=1), late=f"{base}/late",
+        ).awaitTermination()
+    late = spark.read.schema(schema).parquet(f"{base}/late").select(*schema.fieldNames(), F.lit(True).alias("late"))
+    kept = live.read_changes(spark, f"{base}/table", "insee", schema, ["event_id"]).drop("inserted_at").withColumn("late", F.lit(False))
+    return late.unionByName(kept)
+
+
 @query("stream_lookup", f"SELECT * FROM ({_LATEST}) WHERE insee = '75107'")
 def stream_lookup(spark, sf):
     base = staging_path(spark, "stream")
@@ -123,7 +166,7 @@ def stream_lookup_expired(spark, sf):
     key = F.col("user_id") % 20 + 1
     rows = t.table(spark, sf, "events").select(code_of_district(key).alias("insee"), "event_id", F.col("event_type").alias("label"))
     arrived = F.when(F.col("insee") == "75107", F.current_timestamp() - F.expr("INTERVAL 30 HOUR")).otherwise(F.current_timestamp())
-    live.write_changes(f"{base}/table")(rows.withColumn("inserted_at", arrived), 0)
+    live.write_changes(f"{base}/table", "insee", ["event_id"])(rows.withColumn("inserted_at", arrived), 0)
     table = live.read_changes(spark, f"{base}/table", "insee", MESSAGE, ["event_id"])
     return live.lookup(table, "insee").drop("inserted_at")
 
@@ -167,7 +210,7 @@ def stream_latest_with_expiry(spark, sf):
     kept = (
         live.latest_with_expiry(events_stream(spark, sf), schema)
         .writeStream.outputMode("update")
-        .foreachBatch(live.write_changes(f"{base}/table"))
+        .foreachBatch(live.write_changes(f"{base}/table", "user_id", ["inserted_at"]))
         .option("checkpointLocation", f"{base}/checkpoint")
         # processing-time timers ask for further batches, so available-now would not end
         .trigger(once=True)

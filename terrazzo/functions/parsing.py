@@ -52,8 +52,9 @@ def number_or_null(value: Column | str) -> Column:
 
 
 def iso_utc(moment: Column) -> Column:
-    """ISO 8601 text of a timestamp, in a UTC session."""
-    return F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+    """ISO 8601 text of an instant, in UTC whatever the zone of the session."""
+    utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), moment.cast("timestamp_ntz"))
+    return F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
 
 
 def rejected(raw: str, typed: Column) -> Column:

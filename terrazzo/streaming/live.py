@@ -1,4 +1,7 @@
-"""Live readings: parse messages, keep the latest per key, forget them after a day."""
+"""Live readings: parse messages, keep the latest per key, forget them after a day.
+
+The table of readings is in `changes`, event time and late messages are in `lateness`.
+"""
 
 from __future__ import annotations
 
@@ -11,12 +14,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
+from terrazzo.errors import ConfigurationError
 from terrazzo.functions.parsing import iso_utc
 from terrazzo.operators.upserts import latest_per_key
 from terrazzo.schemas import struct
 from terrazzo.sources.sinks import as_messages
+from terrazzo.streaming import lateness
+from terrazzo.streaming.changes import COMPACT_EVERY, EXPIRY, moment, read_changes, unexpired, write_changes  # noqa: F401
 
-EXPIRY = dt.timedelta(hours=24)
 POLL_INTERVAL = "1 hour"
 # `data` stays JSON text, whatever its shape
 AIR_MESSAGE = struct(("insee", T.StringType()), ("timestamp", T.StringType()), ("data", T.StringType()))
@@ -95,69 +100,6 @@ def air_documents(table: DataFrame) -> DataFrame:
     return table.select("insee", F.concat(F.lit('{"data":'), "data", F.lit("}")).alias("document"))
 
 
-def write_changes(path: str, after: dt.timedelta = EXPIRY) -> Callable[[DataFrame, int], None]:
-    """`foreachBatch` writer of changed rows, one folder per day of arrival and batch.
-
-    A batch that is run again replaces its own folder, so repeats change nothing. Folders of days that hold only expired rows are
-    removed, so the table does not grow with the age of the stream. Rows without `inserted_at` are stamped.
-    """  # noqa: E501
-
-    def write(batch: DataFrame, number: int) -> None:
-        rows = batch if "inserted_at" in batch.columns else stamped(batch)
-        (
-            rows.withColumns({"day": F.to_date("inserted_at").cast("string"), "batch": F.lit(number).cast("long")})
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("day", "batch")
-            .parquet(path)
-        )
-        remove_days(batch.sparkSession, path, _oldest_day(None, after))
-
-    return write
-
-
-def _oldest_day(as_of: dt.datetime | None, after: dt.timedelta) -> dt.date:
-    """The day of the oldest row that has not expired, in UTC as the sessions of this library are."""
-    now = as_of or dt.datetime.now(dt.timezone.utc)
-    return (now - after).date()
-
-
-def remove_days(spark: SparkSession, path: str, before: dt.date) -> None:
-    """Remove the folders of days before a date from a change table, whatever store holds it."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    store = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not store.exists(root):
-        return
-    for status in store.listStatus(root):
-        name = status.getPath().getName()
-        if name.startswith("day=") and name.removeprefix("day=") < before.isoformat():
-            store.delete(status.getPath(), True)
-
-
-def read_changes(
-    spark: SparkSession,
-    path: str,
-    key: str,
-    schema: T.StructType,
-    order: list[str],
-    as_of: dt.datetime | None = None,
-    after: dt.timedelta = EXPIRY,
-) -> DataFrame:
-    """The newest live row of each key from a change table, by `order`, with its `inserted_at`.
-
-    Rows expire `after` their arrival; `as_of` is the moment that counts, now by default. Folders of days on which nothing live
-    can have arrived are not read.
-    """
-    stamp = [] if "inserted_at" in schema.fieldNames() else [T.StructField("inserted_at", T.TimestampType())]
-    stored = T.StructType([*schema.fields, *stamp])
-    parts = [T.StructField("day", T.StringType()), T.StructField("batch", T.LongType())]
-    changes = spark.read.schema(T.StructType([*stored.fields, *parts])).parquet(path)
-    recent = changes.filter(F.col("day") >= _oldest_day(as_of, after).isoformat())
-    moment = F.current_timestamp() if as_of is None else F.lit(as_of)
-    live = unexpired(recent, moment, after=after)
-    return latest_per_key(live, key, [*order, "batch"]).select(*stored.fieldNames())
-
-
 def consume(
     messages: DataFrame,
     schema: T.StructType,
@@ -168,21 +110,35 @@ def consume(
     checkpoint: str,
     trigger: dict | None = None,
     after: dt.timedelta = EXPIRY,
+    compact_every: int = COMPACT_EVERY,
+    event_time: Column | None = None,
+    delay: dt.timedelta = dt.timedelta(0),
+    late: str | None = None,
 ) -> StreamingQuery:
     """Start the consumer: valid messages to the change table, bad ones to a side table.
 
     `order` names message fields or columns that tell which message is newer. One query reads and parses each message once; a
-    micro-batch is held while its two parts are written. It is reduced to the newest row of each key, and no state is kept
+    micro-batch is held while its parts are written. It is reduced to the newest row of each key, and no state is kept
     beyond the change table, whose rows expire: `read_changes` picks the newest live row of a key whatever batch it came in.
-    """  # noqa: E501
 
-    changes = write_changes(table, after)
+    With `event_time`, an expression over the message's fields, valid messages that lie more than `delay` behind the greatest event time of the batches
+    before theirs go to the side table `late` instead of the change table.
+    """  # noqa: E501
+    if event_time is not None and late is None:
+        raise ConfigurationError("late messages need a side table")
+    changes = write_changes(table, key, order, after, compact_every)
 
     def write(batch: DataFrame, number: int) -> None:
         both = parsed(batch, schema).persist()
         try:
             rows = valid(both, key).select("message.*", *[c for c in order if c in batch.columns])
-            changes(stamped(latest_per_key(rows, key, order)), number)
+            on_time = rows
+            if event_time is not None:
+                mark = lateness.greatest(batch.sparkSession, late, number)
+                behind = lateness.is_late(event_time, mark, delay)
+                lateness.write_late(rows.filter(behind), late, number)
+                on_time = rows.filter(~behind)
+            changes(stamped(latest_per_key(on_time, key, order)), number)
             (
                 invalid(both, key)
                 .withColumn("batch", F.lit(number).cast("long"))
@@ -191,6 +147,8 @@ def consume(
                 .partitionBy("batch")
                 .parquet(rejects)
             )
+            if event_time is not None:
+                lateness.advance(rows, event_time, late, number, mark)
         finally:
             both.unpersist()
 
@@ -212,15 +170,10 @@ def publish(messages: DataFrame, servers: str, topic: str, checkpoint: str, trig
     )
 
 
-def unexpired(df: DataFrame, as_of: Column, inserted: str = "inserted_at", after: dt.timedelta = EXPIRY) -> DataFrame:
-    """Rows that arrived within the expiry before a moment."""
-    return df.filter(F.col(inserted) > as_of - F.lit(after))
-
-
 def lookup(table: DataFrame, key: str, value: str | None = None, as_of: dt.datetime | None = None) -> DataFrame:
     """Live rows by key, of one key or all; rows that know when they arrived are left out once they have expired."""
     if "inserted_at" in table.columns:
-        table = unexpired(table, F.current_timestamp() if as_of is None else F.lit(as_of))
+        table = unexpired(table, moment(as_of))
     return (table if value is None else table.filter(F.col(key) == value)).orderBy(key)
 
 

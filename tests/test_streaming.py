@@ -2,15 +2,19 @@
 
 import datetime as dt
 import json
+import os
 import time
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from terrazzo.errors import ConfigurationError
 from terrazzo.schemas import struct
 from terrazzo.session import staging_path
+from terrazzo.sources import store
 from terrazzo.sources.sinks import as_messages
-from terrazzo.streaming import live
+from terrazzo.streaming import changes, live
 
 MESSAGE = struct(("insee", T.StringType()), ("n", T.LongType()), ("label", T.StringType()))
 STORED = T.StructType([*MESSAGE.fields, T.StructField("inserted_at", T.TimestampType())])
@@ -49,7 +53,7 @@ def test_bad_messages_go_aside_and_late_ones_do_not_win(spark):
 
 def test_a_repeated_batch_changes_nothing(spark):
     base = staging_path(spark, "test")
-    write = live.write_changes(f"{base}/table")
+    write = live.write_changes(f"{base}/table", "insee", ["n"])
     rows = spark.createDataFrame([("75101", 1, "a", dt.datetime.now(dt.timezone.utc))], STORED)
     write(rows, 0)
     write(rows, 0)
@@ -76,7 +80,7 @@ def test_state_expires(spark):
         (
             live.latest_with_expiry(stream, schema, dt.timedelta(seconds=4))
             .writeStream.outputMode("update")
-            .foreachBatch(live.write_changes(f"{base}/table"))
+            .foreachBatch(live.write_changes(f"{base}/table", "insee", ["inserted_at"]))
             .option("checkpointLocation", f"{base}/checkpoint")
             .trigger(once=True)
             .start()
@@ -120,26 +124,145 @@ def test_arrival_order(spark):
     assert table(spark, base, stored, ["offset"]) == [("75101", 1, "last"), ("75102", 1, "only")]
 
 
-def test_the_live_table_holds_and_reads_recent_days_only(spark):
+def files_below(path):
+    return [f for folder, _, names in os.walk(path) for f in names if f.endswith(".parquet")]
+
+
+def test_the_live_table_does_not_grow_with_its_age(spark):
+    base = staging_path(spark, "test")
+    path = f"{base}/table"
+    write = live.write_changes(path, "insee", ["n"], compact_every=5)
+    opened, kept = [], []
+    for batch in range(24):
+        write(spark.createDataFrame([(f"751{batch % 20 + 1:02d}", batch, "a")], MESSAGE).coalesce(1), batch)
+        opened.append(len(live.read_changes(spark, path, "insee", MESSAGE, ["n"]).inputFiles()))
+        kept.append(len(files_below(path)))
+    assert max(opened) <= 6 and max(kept) <= 2 * 6
+    assert table(spark, base) == sorted((f"751{n % 20 + 1:02d}", n, "a") for n in range(4, 24))
+
+
+def test_expired_rows_leave_with_the_next_snapshot(spark):
     base = staging_path(spark, "test")
     now = dt.datetime.now(dt.timezone.utc)
+    write = live.write_changes(f"{base}/table", "insee", ["n"], compact_every=3)
     for batch, days in enumerate((40, 3, 0)):
-        rows = spark.createDataFrame([("75101", batch, "a", now - dt.timedelta(days=days))], STORED)
-        live.write_changes(f"{base}/table")(rows, batch)
-    files = spark.read.parquet(f"{base}/table").inputFiles()
-    assert len(files) == 1 and f"day={now.date().isoformat()}" in files[0]
-    assert table(spark, base) == [("75101", 2, "a")]
+        write(spark.createDataFrame([(f"7510{batch}", batch, "a", now - dt.timedelta(days=days))], STORED), batch)
+    of = changes.state(spark, f"{base}/table")
+    assert spark.read.parquet(f"{base}/table/snapshots/{of.snapshot}").count() == 1
+    assert table(spark, base) == [("75102", 2, "a")]
     later = live.read_changes(spark, f"{base}/table", "insee", MESSAGE, ["n"], as_of=now + dt.timedelta(days=2))
     assert later.count() == 0
-    text = later._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(day" in text
+
+
+def test_a_reader_of_the_state_before_can_finish(spark):
+    base = staging_path(spark, "test")
+    path = f"{base}/table"
+    write = live.write_changes(path, "insee", ["n"], compact_every=2)
+    for batch in range(3):
+        write(spark.createDataFrame([("75101", batch, "a")], MESSAGE), batch)
+    before = live.read_changes(spark, path, "insee", MESSAGE, ["n"])
+    write(spark.createDataFrame([("75101", 3, "a")], MESSAGE), 3)  # switches
+    assert [r.n for r in before.collect()] == [2] and table(spark, base) == [("75101", 3, "a")]
+
+
+def test_a_failure_before_the_switch_changes_nothing(spark, monkeypatch):
+    base = staging_path(spark, "test")
+    path = f"{base}/table"
+    write = live.write_changes(path, "insee", ["n"], compact_every=2)
+    write(spark.createDataFrame([("75101", 0, "a")], MESSAGE), 0)
+    with monkeypatch.context() as m:
+        m.setattr(changes, "_newest", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            write(spark.createDataFrame([("75101", 1, "b")], MESSAGE), 1)
+    assert changes.state(spark, path).number == 0 and table(spark, base) == [("75101", 1, "b")]
+    write(spark.createDataFrame([("75101", 1, "b")], MESSAGE), 1)  # the batch runs again
+    assert changes.state(spark, path).number == 1 and table(spark, base) == [("75101", 1, "b")]
+    write(spark.createDataFrame([("75101", 1, "other")], MESSAGE), 1)  # a snapshot holds it
+    assert table(spark, base) == [("75101", 1, "b")]
+    # of two that switch at once the second is too late
+    old = changes.state(spark, path)
+    assert not store.put_text(spark, f"{path}/_current/{old.number:020d}", "{}") and changes.state(spark, path) == old
+    assert not changes.compact(spark, path, "insee", MESSAGE, ["n"])
+
+
+def test_an_unfinished_batch_is_not_read(spark):
+    base = staging_path(spark, "test")
+    live.write_changes(f"{base}/table", "insee", ["n"])(spark.createDataFrame([("75101", 0, "a")], MESSAGE), 0)
+    spark.createDataFrame([("75101", 1, "torn", dt.datetime.now())], STORED).write.parquet(f"{base}/table/changes/writer=direct/batch=1")
+    assert table(spark, base) == [("75101", 0, "a")]
+    assert live.read_changes(spark, f"{base}/nothing", "insee", MESSAGE, ["n"]).collect() == []
+
+
+def test_two_streams_write_one_table(spark):
+    """Each stream counts its own batches."""
+    base = staging_path(spark, "test")
+    for name in ("one", "two"):
+        land(spark, f"{base}/{name}", [message("75101", 1 if name == "two" else 2, name), message("75103" if name == "one" else "75104", 5, name)])
+        stream = live.read_landed(spark, f"{base}/{name}", struct(("value", T.StringType())))
+        paths = (f"{base}/table", f"{base}/rejects-{name}", f"{base}/checkpoint-{name}")
+        live.consume(stream, MESSAGE, "insee", ["n"], *paths, NOW, compact_every=1).awaitTermination()
+    assert table(spark, base) == [("75101", 2, "one"), ("75103", 5, "one"), ("75104", 5, "two")]
+
+
+@pytest.mark.parametrize("zone", ["America/Los_Angeles", "Asia/Kolkata"])
+def test_no_row_is_lost_outside_utc(spark, zone):
+    """At every hour a row of 23 hours is seen, one of 25 is not, before and after a snapshot."""
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", zone)
+    base = staging_path(spark, "test")
+    start = dt.datetime(2026, 3, 7, tzinfo=dt.timezone.utc)  # clocks change in between
+    hours = [start + dt.timedelta(hours=h) for h in range(3, 27)]
+    rows = [(f"{h}-{age}", age, zone, now - dt.timedelta(hours=age)) for h, now in enumerate(hours) for age in (23, 25)]
+    write = live.write_changes(f"{base}/table", "insee", ["n"], after=dt.timedelta(days=36500), compact_every=2)
+    for batch in range(2):
+        write(other.createDataFrame(rows[batch::2], STORED), batch)
+        if batch:
+            assert changes.state(other, f"{base}/table").number == 1
+            for h, now in enumerate(hours):
+                as_of = now if h % 2 else now.replace(tzinfo=None)
+                got = live.read_changes(other, f"{base}/table", "insee", MESSAGE, ["n"], as_of=as_of)
+                seen = {r.insee for r in live.lookup(got.filter(F.col("insee").startswith(f"{h}-")), "insee", as_of=as_of).select("insee").collect()}
+                assert seen == {f"{h}-23"}
+
+
+def test_the_queries_of_live_readings_hold_outside_utc(spark, sf_dir):
+    from terrazzo.catalog import QUERIES
+
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    for name in ("stream_lookup_expired", "stream_latest"):
+        assert sorted(map(tuple, QUERIES[name](other, sf_dir).collect())) == sorted(map(tuple, QUERIES[name](spark, sf_dir).collect()))
+
+
+def test_late_messages_go_aside_and_marks_survive_a_restart(spark):
+    base = staging_path(spark, "test")
+    schema = struct(("insee", T.StringType()), ("n", T.LongType()), ("at", T.LongType()))
+
+    def run(*rows):
+        land(spark, f"{base}/landed", [json.dumps({"insee": k, "n": n, "at": at}) for k, n, at in rows])
+        stream = live.read_landed(spark, f"{base}/landed", struct(("value", T.StringType())))
+        live.consume(
+            stream, schema, "insee", ["n"], f"{base}/table", f"{base}/rejects", f"{base}/checkpoint", NOW,
+            event_time=F.timestamp_seconds("at"), delay=dt.timedelta(seconds=10), late=f"{base}/late",
+        ).awaitTermination()
+        late = sorted(tuple(r)[:3] for r in spark.read.schema(schema).parquet(f"{base}/late").collect())
+        return late, sorted(tuple(r)[:3] for r in live.read_changes(spark, f"{base}/table", "insee", schema, ["n"]).collect())
+
+    # within a batch nothing is late: the mark is that of the batches before
+    assert run(("a", 1, 100), ("b", 1, 5)) == ([], [("a", 1, 100), ("b", 1, 5)])
+    assert run(("a", 2, 89), ("b", 2, 90), ("c", 1, None)) == ([("a", 2, 89)], [("a", 1, 100), ("b", 2, 90), ("c", 1, None)])
+    late, kept = run(("d", 1, 200), ("a", 3, 95))
+    assert late == [("a", 2, 89)] and ("a", 3, 95) in kept
+    assert run(("d", 2, 189))[0] == [("a", 2, 89), ("d", 2, 189)]
+    with pytest.raises(ConfigurationError):
+        live.consume(spark.range(1), schema, "insee", ["n"], "t", "r", "c", event_time=F.col("at"))
 
 
 def test_expired_rows_are_not_looked_up(spark):
     base = staging_path(spark, "test")
     now = dt.datetime.now(dt.timezone.utc)
     rows = [("75101", 9, "old", now - dt.timedelta(hours=25)), ("75101", 1, "new", now - dt.timedelta(hours=1)), ("75102", 5, "old", now - dt.timedelta(hours=25))]
-    live.write_changes(f"{base}/table")(spark.createDataFrame(rows, STORED), 0)
+    live.write_changes(f"{base}/table", "insee", ["n"])(spark.createDataFrame(rows, STORED), 0)
     got = live.read_changes(spark, f"{base}/table", "insee", MESSAGE, ["n"])
     assert [tuple(r)[:3] for r in live.lookup(got, "insee").collect()] == [("75101", 1, "new")]
     assert live.lookup(got, "insee", "75101", as_of=now.replace(tzinfo=None) + dt.timedelta(days=2)).count() == 0
