@@ -10,10 +10,10 @@ from terrazzo.catalog.layers import AIR_COUNTS, AIR_DELIVERED, AIR_LABEL_SQL, AR
 from terrazzo.catalog.registry import query
 from terrazzo.catalog.sqltext import DIM, HOUSING, INCOMES, RAW_SALES, code
 from terrazzo.functions.codes import area_codes, code_of_district
-from terrazzo.operators.filters import newest_ingestion, with_ingestion_date
+from terrazzo.operators.filters import with_ingestion_date
 from terrazzo.operators.upserts import update_matched, upsert
 from terrazzo.plans import bronze
-from terrazzo.schemas import DISTRICT_FIGURES, POLLUTANTS, RAW_AIR, RAW_HOUSING, RAW_RESIDENCES, RAW_SALES as RAW_SALES_SCHEMA
+from terrazzo.schemas import DISTRICT_FIGURES, INGESTION_DATE, POLLUTANTS, RAW_AIR, RAW_HOUSING, RAW_RESIDENCES, RAW_SALES as RAW_SALES_SCHEMA
 from terrazzo.session import staging_path
 from terrazzo.sources import files, sinks
 from terrazzo.sources.air import air_rows, read_air
@@ -231,10 +231,25 @@ def source_silver_year(spark, sf):
 
 @query("source_newest_date", f"WITH {HOUSING} SELECT count(*) AS n_rows, min(annee) AS first_year FROM housing WHERE annee >= 1998")
 def source_newest_date(spark, sf):
-    newest = newest_ingestion(files.read_layer(spark, _two_dates(spark, sf), "logements_sociaux"))
+    newest = files.read_newest(spark, _two_dates(spark, sf), "logements_sociaux")
     return newest.agg(F.count("*").alias("n_rows"), F.min("annee").alias("first_year"))
 
 
+@query(
+    "source_dates",
+    "WITH o AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders), newest AS (SELECT max(d) AS d FROM o) "
+    "SELECT strftime(o.d, '%Y-%m-%d') AS date, count(*) AS n, sum(o_orderkey)::BIGINT AS keys FROM o JOIN newest USING (d) GROUP BY 1",
+)
+def source_dates(spark, sf):
+    """Every day of orders is an ingestion date: the newest is found by three listings and read from its own folder."""
+    root = staging_path(spark, "layers")
+    day = F.to_date("o_orderdate")
+    dated = t.table(spark, sf, "orders").select("o_orderkey", *[F.date_format(day, f).alias(c) for c, f in zip(INGESTION_DATE, ("yyyy", "MM", "dd"))])
+    dated.repartition(*INGESTION_DATE).write.partitionBy(*INGESTION_DATE).parquet(f"{root}/orders")
+    newest = files.read_newest(spark, root, "orders")
+    return newest.groupBy(F.concat_ws("-", *INGESTION_DATE).alias("date")).agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"))
+
+
 def _pages(spark, sf):
     """Landed API pages of programmes, a page per line."""
     raw = t.raw_housing(spark, sf)

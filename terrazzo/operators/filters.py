@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -43,20 +42,5 @@ def with_ingestion_date(df: DataFrame, date: str) -> DataFrame:
 
 
 def on_ingestion_date(df: DataFrame, date: str) -> DataFrame:
-    """Keep one ingestion date; read from the table root this prunes partitions."""
+    """Keep one ingestion date of a table."""
     return matching(df, **dict(zip(INGESTION_DATE, date.split("-"))))
-
-
-_DATE = re.compile("/".join(f"{c}=([^/]*)" for c in INGESTION_DATE) + "/")
-
-
-def newest_ingestion(df: DataFrame) -> DataFrame:
-    """Keep the newest ingestion date of a table read from partitioned files.
-
-    The dates are those of the table's file listing, which Spark holds already: no data are read to find the
-    newest, and the scan that follows reads its files only.
-    """
-    dates = {m.groups() for m in map(_DATE.search, df.inputFiles()) if m}
-    if not dates:
-        return df.limit(0)
-    return matching(df, **dict(zip(INGESTION_DATE, max(dates))))

@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 from terrazzo.errors import ConfigurationError, IngestionError
 from terrazzo.operators.aggregates import BURGLARY_TERMS, VIOLENCE_TERMS, range_figures
 from terrazzo.operators.contracts import enforced, evolved, not_null, one_of, unique
-from terrazzo.operators.filters import matching, newest_ingestion, on_ingestion_date
+from terrazzo.operators.filters import matching
 from terrazzo.plans import bronze, gold, silver
 from terrazzo.plans.runs import recorded
 from terrazzo.schemas import GOLD, GOLD_KEY, INGESTION_DATE, SILVER
 from terrazzo.session import build_session
-from terrazzo.sources.files import read_ingestion, read_layer, required
+from terrazzo.sources.files import read_ingestion, read_newest, required
 from terrazzo.sources.sinks import update_jdbc, write_dated, write_jdbc
 
 
@@ -73,8 +73,8 @@ def run_silver(
 
 def silver_table(spark: SparkSession, root: str, table: str, date: str | None, year: int | None = None) -> DataFrame:
     """One ingestion date of a silver table, the newest by default, so that nothing is counted twice."""
-    rows = required(lambda: read_layer(spark, root, table, SILVER[table]))
-    rows = on_ingestion_date(rows, date) if date else newest_ingestion(rows)
+    schema = SILVER[table]
+    rows = required(lambda: read_ingestion(spark, root, table, date, schema) if date else read_newest(spark, root, table, schema))
     rows = rows.drop(*INGESTION_DATE)
     return matching(rows, annee=year) if "annee" in rows.columns else rows
 

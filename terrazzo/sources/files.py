@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrazzo.errors import IngestionError
-from terrazzo.operators.filters import matching, on_ingestion_date
-from terrazzo.schemas import INGESTION_FIELDS
+from terrazzo.operators.filters import matching
+from terrazzo.schemas import INGESTION_DATE, INGESTION_FIELDS
+from terrazzo.sources import store
 
 
 def read_csv(spark: SparkSession, path: str | list[str], sep: str = ",", schema: T.StructType | None = None) -> DataFrame:
@@ -77,23 +78,72 @@ def read_layer(spark: SparkSession, root: str, source: str, schema: T.StructType
     """
     if schema is None:
         schema = spark.read.parquet(f"{root}/{source}").schema
+    return spark.read.schema(_dated(schema)).parquet(f"{root}/{source}")
+
+
+def _dated(schema: T.StructType) -> T.StructType:
     dates = {f.name for f in INGESTION_FIELDS}
-    declared = T.StructType([f for f in schema if f.name not in dates] + INGESTION_FIELDS)
-    return spark.read.schema(declared).parquet(f"{root}/{source}")
+    return T.StructType([f for f in schema if f.name not in dates] + INGESTION_FIELDS)
+
+
+def ingestion_dates(spark: SparkSession, root: str, source: str) -> Iterator[str]:
+    """Ingestion dates `yyyy-MM-dd` of a table, the newest first.
+
+    Folders of partitions are listed one level at a time and only as far as the caller goes on, so the newest date costs three
+    listings, however many dates and files there are. No folder of data files is listed.
+    """
+
+    def below(path: str, columns: tuple[str, ...], found: tuple[str, ...]) -> Iterator[str]:
+        if not columns:
+            yield "-".join(found)
+            return
+        mark = f"{columns[0]}="
+        values = [n.removeprefix(mark) for n in store.folders(spark, path) if n.startswith(mark)]
+        for value in sorted(values, reverse=True):
+            yield from below(f"{path}/{mark}{value}", columns[1:], (*found, value))
+
+    return below(f"{root}/{source}", INGESTION_DATE, ())
+
+
+def newest_date(spark: SparkSession, root: str, source: str) -> str | None:
+    """The newest ingestion date of a table, None without any; a year or month without a day below it does not count."""
+    return next(ingestion_dates(spark, root, source), None)
 
 
 def read_ingestion(spark: SparkSession, root: str, source: str, date: str, schema: T.StructType | None = None) -> DataFrame:
-    """One ingestion date of a table, by partition pruning."""
-    return on_ingestion_date(read_layer(spark, root, source, schema), date)
+    """One ingestion date of a table, read from its own folder, so that no other date's files are listed.
+
+    A date without a folder has no rows; a missing table is an error.
+    """
+    base = f"{root}/{source}"
+    leaf = "/".join([base, *(f"{column}={part}" for column, part in zip(INGESTION_DATE, date.split("-")))])
+    if not store.exists(spark, leaf):
+        # fails where the table is missing
+        return read_layer(spark, root, source, schema).limit(0) if not store.exists(spark, base) else _without_rows(spark, root, source, schema)
+    if schema is None:
+        schema = spark.read.parquet(leaf).schema
+    return spark.read.schema(_dated(schema)).option("basePath", base).parquet(leaf)
+
+
+def _without_rows(spark: SparkSession, root: str, source: str, schema: T.StructType | None) -> DataFrame:
+    if schema is None:
+        newest = newest_date(spark, root, source)
+        if newest is not None:
+            return read_ingestion(spark, root, source, newest).limit(0)
+    return spark.createDataFrame([], _dated(schema or T.StructType()))
+
+
+def read_newest(spark: SparkSession, root: str, source: str, schema: T.StructType | None = None) -> DataFrame:
+    """The newest ingestion date of a table; of a table without dates no rows."""
+    date = newest_date(spark, root, source)
+    return read_layer(spark, root, source, schema).limit(0) if date is None else read_ingestion(spark, root, source, date, schema)
 
 
 def read_silver(
     spark: SparkSession, root: str, source: str, year: int | None = None, date: str | None = None
 ) -> DataFrame:
     """A silver table, optionally one ingestion date, and one year if it has years."""
-    df = read_layer(spark, root, source)
-    if date is not None:
-        df = on_ingestion_date(df, date)
+    df = read_layer(spark, root, source) if date is None else read_ingestion(spark, root, source, date)
     return matching(df, annee=year) if "annee" in df.columns else df
 
 

@@ -7,7 +7,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from terrazzo.errors import IngestionError, LayerError
-from terrazzo.operators.filters import newest_ingestion
 from terrazzo.plans import bronze, gold, jobs, reports, runs, silver
 from terrazzo.schemas import DIMENSION, GOLD, RAW_AIR, RAW_HOUSING, RAW_SALES
 from terrazzo.sources import files, reference, sinks
@@ -205,7 +204,7 @@ def test_writing_a_date_again_leaves_other_dates(spark, tmp_path):
     got = files.read_layer(spark, root, "t")
     assert rows(got.groupBy("ingestion_month", "ingestion_day").count()) == [("06", "24", 2), ("06", "25", 5)]
     assert files.read_ingestion(spark, root, "t", "2026-06-25").count() == 5
-    assert newest_ingestion(got).count() == 5
+    assert files.read_newest(spark, root, "t").count() == 5
 
 
 def test_one_failed_delivery_does_not_stop_the_others(spark, tmp_path):

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from terrazzo.catalog import tables as t
+from terrazzo.errors import IngestionError
 from terrazzo.operators import aggregates
-from terrazzo.operators.filters import newest_ingestion
 from terrazzo.operators.quantiles import exact_quantiles
+from terrazzo.schemas import INGESTION_DATE
 from terrazzo.session import staged, staging_path
-from terrazzo.sources import files, sinks
+from terrazzo.sources import files, sinks, store
 
 
 def plan(df):
@@ -31,9 +32,12 @@ def test_member_filter_is_pushed(spark, sf_dir):
 
 
 def test_an_ingestion_date_prunes_partitions(spark, tmp_path):
-    sinks.write_dated(spark.range(3), str(tmp_path), "t", "2026-06-24")
-    text = plan(files.read_ingestion(spark, str(tmp_path), "t", "2026-06-24"))
-    assert re.search(r"PartitionFilters: \[[^\]]*ingestion_day", text) and "ingestion_month" in text
+    """Only the folder of the date is listed and read."""
+    for date in ("2026-06-23", "2026-06-24"):
+        sinks.write_dated(spark.range(3), str(tmp_path), "t", date)
+    df = files.read_ingestion(spark, str(tmp_path), "t", "2026-06-24")
+    assert "InMemoryFileIndex(1 paths)" in plan(df) and df.count() == 3
+    assert df.inputFiles() and all("ingestion_day=24" in f for f in df.inputFiles())
 
 
 @pytest.mark.parametrize("build", [aggregates.crime_rates, aggregates.housing_totals])
@@ -59,10 +63,35 @@ def test_exact_quantiles_shuffle_counts_only(spark, sf_dir):
 def test_the_newest_date_is_found_without_reading(spark, tmp_path):
     for date in ("2026-06-24", "2026-06-25", "2025-12-31"):
         sinks.write_dated(spark.range(3), str(tmp_path), "t", date)
-    df = newest_ingestion(files.read_layer(spark, str(tmp_path), "t"))
-    assert re.search(r"PartitionFilters: \[[^\]]*ingestion_day", plan(df)) and df.count() == 3
-    scanned = df.select(F.input_file_name().alias("f")).distinct().collect()
-    assert all("ingestion_day=25" in r.f for r in scanned)
+    df = files.read_newest(spark, str(tmp_path), "t")
+    assert "InMemoryFileIndex(1 paths)" in plan(df) and df.count() == 3
+    assert df.inputFiles() and all("ingestion_month=06/ingestion_day=25" in f for f in df.inputFiles())
+    assert tuple(df.select(*INGESTION_DATE).first()) == ("2026", "06", "25")
+    assert list(files.ingestion_dates(spark, str(tmp_path), "t")) == ["2026-06-25", "2026-06-24", "2025-12-31"]
+
+
+def test_ten_thousand_dates_cost_three_listings(spark, tmp_path, monkeypatch):
+    root = tmp_path / "t"
+    for n in range(10_000):
+        (root / f"ingestion_year={1990 + n // 360}" / f"ingestion_month={n // 30 % 12 + 1:02d}" / f"ingestion_day={n % 30 + 1:02d}").mkdir(parents=True)
+    (root / "ingestion_year=2099" / "ingestion_month=01").mkdir(parents=True)  # no day below
+    listed, folders = [], store.folders
+    monkeypatch.setattr(store, "folders", lambda s, path: listed.append(path) or folders(s, path))
+    assert files.newest_date(spark, str(tmp_path), "t") == "2017-10-10"
+    assert len(listed) == 1 + 2 + 2 and not any("ingestion_day" in path for path in listed)
+
+
+def test_dates_without_rows_and_tables_without_dates(spark, tmp_path):
+    sinks.write_dated(spark.range(3), str(tmp_path), "t", "2026-06-24")
+    none = files.read_ingestion(spark, str(tmp_path), "t", "2026-06-23")
+    assert none.columns == ["id", *INGESTION_DATE] and none.count() == 0
+    (tmp_path / "bare").mkdir()
+    assert files.newest_date(spark, str(tmp_path), "bare") is None and files.newest_date(spark, str(tmp_path), "gone") is None
+    assert files.read_newest(spark, str(tmp_path), "bare", spark.range(1).schema).count() == 0
+    with pytest.raises(IngestionError):
+        files.required(lambda: files.read_ingestion(spark, str(tmp_path), "gone", "2026-06-24"))
+    with pytest.raises(IngestionError):
+        files.required(lambda: files.read_newest(spark, str(tmp_path), "gone"))
 
 
 def test_reports_over_stored_gold_start_no_job(spark, sf_dir):
