@@ -12,9 +12,9 @@ from terrazzo.catalog.sqltext import (
 )
 from terrazzo.functions.classes import room_flags, surface_flags
 from terrazzo.functions.numbers import exact_avg as spark_exact_avg
-from terrazzo.functions.numbers import exact_sum as spark_exact_sum
 from terrazzo.functions.numbers import share_of
 from terrazzo.operators import aggregates, joins, windows
+from terrazzo.operators.exact import exact_totals, mean_of
 from terrazzo.operators.quantiles import exact_quantiles
 from terrazzo.plans import bronze, silver
 
@@ -60,19 +60,58 @@ def agg_quantiles_small(spark, sf):
     return exact_quantiles(rows, ("c_mktsegment",), {"q1": ("v", 0.25), "q3": ("v", 0.75)})
 
 
+# exact for these values: decimals of 30 and of 12 places
+_TINY = "abs(c_acctbal) / 1e10::DOUBLE"
+_LARGE = "abs(c_acctbal) * (c_custkey + 1) * 1e6::DOUBLE"
+
+
+def _exact(expression: str, places: int) -> str:
+    return f"CAST(sum(CAST(CAST(({expression}) AS VARCHAR) AS DECIMAL(38,{places}))) AS DOUBLE)"
+
+
 @query(
     "agg_sums_wide",
-    f"SELECT c_nationkey, {exact_avg('abs(c_acctbal) / 1e10::DOUBLE')} AS small_mean, {exact_sum('abs(c_acctbal) * (c_custkey + 1) * 1e6::DOUBLE')} AS large_sum, "
+    f"SELECT c_nationkey, {_exact(_TINY, 30)} / count(*) AS small_mean, {_exact(_LARGE, 12)} AS large_sum, "
     f"{half_up(exact_sum('abs(c_acctbal) * ((c_custkey + 1) * 1000000)') + ' / CAST(sum((c_custkey + 1) * 1000000) AS DOUBLE)', 2)} AS weighted FROM customer GROUP BY 1",
 )
 def agg_sums_wide(spark, sf):
     """Means near 10^-7 and sums of prices with weights far above 10^13."""
     balance, key = F.abs("c_acctbal"), F.col("c_custkey") + 1
-    return t.table(spark, sf, "customer").groupBy("c_nationkey").agg(
-        spark_exact_avg(balance / 1e10).alias("small_mean"),
-        spark_exact_sum(balance * key * 1e6).alias("large_sum"),
-        aggregates.weighted_mean(balance, key * 1000000).alias("weighted"),
-    )
+    rows = t.table(spark, sf, "customer")
+    sums = exact_totals(rows, ["c_nationkey"], {"small": balance / 1e10, "large_sum": balance * key * 1e6})
+    weighted = aggregates.means(rows, ["c_nationkey"], weighted={"weighted": (balance, key * 1000000)})
+    return sums.select("c_nationkey", mean_of("small").alias("small_mean"), "large_sum").join(weighted, "c_nationkey")
+
+
+# some balances become one of these
+_SPECIAL = "CASE c_custkey % 35 WHEN 0 THEN {nan} WHEN 7 THEN 4e-13 WHEN 14 THEN 1e27 WHEN 21 THEN -1e27 WHEN 28 THEN 1e-300 ELSE c_acctbal END"
+
+
+@query(
+    "agg_sums_special",
+    f"""WITH special AS (SELECT c_nationkey, c_custkey, CAST({_SPECIAL.format(nan="'nan'::DOUBLE")} AS DOUBLE) AS v FROM customer), kinds AS (
+      SELECT c_nationkey, count(*) FILTER (NOT isnan(v)) AS numbers, count(*) FILTER (v = 1e27) - count(*) FILTER (v = -1e27) AS huge,
+        count(*) FILTER (v = 4e-13) AS tiny, count(*) FILTER (c_custkey % 11 = 0) AS up, count(*) FILTER (c_custkey % 13 = 0 AND c_custkey % 11 <> 0) AS down,
+        CAST(sum(CASE WHEN abs(v) < 1e7 THEN CAST(CAST(v AS VARCHAR) AS DECIMAL(38,14)) END) AS DOUBLE) AS small FROM special GROUP BY 1)
+    SELECT c_nationkey, numbers, CAST(CAST(huge AS VARCHAR) || 'e27' AS DOUBLE) AS huge, CAST(CAST(4 * tiny AS VARCHAR) || 'e-13' AS DOUBLE) AS tiny,
+      small AS cancelled, CASE WHEN up > 0 AND down > 0 THEN 'nan'::DOUBLE WHEN up > 0 THEN 'inf'::DOUBLE WHEN down > 0 THEN '-inf'::DOUBLE
+      ELSE small END AS with_infinities FROM kinds""",
+)
+def agg_sums_special(spark, sf):
+    """NaN is left out, infinities stay, 4e-13 and 1e27 count in full, and 1e27 leaves nothing behind where it is taken away again."""
+    key, infinity = F.col("c_custkey"), float("inf")
+    rows = t.table(spark, sf, "customer").withColumn("v", F.expr(_SPECIAL.format(nan="double('NaN')")).cast("double"))
+    small = F.when(F.abs("v") < 1e7, F.col("v"))
+    sums = {
+        "all": F.col("v"),
+        "huge": F.when(F.abs("v") > 1e7, F.col("v")).otherwise(0.0),
+        "tiny": F.when(F.col("v") == 4e-13, F.col("v")).otherwise(0.0),
+        "with_infinities": F.when(key % 11 == 0, infinity).when(key % 13 == 0, -infinity).otherwise(small),
+    }
+    totals = exact_totals(rows, ["c_nationkey"], sums).withColumnRenamed("all_count", "numbers")
+    thrice = rows.select("c_nationkey", F.explode(F.array(small, F.lit(1e27), F.lit(-1e27))).alias("v"))
+    cancelled = exact_totals(thrice, ["c_nationkey"], {"cancelled": F.col("v")})
+    return totals.join(cancelled, "c_nationkey").select("c_nationkey", "numbers", "huge", "tiny", "cancelled", "with_infinities")
 
 
 @query("agg_mean", f"WITH {SALES} SELECT arrondissement, annee, {half_up(exact_avg('prix_m2'), 2)} AS prix_m2_moyen FROM sales GROUP BY 1, 2")
@@ -180,9 +219,8 @@ def agg_weighted_mean(spark, sf):
         F.when(F.col("c_mktsegment") != "MACHINERY", F.col("c_acctbal")).alias("v"),
         F.when(key % 3 == 1, 0).when(key % 3 == 2, key % 50).alias("w"),
     )
-    return rows.groupBy("c_nationkey").agg(
-        aggregates.weighted_mean(F.col("v"), F.col("w")).alias("mean"), aggregates.simple_mean(F.col("v")).alias("plain")
-    )
+    return aggregates.means(rows, ["c_nationkey"], weighted={"mean": (F.col("v"), F.col("w"))}, simple={"plain": F.col("v")})
+
 
 
 @query(

@@ -39,14 +39,19 @@ WIDE = "decimal(38,12)"
 
 
 def exact_sum(value: Column) -> Column:
-    """Aggregate: sum that does not depend on the order of rows.
+    """Aggregate: sum, of values of a known range, that does not depend on the order of rows.
 
-    Adds decimals of twelve places, so a total that ends in a half always rounds the same way and values near 10^-7 count.
-    Beyond 10^26, ANSI mode raises instead of wrapping.
-    """
-    return F.sum(value.cast(WIDE)).cast("double")
+    Adds decimals of twelve places, so a total that ends in a half always rounds the same way. NaN is left out like null; infinities give that infinity,
+    or NaN where both occur. Beyond 10^26, ANSI mode raises instead of wrapping: `operators.exact` sums values of any size.
+    """  # noqa: E501
+    infinity = float("inf")
+    finite = F.when(F.abs(value) < infinity, value)
+    up, down = F.count_if(value == infinity) > 0, F.count_if(value == -infinity) > 0
+    total = F.sum(finite.cast(WIDE)).cast("double")
+    return F.when(up & down, float("nan")).when(up, infinity).when(down, -infinity).otherwise(total)
 
 
 def exact_avg(value: Column) -> Column:
-    """Aggregate: mean that does not depend on the order of rows."""
-    return F.try_divide(exact_sum(value), F.count(value).cast("double"))
+    """Aggregate: mean of the numbers, see `exact_sum`; null without any."""
+    double = value.cast("double")
+    return F.try_divide(exact_sum(value), F.count(F.when(~F.isnan(double), double)).cast("double"))

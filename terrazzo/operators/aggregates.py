@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from terrazzo.functions.classes import room_flags, surface_flags
 from terrazzo.functions.codes import in_city
-from terrazzo.functions.numbers import WIDE, exact_avg, exact_sum, share_of
+from terrazzo.functions.numbers import exact_avg, share_of
+from terrazzo.operators.exact import exact_totals, mean_of, number
 from terrazzo.operators.filters import contains_any
 from terrazzo.operators.quantiles import exact_quantiles
 from terrazzo.schemas import GOLD_KEY
@@ -96,29 +97,31 @@ def crime_rates(
 ) -> DataFrame:
     """Long indicator rows to one row per group, kinds being found by terms in the label.
 
-    A kind without any row stays null. The label sources spell in lower case by default;
-    `ignore_case` accepts both.
+    A kind without any row stays null. The label sources spell in lower case by default; `ignore_case` accepts both. Figures that are no number
+    are left out; a total that is no whole number of 64 bits is null.
     """
     label, rate = F.col("indicateur"), F.col("taux_pour_mille")
-    return crime.groupBy(*keys).agg(
-        F.sum(F.col("nombre").cast(WIDE)).cast("bigint").alias("taux_delinquance_global"),
-        F.round(exact_sum(rate), 1).alias("taux_delinquance_pmille"),
-        exact_sum(F.when(contains_any(label, burglary, ignore_case), rate)).alias("taux_cambriolages_pmille"),
-        exact_sum(F.when(contains_any(label, violence, ignore_case), rate)).alias("taux_violences_pmille"),
+    sums = {
+        "_number": F.col("nombre"),
+        "_rate": rate,
+        "taux_cambriolages_pmille": F.when(contains_any(label, burglary, ignore_case), rate),
+        "taux_violences_pmille": F.when(contains_any(label, violence, ignore_case), rate),
+    }
+    return exact_totals(crime, list(keys), sums).select(
+        *keys,
+        F.col("_number").try_cast("bigint").alias("taux_delinquance_global"),
+        F.round("_rate", 1).alias("taux_delinquance_pmille"),
+        "taux_cambriolages_pmille",
+        "taux_violences_pmille",
     )
 
 
 def income_means(incomes: DataFrame, key: str = "arrondissement") -> DataFrame:
     """Unweighted means of income zones per district."""
-    return (
-        incomes.filter(in_city(key))
-        .groupBy(key)
-        .agg(
-            F.round(exact_avg(F.col("DEC_MED18")), 2).alias("revenu_median_arr"),
-            F.round(exact_avg(F.col("DEC_GI18")), 4).alias("indice_gini_arr"),
-            F.round(exact_avg(F.col("DEC_RD18")), 2).alias("rapport_interdecile_arr"),
-        )
-    )
+    sums = {"revenu_median_arr": F.col("DEC_MED18"), "indice_gini_arr": F.col("DEC_GI18"), "rapport_interdecile_arr": F.col("DEC_RD18")}
+    digits = dict(zip(sums, (2, 4, 2), strict=True))
+    totals = exact_totals(incomes.filter(in_city(key)), [key], sums)
+    return totals.select(key, *[mean_of(name, n).alias(name) for name, n in digits.items()])
 
 
 def range_figures(measure: str) -> dict[str, Column]:
@@ -141,15 +144,30 @@ def weight(column: Column) -> Column:
     return F.coalesce(F.nullif(column, F.lit(0)), F.lit(1))
 
 
-def weighted_mean(value: Column, weights: Column, digits: int = 2) -> Column:
-    """Aggregate: mean weighted by `weights`, rows without a value left out."""
-    counted = F.when(value.isNotNull(), weight(weights))
-    return F.round(exact_sum(value * counted) / F.sum(counted), digits)
-
+def means(
+    df: DataFrame,
+    keys: list[str],
+    weighted: dict[str, tuple[Column, Column]] | None = None,
+    simple: dict[str, Column] | None = None,
+    wholes: dict[str, Column] | None = None,
+    digits: int = 2,
+) -> DataFrame:
+    """The `keys`, weighted means of (value, weight) and simple means by name, and totals of whole numbers, for each group.
 
-def simple_mean(value: Column, digits: int = 2) -> Column:
-    """Aggregate: mean of the values present."""
-    return F.round(exact_avg(value), digits)
+    Rows without a value, NaN being none, count neither as value nor as weight. Sums are exact at every magnitude.
+    """
+    weighted, simple = weighted or {}, simple or {}
+    sums = dict(simple)
+    for name, (value, weights) in weighted.items():
+        counted = F.when(number(value).isNotNull(), weight(weights))
+        sums |= {f"_{name}_product": value * counted, f"_{name}_weight": counted}
+    totals = exact_totals(df, keys, sums, wholes)
+    return totals.select(
+        *keys,
+        *[F.round(F.try_divide(F.col(f"_{name}_product"), F.col(f"_{name}_weight")), digits).alias(name) for name in weighted],
+        *[mean_of(name, digits).alias(name) for name in simple],
+        *(wholes or {}),
+    )
 
 
 def total_or_rows(column: Column) -> Column:

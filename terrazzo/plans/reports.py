@@ -11,8 +11,8 @@ from terrazzo.errors import LayerError
 from terrazzo.functions.air import document_label
 from terrazzo.functions.classes import price_step
 from terrazzo.functions.codes import code_of_district, parse_district
-from terrazzo.functions.numbers import exact_avg, exact_sum
-from terrazzo.operators.aggregates import simple_mean, total_or_rows, weighted_mean
+from terrazzo.operators.aggregates import means
+from terrazzo.operators.exact import exact_totals, mean_of
 from terrazzo.operators.filters import matching
 from terrazzo.operators.joins import with_dimension, with_label
 from terrazzo.operators.windows import all_years_total, running_total, yearly_change
@@ -79,18 +79,19 @@ def kpi_city(rows: DataFrame) -> DataFrame:
     """One row for the whole city from the rows of `kpi`: prices, change and income weighted by
     sales, the rest plain means. No row if there is none to average."""
     weights = F.col("transactions_total")
+    by_sales = ("prix_m2_median", "variation", "revenu_median")
+    plain = ("densite_population", "tx_logement_sociaux", "taux_delinquance_global", "taux_delinquance_pmille")
     return (
-        rows.groupBy("year")
-        .agg(
-            weighted_mean(F.col("prix_m2_median"), weights).alias("prix_m2_median"),
-            weighted_mean(F.col("variation"), weights).alias("variation"),
-            simple_mean(F.col("densite_population")).alias("densite_population"),
-            simple_mean(F.col("tx_logement_sociaux")).alias("tx_logement_sociaux"),
-            weighted_mean(F.col("revenu_median"), weights).alias("revenu_median"),
-            total_or_rows(weights).alias("transactions_total"),
-            simple_mean(F.col("taux_delinquance_global")).alias("taux_delinquance_global"),
-            simple_mean(F.col("taux_delinquance_pmille")).alias("taux_delinquance_pmille"),
+        means(
+            rows,
+            ["year"],
+            weighted={c: (F.col(c), weights) for c in by_sales},
+            simple={c: F.col(c) for c in plain},
+            wholes={"transactions_total": weights, "_rows": F.lit(1)},
         )
+        # without sales the number of rows
+        .withColumn("transactions_total", F.coalesce(F.nullif("transactions_total", F.lit(0)), "_rows"))
+        .drop("_rows")
         .withColumns({"arrondissement": F.lit(0), "nom": F.lit(CITY), "label": F.lit(CITY)})
     )
 
@@ -101,11 +102,11 @@ def kpi_city_with_air(city: DataFrame, air: DataFrame) -> DataFrame:
 
 
 def _split(gold: DataFrame, classes: list[tuple[str, str]], year: int, district: str | int | None) -> DataFrame:
-    means = matching(gold, annee=year, arrondissement=parse_district(district)).agg(
-        F.avg("nb_transactions").alias("_total"), *[exact_avg(F.col(column)).alias(name) for name, column in classes]
-    )
+    rows = matching(gold, annee=year, arrondissement=parse_district(district))
+    totals = exact_totals(rows, [], {"_total": F.col("nb_transactions"), **{name: F.col(column) for name, column in classes}})
+    shares = totals.select(mean_of("_total").alias("_total"), *[mean_of(name).alias(name) for name, _ in classes])
     first = classes[0][0]
-    long = means.filter(F.col(first).isNotNull()).unpivot(["_total"], [name for name, _ in classes], "id", "value")
+    long = shares.filter(F.col(first).isNotNull()).unpivot(["_total"], [name for name, _ in classes], "id", "value")
     value, total = F.coalesce("value", F.lit(0.0)), F.coalesce("_total", F.lit(0.0))
     # ties go to the even count
     return long.select(
@@ -133,11 +134,10 @@ def price_history(gold: DataFrame, district: str | int | None = None) -> DataFra
         )
     else:
         weights = F.coalesce("nb_transactions", F.lit(1))
-        yearly = priced.groupBy(F.col("annee").alias("year")).agg(
-            F.round(exact_sum(F.col("prix_m2_median") * weights) / F.nullif(F.sum(weights), F.lit(0)), 0).alias(
-                "median_price_per_sqm"
-            )
+        totals = exact_totals(
+            priced.withColumnRenamed("annee", "year"), ["year"], {"_sales": F.col("prix_m2_median") * weights}, {"_weights": weights}
         )
+        yearly = totals.select("year", F.round(F.try_divide("_sales", "_weights"), 0).alias("median_price_per_sqm"))
     return yearly.filter(F.col("median_price_per_sqm").isNotNull()).orderBy("year")
 
 

@@ -3,6 +3,8 @@
 import datetime as dt
 import math
 import random
+from decimal import Decimal
+from fractions import Fraction
 
 import pytest
 from hypothesis import given, settings
@@ -13,6 +15,7 @@ from pyspark.sql import types as T
 from terrazzo.errors import ConfigurationError, ContractError, IngestionError
 from terrazzo.functions import codes, numbers
 from terrazzo.operators import aggregates, contracts, quantiles, upserts, windows
+from terrazzo.operators.exact import exact_totals
 from terrazzo.operators.quantiles import exact_quantiles, value_band
 from terrazzo.plans import jobs
 from terrazzo.schemas import struct
@@ -103,7 +106,7 @@ def test_crime_kinds(spark):
 
 def test_weighted_mean_rules(spark):
     df = spark.createDataFrame([("a", 10.0, 3), ("a", 20.0, None), ("a", 30.0, 0), ("a", None, 100), ("b", None, 1)], "k string, v double, w int")
-    got = df.groupBy("k").agg(aggregates.weighted_mean(F.col("v"), F.col("w")).alias("m"), aggregates.total_or_rows(F.col("w")).alias("n"))
+    got = aggregates.means(df, ["k"], weighted={"m": (F.col("v"), F.col("w"))}).join(df.groupBy("k").agg(aggregates.total_or_rows(F.col("w")).alias("n")), "k")
     # (10*3 + 20*1 + 30*1) / 5
     assert rows(got) == [("a", 16.0, 103), ("b", None, 1)]
 
@@ -277,8 +280,45 @@ def test_bands_follow_the_order_and_stay_small(spark):
 
 def test_sums_of_any_size(spark):
     df = spark.createDataFrame([(4e-07, 1.0, 10_000.0, 10**9)] * 10, "s double, w double, p double, n long")
-    row = df.agg(numbers.exact_avg(F.col("s")), aggregates.weighted_mean(F.col("p"), F.col("n")), numbers.exact_sum(F.col("p") * F.col("n"))).first()
-    assert tuple(row) == (4e-07, 10_000.0, 1e14)
+    row = aggregates.means(df, [], weighted={"m": (F.col("p"), F.col("n"))}, simple={"s": F.col("s") * 1e10}).first()
+    assert tuple(row) == (10_000.0, 4000.0)
+    assert exact_totals(df, [], {"s": F.col("s"), "p": F.col("p") * F.col("n")}).first()[0::2] == (4e-06, 1e14)
+
+
+def test_exact_totals_are_the_nearest_doubles(spark):
+    """Against fractions, at every magnitude, in any order and any partitions."""
+    rng = random.Random(11)
+    groups = {
+        "tiny": [4e-13] * 2, "huge": [1e27] * 2, "both": [1e27, 4e-13, -1e27], "rest": [1e27 + 2e11, -1e27, 5.0], "negative": [-1e27, 4e-13, -5e300],
+        "over": [1.7e308] * 2, "least": [5e-324] * 3, "nan": [1.0, math.nan, 3.0], "none": [None, math.nan], "zero": [1e300, -1e300], "decimal": [0.1] * 10 + [0.05],
+    }
+    for i in range(60):
+        groups[f"r{i}"] = [rng.choice([-1, 1]) * rng.random() * 10.0 ** rng.choice([rng.randint(-320, 300), rng.randint(-20, 20)]) for _ in range(rng.randint(1, 12))]
+    rows = [(k, v) for k, values in groups.items() for v in values]
+    rng.shuffle(rows)
+    for parts in (1, 6):
+        df = spark.createDataFrame(rows, "k string, v double").repartition(parts)
+        got = {r.k: (r.v, r.v_count) for r in exact_totals(df, ["k"], {"v": F.col("v")}).collect()}
+        for k, values in groups.items():
+            numbers_ = [v for v in values if v is not None and not math.isnan(v)]
+            total = sum(Fraction(Decimal(repr(v))) for v in numbers_)
+            try:
+                want = float(total)
+            except OverflowError:
+                want = math.inf if total > 0 else -math.inf
+            assert got[k] == (want if numbers_ else None, len(numbers_)), k
+
+
+def test_infinities_and_no_rows(spark):
+    df = spark.createDataFrame([("a", math.inf), ("a", 1.0), ("b", math.inf), ("b", -math.inf), ("c", -math.inf)], "k string, v double")
+    got = {r.k: (r.v, r.v_count) for r in exact_totals(df, ["k"], {"v": F.col("v")}).collect()}
+    assert got["a"] == (math.inf, 2) and math.isnan(got["b"][0]) and got["c"] == (-math.inf, 1)
+    assert {r.k: r[1] for r in df.filter("k <> 'b'").groupBy("k").agg(numbers.exact_avg(F.col("v"))).collect()} == {"a": math.inf, "c": -math.inf}
+    assert tuple(exact_totals(df.limit(0), [], {"v": F.col("v")}, {"n": F.lit(1)}).first()) == (None, 0, None)
+    assert exact_totals(df.limit(0), ["k"], {"v": F.col("v")}).collect() == []
+    one = spark.createDataFrame([(v,) for v in (1.0, math.nan, 3.0)], "v double")
+    assert one.agg(numbers.exact_avg(F.col("v"))).first()[0] == 2.0
+    assert aggregates.means(one.withColumn("w", F.lit(5)), [], weighted={"m": (F.col("v"), F.col("w"))}, simple={"s": F.col("v")}).first() == (2.0, 2.0)
 
 
 def test_crime_totals_beyond_an_int(spark):
