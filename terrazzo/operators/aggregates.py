@@ -139,6 +139,23 @@ def profile(df: DataFrame, measure: str, distinct: list[str] = (), total: list[s
     )
 
 
+#: logarithm of the registers of a distinct sketch
+DISTINCT_BITS = 14
+
+
+def distinct_error(bits: int = DISTINCT_BITS) -> float:
+    """Relative standard error of a sketched distinct count; counts of a few hundred are exact or nearly so."""
+    return 1.04 / 2 ** (bits / 2)
+
+
+def distinct_figures(*columns: str, bits: int = DISTINCT_BITS) -> dict[str, Column]:
+    """Aggregates: about how many distinct values a column holds, nulls not counted.
+
+    A sketch of fixed size for each task, so the count can be taken by the pass that writes a table, without a shuffle of values.
+    """
+    return {f"{c}_distinct": F.hll_sketch_estimate(F.hll_sketch_agg(F.col(c).cast("string"), F.lit(bits))) for c in columns}
+
+
 def weight(column: Column) -> Column:
     """Weight of a row: null or zero counts as one."""
     return F.coalesce(F.nullif(column, F.lit(0)), F.lit(1))
@@ -151,22 +168,27 @@ def means(
     simple: dict[str, Column] | None = None,
     wholes: dict[str, Column] | None = None,
     digits: int = 2,
+    sets: list[list[str]] | None = None,
+    kept: dict[str, Column] | None = None,
 ) -> DataFrame:
     """The `keys`, weighted means of (value, weight) and simple means by name, and totals of whole numbers, for each group.
 
-    Rows without a value, NaN being none, count neither as value nor as weight. Sums are exact at every magnitude.
+    Rows without a value, NaN being none, count neither as value nor as weight. Sums are exact at every magnitude. `sets` and `kept` as in
+    `exact_totals`.
     """
-    weighted, simple = weighted or {}, simple or {}
+    weighted, simple, kept = weighted or {}, simple or {}, kept or {}
     sums = dict(simple)
     for name, (value, weights) in weighted.items():
         counted = F.when(number(value).isNotNull(), weight(weights))
         sums |= {f"_{name}_product": value * counted, f"_{name}_weight": counted}
-    totals = exact_totals(df, keys, sums, wholes)
+    totals = exact_totals(df, keys, sums, wholes, sets, kept)
     return totals.select(
         *keys,
         *[F.round(F.try_divide(F.col(f"_{name}_product"), F.col(f"_{name}_weight")), digits).alias(name) for name in weighted],
         *[mean_of(name, digits).alias(name) for name in simple],
         *(wholes or {}),
+        *kept,
+        *(["grouping_bits"] if sets else []),
     )
 
 

@@ -1,6 +1,6 @@
 """Sums of doubles that are exact at every magnitude and do not depend on the order of rows.
 
-A double stands for its shortest decimal text. Its digits, a whole number of at most 26 digits, count in units of a power of 10^9, the bin. Sums of one bin are
+A double stands for its decimal text, as Spark writes it. Its digits, a whole number of at most 26 digits, count in units of a power of 10^9, the bin. Sums of one bin are
 decimals and exact; rows are combined by group and bin before the shuffle. What is left, one row for each group and combination of bins, is combined
 once more: the bins of a group are carried into one another like digits of base 10^9, and the total is rounded once. Ordinary
 values (below 10^17, at most nine decimal places) are all in one bin, so for them the second step has one row a group.
@@ -80,33 +80,52 @@ def _rounded(bins: str) -> str:
 
 
 def exact_totals(
-    df: DataFrame, keys: list[str], sums: dict[str, Column], wholes: dict[str, Column] | None = None
+    df: DataFrame,
+    keys: list[str],
+    sums: dict[str, Column],
+    wholes: dict[str, Column] | None = None,
+    sets: list[list[str]] | None = None,
+    kept: dict[str, Column] | None = None,
 ) -> DataFrame:
     """One row for each group: the `keys`, of every sum its total and `<name>_count`, and the totals of the `wholes`.
 
     `sums` are doubles of any size. Null and NaN are left out of total and count alike; a total with an infinity is that infinity, with both NaN; one
     without numbers is null. `wholes` are whole numbers, added as such. Without keys there is one row, also of an empty table.
+
+    With `sets`, several groupings come from the one pass over the rows: each names the keys it groups by, the others are null in its rows, and
+    `grouping_bits` tells which were left out, the last key being the lowest bit. `kept` are values of any row of a group, for groups whose rows agree.
     """  # noqa: E501
-    wholes = wholes or {}
+    wholes, kept = wholes or {}, kept or {}
     columns = {f"_k{i}": F.col(k) for i, k in enumerate(keys)}
     columns |= {f"_v{i}": number(value) for i, value in enumerate(sums.values())}
     columns |= {f"_w{i}": value for i, value in enumerate(wholes.values())}
+    columns |= {f"_a{i}": value for i, value in enumerate(kept.values())}
     rows = df.select(*[c.alias(name) for name, c in columns.items()])
     parts = {name: F.expr(text) for i in range(len(sums)) for name, text in zip((f"_b{i}", f"_p{i}"), _binned(f"_v{i}"), strict=True)}
     rows = rows.withColumns(parts) if parts else rows
     own, bins, n = [f"_k{i}" for i in range(len(keys))], [f"_b{i}" for i in range(len(sums))], range(len(sums))
-    by_bin = rows.groupBy(*own, *bins).agg(
+    bits = []
+    if sets is None:
+        grouped = rows.groupBy(*own, *bins)
+    else:
+        named = dict(zip(keys, own, strict=True))
+        grouped = rows.groupingSets([[*(named[k] for k in one), *bins] for one in sets], *own, *bins)
+        bits = [F.shiftright(F.grouping_id(), len(bins)).cast("int").alias("_g")]
+    by_bin = grouped.agg(
+        *bits,
         F.count("*").alias("_n"),
         *[F.sum(f"_p{i}").alias(f"_p{i}") for i in n],
         *[F.count(f"_v{i}").alias(f"_c{i}") for i in n],
         *[F.count_if(F.col(f"_v{i}") == INFINITY).alias(f"_u{i}") for i in n],
         *[F.count_if(F.col(f"_v{i}") == -INFINITY).alias(f"_d{i}") for i in n],
         *[F.sum(f"_w{i}").alias(f"_w{i}") for i in range(len(wholes))],
+        *[F.any_value(f"_a{i}").alias(f"_a{i}") for i in range(len(kept))],
     )
-    by_group = by_bin.groupBy(*own).agg(
+    by_group = by_bin.groupBy(*own, *(["_g"] if bits else [])).agg(
         *[F.collect_list(F.struct(F.col(f"_b{i}").alias("bin"), F.col(f"_p{i}").alias("total"))).alias(f"_p{i}") for i in n],
         *[F.coalesce(F.sum(f"_{x}{i}"), F.lit(0)).alias(f"_{x}{i}") for i in n for x in "cud"],
         *[F.sum(f"_w{i}").alias(f"_w{i}") for i in range(len(wholes))],
+        *[F.any_value(f"_a{i}").alias(f"_a{i}") for i in range(len(kept))],
     )
     # one expression rounds all totals
     every = ", ".join(f"_p{i}" for i in n)
@@ -116,7 +135,8 @@ def exact_totals(
         up, down = F.col(f"_u{i}") > 0, F.col(f"_d{i}") > 0
         total = F.when(up & down, float("nan")).when(up, INFINITY).when(down, -INFINITY).otherwise(F.col("_r")[i])
         out += [total.alias(name), F.col(f"_c{i}").alias(f"{name}_count")]
-    return rounded.select(*out, *[F.col(f"_w{i}").alias(name) for i, name in enumerate(wholes)])
+    out += [F.col(f"_w{i}").alias(name) for i, name in enumerate(wholes)] + [F.col(f"_a{i}").alias(name) for i, name in enumerate(kept)]
+    return rounded.select(*out, *([F.col("_g").alias("grouping_bits")] if bits else []))
 
 
 def mean_of(name: str, digits: int | None = None) -> Column:

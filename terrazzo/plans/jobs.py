@@ -9,12 +9,17 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrazzo.errors import ConfigurationError, IngestionError
-from terrazzo.operators.aggregates import BURGLARY_TERMS, VIOLENCE_TERMS, range_figures
+from terrazzo.operators.aggregates import BURGLARY_TERMS, VIOLENCE_TERMS, distinct_figures, range_figures
+from terrazzo.operators import sketches
 from terrazzo.operators.contracts import enforced, evolved, not_null, one_of, unique
 from terrazzo.operators.filters import matching
 from terrazzo.plans import bronze, gold, silver
@@ -35,14 +40,36 @@ def feed(spark: SparkSession, source: str, folder: str, root: str, date: str, ru
             write_dated(run.writes(delivered), root, source, date)
 
 
-def run_bronze(spark: SparkSession, sources: list[str], folder: str, root: str, date: str, runs: str | None = None) -> None:
-    """Feed every source; one that fails does not stop the others, but the job fails at the end."""
-    failed = {}
-    for source in sources:
+def side_by_side(spark: SparkSession, sources: list[str], run: Callable[[str], None], at_once: int) -> dict[str, Exception]:
+    """Run a job for every source, `at_once` of them together, each in a scheduler pool of its own; the errors by source, in the order given.
+
+    With the fair scheduler (`spark.scheduler.mode`) a small source does not wait behind the tasks of a large one; the driver only waits.
+    """  # noqa: E501
+
+    def one(source: str) -> Exception | None:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", source)
         try:
-            feed(spark, source, folder, root, date, runs)
+            run(source)
         except Exception as e:
-            failed[source] = e
+            return e
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+        return None
+
+    if at_once < 1:
+        raise ConfigurationError("at least one source runs at a time")
+    with ThreadPoolExecutor(at_once) as threads:
+        # each source has a copy of its own of the caller's local properties
+        running = [threads.submit(inheritable_thread_target(spark)(partial(one, source))) for source in sources]
+        found = [r.result() for r in running]
+    return {source: e for source, e in zip(sources, found, strict=True) if e is not None}
+
+
+def run_bronze(
+    spark: SparkSession, sources: list[str], folder: str, root: str, date: str, runs: str | None = None, at_once: int = 1
+) -> None:
+    """Feed every source, `at_once` side by side; one that fails does not stop the others, but the job fails at the end."""
+    failed = side_by_side(spark, sources, lambda source: feed(spark, source, folder, root, date, runs), at_once)
     if failed:
         raise IngestionError("; ".join(f"{source}: {e}" for source, e in failed.items()))
 
@@ -50,8 +77,8 @@ def run_bronze(spark: SparkSession, sources: list[str], folder: str, root: str,
 def refine(spark: SparkSession, source: str, bronze_root: str, silver_root: str, date: str, runs: str | None = None) -> None:
     """One bronze source to its silver table.
 
-    The run log gets the malformed values of the sales and the range of the table's measure, counted by the pass that
-    writes; that pass fails where a row is of no district.
+    The run log gets the malformed values of the sales, the range of the table's measure and about how many distinct values some columns hold, all
+    counted by the pass that writes; that pass fails where a row is of no district.
     """
     table, step = silver.STEPS[source]
     with recorded(spark, runs, f"silver_{source}", source, "silver") as run:
@@ -60,6 +87,7 @@ def refine(spark: SparkSession, source: str, bronze_root: str, silver_root: str,
         refined = enforced(step(counted), not_null("arrondissement") | one_of("arrondissement", list(range(1, 21))))
         measure = silver.MEASURES.get(table)
         figures = range_figures(measure) if measure in refined.columns else {}
+        figures |= distinct_figures(*[c for c in silver.DISTINCT.get(table, ()) if c in refined.columns])
         write_dated(run.writes(refined, **figures), silver_root, table, date)
 
 
@@ -101,6 +129,11 @@ def build_gold(
     return unique(evolved(fact.withColumn("computed_at", F.current_timestamp()), GOLD), *GOLD_KEY)
 
 
+def build_sketches(spark: SparkSession, root: str, date: str | None = None, year: int | None = None, size: int = sketches.SIZE) -> DataFrame:
+    """Quantile sketches of the sales by district and year, to be stored beside gold and merged by `reports.price_quantiles`."""
+    return sketches.sketched(silver_table(spark, root, "transactions", date, year), size=size)
+
+
 def dimension_updates(spark: SparkSession, root: str, date: str | None = None) -> list[DataFrame]:
     """New figures for the district dimension, under its column names."""
     areas = silver_table(spark, root, "arrondissements", date)
@@ -148,6 +181,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     feeds.add_argument("--input-path", required=True)
     feeds.add_argument("--output-path", required=True)
     feeds.add_argument("--date", default=today)
+    feeds.add_argument("--at-once", type=int, default=1, help="sources that run side by side")
 
     refines = jobs.add_parser("silver")
     refines.add_argument("--source", required=True, choices=[*silver.STEPS, "all"])
@@ -182,7 +216,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(f"terrazzo-{args.job}")
     if args.job == "bronze":
         sources = list(bronze.FEEDS) if args.source == "all" else [args.source]
-        run_bronze(spark, sources, args.input_path, args.output_path, args.date, args.runs_path)
+        run_bronze(spark, sources, args.input_path, args.output_path, args.date, args.runs_path, args.at_once)
     elif args.job == "silver":
         # air has no delivery on some days, so it is refined only when asked for
         sources = [s for s in silver.STEPS if s != "airparif"] if args.source == "all" else [args.source]

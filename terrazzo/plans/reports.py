@@ -14,6 +14,7 @@ from terrazzo.functions.codes import code_of_district, parse_district
 from terrazzo.operators.aggregates import means
 from terrazzo.operators.exact import exact_totals, mean_of
 from terrazzo.operators.filters import matching
+from terrazzo.operators.sketches import merged, quantile, rows_of
 from terrazzo.operators.joins import with_dimension, with_label
 from terrazzo.operators.windows import all_years_total, running_total, yearly_change
 from terrazzo.schemas import ROOM_CLASSES, SURFACE_CLASSES
@@ -96,6 +97,55 @@ def kpi_city(rows: DataFrame) -> DataFrame:
     )
 
 
+def kpi_sets(gold: DataFrame, dimension: DataFrame, year: int) -> DataFrame:
+    """The rows of `kpi` and, as district 0, the row of `kpi_city`, from one aggregate with two groupings.
+
+    Figures whose type differs between the two have the wider one; `kpi_districts` and `kpi_whole_city` give each report as it is.
+    """
+    rows = kpi(gold, dimension, year)
+    weights = F.col("transactions_total")
+    by_sales = ("prix_m2_median", "variation", "revenu_median")
+    plain = ("densite_population", "tx_logement_sociaux", "taux_delinquance_global", "taux_delinquance_pmille")
+    both = means(
+        rows,
+        ["year", "arrondissement"],
+        weighted={c: (F.col(c), weights) for c in by_sales},
+        simple={c: F.col(c) for c in plain},
+        wholes={"_sales": weights, "_rows": F.lit(1)},
+        sets=[["year", "arrondissement"], ["year"]],
+        kept={f"_{c}": F.col(c) for c in ("nom", "transactions_total", *by_sales, *plain)},
+    )
+    whole = F.col("grouping_bits") > 0
+    return both.select(
+        F.when(whole, 0).otherwise(F.col("arrondissement").cast("int")).alias("arrondissement"),
+        "year",
+        F.when(whole, CITY).otherwise(F.col("_nom")).alias("nom"),
+        F.when(whole, F.coalesce(F.nullif("_sales", F.lit(0)), "_rows")).otherwise(F.col("_transactions_total")).alias("transactions_total"),
+        *[F.when(whole, F.col(c)).otherwise(F.col(f"_{c}").cast("double")).alias(c) for c in (*by_sales, *plain)],
+    )
+
+
+def kpi_districts(both: DataFrame, like: DataFrame) -> DataFrame:
+    """The district rows of `kpi_sets`, in the columns and types of `kpi` (`like`)."""
+    return both.filter("arrondissement > 0").select(*[F.col(f.name).cast(f.dataType) for f in like.schema]).orderBy("arrondissement")
+
+
+def kpi_whole_city(both: DataFrame) -> DataFrame:
+    """The city's row of `kpi_sets`, in the columns of `kpi_city`."""
+    return both.filter("arrondissement = 0").withColumn("label", F.col("nom"))
+
+
+def price_quantiles(
+    sketches: DataFrame, shares: dict[str, float], district: str | int | None = None, years: tuple[int, int] | None = None
+) -> DataFrame:
+    """Quantiles of the price of one district or the city over a range of years, from stored sketches: sales are not read."""
+    rows = matching(sketches, arrondissement=parse_district(district))
+    if years is not None:
+        rows = rows.filter(F.col("annee").between(*years))
+    one = merged(rows, columns=("prix_m2",))
+    return one.select(rows_of("prix_m2").alias("n"), *[quantile("prix_m2", share).alias(name) for name, share in shares.items()])
+
+
 def kpi_city_with_air(city: DataFrame, air: DataFrame) -> DataFrame:
     """The row of `kpi_city` with the air label found first."""
     return city.withColumn("air_quality_global", city_air_label(air).select("air_label").scalar())

@@ -72,15 +72,17 @@ def recorded(
         if table is not None:
             finished = dt.datetime.now(dt.UTC).replace(tzinfo=None)
             seconds = round((finished - started).total_seconds(), 3)
+            run_id = uuid.uuid4().hex
             row = (
-                uuid.uuid4().hex, name, source, layer, started.date(), started, finished, seconds, *counts, None,
+                run_id, name, source, layer, started.date(), started, finished, seconds, *counts, None,
                 run.status, error, metadata,
             )
-            spark.createDataFrame([row], RUNS).coalesce(1).write.mode("append").parquet(table)
+            # a folder of its own: runs that end at the same time do not share the writer's temporary folder
+            spark.createDataFrame([row], RUNS).coalesce(1).write.parquet(f"{table}/{run_id}")
 
 
 def run_log(spark: SparkSession, table: str) -> DataFrame:
-    return spark.read.schema(RUNS).parquet(table)
+    return spark.read.schema(RUNS).option("recursiveFileLookup", True).parquet(table)
 
 
 def run_report(log: DataFrame) -> DataFrame:

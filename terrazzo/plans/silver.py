@@ -167,3 +167,10 @@ MEASURES = {
     "arrondissements": "superficie_km2",
     "residences_principales": "nb_residences_principales",
 }
+
+# columns of a table whose distinct values are counted, about, by the pass that writes it
+DISTINCT = {
+    "transactions": ("code_commune", "annee"),
+    "delinquance": ("indicateur", "annee"),
+    "logements_sociaux": ("mode_real", "annee"),
+}

@@ -1,14 +1,21 @@
 """Silver rules, reports and jobs on hand-written rows."""
 
+import bisect
 import datetime as dt
 import json
+import math
+import random
+import threading
 
 import pytest
 from pyspark.sql import functions as F
 
-from terrazzo.errors import IngestionError, LayerError
+from terrazzo.catalog import tables as t
+from terrazzo.errors import ConfigurationError, IngestionError, LayerError
+from terrazzo.operators import aggregates, sketches
 from terrazzo.plans import bronze, gold, jobs, reports, runs, silver
 from terrazzo.schemas import DIMENSION, GOLD, RAW_AIR, RAW_HOUSING, RAW_SALES
+from terrazzo.plans.runs import recorded, run_log
 from terrazzo.sources import files, reference, sinks
 
 
@@ -311,3 +318,68 @@ def test_a_document_of_several_codes_gives_its_own_label(spark):
     document = '{"data": {"75101": [{"indice": "Bon"}], "75102": [{"indice": "Moyen"}]}}'
     df = spark.createDataFrame([("75102", document), ("75103", document), ("75101", document)], "insee string, document string")
     assert {r.insee: r.air_label for r in reports.air_labels(df).collect()} == {"75101": "Bon", "75102": "Moyen", "75103": "Bon"}
+
+
+def test_sources_side_by_side(spark, tmp_path, monkeypatch):
+    """Runs overlap in the run log, every source has its own pool, and the errors of all are told."""
+    together, pools = threading.Barrier(3), []
+
+    def feed(spark_, source, folder, root, date, runs):
+        with recorded(spark_, runs, f"bronze_{source}", source, "bronze"):
+            together.wait(60)  # passes only if three run at once
+            pools.append(spark_.sparkContext.getLocalProperty("spark.scheduler.pool"))
+            if source != "b":
+                raise IngestionError(f"{source} is broken")
+
+    monkeypatch.setattr(jobs, "feed", feed)
+    log = f"{tmp_path}/runs"
+    with pytest.raises(IngestionError, match="a: a is broken; c: c is broken"):
+        jobs.run_bronze(spark, ["a", "b", "c"], "in", "out", "2026-06-24", log, at_once=3)
+    assert sorted(pools) == ["a", "b", "c"] and spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None
+    got = run_log(spark, log).collect()
+    assert sorted((r.source, r.statut) for r in got) == [("a", "failed"), ("b", "success"), ("c", "failed")]
+    assert max(r.started_at for r in got) < min(r.finished_at for r in got)
+    with pytest.raises(ConfigurationError):
+        jobs.run_bronze(spark, ["a"], "in", "out", "2026-06-24", at_once=0)
+
+
+def test_both_kpi_reports_come_from_one_aggregate(spark, sf_dir):
+    fact, dim = t.stored_gold(spark, sf_dir), t.dimension(spark, sf_dir)
+    both = reports.kpi_sets(fact, dim, 1998)
+    one = reports.kpi(fact, dim, 1998)
+    districts, city = reports.kpi_districts(both, one), reports.kpi_whole_city(both)
+    assert districts.dtypes == one.dtypes and [tuple(r) for r in districts.collect()] == [tuple(r) for r in one.collect()]
+    want = reports.kpi_city(one)
+    assert [tuple(r) for r in city.select(*want.columns).collect()] == [tuple(r) for r in want.collect()]
+    text = both._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Expand") == 1 and text.count("FileScan") <= 2
+    # without sales in any district: the number of rows
+    none = fact.withColumn("nb_transactions", F.lit(None).cast("bigint"))
+    assert reports.kpi_whole_city(reports.kpi_sets(none, dim, 1998)).first().transactions_total == one.count()
+    assert reports.kpi_sets(fact, dim, 1900).collect() == []
+
+
+def test_stored_sketches_answer_for_districts_city_and_years(spark, tmp_path):
+    rng = random.Random(1)
+    values = [(d, y, rng.lognormvariate(9, 0.4), 30.0) for d in (1, 2, 3) for y in (2019, 2020, 2021) for _ in range(4000)] + [(4, 2020, None, None), (4, 2021, math.nan, 1.0)]
+    sales = spark.createDataFrame(values, "arrondissement int, annee int, prix_m2 double, surface_reelle_bati double").repartition(7)
+    sketches.sketched(sales).write.parquet(f"{tmp_path}/s")
+    stored = spark.read.parquet(f"{tmp_path}/s")
+    for district, years in ((None, None), ("75102", None), (None, (2020, 2021)), (3, (2019, 2019))):
+        mine = sorted(p for d, y, p, _ in values if p is not None and p == p and (district in (None, d) or district == f"751{d:02d}") and (years is None or years[0] <= y <= years[1]))
+        got = reports.price_quantiles(stored, {"q1": 0.25, "q2": 0.5, "q9": 0.9}, district, years).first()
+        assert got.n == len(mine)
+        for share, value in ((0.25, got.q1), (0.5, got.q2), (0.9, got.q9)):
+            assert abs(bisect.bisect(mine, value) / len(mine) - share) <= 2 * sketches.rank_error() + 1 / len(mine)
+    assert tuple(reports.price_quantiles(stored, {"q": 0.5}, 4).first()) == (0, None)
+    assert tuple(reports.price_quantiles(stored.limit(0), {"q": 0.5}).first()) == (0, None)
+
+
+def test_distinct_counts_need_no_shuffle_of_values(spark):
+    df = spark.range(300_000).select((F.col("id") % 90_000).alias("many"), (F.col("id") % 12).alias("few"), F.lit(None).cast("string").alias("none"))
+    figures = aggregates.distinct_figures("many", "few", "none")
+    told = df.agg(*[c.alias(n) for n, c in figures.items()])
+    text = told._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in text and "Expand" not in text
+    got = told.first()
+    assert abs(got.many_distinct - 90_000) <= 4 * aggregates.distinct_error() * 90_000 and (got.few_distinct, got.none_distinct) == (12, 0)
