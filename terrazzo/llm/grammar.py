@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -35,7 +36,7 @@ SHARE, LEAST = 4096, 16
 #: the rounds end when one shortens the sequence by less than this share
 GAIN = 0.02
 END = 1
-CACHE = 600_000
+CACHE = 1_000_000
 
 SHARDS = "part long, shard long, ids array<long>, counts array<long>, base int, width int, rules binary, lengths binary, symbols binary"
 
@@ -60,9 +61,9 @@ class Words(dict):
     def __missing__(self, run: bytes) -> bytes:
         stem = _stem(run)
         if stem != run:
-            ids = self[stem] + self[run[len(stem) :]]
-        else:
-            ids = np.array(self.tokenizer.encode(run.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+            # put together for each batch of texts: words with marks would fill the memory
+            return self[stem] + self[run[len(stem) :]]
+        ids = np.array(self.tokenizer.encode(run.decode(), add_special_tokens=False).ids, "<u4").tobytes()
         if len(run) <= 64:
             self[run] = ids
         return ids
@@ -71,8 +72,9 @@ class Words(dict):
         """Encodes the runs of letters that are new, many at a time: each ends with the one token that ends a word."""
         if len(self) > CACHE:
             self.clear()
-        stems = {_stem(run) for run in runs - self.keys()} - self.keys()
-        new = [run for run in stems if len(run) <= 64 and run.decode().isalpha()]
+        # a difference with the keys of a dict subclass would walk over all that are held
+        stems = {_stem(run) for run in runs if run not in self}
+        new = [run for run in stems if run not in self and len(run) <= 64 and run.decode().isalpha()]
         for at in range(0, len(new), 4096):
             part = new[at : at + 4096]
             lines = [b" ".join(part[i : i + 512]).decode() for i in range(0, len(part), 512)]
@@ -86,9 +88,23 @@ class Words(dict):
     def texts(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text."""
         # lower case is the tokenizer's own; where marks compose with letters, or special tokens may stand, it is left to do it
-        runs = [(t if b"\xcc" in t or b"\xcd" in t or b"<|" in t else t.lower()).split() for t in texts]
-        self.learn(set().union(*runs))
-        return [b"".join(map(self.__getitem__, r)) for r in runs]
+        lowered = [t if b"\xcc" in t or b"\xcd" in t or b"<|" in t else t.lower() for t in texts]
+        parted = pc.ascii_split_whitespace(pa.array(lowered, pa.large_binary()).cast(pa.large_string()))
+        runs = parted.flatten().dictionary_encode()
+        # only the distinct runs of these texts are looked up; white space at an end leaves an empty one
+        distinct = runs.dictionary.cast(pa.large_binary()).to_pylist()
+        self.learn(set(distinct) - {b""})
+        found = [self[run] if run else b"" for run in distinct]
+        ids = np.frombuffer(b"".join(found), "<u4")
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        which = runs.indices.to_numpy()
+        count = sizes[which]
+        ends = np.cumsum(count)
+        # an id's place among the distinct runs' ids: where its run begins there, and how far in it stands
+        place = np.repeat((np.cumsum(sizes) - sizes)[which] - (ends - count), count) + np.arange(count.sum())
+        out = ids[place]
+        cuts = np.concatenate(([0], ends))[parted.offsets.to_numpy() - parted.offsets[0].as_py()].tolist()
+        return [out[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 MARKS = b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
