@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terrazzo.llm.names import fresh
 from terrazzo.llm.wordhash import batches, utf8
 
 WINDOW = 256
@@ -315,7 +316,8 @@ def accepted(
         return docs.where(judged(F.col(text_col)).isNotNull())
     net = train(texts, labels, none=disguised(texts))
     least = bars(net, training_rows(clean.where(held), id_col, text_col, lang_col, per_language, languages)[0], lost)
-    rows = docs.withColumn("_judged", judged(F.col(text_col)))
+    # the last column, by place
+    rows = docs.withColumn(*fresh(docs, "_judged"), judged(F.col(text_col)))
     return rows.mapInArrow(_accepted(net, least), docs.schema)
 
 

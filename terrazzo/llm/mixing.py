@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from terrazzo.llm.names import fresh
 from terrazzo.session import staged
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -210,11 +211,12 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
 
     Rows of one id stand equally often. A document without words, which no slot holds, stands once.
     """
-    words = taken(*mixture(docs, id_col=id_col, **how)).groupBy(F.col("id").alias("_id")).agg(F.sum("taken").alias("_taken"), F.sum("size").alias("_size"))
-    times = F.when(F.col("_size") > 0, F.floor(F.col("_taken") / F.col("_size") + 0.5)).otherwise(F.lit(1)).cast("int")
-    counted = words.select("_id", times.alias("_times")).where("_times > 0")
-    found = docs.join(counted, docs[id_col].eqNullSafe(counted["_id"]))
-    return found.withColumn("_again", F.explode(F.sequence(F.lit(1), "_times"))).select(*docs.columns)
+    own, times, again = fresh(docs, "_id", "_times", "_again")
+    words = taken(*mixture(docs, id_col=id_col, **how)).groupBy("id").agg(F.sum("taken").alias("taken"), F.sum("size").alias("size"))
+    rounded = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(F.lit(1)).cast("int")
+    counted = words.select(F.col("id").alias(own), rounded.alias(times)).where(F.col(times) > 0)
+    found = docs.join(counted, docs[id_col].eqNullSafe(counted[own]))
+    return found.withColumn(again, F.explode(F.sequence(F.lit(1), times))).select(*docs.columns)
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from terrazzo.llm import minhash
 from terrazzo.llm.components import components
+from terrazzo.llm.names import fresh
 from terrazzo.llm.wordhash import mixed, shingles_of, utf8, word_lists
 from terrazzo.session import staged
 
@@ -257,11 +258,23 @@ def _told(sketched: DataFrame, classes: DataFrame, found: DataFrame, id_col: str
 
 
 def deduplicated(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` with one document of each group of near copies, see `near_duplicates`; of rows of one id one stays, of those without id all."""
+    """`docs` with one document of each group of near copies, see `near_duplicates`; of those without id all.
+
+    Of rows of one id the one with the least text stays, a null text being the least, and of equal texts any one of those whose other columns, written as
+    JSON, come first.
+    """  # noqa: E501
+    (own,) = fresh(docs, "_kept")
     told = near_duplicates(docs, shingle, percent, id_col, text_col)
-    kept = told.where(F.col("kept") & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_kept")).distinct()
-    named = docs.join(kept, docs[id_col] == kept["_kept"], "left_semi").dropDuplicates([id_col])
-    return named.unionByName(docs.where(F.col(id_col).isNull()))
+    kept = told.where(F.col("kept") & F.col(id_col).isNotNull()).select(F.col(id_col).alias(own)).distinct()
+    named = docs.join(kept, docs[id_col] == kept[own], "left_semi")
+    # ids alone are counted; texts move only where an id stands twice
+    twice = docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias(own)).agg(F.count("*").alias("n")).where("n > 1").select(own)
+    twice = staged(twice, "repeated-ids")
+    once = named.join(twice, named[id_col] == twice[own], "left_anti")
+    repeated = named.join(twice, named[id_col] == twice[own], "left_semi")
+    order = F.struct(F.col(text_col), F.to_json(F.struct(*[F.col(c) for c in docs.columns if c != text_col])))
+    chosen = repeated.groupBy(F.col(id_col).alias(own)).agg(F.min_by(F.struct(*docs.columns), order).alias("row")).select("row.*")
+    return once.unionByName(chosen).unionByName(docs.where(F.col(id_col).isNull()))
 
 
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
