@@ -64,7 +64,8 @@ def template_tree(
     Level by level, a segment below the same template so far stays a branch of its own only if it is a lasting part of the
     tree (at least `min_share` of the parent's pages and `min_rows` of them) and its blocked share
     differs from that of its siblings together by more than `z` standard errors. All others become `*`. With `apart` a branch
-    without labels beside labelled ones stays as well, so that it is judged by the same template of other hosts.
+    without labels beside labelled ones stays as well, and below a parent without any label one that a labelled host has as a branch of its own: both are
+    judged by the same template of other hosts.
     Segments below `depth` become one `**`; without a depth the tree goes on to the end of the longest path.
     """
     rows = shapes.withColumns({"_segments": F.split("shape", "/"), "template": F.lit("")})
@@ -97,9 +98,17 @@ def template_tree(
         stays = alone | (lasting & (gap > z * error))
         if apart:
             stays = stays | ((F.col("labelled") == 0) & (F.col("_all_labelled") > 0))
+        branches = branches.withColumn("_stays", stays)
+        if apart:
+            # a parent without any label keeps the branches that a labelled host has as its own
+            seen = branches.where("_stays AND labelled > 0").select(F.col("template").alias("_t"), F.col("_segment").alias("_s")).distinct()
+            same = (F.col("_all_labelled") == 0) & (F.col("template") == F.col("_t")) & (F.col("_segment") == F.col("_s"))
+            branches = branches.join(seen, same, "left").withColumn("_stays", F.col("_stays") | F.col("_t").isNotNull())
         branches = branches.select(
-            F.col("host").alias("_host"), F.col("template").alias("_template"), F.col("_segment").alias("_branch"), stays.alias("_stays")
+            F.col("host").alias("_host"), F.col("template").alias("_template"), F.col("_segment").alias("_branch"), "_stays"
         )
+        # one row for each branch; written, so that a level's plan does not hold those of the levels before it twice
+        branches = staged(branches, "branches")
         rows = (
             rows.join(
                 branches,
@@ -149,7 +158,8 @@ def filtered_urls(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: s
 
     The verdict is that of the longest rule that fits; the pages a rule judges are the labelled ones from which templates
     are judged, and those decide where no rule fits. A null or malformed url has an empty host and path and is
-    judged like any other; repeated rows are judged alike and count as often as they stand there.
+    judged like any other; repeated rows are judged alike and count as often as they stand there. A section that no labelled host has, on a host without
+    labels, has no evidence of its own: its verdict is that of all labelled pages together.
     """
     read = pages.select(F.col(id_col).alias("page_id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
     name, ruled = rule_columns(F.col("host"), F.col("path"), rules)

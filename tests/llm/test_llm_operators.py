@@ -16,6 +16,7 @@ from terrazzo.llm import chat, decontam, grammar, langid, mixing, neardup, shard
 from tests.llm import brute
 
 CLASHING = ["id", "k", "h", "n", "row", "rows", "size", "node", "component", "anchor", "digest", "item", "hits", "shard", "slot", "words", "label"]
+CLASHING += [f"_{c}" for c in ("id", "times", "again", "taken", "size", "judged", "kept", "source", "row", "n", "node")]
 
 
 @pytest.fixture(scope="module")
@@ -324,6 +325,30 @@ def test_urls_small_branches(spark, tmp_path, times):
     assert all(r["verdict"] == ("block" if r["path"].startswith("/es/") else "allow") for r in got)
 
 
+def test_urls_hosts_without_labels(spark):
+    """A host without labels is judged section by section as the labelled hosts' sections are; what none of them has, by all labelled pages."""
+    rules = [("block", "a.net", "/es/"), ("allow", "a.net", "/de/"), ("block", "c.net", "/es/"), ("allow", "c.net", "/de/"), ("allow", "c.net", "/it/")]
+    sections = [("a.net", "es", 60), ("a.net", "de", 40), ("c.net", "es", 50), ("c.net", "de", 30), ("c.net", "it", 10)]
+    sections += [("b.org", name, n) for name, n in (("es", 9), ("de", 9), ("it", 3), ("zz", 5))] + [("only.org", "de", 4), ("new.org", "zz", 4)]
+    rows = [f"http://{host}/{name}/{i}" for host, name, n in sections for i in range(n)]
+    table = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+    got = urls.filtered_urls(table, rules, **urls.WHOLE).collect()
+    verdicts = {(r["host"], r["path"].split("/")[1]): r["verdict"] for r in got}
+    assert len(got) == len(rows) and len(verdicts) == len(sections)
+    assert {v for (h, s), v in verdicts.items() if s == "es"} == {"block"}
+    assert {v for (h, s), v in verdicts.items() if s in ("de", "it")} == {"allow"}
+    # more labelled pages are blocked than allowed
+    assert verdicts["b.org", "zz"] == verdicts["new.org", "zz"] == "block"
+
+
+def test_shared_ids(spark):
+    rows = [(1, "b c d e f g", "x"), (1, "a b c d e f", "y"), (1, "a b c d e f", "x"), (2, None, "x"), (2, "z z", "x"), (3, "q", None), (None, "q", "x"), (None, "q", "x")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, _kept string").repartition(3)
+    for _ in range(2):
+        got = sorted(map(tuple, neardup.deduplicated(table).collect()), key=repr)
+        assert [r for r in got if r[0] in (1, 2)] == [(1, "a b c d e f", "x"), (2, None, "x")] and len(got) == 5
+
+
 def test_urls_deep_paths(spark):
     """Paths that differ only from a deep segment on have templates and verdicts of their own."""
     top = "/" + "/".join("abcdefghijk")
