@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrazzo.llm import anchors
@@ -30,6 +30,8 @@ from terrazzo.session import staged
 SHARD, LARGE = 1 << 20, 1 << 19
 #: digests of a merge task
 MERGE = 1 << 20
+#: tasks that the rows of one key are spread over in a join
+SALTS = 32
 
 WINDOWS = "k long, h long, lo int, hi int, anchor long, digest long"
 
@@ -215,25 +217,44 @@ def removed(text: bytes, spans: list[tuple[int, int]]) -> tuple[int, int, str]:
     return gone, count, rest.hexdigest()
 
 
+def _salt(*columns: str) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(SALTS)).cast("int")
+
+
+def _salts(*columns: str) -> Column:
+    """The salts that rows of a group have, as the bits of a number: an aggregate, combined before the shuffle."""
+    return F.bit_or(F.call_function("shiftleft", F.lit(1), _salt(*columns)))
+
+
+def _spread(groups: DataFrame) -> DataFrame:
+    """Each group once for each of its salts (`salts` becomes `salt`): never more rows than the other side of the join has."""
+    own = F.filter(F.sequence(F.lit(0), F.lit(SALTS - 1)), lambda i: F.expr("salts").bitwiseAND(F.call_function("shiftleft", F.lit(1), i)) != 0)
+    return groups.withColumn("salt", F.explode(own)).drop("salts")
+
+
 def repeated_ranges(rows: DataFrame, length: int) -> DataFrame:
     """k, h, ranges (array of first, last): the repeated starts of each text, in any number of rows. `rows`: k, h (together the key of a text), text."""
     windows = staged(rows.mapInArrow(_windows(length), WINDOWS), "windows")
-    repeated = windows.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select("anchor")
-    shared = staged(windows.join(repeated, "anchor"), "shared")
+    # one anchor, or one window, may hold most rows: joins on it go by a salt too
+    repeated = windows.groupBy("anchor").agg(F.count("*").alias("c"), _salts("digest", "k").alias("salts")).where("c > 1").select("anchor", "salts")
+    shared = staged(windows.withColumn("salt", _salt("digest", "k")).join(_spread(repeated), ["anchor", "salt"]).drop("salt"), "shared")
     one = F.min(F.struct("k", "h", "lo", "hi")).alias("one")
-    distinct = staged(shared.groupBy("anchor", "digest").agg(F.count("*").alias("n"), one), "distinct")
-    whole = shared.join(distinct.where("n > 1").select("anchor", "digest"), ["anchor", "digest"]).select(
+    distinct = staged(shared.groupBy("anchor", "digest").agg(F.count("*").alias("n"), one, _salts("k").alias("salts")), "distinct")
+    several_times = _spread(distinct.where("n > 1").select("anchor", "digest", "salts"))
+    whole = shared.withColumn("salt", _salt("k")).join(several_times, ["anchor", "digest", "salt"]).select(
         "k", "h", F.array(F.struct(F.col("lo").alias("first"), F.col("hi").alias("last"))).alias("ranges")
     )
     size = F.col("one.hi") - F.col("one.lo") + length
     several = distinct.groupBy("anchor").agg(
-        F.count("*").alias("d"), F.sum(size).alias("bytes"), F.ceil(F.sum(size - length + 1) / MERGE).alias("slices")
+        F.count("*").alias("d"), F.sum(size).alias("bytes"), F.ceil(F.sum(size - length + 1) / MERGE).alias("slices"),
+        _salts("digest").alias("salts"),
     ).where("d > 1")
     pieces = F.when(F.col("bytes") > LARGE, F.ceil(F.col("bytes") / LARGE)).otherwise(F.lit(0))
-    several = staged(several.select("anchor", "bytes", "slices", pieces.alias("pieces")), "several")
+    several = staged(several.select("anchor", "bytes", "slices", "salts", pieces.alias("pieces")), "several")
     total = several.where("pieces = 0").agg(F.sum("bytes")).first()[0] or 0
     shards = max(1, -(-total // SHARD))
-    cuts = distinct.join(several, "anchor").select("anchor", "digest", "n", "pieces", "slices", "one.*")
+    spread = _spread(several.select("anchor", "slices", "pieces", "salts"))
+    cuts = distinct.drop("salts").withColumn("salt", _salt("digest")).join(spread, ["anchor", "salt"]).select("anchor", "digest", "n", "pieces", "slices", "one.*")
     cuts = cuts.groupBy("k", "h").agg(F.collect_list(F.struct("lo", "hi", "anchor", "digest", "n", "pieces", "slices")).alias("cuts"))
     packed = rows.select("k", "h", "text").mapInArrow(_compressed, "k long, h long, packed binary")
     # texts of one key are equal: any of them will do, and a window cut twice is put right below
