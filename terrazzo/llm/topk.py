@@ -14,14 +14,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from terrazzo.session import staged
 
 BITS = 6
 #: queries and vectors of a block
-QUERY_BLOCK, VECTOR_BLOCK = 1024, 8192
+QUERY_BLOCK, VECTOR_BLOCK = 16384, 8192
+#: queries of a block that are bounded at once
+TILE = 512
 #: exact vectors that are scored between two looks at the next bound
 CHUNK = 64
 
@@ -29,12 +31,17 @@ CHUNK = 64
 def scaled(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
     """id, v: floor(scale * component) of each vector, without null ids and vectors with null or non-finite components.
 
-    A component that does not fit a whole number of 32 bits is refused, so that scores are exact.
+    A scaled component of 2^61 or more is refused: its square is no 64-bit score.
     """
     x = F.col(vector_col).cast("array<double>")
     fine = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))))
     # the choice stands inside the expression: filters may be reordered, and what is not finite must not be cast
-    whole = F.when(fine, F.transform(x, lambda c: F.floor(c * F.lit(float(scale))).cast("int")))
+
+    def floored(c: Column) -> Column:
+        product = c * F.lit(float(scale))
+        return F.when(F.abs(product) < F.lit(2.0**61), F.floor(product)).otherwise(F.raise_error(F.lit("a scaled component does not fit 62 bits with its sign")).cast("long"))
+
+    whole = F.when(fine, F.transform(x, floored))
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), whole.alias("v"))
     return rows.where(F.col("id").isNotNull() & F.col("v").isNotNull())
 
@@ -48,28 +55,40 @@ def _least_ids(k: int):
             for vector, number in zip(part.column(1).to_pylist(), part.column(0).to_pylist(), strict=True):
                 held.setdefault(tuple(vector), []).append(number)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([list(v) for v in held], pa.list_(pa.int32())), pa.array([sorted(set(i))[:k] for i in held.values()], pa.list_(pa.int64()))],
+                [pa.array([list(v) for v in held], pa.list_(pa.int64())), pa.array([sorted(set(i))[:k] for i in held.values()], pa.list_(pa.int64()))],
                 ["v", "ids"],
             )
 
     return run
 
 
-def scores(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """Whole-number inner products of all queries (rows) with all vectors (rows)."""
+def exact_scores(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """Whole-number inner products of all queries (rows) with all vectors (rows); Python's numbers where they may not fit 64 bits."""
     if not queries.size or not vectors.size:
         return np.zeros((len(queries), len(vectors)), np.int64)
-    largest = float(np.abs(queries).max()) * float(np.abs(vectors).max()) * queries.shape[1]
+    largest = float(np.abs(queries).max()) * float(np.abs(vectors).max()) * max(1, queries.shape[1])
     if largest < 1 << 53:
         return (queries.astype(np.float64) @ vectors.T.astype(np.float64)).astype(np.int64)
-    if largest < 1 << 63:
+    if largest < 1 << 62:
         return queries.astype(np.int64) @ vectors.T.astype(np.int64)
-    raise OverflowError("scores of these vectors do not fit 64 bits")
+    return queries.astype(object) @ vectors.T.astype(object)
+
+
+def scores(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """`exact_scores`, refused where one does not fit 64 bits."""
+    whole = exact_scores(queries, vectors)
+    if whole.dtype == object and not all(fits(x) for x in whole.flat):
+        raise OverflowError("scores of these vectors do not fit 64 bits")
+    return whole.astype(np.int64)
+
+
+def fits(score: int) -> bool:
+    return -(1 << 63) <= score < 1 << 63
 
 
 def cells(vectors: np.ndarray, low: np.ndarray, step: np.ndarray) -> np.ndarray:
     """The approximation: the number of the cell of each component."""
-    return ((vectors - low) // step).astype(np.uint16)
+    return ((vectors - low) // step).astype(np.uint8)
 
 
 def bounds(queries: np.ndarray, numbers: np.ndarray, low: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -80,8 +99,10 @@ def bounds(queries: np.ndarray, numbers: np.ndarray, low: np.ndarray, step: np.n
     # the far corner of a cell adds its width times the query's component
     up = np.maximum(queries, 0) @ wide
     down = np.minimum(queries, 0) @ wide
-    # beyond 2^53 doubles round; a bound may be too wide, never too narrow
-    slack = np.abs(base) * 2.0**-44
+    # beyond 2^53 doubles round, by a share of the sum of the terms' sizes; a bound may be too wide, never too narrow
+    sizes = np.abs(queries).astype(np.float64)
+    slack = sizes @ np.abs(least).T + (sizes @ wide)[:, None]
+    slack = np.where(slack < 2.0**53, 0.0, slack * 2.0**-40)
     return base + down[:, None] - slack, base + up[:, None] + slack
 
 
@@ -95,26 +116,28 @@ def _filtered(k: int):
         asked, stored = np.flatnonzero(kind == 0), np.flatnonzero(kind == 1)
         if not len(asked) or not len(stored):
             return pa.table({"query": pa.array([], pa.int64()), "vector": pa.array([], pa.int64()), "lower": pa.array([], pa.float64()), "upper": pa.array([], pa.float64())})
-        queries = np.array([np.frombuffer(flat[i], "<i4") for i in asked], np.int64)
         grid = np.frombuffer(table.column("grid")[0].as_py(), "<i8").reshape(2, -1)
-        approximations = np.array([np.frombuffer(flat[i], "<u2") for i in stored], np.int64)
-        lower, upper = bounds(queries, approximations, grid[0], grid[1])
+        approximations = np.array([np.frombuffer(flat[i], "u1") for i in stored], np.int64)
         best = min(k, len(stored))
-        limit = np.partition(lower, len(stored) - best, axis=1)[:, len(stored) - best]
-        row, column = np.nonzero(upper >= limit[:, None])
-        out = {
-            "query": pa.array(number[asked][row], pa.int64()),
-            "vector": pa.array(number[stored][column], pa.int64()),
-            "lower": pa.array(lower[row, column], pa.float64()),
-            "upper": pa.array(upper[row, column], pa.float64()),
-        }
-        return pa.table(out)
+        out = []
+        for first in range(0, len(asked), TILE):
+            tile = asked[first : first + TILE]
+            queries = np.array([np.frombuffer(flat[i], "<i8") for i in tile], np.int64)
+            lower, upper = bounds(queries, approximations, grid[0], grid[1])
+            limit = np.partition(lower, len(stored) - best, axis=1)[:, len(stored) - best]
+            row, column = np.nonzero(upper >= limit[:, None])
+            columns = (number[tile][row], number[stored][column], lower[row, column], upper[row, column])
+            out.append(pa.table(dict(zip(("query", "vector", "lower", "upper"), columns, strict=True))))
+        return pa.concat_tables(out)
 
     return run
 
 
 def _certain(k: int):
-    """query, upper, q, vector, v, first (rows of one query) -> query, vector, score: read by upper bound until the k-th is certain."""
+    """query, upper, q, vector, v, first (rows of one query) -> query, vector, score: read by upper bound until the k-th is certain.
+
+    A score that does not fit 64 bits is null.
+    """
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         upper = table.column("upper").to_numpy()
@@ -129,13 +152,13 @@ def _certain(k: int):
             if len(got) >= k and upper[order[at]] < -got[k - 1][0]:
                 break
             part = order[at : at + CHUNK]
-            exact = scores(query, np.array(vectors.take(pa.array(part)).to_pylist(), np.int64))[0]
+            exact = exact_scores(query, np.array(vectors.take(pa.array(part)).to_pylist(), np.int64))[0]
             got = sorted(got + [(-int(s), int(first[i]), int(names[i])) for s, i in zip(exact, part, strict=True)])[:k]
         return pa.table(
             {
                 "query": pa.array([key[0].as_py()] * len(got), pa.int64()),
                 "vector": pa.array([x[2] for x in got], pa.int64()),
-                "score": pa.array([-x[0] for x in got], pa.int64()),
+                "score": pa.array([-x[0] if fits(-x[0]) else None for x in got], pa.int64()),
             }
         )
 
@@ -146,7 +169,7 @@ def _approximated(low: np.ndarray, step: np.ndarray):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             vectors = part.column(1).to_pylist()
-            data = [cells(np.array(v, np.int64), low, step).astype("<u2").tobytes() for v in vectors]
+            data = [cells(np.array(v, np.int64), low, step).tobytes() for v in vectors]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(data, pa.binary())], ["number", "data"])
 
     return run
@@ -154,7 +177,7 @@ def _approximated(low: np.ndarray, step: np.ndarray):
 
 def _packed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in parts:
-        data = [np.array(v, "<i4").tobytes() for v in part.column(1).to_pylist()]
+        data = [np.array(v, "<i8").tobytes() for v in part.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([part.column(0), pa.array(data, pa.binary())], ["number", "data"])
 
 
@@ -164,15 +187,15 @@ def nearest(
     """query_id, rank, vec_id, score: for every row whose id is divisible by `every`, the k other rows of the highest scores.
 
     Score: the inner product of the floors of `scale` times the components. Ties go to the smaller id. Rows without an id, and vectors that are null or
-    hold null or non-finite components, take no part; nor do vectors of another length than the most common one. Rows of one
-    id and vector are one. With fewer than k other rows all are returned; an empty table gives no rows.
+    hold null or non-finite components, take no part. A vector shorter than the longest counts as followed by zeros. A score with another row that
+    is among the best k + 1 and does not fit 64 bits raises. Rows of one id and vector are one. With fewer than k other rows all are returned; an empty table gives no rows.
     """  # noqa: E501
     rows = scaled(vectors, id_col, vector_col, scale)
-    lengths = rows.groupBy(F.size("v").alias("n")).agg(F.count("*").alias("c")).orderBy(F.desc("c"), "n").limit(1).collect()
-    dims = lengths[0]["n"] if lengths else 0
-    rows = rows.where(F.size("v") == dims)
+    lengths = rows.agg(F.min(F.size("v")).alias("least"), F.max(F.size("v")).alias("most")).first()
+    if lengths["least"] != lengths["most"]:
+        rows = rows.withColumn("v", F.concat("v", F.array_repeat(F.lit(0).cast("long"), F.lit(lengths["most"]) - F.size("v"))))
     # k + 1 ids of a vector: its own row may be among them
-    some = rows.select("id", "v").mapInArrow(_least_ids(k + 1), "v array<int>, ids array<long>")
+    some = rows.select("id", "v").mapInArrow(_least_ids(k + 1), "v array<long>, ids array<long>")
     distinct = some.groupBy("v").agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))), 1, k + 1).alias("ids"))
     distinct = staged(distinct.withColumn("number", F.monotonically_increasing_id()).withColumn("first", F.col("ids")[0]), "vectors")
     asking = rows.where(F.col("id") % every == 0).distinct()
@@ -219,7 +242,9 @@ def nearest(
         .where("vec_id <> query_id")
     )
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.select("query_id", "vec_id", "score").distinct().withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    # a query's own row may have a score beyond 64 bits, another row not
+    fitting = F.coalesce("score", F.raise_error(F.lit("a score does not fit 64 bits")).cast("long"))
+    ranked = found.select("query_id", "vec_id", fitting.alias("score")).distinct().withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 

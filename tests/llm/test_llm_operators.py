@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import zlib
 from collections import Counter
@@ -247,6 +248,22 @@ def test_exact_scores():
         topk.scores(np.array([[1 << 31] * 4]), np.array([[1 << 31] * 4]))
 
 
+def test_topk_large_components_and_lengths(spark):
+    rng = random.Random(11)
+    vectors = [[rng.choice([-1, 1]) * rng.choice([0.25, 3.5, 1e4, 4e5]) for _ in range(n)] for n in (4, 4, 4, 6, 2, 4, 0, 4, 6, 3)]
+    rows = list(enumerate(vectors)) + [(50, [1e8, -1e8, 0.5, 1.0]), (100, vectors[3]), (51, None), (52, [float("inf")] * 4)]
+    whole = {i: [math.floor(256 * x) for x in v] for i, v in rows if i < 51 or i == 100}
+    want = []
+    for q in (0, 50, 100):
+        found = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q)[:5]
+        want += [(q, rank, i, -score) for rank, (score, i) in enumerate(found, 1)]
+    got = topk.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    assert sorted(map(tuple, got.collect())) == want
+    empties = spark.createDataFrame([(0, []), (1, [])], "vec_id long, embedding array<float>")
+    assert list(map(tuple, topk.nearest(empties).collect())) == [(0, 1, 1, 0)]
+
+
+
 def test_ring(docs, empty, rows):
     got = sharding.ring_sharded(docs.select("doc_id", "text"), grown=True).collect()
     counts = Counter(r["shard"] for r in got)
