@@ -22,7 +22,7 @@ from terrazzo.operators.aggregates import BURGLARY_TERMS, VIOLENCE_TERMS, distin
 from terrazzo.operators import sketches
 from terrazzo.operators.contracts import enforced, evolved, not_null, one_of, unique
 from terrazzo.operators.filters import matching
-from terrazzo.plans import bronze, gold, silver
+from terrazzo.plans import bronze, gold, increments, silver
 from terrazzo.plans.runs import recorded
 from terrazzo.schemas import GOLD, GOLD_KEY, INGESTION_DATE, SILVER
 from terrazzo.session import build_session
@@ -129,6 +129,21 @@ def build_gold(
     return unique(evolved(fact.withColumn("computed_at", F.current_timestamp()), GOLD), *GOLD_KEY)
 
 
+def refresh_gold(spark: SparkSession, root: str, stored: DataFrame, before: str, date: str | None = None, **crime_options) -> DataFrame:
+    """`stored`, the gold table of the ingestion date `before`, brought to a later date, the newest by default, in its declared types.
+
+    Only districts and years whose silver rows differ between the two dates are computed again; the others keep their `computed_at`. To be written to
+    another place than `stored` is read from. `crime_options` must be those of the stored table.
+    """  # noqa: E501
+    sources = {"sales": "transactions", "housing": "logements_sociaux", "crime": "delinquance", "incomes": "revenus"}
+    old = {name: silver_table(spark, root, table, before) for name, table in sources.items()}
+    new = {name: silver_table(spark, root, table, date) for name, table in sources.items()}
+    touched = increments.touched_groups(increments.silver_prints(**old), increments.silver_prints(**new))
+    fact = increments.refreshed_gold(stored, touched, **new, **crime_options)
+    fact = fact.withColumn("computed_at", F.coalesce("computed_at", F.current_timestamp()))
+    return unique(evolved(fact, GOLD), *GOLD_KEY)
+
+
 def build_sketches(spark: SparkSession, root: str, date: str | None = None, year: int | None = None, size: int = sketches.SIZE) -> DataFrame:
     """Quantile sketches of the sales by district and year, to be stored beside gold and merged by `reports.price_quantiles`."""
     return sketches.sketched(silver_table(spark, root, "transactions", date, year), size=size)
