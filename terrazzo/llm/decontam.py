@@ -1,8 +1,9 @@
 """Benchmark decontamination: which documents hold at least a share of an item's word shingles.
 
 Items are short and documents long, so similarity says nothing and containment is searched instead. Items are partitioned by size; in a partition every
-item has a prefix of its shingles, the rarest among items first and a hash only for ties, as many as a document that holds the wanted
-share cannot all miss. Documents stream past a bit filter of all item shingles, which leaves a few hashes of each; those that meet a prefix make
+item has a MinHash sketch, its shingles of the least hashes, as many as a document that holds the wanted share may miss in an item of the partition's
+greatest size, and `SPARE` more. Documents stream past a bit filter of all item shingles, which leaves a few hashes of each. A document whose hashes hold too
+few of a sketch for the wanted share cannot hold the item: this bound is exact, so no item is missed by chance. The others are
 candidates, and a candidate is confirmed by counting the item's whole shingle set in the document's.
 
 No text is shuffled. The filter has a fixed greatest size (`FILTER_BITS`): a larger benchmark makes it denser, which costs rows and loses nothing.
@@ -15,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from terrazzo.llm.wordhash import shingles_of, utf8, word_lists
@@ -23,6 +24,8 @@ from terrazzo.session import staged
 
 #: 32 MB at most
 FILTER_BITS = 28
+#: shingles of a sketch that a document must hold (all that its item can spare, if these are fewer)
+SPARE = 4
 
 
 def _item_shingles(shingle: int):
@@ -81,6 +84,28 @@ def _filter(shingles: DataFrame) -> tuple[np.ndarray, int]:
     return table, 64 - bits
 
 
+def sketches(shingles: DataFrame, percent: int) -> DataFrame:
+    """number, h, needed: the sketch of each item, and how many of its hashes a document with the share holds at least.
+
+    `shingles` has number, h and n (shingles of the item). Sizes up to a power of two are one partition, whose sketches have one size.
+    """
+
+    def missing(n: Column) -> Column:
+        return n - F.ceil(n * percent / 100)
+
+    size = missing(F.pow(F.lit(2.0), F.ceil(F.log2("n")))) + SPARE
+    order = Window.partitionBy("number").orderBy(F.xxhash64("h"), "h")
+    ranked = shingles.withColumn("place", F.row_number().over(order)).where(F.col("place") <= size)
+    needed = F.greatest(F.lit(1), F.least(size, F.col("n")) - missing(F.col("n")))
+    return ranked.select("number", "h", needed.cast("int").alias("needed"))
+
+
+def candidates(hits: DataFrame, sketched: DataFrame) -> DataFrame:
+    """row, number of documents that hold enough of an item's sketch."""
+    met = hits.select("row", F.explode("hits").alias("h")).join(sketched, "h")
+    return met.groupBy("row", "number").agg(F.count("*").alias("met"), F.max("needed").alias("needed")).where("met >= needed").select("row", "number")
+
+
 def contained_items(
     docs: DataFrame, items: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
     item_col: str = "item_id", item_text_col: str = "text",
@@ -102,18 +127,10 @@ def contained_items(
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
     hits = rows.mapInArrow(_hits(widths, bits, shift), f"id {dict(docs.dtypes)[id_col]}, hits array<long>")
     hits = staged(hits.withColumn("row", F.monotonically_increasing_id()), "hits")
-    # sizes up to a power of two are one partition; its largest size tells how many shingles may be missing
-    frequency = single.groupBy("h").agg(F.count("*").alias("items"))
-    largest = F.pow(F.lit(2.0), F.ceil(F.log2("n")))
-    missing = largest - F.ceil(largest * percent / 100)
-    order = Window.partitionBy("number").orderBy("items", F.xxhash64("h"), "h")
-    sketches = (
-        single.join(frequency, "h").withColumn("place", F.row_number().over(order)).where(F.col("place") <= missing + 1).select("number", "h")
-    )
-    candidates = hits.select("row", F.explode("hits").alias("h")).join(sketches, "h").select("row", "number").distinct()
     shared = F.size(F.array_intersect("hits", "shingles"))
     confirmed = (
-        candidates.join(hits, "row")
+        candidates(hits, sketches(single, percent))
+        .join(hits, "row")
         .join(sets, "number")
         .select("id", "item", F.size("shingles").alias("n_item"), shared.alias("n_shared"))
         .where(F.col("n_shared") * 100 >= F.col("n_item") * percent)
