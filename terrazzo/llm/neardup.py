@@ -225,10 +225,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
 
     Linked are documents whose sets of `shingle`-word runs have an intersection of at least `percent` hundredths of their union. A text
     with fewer words has its whole sequence as its one shingle; one without words, or null, has none and is linked with nothing.
-    Rows of one id are one document. A row without id stays alone: its component is null and it is kept. Ids are whole
-    numbers. An empty table gives no rows; other columns are not read.
-    """
+    Rows of one id are one document, whose text is the least of them, a null text being the least. A row without id stays alone: its component is null and
+    it is kept. Ids are whole numbers. An empty table gives no rows; other columns are not read.
+    """  # noqa: E501
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    rows = _of_one_text(rows, repeated_ids(rows, "id"))
     sketched = staged(rows.mapInArrow(_sketches(shingle), "id long, n long, d1 long, d2 long, bands array<long>"), "sketches")
     usable = sketched.where("n > 0 AND id IS NOT NULL")
     classes = staged(usable.groupBy("d1", "d2").agg(F.min("id").alias("node")), "classes")
@@ -242,6 +243,22 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     return _told(sketched, classes, found, id_col)
 
 
+def repeated_ids(docs: DataFrame, id_col: str) -> DataFrame:
+    """The ids, as the one column `again`, that stand more than once."""
+    ids = docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("again"))
+    return staged(ids.agg(F.count("*").alias("n")).where("n > 1").select("again"), "repeated-ids")
+
+
+def _of_one_text(rows: DataFrame, again: DataFrame) -> DataFrame:
+    """Rows of id and text, each with the least text of its id."""
+    if again.isEmpty():
+        return rows
+    repeated = rows.join(again, F.col("id") == F.col("again"), "left_semi")
+    least = repeated.groupBy(F.col("id").alias("same")).agg(F.min(F.struct("text"))["text"].alias("text"))
+    least = repeated.select("id").join(least, F.col("id") == F.col("same")).select("id", "text")
+    return rows.join(again, F.col("id") == F.col("again"), "left_anti").unionByName(staged(least, "repeated-texts"))
+
+
 def _told(sketched: DataFrame, classes: DataFrame, found: DataFrame, id_col: str) -> DataFrame:
     component: Column = F.coalesce("component", "node", "id")
     return (
@@ -268,8 +285,7 @@ def deduplicated(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: s
     kept = told.where(F.col("kept") & F.col(id_col).isNotNull()).select(F.col(id_col).alias(own)).distinct()
     named = docs.join(kept, docs[id_col] == kept[own], "left_semi")
     # ids alone are counted; texts move only where an id stands twice
-    twice = docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias(own)).agg(F.count("*").alias("n")).where("n > 1").select(own)
-    twice = staged(twice, "repeated-ids")
+    twice = repeated_ids(docs, id_col).withColumnRenamed("again", own)
     once = named.join(twice, named[id_col] == twice[own], "left_anti")
     repeated = named.join(twice, named[id_col] == twice[own], "left_semi")
     order = F.struct(F.col(text_col), F.to_json(F.struct(*[F.col(c) for c in docs.columns if c != text_col])))

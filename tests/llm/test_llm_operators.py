@@ -366,6 +366,15 @@ def test_shared_ids(spark):
         assert [r for r in got if r[0] in (1, 2)] == [(1, "a b c d e f", "x"), (2, None, "x")] and len(got) == 5
 
 
+def test_shared_ids_are_compared_by_their_least_text(spark):
+    low, high = "a b c d e f g", "p q r s t u v"
+    rows = [(5, high), (5, low), (5, low), (6, high), (7, low), (8, None), (8, low), (None, low)]
+    for order in (rows, rows[::-1]):
+        told = neardup.near_duplicates(spark.createDataFrame(order, "doc_id long, text string").repartition(3))
+        got = Counter((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in told.collect())
+        assert got == Counter([(5, 3, 5, True)] * 3 + [(6, 3, 6, True), (7, 3, 5, False), (8, 0, 8, True), (8, 0, 8, True), (None, 3, None, True)])
+
+
 def test_urls_deep_paths(spark):
     """Paths that differ only from a deep segment on have templates and verdicts of their own."""
     top = "/" + "/".join("abcdefghijk")
