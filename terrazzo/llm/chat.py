@@ -1,7 +1,8 @@
 """Chat formatting with Spark expressions only.
 
-A conversation is formatted in parts of `PART` turn numbers, so that a task never holds more of a long one. Within a
-part the turns are collected, sorted and merged by array aggregation: adjacent turns of one role form one message
+A conversation is formatted in parts of `PART` turn numbers, and a part of more rows than that (numbers that repeat or are null) in pieces of `PART` rows
+of their sorted order, so that a task never holds more of a long one. Within a piece the turns are collected, sorted and merged by array aggregation:
+adjacent turns of one role form one message
 
     <|im_start|>role\\ntext<|im_sep|>text<|im_end|>\\n
 
@@ -14,7 +15,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from terrazzo.session import staged
+
 START, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>\n"
+#: turn numbers of a part, and rows of a piece; a power of two
 PART = 256
 
 
@@ -48,15 +52,33 @@ def merged(turns: Column) -> Column:
     return F.aggregate(turns, none, step)
 
 
+def _pieces(rows: DataFrame) -> DataFrame:
+    """`rows` (conv, part, one) with `piece`: parts of more than `PART` rows are cut, in the order of their rows."""
+    full = rows.groupBy(F.col("conv").alias("_conv"), F.col("part").alias("_part")).agg(F.count("*").alias("n")).where(F.col("n") > PART)
+    full = staged(full.drop("n"), "full-parts")
+    uncut = F.lit(0).cast("long")
+    if full.isEmpty():
+        return rows.withColumn("piece", uncut)
+    same = F.col("conv").eqNullSafe(F.col("_conv")) & (F.col("part") == F.col("_part"))
+    # equal rows are told apart by any number, so that no range of the sort holds them all
+    dealt = rows.join(full, same, "left_semi").withColumn("tie", F.xxhash64(F.monotonically_increasing_id()))
+    ordered = dealt.orderBy("conv", "part", "one", "tie")
+    # runs of a sorted partition; written, since a repeated sort could cut elsewhere
+    place = F.shiftright(F.monotonically_increasing_id(), PART.bit_length() - 1)
+    cut = staged(ordered.select("conv", "part", "one", place.alias("piece")), "pieces")
+    return rows.join(full, same, "left_anti").withColumn("piece", uncut).unionByName(cut)
+
+
 def formatted_chat(
     turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text",
     loss_role: str = "assistant",
 ) -> DataFrame:
-    """conv, part, formatted, loss: the formatted text of every conversation and the spans (start, length, in code points) that bear loss.
+    """conv, part, piece, formatted, loss: the formatted text of every conversation and the spans (start, length, in code points) that bear loss.
 
-    A conversation is the texts of its parts in order; a message goes on into the next part if the same role does.
+    A conversation is the texts of its parts and their pieces in order; a message goes on into the next one if the same role does.
     Turns go by number, null first, ties by role, then text; repeated rows stay. A null role or text is an empty
-    one, a null conversation is one conversation. A part holds the turns of `PART` successive numbers.
+    one, a null conversation is one conversation. A part holds the turns of `PART` successive numbers,
+    a piece of it `PART` rows at most.
     """  # noqa: E501
     rows = turns.select(
         F.col(conv_col).alias("conv"),
@@ -67,18 +89,21 @@ def formatted_chat(
             F.coalesce(F.col(text_col), F.lit("")).alias("text"),
         ).alias("one"),
     )
-    parts = rows.groupBy("conv", "part").agg(F.sort_array(F.collect_list("one")).alias("turns"))
+    rows = _pieces(rows)
+    parts = rows.groupBy("conv", "part", "piece").agg(F.sort_array(F.collect_list("one")).alias("turns"))
     # the roles at the seams, without the texts
-    seams = rows.groupBy("conv", "part").agg(F.min("one.turn").alias("_low"), F.min(F.struct("one.turn", "one.role", "one.text"))["role"].alias("first"),
-                                              F.max(F.struct("one.turn", "one.role", "one.text"))["role"].alias("last"))
-    by_part = Window.partitionBy("conv").orderBy("part")
+    turn = F.struct("one.turn", "one.role", "one.text")
+    seams = rows.groupBy("conv", "part", "piece").agg(F.min(turn)["role"].alias("first"), F.max(turn)["role"].alias("last"))
+    by_part = Window.partitionBy("conv").orderBy("part", "piece")
     seams = seams.select(
         F.col("conv").alias("_conv"),
         F.col("part").alias("_part"),
+        F.col("piece").alias("_piece"),
         F.coalesce(F.lag("last").over(by_part) == F.col("first"), F.lit(False)).alias("_goes_on"),
         F.coalesce(F.lead("first").over(by_part) == F.col("last"), F.lit(False)).alias("_open"),
     )
-    joined = parts.join(seams, F.col("conv").eqNullSafe(F.col("_conv")) & (F.col("part") == F.col("_part")))
+    same = F.col("conv").eqNullSafe(F.col("_conv")) & (F.col("part") == F.col("_part")) & (F.col("piece") == F.col("_piece"))
+    joined = parts.join(seams, same)
     escaped_turns = F.transform(
         "turns", lambda t: F.struct(escaped_role(t["role"]).alias("role"), escaped(t["text"]).alias("text"))
     )
@@ -100,7 +125,7 @@ def formatted_chat(
         )
         return F.concat(body, F.array(F.struct(tail.alias("text"), F.lit(False).alias("loss"))))
 
-    strings = messages.select("conv", "part", F.flatten(F.transform("messages", pieces)).alias("pieces"))
+    strings = messages.select("conv", "part", "piece", F.flatten(F.transform("messages", pieces)).alias("pieces"))
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("spans"))
 
     def span(done: Column, piece: Column) -> Column:
@@ -112,6 +137,7 @@ def formatted_chat(
     return strings.select(
         F.col("conv").alias(conv_col),
         "part",
+        "piece",
         F.array_join(F.transform("pieces", lambda p: p["text"]), "").alias("formatted"),
         F.aggregate("pieces", start, span, lambda done: done["spans"]).alias("loss"),
     )
@@ -144,7 +170,7 @@ def chat_digest(parts: DataFrame, conv_col: str = "conv_id") -> DataFrame:
     whole = (
         parts.withColumn("_loss", loss)
         .groupBy(conv_col)
-        .agg(F.sort_array(F.collect_list(F.struct("part", "formatted", "_loss"))).alias("parts"))
+        .agg(F.sort_array(F.collect_list(F.struct("part", "piece", "formatted", "_loss"))).alias("parts"))
         .select(
             conv_col,
             F.array_join(F.transform("parts", lambda p: p["formatted"]), "").alias("formatted"),

@@ -396,9 +396,14 @@ def test_chat(spark):
     rows = [(rng.choice([1, 2, 3, None]), rng.choice([None, *range(700)]), rng.choice(["user", "assistant", "system", None, "a\nb<\\~\\"]),
              rng.choice([None, "".join(rng.choices(bits, k=5))])) for _ in range(400)]
     rows += [(9, 0, "user", "only"), (9, 0, "user", "only"), (10, 1, "assistant", "long " * 50_000)]
+    # without numbers, all of one number, and equal rows
+    rows += [(11, rng.choice([None, 5]), rng.choice(["user", "assistant"]), f"{rng.random()}") for _ in range(1500)] + [(11, 5, "user", "same")] * 700
     table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
-    table = table.withColumns({c: F.lit(1) for c in ("conv", "part", "turns", "loss", "formatted")})
-    got = {r["conv_id"]: r for r in chat.chat_digest(chat.formatted_chat(table)).collect()}
+    table = table.withColumns({c: F.lit(1) for c in ("conv", "part", "piece", "tie", "turns", "loss", "formatted")})
+    parts = chat.formatted_chat(table)
+    held = [r["formatted"].count(chat.START) + r["formatted"].count(chat.SEP) for r in parts.collect()]
+    assert max(held) <= chat.PART and len(held) > 9 + 2200 // chat.PART
+    got = {r["conv_id"]: r for r in chat.chat_digest(parts).collect()}
     assert set(got) == {r[0] for r in rows}
     for conv, r in got.items():
         turns = sorted(((t is not None, t or 0, ro or "", tx or "") for c, t, ro, tx in rows if c == conv))
