@@ -6,14 +6,15 @@ from pyspark.sql import functions as F
 
 from terrazzo.catalog import tables as t
 from terrazzo.catalog.layers import AIR_LABEL_SQL
-from terrazzo.catalog.registry import query
+from terrazzo.catalog.registry import SQL, query
 from terrazzo.catalog.sqltext import INCOMES, RAW_SALES, code, half_up
 from terrazzo.functions import classes, codes, numbers, parsing
-from terrazzo.functions.air import document_label, severity, worst_pollutants
+from terrazzo.functions.air import document_label, severity, variant_label, worst_pollutants
 from terrazzo.operators import filters
 from terrazzo.operators.joins import with_label
 from terrazzo.plans import silver
 from terrazzo.schemas import DISTRICT_QUARTERS, INCOME_COLUMNS
+from terrazzo.session import staged
 from terrazzo.sources.reference import district_labels
 
 QUARTERS = f"list_value({', '.join(repr(q) for q in DISTRICT_QUARTERS)})"
@@ -288,6 +289,17 @@ def labels_with_default(spark, sf):
     + f"{AIR_LABEL_SQL}[event_id % 6 + 1] END AS air_label FROM events",
 )
 def air_document_labels(spark, sf):
+    return _air_documents(spark, sf).select("event_id", document_label(F.col("document")).alias("air_label"))
+
+
+@query("air_stored_labels", SQL["air_document_labels"])
+def air_stored_labels(spark, sf):
+    """The same documents stored as variants: parsed when they are written, not when they are read."""
+    stored = staged(_air_documents(spark, sf).select("event_id", F.try_parse_json("document").alias("document")), "air")
+    return stored.select("event_id", variant_label(F.col("document")).alias("air_label"))
+
+
+def _air_documents(spark, sf):
     """Documents of five shapes: list with label, map with index, top-level text, object, none."""
     rows = t.table(spark, sf, "events").select(
         "event_id", "event_type", F.get(F.array(*[F.lit(x) for x in t.AIR_LABELS]), (F.col("event_id") % 6).cast("int")).alias("l")
@@ -301,7 +313,7 @@ def air_document_labels(spark, sf):
     document = F.lit('{"data": []}')
     for kind, shape in shapes.items():
         document = F.when(F.col("event_type") == kind, shape).otherwise(document)
-    return rows.select("event_id", document_label(document).alias("air_label"))
+    return rows.select("event_id", document.alias("document"))
 
 
 @query(

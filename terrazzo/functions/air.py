@@ -24,15 +24,18 @@ def worst_pollutants(reading: dict[str, Column]) -> Column:
 
 
 def document_label(document: Column, code: Column | None = None) -> Column:
-    """The label of an air document held as JSON text.
+    """The label of an air document held as JSON text, see `variant_label`; null if it is not JSON."""
+    return variant_label(F.try_parse_json(document), code)
+
+
+def variant_label(doc: Column, code: Column | None = None) -> Column:
+    """The label of an air document held as a variant.
 
     Its `data` may be a list of readings or a map from code to such a list, of which that of the document's own `code` is
     taken, or the first one where it is not given or not there; the first reading
     gives `label`, `qualif` or `indice`. Otherwise top-level `label`, `today`, `indice`,
     `qualif` are tried, each either text or an object with `label` or `qualif`.
     """
-    doc = F.try_parse_json(document)
-
     def text(path: str) -> Column:
         return F.nullif(F.try_variant_get(doc, path, "string"), F.lit(""))
 

@@ -6,9 +6,10 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from terrazzo.errors import LayerError
-from terrazzo.functions.air import document_label
+from terrazzo.functions.air import document_label, variant_label
 from terrazzo.functions.classes import price_step
 from terrazzo.functions.codes import code_of_district, parse_district
 from terrazzo.operators.aggregates import means
@@ -291,8 +292,9 @@ def require_rows(df: DataFrame) -> DataFrame:
 
 
 def air_labels(documents: DataFrame) -> DataFrame:
-    """Code and air label of live documents `(insee, document)` held as JSON text."""
-    return documents.select("insee", document_label(F.col("document"), F.col("insee")).alias("air_label"))
+    """Code and air label of live documents `(insee, document)`, held as variants or as JSON text."""
+    label = variant_label if isinstance(documents.schema["document"].dataType, T.VariantType) else document_label
+    return documents.select("insee", label(F.col("document"), F.col("insee")).alias("air_label"))
 
 
 def city_air_label(labels: DataFrame) -> DataFrame:

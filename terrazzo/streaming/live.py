@@ -23,8 +23,8 @@ from terrazzo.streaming import lateness
 from terrazzo.streaming.changes import COMPACT_EVERY, EXPIRY, moment, read_changes, unexpired, write_changes  # noqa: F401
 
 POLL_INTERVAL = "1 hour"
-# `data` stays JSON text, whatever its shape
-AIR_MESSAGE = struct(("insee", T.StringType()), ("timestamp", T.StringType()), ("data", T.StringType()))
+# `data` is kept as a variant, whatever its shape: it is parsed once, with its message
+AIR_MESSAGE = struct(("insee", T.StringType()), ("timestamp", T.StringType()), ("data", T.VariantType()))
 
 
 def read_topic(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
@@ -96,8 +96,8 @@ def air_messages(deliveries: DataFrame) -> DataFrame:
 
 
 def air_documents(table: DataFrame) -> DataFrame:
-    """Live rows of air messages to `(insee, document)`, the document as JSON text."""
-    return table.select("insee", F.concat(F.lit('{"data":'), "data", F.lit("}")).alias("document"))
+    """Live rows of air messages to `(insee, document)`, the document as a variant made of the stored one; `to_json` gives its text."""
+    return table.select("insee", F.to_variant_object(F.struct("data")).alias("document"))
 
 
 def consume(

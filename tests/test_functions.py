@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from terrazzo.functions import air, classes, codes, numbers, parsing
 from terrazzo.operators.filters import contains_any, has_prefix
+from terrazzo.session import staged
 
 
 def values(spark, column, rows, schema):
@@ -124,6 +125,14 @@ def test_document_label(spark):
     assert values(spark, air.document_label(F.col("v")), rows, "string") == [w for _, w in DOCUMENTS] + [None, None]
 
 
+def test_stored_documents_are_not_parsed_again(spark):
+    rows = [(i, json.dumps(d)) for i, (d, _) in enumerate(DOCUMENTS)] + [(97, "{broken"), (98, None), (99, "null")]
+    table = spark.createDataFrame(rows, "n int, text string").select("n", F.try_parse_json("text").alias("document"))
+    labels = staged(table, "documents").select("n", air.variant_label(F.col("document")).alias("label"))
+    assert "parse_json" not in labels._jdf.queryExecution().executedPlan().toString()
+    assert [r.label for r in labels.orderBy("n").collect()] == [w for _, w in DOCUMENTS] + [None] * 3
+
+
 def test_text_tests(spark):
     rows = ["vols et coups", "Violences", None, "75101"]
     assert values(spark, contains_any(F.col("v"), ["violence", "coups"]), rows, "string") == [True, False, None, False]

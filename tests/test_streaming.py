@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrazzo.errors import ConfigurationError
+from terrazzo.plans.reports import air_labels
 from terrazzo.schemas import struct
 from terrazzo.session import staging_path
 from terrazzo.sources import store
@@ -51,6 +52,36 @@ def test_bad_messages_go_aside_and_late_ones_do_not_win(spark):
     assert rejects.count() == 5
 
 
+def test_air_documents_are_stored_as_variants(spark):
+    base = staging_path(spark, "test")
+    shapes = [("75101", [{"label": "Bon"}]), ("75102", {"75101": [{"indice": "Bon"}], "75102": [{"indice": "Moyen"}]}), ("75103", []), ("75104", None),
+              ("75105", "text")]
+    land(spark, f"{base}/landed", [json.dumps({"insee": k, "timestamp": "1", "data": d}) for k, d in shapes] + ["{broken", '{"insee": null}'])
+
+    def run():
+        stream = live.read_landed(spark, f"{base}/landed", struct(("value", T.StringType())))
+        live.consume(
+            stream, live.AIR_MESSAGE, "insee", ["timestamp"], f"{base}/table", f"{base}/rejects", f"{base}/checkpoint", NOW, compact_every=2
+        ).awaitTermination()
+        return live.read_changes(spark, f"{base}/table", "insee", live.AIR_MESSAGE, ["timestamp"])
+
+    def labels(table):
+        found = air_labels(live.air_documents(table))
+        assert "parse_json" not in found._jdf.queryExecution().executedPlan().toString()
+        return {r.insee: r.air_label for r in found.collect()}
+
+    table = run()
+    assert isinstance(table.schema["data"].dataType, T.VariantType)
+    assert labels(table) == {"75101": "Bon", "75102": "Moyen", "75103": None, "75104": None, "75105": None}
+    assert spark.read.parquet(f"{base}/rejects").count() == 2
+    land(spark, f"{base}/landed", [json.dumps({"insee": "75101", "timestamp": "2", "data": [{"qualif": "Mauvais"}]})])
+    table = run()
+    assert changes.state(spark, f"{base}/table").snapshot is not None
+    assert labels(table) == {"75101": "Mauvais", "75102": "Moyen", "75103": None, "75104": None, "75105": None}
+    text = live.air_documents(table).select("insee", F.to_json("document").alias("text"))
+    assert {r.insee: json.loads(r.text) for r in text.collect()}["75101"] == {"data": [{"qualif": "Mauvais"}]}
+
+
 def test_a_repeated_batch_changes_nothing(spark):
     base = staging_path(spark, "test")
     write = live.write_changes(f"{base}/table", "insee", ["n"])
