@@ -6,7 +6,7 @@ bounded sample (`per_language` documents of each of at most `languages` language
 applied to Arrow batches. A text's probabilities are the mean over its windows, weighted by their bytes.
 
 Where texts are to be rejected the network learns one class more, from texts in no language that are made of the sample
-(`disguised`), and what it leaves to the languages is held against the same of held-out labelled documents (`bars`).
+(`disguised`), and what it leaves to the languages is held against the same of all held-out labelled documents (`all_bars`).
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 
 from terrazzo.llm.names import fresh
 from terrazzo.llm.wordhash import batches, utf8
+from terrazzo.operators.quantiles import exact_quantiles
+from terrazzo.session import staged
 
 WINDOW = 256
 DIM = 8
@@ -215,7 +217,7 @@ def placed(net: Network, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndar
 def bars(net: Network, texts: list[bytes], lost: float) -> np.ndarray:
     """For each language the share in any language that a text told as that language has to have: one half, or less where more than
     the part `lost` of the held-out documents told so are below it. Where they are too few to say so the bar is that of all
-    languages, and where all are too few the least share among them.
+    languages, and where all are too few the least share among them. For texts at hand; `all_bars` tells the same of a table.
     """
     best, share = placed(net, texts)
 
@@ -230,6 +232,25 @@ def bars(net: Network, texts: list[bytes], lost: float) -> np.ndarray:
     return np.array([bar(g if rank(g) else share) for g in groups])
 
 
+#: all languages together, beside the numbers of the languages
+_EVERY = -1
+
+
+def all_bars(net: Network, held: DataFrame, text_col: str, lost: float) -> np.ndarray:
+    """`bars` of every text of `held`, whole. Executors place the texts and count their shares; the driver sees one row for each language."""
+    shares = staged(held.select(text_col).mapInArrow(_placed(net), "best int, share double"), "shares")
+    every = shares.select(F.explode(F.array(F.col("best"), F.lit(_EVERY))).alias("best"), "share")
+
+    def rank(n: Column) -> Column:
+        # as in `bars`
+        return F.floor(F.lit(lost) * (n + 1))
+
+    enough = every.groupBy("best").agg((rank(F.count("share")) >= 1).alias("enough"))
+    lowest = {r["best"]: r["bar"] for r in exact_quantiles(every, ("best",), {"bar": ("share", rank)}).collect()}
+    usable = {r["best"] for r in enough.collect() if r["enough"]}
+    return np.array([min(0.5, lowest.get(i if i in usable else _EVERY, 0.5)) for i in range(len(net.names))])
+
+
 def told(net: Network, texts: list[bytes | None]) -> tuple[list[str], list[float]]:
     """Language and score of every text; `und` and 0 for a null or empty one."""
     names, scores = [], []
@@ -260,6 +281,17 @@ def _predicted(net: Network):
     return run
 
 
+def _placed(net: Network):
+    """Texts -> best, share."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            best, share = placed(net, utf8(part.column(0)))
+            yield pa.RecordBatch.from_arrays([pa.array(best, pa.int32()), pa.array(share, pa.float64())], ["best", "share"])
+
+    return run
+
+
 def _accepted(net: Network, least: np.ndarray):
     """Rows, their judged text last -> the rows that are accepted."""
 
@@ -307,7 +339,7 @@ def accepted(
     languages: int = 256,
 ) -> DataFrame:
     """The rows of `docs` that are not rejected: those without a letter are, and those that the network takes for none of its
-    languages, by a bar for each language that at most the part `lost` of its held-out labelled documents misses. Where fewer than two
+    languages, by a bar for each language that at most the part `lost` of all its held-out labelled documents misses. Where fewer than two
     languages are learned (one label only, or none at all) there is nothing to tell apart, and every text with a letter stays."""
     clean = docs.where(judged(F.col(text_col)).isNotNull() & F.col(id_col).isNotNull())
     held = held_out(F.col(id_col))
@@ -315,7 +347,7 @@ def accepted(
     if len(set(labels)) < 2:
         return docs.where(judged(F.col(text_col)).isNotNull())
     net = train(texts, labels, none=disguised(texts))
-    least = bars(net, training_rows(clean.where(held), id_col, text_col, lang_col, per_language, languages)[0], lost)
+    least = all_bars(net, clean.where(held & F.col(lang_col).isNotNull()), text_col, lost)
     # the last column, by place
     rows = docs.withColumn(*fresh(docs, "_judged"), judged(F.col(text_col)))
     return rows.mapInArrow(_accepted(net, least), docs.schema)

@@ -102,3 +102,36 @@ def test_bars():
         assert langid.bars(net, texts[:3], 0.01).tolist() == [0.3, 0.3]
         best, shares = best[:0], shares[:0]
         assert langid.bars(net, [], 0.01).tolist() == [0.5, 0.5]
+
+
+def test_bars_of_all_held_out_documents(spark, sf_dir):
+    """Every held-out labelled document counts for the bars, not a sample of them: as the plain rule says of all texts, in any number of partitions."""
+    docs = spark.read.parquet(sf_dir.replace("sf0.001", "sf0.01") + "/documents.parquet").where(langid.judged(F.col("text")).isNotNull())
+    learn, held = docs.where(~langid.held_out(F.col("doc_id"))), docs.where(langid.held_out(F.col("doc_id")) & F.col("lang").isNotNull())
+    # the sample leaves most of them out
+    texts, labels = langid.training_rows(learn, "doc_id", "text", "lang", 20, 256)
+    net = langid.train(texts, labels, epochs=2, none=langid.disguised(texts))
+    every = [r["text"].encode() for r in held.select("text").collect()]
+    for lost in (0.01, 0.2, 1e-6):
+        want = langid.bars(net, every, lost)
+        for parts in (1, 5):
+            assert np.allclose(langid.all_bars(net, held.repartition(parts), "text", lost), want, rtol=0, atol=1e-6)
+    assert langid.all_bars(net, held.limit(0), "text", 0.01).tolist() == [0.5] * len(net.names)
+
+
+def test_a_rare_low_share_counts_for_the_bar(spark):
+    """Of one language's 4,000 held-out documents 2 % read badly; the bar lies below them, wherever a sample of 400 would have put it."""
+    net = langid.Network(["a", "b"], *[None] * 5)
+    shares = np.concatenate([np.linspace(0.1, 0.3, 80), np.full(3920, 0.9)])
+    table = spark.createDataFrame([(f"{i}",) for i in range(4000)], "text string").repartition(7)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(langid, "_placed", lambda _: lambda parts: (_row_shares(part, shares) for part in parts))
+        least = langid.all_bars(net, table, "text", 0.01)
+    assert (shares < least[0]).sum() == 39 and least[1] == least[0]
+
+
+def _row_shares(part, shares):
+    import pyarrow as pa
+
+    at = [int(x) for x in part.column(0).to_pylist()]
+    return pa.RecordBatch.from_arrays([pa.array([0] * len(at), pa.int32()), pa.array(shares[at])], ["best", "share"])
