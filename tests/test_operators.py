@@ -311,6 +311,34 @@ def test_exact_totals_are_the_nearest_doubles(spark):
             assert got[k] == (want if numbers_ else None, len(numbers_)), k
 
 
+def test_millionths_and_other_values_add_up(spark):
+    """Values counted as whole millionths, beside ones of more places and of other magnitudes; halves of negative ones too."""
+    rng = random.Random(5)
+    groups = {
+        "edge": [999_999_999.999999, 1e9, -1e9, -999_999_999.999999, 0.000001], "places": [0.1234567, 0.123456, -0.1234567], "zero": [-0.0, 0.0],
+        "odd": [16.777215, -16.777216, 16.777217, -0.000001], "mixed": [1e27, 0.25, -1e27, 0.5, 1e-13], "null": [None, 2.5, math.nan, -2.5],
+    }
+    groups |= {f"r{d}": [round(rng.uniform(-1, 1) * 10 ** rng.randint(0, 9), d) for _ in range(300)] for d in range(9)}
+    df = spark.createDataFrame([(k, v) for k, values in groups.items() for v in values], "k string, v double").repartition(5)
+    got = {r.k: (r.v, r.v_count) for r in exact_totals(df, ["k"], {"v": F.col("v")}).collect()}
+    for k, values in groups.items():
+        known = [v for v in values if v is not None and not math.isnan(v)]
+        assert got[k] == (float(sum(Fraction(Decimal(repr(v))) for v in known)), len(known)), k
+
+
+def test_quantiles_by_rank(spark):
+    """A function of the group's size gives the rank; bands of many values are cut."""
+    rng = random.Random(6)
+    rows = [(k, rng.choice([1.0, -3.0]) + rng.random() / 1000) for k, n in (("a", 700), ("b", 31), ("c", 1)) for _ in range(n)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(3)
+    wanted = {"low": ("v", lambda n: F.floor(n * 0.01)), "third": ("v", lambda n: F.ceil(n / 3)), "half": ("v", 0.5)}
+    for split in (10, 100_000):
+        for r in quantiles.exact_quantiles(df, ("k",), wanted, split=split).collect():
+            own = sorted(v for k, v in rows if k == r.k)
+            n = len(own)
+            assert (r.low, r.third, r.half) == (own[max(n // 100, 1) - 1], own[math.ceil(n / 3) - 1], own[math.ceil(n / 2) - 1])
+
+
 def test_infinities_and_no_rows(spark):
     df = spark.createDataFrame([("a", math.inf), ("a", 1.0), ("b", math.inf), ("b", -math.inf), ("c", -math.inf)], "k string, v double")
     got = {r.k: (r.v, r.v_count) for r in exact_totals(df, ["k"], {"v": F.col("v")}).collect()}

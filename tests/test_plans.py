@@ -9,6 +9,7 @@ import __spark_entry__ as entry
 from terrazzo.catalog import tables as t
 from terrazzo.errors import IngestionError
 from terrazzo.operators import aggregates
+from terrazzo.operators.exact import exact_totals
 from terrazzo.operators.quantiles import exact_quantiles
 from terrazzo.schemas import INGESTION_DATE
 from terrazzo.session import staged, staging_path
@@ -63,6 +64,20 @@ def test_exact_quantiles_shuffle_counts_only(spark, sf_dir):
     assert all("hashpartitioning" in line for line in final.splitlines() if " Exchange " in line)
 
 
+def test_exact_sums_are_short_enough_to_be_compiled(spark, sf_dir):
+    """The JVM compiles no method beyond 8,000 bytes; what runs for every row must stay below."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sums = {f"s{i}": F.col("taux_pour_mille") * (i + 1) for i in range(6)}
+        rates = aggregates.crime_rates(t.crime(spark, sf_dir), burglary=t.BURGLARY, violence=t.VIOLENCE)
+        for df in (rates, exact_totals(t.crime(spark, sf_dir), ["arrondissement", "annee"], sums)):
+            stages = df._jdf.queryExecution().debug().codegenToSeq()
+            sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+            assert sizes and max(sizes) < 8000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_the_newest_date_is_found_without_reading(spark, tmp_path):
     for date in ("2026-06-24", "2026-06-25", "2025-12-31"):
         sinks.write_dated(spark.range(3), str(tmp_path), "t", date)
