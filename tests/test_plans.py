@@ -64,6 +64,18 @@ def test_exact_quantiles_shuffle_counts_only(spark, sf_dir):
     assert all("hashpartitioning" in line for line in final.splitlines() if " Exchange " in line)
 
 
+def test_gold_joins_the_sales_once(spark, sf_dir, monkeypatch):
+    """All reports read one gold table; the sales below it are joined and cleaned by one job, not by each of the passes over them."""
+    written = []
+    monkeypatch.setattr(t, "_stored", {})
+    monkeypatch.setattr(t, "staged", lambda df, name: written.append((name, plan(df))) or staged(df, name))
+    got = t.stored_gold(spark, sf_dir)
+    assert sum(text.split("== Initial Plan ==")[0].count("l_extendedprice") > 0 for _, text in written) == 1
+    assert [name for name, _ in written] == ["sales", "gold"]
+    want = t.gold(spark, sf_dir, "housing", "crime", "incomes")
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
 def test_exact_sums_are_short_enough_to_be_compiled(spark, sf_dir):
     """The JVM compiles no method beyond 8,000 bytes; what runs for every row must stay below."""
     spark.conf.set("spark.sql.adaptive.enabled", "false")
