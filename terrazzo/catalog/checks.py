@@ -104,15 +104,27 @@ def run_report(spark, sf):
     return runs.run_report(log)
 
 
+#: deliveries that are landed, fed or refined side by side: the tasks of one fill the cores that the last ones of another leave idle
+AT_ONCE = 4
+
+
+def _raised(failed: dict[str, Exception]) -> None:
+    for error in failed.values():
+        raise error
+
+
 def _landed(spark, sf) -> str:
     """The six batch deliveries in one landing folder; no air delivery that day."""
     folder = ingest._sales_files(spark, sf)
-    t.raw_crime(spark, sf).write.parquet(f"{folder}/{bronze.CRIME_FILE}")
     arrays = t.json_arrays(t.raw_housing(spark, sf), "adresse_programme")
-    arrays.write.option("maxRecordsPerFile", 1).text(f"{folder}/{bronze.HOUSING_FILE}")
-    sinks.write_csv(t.raw_incomes(spark, sf), f"{folder}/{bronze.INCOMES_FILE}")
-    sinks.write_csv(t.raw_areas(spark, sf), f"{folder}/{bronze.DISTRICTS_FILE}", sep=";")
-    sinks.write_csv(t.raw_residences(spark, sf), f"{folder}/{bronze.RESIDENCES_FILE}", sep=";")
+    writes = {
+        "logements_sociaux": lambda: arrays.write.option("maxRecordsPerFile", 1).text(f"{folder}/{bronze.HOUSING_FILE}"),
+        "delinquance": lambda: t.raw_crime(spark, sf).write.parquet(f"{folder}/{bronze.CRIME_FILE}"),
+        "revenus": lambda: sinks.write_csv(t.raw_incomes(spark, sf), f"{folder}/{bronze.INCOMES_FILE}"),
+        "arrondissements": lambda: sinks.write_csv(t.raw_areas(spark, sf), f"{folder}/{bronze.DISTRICTS_FILE}", sep=";"),
+        "residences_principales": lambda: sinks.write_csv(t.raw_residences(spark, sf), f"{folder}/{bronze.RESIDENCES_FILE}", sep=";"),
+    }
+    _raised(jobs.side_by_side(spark, list(writes), lambda source: writes[source](), AT_ONCE))
     return folder
 
 
@@ -122,8 +134,8 @@ SOURCES = [s for s in bronze.FEEDS if s != "airparif"]
 def _built(spark, sf, log: str | None = None) -> str:
     """Deliveries through bronze to silver; returns the silver root."""
     folder, root = _landed(spark, sf), staging_path(spark, "layers")
-    jobs.run_bronze(spark, list(bronze.FEEDS), folder, f"{root}/bronze", ingest.DATE, log)
-    jobs.run_silver(spark, SOURCES, f"{root}/bronze", f"{root}/silver", ingest.DATE, log)
+    jobs.run_bronze(spark, list(bronze.FEEDS), folder, f"{root}/bronze", ingest.DATE, log, AT_ONCE)
+    jobs.run_silver(spark, SOURCES, f"{root}/bronze", f"{root}/silver", ingest.DATE, log, AT_ONCE)
     return f"{root}/silver"
 
 

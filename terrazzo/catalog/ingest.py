@@ -32,11 +32,13 @@ _YMD = "'2026' AS ingestion_year, '06' AS ingestion_month, '24' AS ingestion_day
 
 
 def _sales_files(spark, sf) -> str:
-    """Raw sales as CSV files, one folder of them renamed by Spark's own part names."""
+    """Raw sales as CSV files in two folders, the years before 1998 and the others, written by one pass over the joined tables."""
     folder = staging_path(spark, "landing")
-    raw = t.raw_sales(spark, sf, as_text=True)
-    sinks.write_csv(raw.filter("date_mutation < '1998'"), f"{folder}/{bronze.SALES_FILES.replace('*', 'a')}")
-    sinks.write_csv(raw.filter("date_mutation >= '1998'"), f"{folder}/{bronze.SALES_FILES.replace('*', 'b')}")
+    before, later = bronze.SALES_FILES.split("*")
+    # the writer names each folder `<column>=<value>`, which the pattern of the delivery matches
+    part = F.when(F.col("date_mutation") < "1998", F.lit(f"a{later}")).otherwise(F.lit(f"b{later}"))
+    raw = t.raw_sales(spark, sf, as_text=True).filter(F.col("date_mutation").isNotNull()).withColumn(f"{before}part", part)
+    sinks.write_csv(raw, folder, by=[f"{before}part"])
     return folder
 
 

@@ -92,11 +92,16 @@ def refine(spark: SparkSession, source: str, bronze_root: str, silver_root: str,
 
 
 def run_silver(
-    spark: SparkSession, sources: list[str], bronze_root: str, silver_root: str, date: str, runs: str | None = None
+    spark: SparkSession, sources: list[str], bronze_root: str, silver_root: str, date: str, runs: str | None = None, at_once: int = 1
 ) -> None:
-    """Refine the sources in turn, stopping at the first error."""
-    for source in sources:
-        refine(spark, source, bronze_root, silver_root, date, runs)
+    """Refine the sources in turn, stopping at the first error; with more `at_once` they run side by side, and the first error is raised at the end."""
+    if at_once == 1:
+        for source in sources:
+            refine(spark, source, bronze_root, silver_root, date, runs)
+        return
+    failed = side_by_side(spark, sources, lambda source: refine(spark, source, bronze_root, silver_root, date, runs), at_once)
+    for error in failed.values():
+        raise error
 
 
 def silver_table(spark: SparkSession, root: str, table: str, date: str | None, year: int | None = None) -> DataFrame:

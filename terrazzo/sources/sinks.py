@@ -78,5 +78,6 @@ def write_messages(messages: DataFrame, servers: str, topic: str, **options: str
     messages.write.format("kafka").options(**{"kafka.bootstrap.servers": servers, "topic": topic, **options}).save()
 
 
-def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
-    df.write.mode("overwrite").options(header=True, sep=sep).csv(path)
+def write_csv(df: DataFrame, path: str, sep: str = ",", by: list[str] = []) -> None:
+    """CSV files with a header, in a folder for each value of the `by` columns, which the files do not hold."""
+    df.write.mode("overwrite").partitionBy(*by).options(header=True, sep=sep).csv(path)

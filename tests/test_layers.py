@@ -10,6 +10,7 @@ import threading
 import pytest
 from pyspark.sql import functions as F
 
+from terrazzo.catalog import ingest
 from terrazzo.catalog import tables as t
 from terrazzo.errors import ConfigurationError, IngestionError, LayerError
 from terrazzo.operators import aggregates, sketches
@@ -383,3 +384,42 @@ def test_distinct_counts_need_no_shuffle_of_values(spark):
     assert "hashpartitioning" not in text and "Expand" not in text
     got = told.first()
     assert abs(got.many_distinct - 90_000) <= 4 * aggregates.distinct_error() * 90_000 and (got.few_distinct, got.none_distinct) == (12, 0)
+
+
+def test_sales_files_take_one_pass(spark, monkeypatch):
+    """Both folders of sales come from one reading of the joined tables; a sale without a date is in neither."""
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def date(text):
+        read.add(1)
+        return text
+
+    dates = ["1996-02-01", "1997-12-31", "1998-01-01", "1999-05-05", None]
+    names = [f.name for f in RAW_SALES]
+    rows = spark.createDataFrame([(d, *[f"{n}{i}" for n in names[1:]]) for i, d in enumerate(dates)], RAW_SALES)
+    counted = rows.withColumn("date_mutation", date.asNondeterministic()("date_mutation"))
+    monkeypatch.setattr(ingest.t, "raw_sales", lambda spark, sf, as_text: counted)
+    folder = ingest._sales_files(spark, "none")
+    assert read.value == len(dates)
+    found = bronze.sales(spark, folder, ingest.DATE)
+    assert found.columns == names
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, rows.filter("date_mutation is not null").collect()))
+    years = [{r.date_mutation[:4] for r in files.read_csv(spark, f"{folder}/{bronze.SALES_FILES.replace('*', f'*{part}')}").collect()} for part in "ab"]
+    assert years == [{"1996", "1997"}, {"1998", "1999"}]
+
+
+def test_silver_side_by_side(spark, monkeypatch):
+    """Two refinements that wait for one another both run; the first error is raised at the end, when all others are done."""
+    met, done = threading.Barrier(2, timeout=60), []
+
+    def refine(spark, source, *rest):
+        if source == "a":
+            raise LayerError("a failed")
+        met.wait()
+        done.append(source)
+
+    monkeypatch.setattr(jobs, "refine", refine)
+    with pytest.raises(LayerError, match="a failed"):
+        jobs.run_silver(spark, ["a", "b", "c"], "in", "out", "2026-06-24", at_once=3)
+    assert sorted(done) == ["b", "c"]
